@@ -24,6 +24,8 @@ MIN_ROWS = 3
 
 BUCKET_HEX_DIGITS = 4
 STRATUM = ["analysis_group", "observed"]
+# Draws are few but costly to make: spread them over this many tasks, whatever their size in bytes.
+DRAW_TASKS = 32
 BROADCAST_DRAWS_PER_STRATUM = 20_000
 
 
@@ -80,6 +82,7 @@ def draws(strata: DataFrame, nrep: int, nsamp: int, seed: int) -> DataFrame:
     """``nsamp`` row numbers per replicate and stratum, with replacement."""
     return (
         strata.withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(nrep))))
+        .repartition(DRAW_TASKS, *STRATUM, "rep")
         .withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(nsamp))))
         .withColumn("row", F.pmod(
             _hash_number(F.lit(seed), F.col("analysis_group"), F.col("observed"), F.col("rep"), F.col("draw")),
@@ -98,7 +101,8 @@ def place_draws(drawn: DataFrame, offsets: DataFrame) -> DataFrame:
         *STRATUM, F.col("start").alias("row"), F.lit(None).cast("int").alias("rep"),
         F.struct("bucket", "start").alias("at"),
     )
-    both = drawn.select(*STRATUM, "row", "rep", F.lit(None).cast(starts.schema["at"].dataType).alias("at")).unionByName(starts)
+    no_start = F.lit(None).cast(starts.schema["at"].dataType).alias("at")
+    both = drawn.select(*STRATUM, "row", "rep", no_start).unionByName(starts).repartition(DRAW_TASKS, *STRATUM)
     # nulls first: a bucket that starts at the drawn row precedes the draw
     upto = Window.partitionBy(*STRATUM).orderBy("row", F.col("rep").asc_nulls_first()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
@@ -129,15 +133,15 @@ def bootstrap_ratio(rows: DataFrame, key: list[str], nrep: int = REPLICATES, nsa
     placed = place_draws(draws(enough, nrep, nsamp, seed), offsets)
     hit = placed.select(*STRATUM, "bucket").distinct()
     if nrep * nsamp <= BROADCAST_DRAWS_PER_STRATUM:
-        # At most nrep * nsamp buckets for each of the two strata of a group rule.
-        hit = F.broadcast(hit)
+        # At most nrep * nsamp rows for each of the two strata of a group rule.
+        hit, placed = F.broadcast(hit), F.broadcast(placed)
     in_bucket = Window.partitionBy(*STRATUM, "bucket").orderBy("digest", "cod", "had")
     numbered = hashed.join(hit, [*STRATUM, "bucket"], "left_semi").select(
         *STRATUM, "bucket", "cod", "had", (F.row_number().over(in_bucket) - 1).cast("bigint").alias("place")
     )
     is_obs = F.col("observed") == 1
     replicates = (
-        placed.join(numbered, [*STRATUM, "bucket", "place"])
+        numbered.join(placed, [*STRATUM, "bucket", "place"])
         .groupBy("analysis_group", "rep")
         .agg(
             F.sum(F.when(is_obs, F.col("cod"))).alias("co"), F.sum(F.when(is_obs, F.col("had"))).alias("ho"),

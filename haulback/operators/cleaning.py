@@ -52,19 +52,13 @@ def remove_other_sought(df: DataFrame, sought: DataFrame) -> tuple[DataFrame, Da
 
 def trip_reasons(observer: DataFrame, panels: DataFrame, sought: DataFrame) -> DataFrame:
     """One row per flagged trip with the first reason that applies."""
-    flagged = [
-        (NONCOMMERCIAL, noncommercial_trips(observer)),
-        (NO_PANEL, no_panel_trips(panels)),
-        (OTHER_SOUGHT, other_sought_trips(sought)),
-    ]
-    parts = [
-        trips.select("trip", F.lit(rank).alias("rank"), F.lit(reason).alias("reason"))
-        for rank, (reason, trips) in enumerate(flagged)
-    ]
+    flagged = [noncommercial_trips(observer), no_panel_trips(panels), other_sought_trips(sought)]
+    ranked = [trips.select("trip", F.lit(rank).alias("rank")) for rank, trips in enumerate(flagged)]
+    reason = F.when(F.col("rank") == 0, NONCOMMERCIAL).when(F.col("rank") == 1, NO_PANEL).otherwise(OTHER_SOUGHT)
     return (
-        reduce(DataFrame.unionByName, parts)
-        .groupBy("trip").agg(F.min(F.struct("rank", "reason")).alias("first"))
-        .select("trip", F.col("first.reason").alias("trip_reason"))
+        reduce(DataFrame.unionByName, ranked)
+        .groupBy("trip").agg(F.min("rank").alias("rank"))
+        .select("trip", reason.alias("trip_reason"))
     )
 
 
@@ -81,15 +75,15 @@ def trip_verdicts(verdicts: DataFrame, threshold: float = COD_HAD_THRESHOLD) ->
 
     Takes the output of :func:`add_cod_had_verdict`. A trip is all-fail when no set is met or
     undefined. The last set counts only in the other trips, and only if some set of the trip is
-    above the threshold; a ratio equal to it is not met but does not count as above. Rows tied on
-    the last set id are decided by the lowest (cod, had). One pass, combined before the shuffle.
+    above the threshold; a ratio equal to it is not met but does not count as above. A last set
+    of several rows fails if all of them do.
+
+    The last id and its verdict travel in one number (twice the id, plus 1 unless it fails), so
+    that the pass is a hash aggregation over fixed-width values, combined before the shuffle.
     """
     failed = F.coalesce(~F.col("met"), F.lit(False))
-    last = F.min(F.when(
-        F.col("set_id").isNotNull(),
-        F.struct((-F.col("set_id")).alias("neg_set_id"), zero_if_null(F.col("cod")).alias("c"),
-                 zero_if_null(F.col("had")).alias("h"), failed.alias("failed")),
-    ))
+    last = F.max(F.col("set_id") * 2 + F.when(failed, 0).otherwise(1))
+    last_fails = F.col("last") % 2 == 0
     return (
         verdicts.groupBy("trip_id")
         .agg(
@@ -99,8 +93,7 @@ def trip_verdicts(verdicts: DataFrame, threshold: float = COD_HAD_THRESHOLD) ->
         )
         .select(
             "trip_id", "all_failed",
-            F.when(~F.col("all_failed") & F.col("any_above") & F.col("last.failed"), -F.col("last.neg_set_id"))
-            .alias("failing_last_set"),
+            F.when(~F.col("all_failed") & F.col("any_above") & last_fails, F.expr("last div 2")).alias("failing_last_set"),
         )
     )
 

@@ -16,8 +16,9 @@ def _on(keys: list[str]) -> Column:
 
 
 def _join(df: DataFrame, keys_df: DataFrame, on, how: str) -> DataFrame:
+    # Distinct first: a key listed a million times is one row before it is shuffled.
     keys = [on] if isinstance(on, str) else list(on)
-    return df.alias("l").join(keys_df.select(*keys).alias("r"), _on(keys), how)
+    return df.alias("l").join(keys_df.select(*keys).distinct().alias("r"), _on(keys), how)
 
 
 def semi_by(df: DataFrame, keys_df: DataFrame, on) -> DataFrame:

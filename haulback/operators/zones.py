@@ -22,14 +22,16 @@ def identify_zone(df: DataFrame, zones: DataFrame, lat: str = "lat", lon: str =
     join is on the grid cell, one index row per cell; rows keep their number and nothing is
     aggregated. ``zones`` is ``(zone_id, edges)``.
     """
-    index = zone_index(zones, cell).select(
-        F.col("cell_x").alias("_cell_x"), F.col("cell_y").alias("_cell_y"), "candidates"
-    )
+    return _locate(df, zone_index(zones, cell), lat, lon, zone, cell)
+
+
+def _locate(df: DataFrame, index: DataFrame, lat: str, lon: str, zone: str, cell: float) -> DataFrame:
+    cells = index.select(F.col("cell_x").alias("_cell_x"), F.col("cell_y").alias("_cell_y"), "candidates")
     inside = lambda c: F.size(F.filter(c.edges, lambda e: _crosses(e, F.col(lon), F.col(lat)))) % 2 == 1
     found = F.array_min(F.transform(F.filter("candidates", inside), lambda c: c.zone_id))
     return (
         df.withColumns({"_cell_x": F.floor(F.col(lon) / cell), "_cell_y": F.floor(F.col(lat) / cell)})
-        .join(index, ["_cell_x", "_cell_y"], "left")
+        .join(cells, ["_cell_x", "_cell_y"], "left")
         .withColumn(zone, found)
         .drop("_cell_x", "_cell_y", "candidates")
     )
@@ -88,13 +90,14 @@ def assign_zone(landings: DataFrame, zones: DataFrame, observer: DataFrame, posi
     grain, one test per trip or vessel-day instead of one per landing. The joins keep their real
     keys for every row, so that rows needing no fallback do not pile up on a null key.
     """
-    zone_obs = identify_zone(observer_position(observer), zones, "lat2", "lon2", "zone_obs", cell).select("trip", "zone_obs")
+    index = zone_index(zones, cell)
+    zone_obs = _locate(observer_position(observer), index, "lat2", "lon2", "zone_obs", cell).select("trip", "zone_obs")
     zone_vms = (
-        identify_zone(vessel_day_mean_position(positions), zones, "mean_lat", "mean_lon", "zone_vms", cell)
+        _locate(vessel_day_mean_position(positions), index, "mean_lat", "mean_lon", "zone_vms", cell)
         .where(F.col("zone_vms").isNotNull())
         .select(F.col("vr_number").alias("p_vr"), F.col("date").alias("p_date"), "zone_vms")
     )
-    reported = identify_zone(landings, zones, "lat", "lon", "zone_reported", cell)
+    reported = _locate(landings, index, "lat", "lon", "zone_reported", cell)
     with_obs = left_join_on_trip(reported, zone_obs, "vr_number", "trip_id", "set_id")
     unobserved = F.col("trip") == ""
     with_both = with_obs.join(

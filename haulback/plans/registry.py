@@ -67,9 +67,14 @@ class Steps:
     def aggregated(self) -> DataFrame:
         return aggregate_trips(kept(self.cleaned()))
 
+    def trips(self) -> DataFrame:
+        """Trips rolled up straight from the landings with a valid reported zone, without the cleaning."""
+        sets = self.landings().withColumn("sector", sector_of(F.col("sflt_desc_id")))
+        return aggregate_trips(identify_zone(sets, self.s.zones()).where("zone >= 1"))
+
     def grouped(self) -> DataFrame:
-        """Rolled-up trips with their group, written once: the estimate reads them several times."""
-        return add_group(split_fully_covered(materialize(self.aggregated(), "trips"))[0])
+        """Those trips with their group, written once: the estimate reads them several times."""
+        return add_group(split_fully_covered(materialize(self.trips(), "trips"))[0])
 
     def results(self, grouped: DataFrame) -> DataFrame:
         return bootstrap_ratio(ratio_rows(grouped), TRIP_KEYS)
@@ -243,12 +248,13 @@ def q_removed_counts(p: Steps) -> DataFrame:
 # Coverage and groups ---------------------------------------------------------------------------
 
 def q_fully_covered_split(p: Steps) -> DataFrame:
-    rest, covered = split_fully_covered(materialize(p.aggregated(), "trips"), "vr_number")
+    rest, covered = split_fully_covered(materialize(p.trips(), "trips"), "vr_number")
     return rest.withColumn("covered", F.lit(False)).unionByName(covered.withColumn("covered", F.lit(True)))
 
 
 def q_fully_covered_quarters(p: Steps) -> DataFrame:
-    return coverage(coverage_cells(p.aggregated()), "sector", "q").where("coverage = 1").drop("coverage")
+    cells = coverage_cells(p.trips(), ("vr_number", "sector", "q"))
+    return coverage(cells, "vr_number", "q").where("coverage = 1").drop("coverage")
 
 
 # Estimate --------------------------------------------------------------------------------------
@@ -321,11 +327,11 @@ STEPS: dict[str, Callable[[Steps], DataFrame]] = {
     "removed_audit": q_removed_audit,
     "removed_counts": q_removed_counts,
     "trip_rollup": Steps.aggregated,
-    "coverage_summary": lambda p: coverage_summary(coverage_cells(p.aggregated())),
+    "coverage_summary": lambda p: coverage_summary(coverage_cells(p.trips())),
     "fully_covered_split": q_fully_covered_split,
     "fully_covered_quarters": q_fully_covered_quarters,
-    "coverage_tiers": lambda p: coverage_tiers(coverage_cells(p.aggregated())),
-    "coverage_tiers_by_vessel": lambda p: coverage_tiers(coverage_cells(p.aggregated(), ("vr_number", "q"))),
+    "coverage_tiers": lambda p: coverage_tiers(coverage_cells(p.trips())),
+    "coverage_tiers_by_vessel": lambda p: coverage_tiers(coverage_cells(p.trips(), ("vr_number", "q"))),
     "assign_group": Steps.grouped,
     "group_landings_pivot": lambda p: group_landings(p.grouped()),
     "ratio_of_ratios": q_ratio_of_ratios,

@@ -13,12 +13,19 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # A skewed join must be split even where that costs one more exchange downstream.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Split a hot reduce partition that is only being rebalanced, never processed whole.
-    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
 }
 
+# Off a single machine: many small shuffle partitions to start with, merged by AQE up to a size
+# that fits an executor core's memory; scans cut to the same size.
+CLUSTER_SETTINGS = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
 
 def build_session(app_name: str = "haulback", master: str | None = None, settings: dict | None = None) -> SparkSession:
     """A session with the settings the plans are written for.
@@ -29,7 +36,8 @@ def build_session(app_name: str = "haulback", master: str | None = None, setting
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SESSION_SETTINGS, **(settings or {})}.items():
+    defaults = SESSION_SETTINGS if (master or "").startswith("local") else {**SESSION_SETTINGS, **CLUSTER_SETTINGS}
+    for key, value in {**defaults, **(settings or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
