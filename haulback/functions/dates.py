@@ -12,7 +12,7 @@ def in_years(df: DataFrame, column: str, years: int | tuple[int, int]) -> Column
     Written as a half-open range of the column's own type, so that it reaches the Parquet scan.
     """
     first, last = (years, years) if isinstance(years, int) else years
-    kind = df.schema[column].dataType
+    kind = df.select(column).schema[0].dataType
     bound = lambda year: F.lit(f"{year:04d}-01-01").cast(kind)
     return (F.col(column) >= bound(first)) & (F.col(column) < bound(last + 1))
 

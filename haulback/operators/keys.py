@@ -41,10 +41,12 @@ def left_join_on_trip(df: DataFrame, per_trip: DataFrame, *spread: str) -> DataF
 
     Most landings are unobserved and share the empty trip code. It matches nothing, but joined
     plainly it would send all of them to one partition. They get a salt from the ``spread``
-    columns instead; observed trips and ``per_trip`` keep salt 0.
+    columns instead; observed trips, and all of ``per_trip``, have salt 0.
     """
     salt = F.when(F.col("trip") != "", F.lit(0)).otherwise(
         F.lit(1) + F.pmod(F.xxhash64(*spread), F.lit(BLANK_TRIP_SALTS)).cast("int")
     )
-    right = per_trip.where(F.col("trip") != "").withColumn("trip_salt", F.lit(0))
-    return df.withColumn("trip_salt", salt).join(right, ["trip", "trip_salt"], "left").drop("trip_salt")
+    # 0 for every code; computed, since Catalyst would fold a literal and drop it from the join keys
+    right = per_trip.withColumn("trip_salt", F.when(F.length("trip") > 0, F.lit(0)).otherwise(F.lit(-1)))
+    joined = df.withColumn("trip_salt", salt).join(right, ["trip", "trip_salt"], "left")
+    return joined.select(*df.columns, *[c for c in per_trip.columns if c != "trip"])

@@ -39,7 +39,7 @@ def _locate(df: DataFrame, index: DataFrame, lat: str, lon: str, zone: str, cell
 
 def fleet_trips(trips: DataFrame, fleet: str, stock: str, start: str, end: str) -> DataFrame:
     """Trips of one fleet type and stock landed between two dates, both included."""
-    kind = trips.schema["landed_date"].dataType
+    kind = trips.select("landed_date").schema[0].dataType
     return trips.where(
         (F.col("fleet") == fleet) & (F.col("stock") == stock)
         & F.col("landed_date").between(F.lit(start).cast(kind), F.lit(end).cast(kind))
