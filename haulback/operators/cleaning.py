@@ -174,12 +174,10 @@ def remove_pollock_directed(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 # All steps -------------------------------------------------------------------------------------
 
-def clean(zoned: DataFrame, observer: DataFrame, panels: DataFrame, sought: DataFrame,
-          threshold: float = COD_HAD_THRESHOLD) -> DataFrame:
-    """Every input row with the ``reason`` of its removal, null if it stays in scope.
+def flag_out_of_scope(zoned: DataFrame, observer: DataFrame, panels: DataFrame, sought: DataFrame) -> DataFrame:
+    """Add ``reason`` from the zone and the trip's observer data; null weights in scope become 0.
 
-    One frame instead of a split and a union per step: the trip flags come in with a single join,
-    and the rows are written once before the per-trip pass reads them again.
+    One frame instead of a split and a union per step: all trip flags come in with a single join.
     """
     zone_reason = F.when(F.col("zone").isNull(), ZONE_UNRESOLVED).when(F.col("zone") < 1, ZONE_INVALID)
     flagged = (
@@ -188,14 +186,25 @@ def clean(zoned: DataFrame, observer: DataFrame, panels: DataFrame, sought: Data
         .drop("trip_reason")
     )
     in_scope = F.col("reason").isNull()
-    flagged = flagged.withColumns({
+    return flagged.withColumns({
         c: F.when(in_scope, zero_if_null(F.col(c))).otherwise(F.col(c)) for c in ("cod", "had", "pol")
     })
-    marked = mark_cod_directed(materialize(flagged, "flagged"), in_scope, threshold)
+
+
+def flag_directed(flagged: DataFrame, threshold: float = COD_HAD_THRESHOLD) -> DataFrame:
+    """Add the reasons that depend on the catch. ``flagged`` is read twice; pass a written table."""
+    marked = mark_cod_directed(flagged, F.col("reason").isNull(), threshold)
     pollock = F.when(pollock_dominant(F.col("cod"), F.col("had"), F.col("pol")), POLLOCK)
     return marked.withColumn("reason", F.coalesce("reason", "cod_reason", pollock)).drop("cod_reason")
 
 
+def clean(zoned: DataFrame, observer: DataFrame, panels: DataFrame, sought: DataFrame,
+          threshold: float = COD_HAD_THRESHOLD) -> DataFrame:
+    """Every input row with the ``reason`` of its removal, null if it stays in scope."""
+    flagged = materialize(flag_out_of_scope(zoned, observer, panels, sought), "flagged")
+    return flag_directed(flagged, threshold)
+
+
 def kept(cleaned: DataFrame) -> DataFrame:
     return cleaned.where(F.col("reason").isNull()).drop("reason")
 
@@ -208,5 +217,5 @@ __all__ = [
     "noncommercial_trips", "no_panel_trips", "other_sought_trips", "remove_noncommercial", "remove_no_panel",
     "remove_other_sought", "trip_reasons", "add_cod_had_verdict", "trip_verdicts", "all_sets_fail_trips",
     "failing_last_sets", "remove_cod_directed", "mark_cod_directed", "trip_set_listing", "early_failing_sets",
-    "remove_pollock_directed", "clean", "kept", "removed_audit",
+    "remove_pollock_directed", "flag_out_of_scope", "flag_directed", "clean", "kept", "removed_audit",
 ]

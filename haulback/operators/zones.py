@@ -2,18 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.zones import DEFAULT_CELL_DEGREES, zone_index
+from ..sources.zones import DEFAULT_CELL_DEGREES, odd_crossings, zone_index
 from .keys import left_join_on_trip
 
 
-def _crosses(edge: Column, lon: Column, lat: Column) -> Column:
-    at_lat = (edge.x2 - edge.x1) * (lat - edge.y1) / (edge.y2 - edge.y1) + edge.x1
-    return ((edge.y1 > lat) != (edge.y2 > lat)) & (lon < at_lat)
-
-
 def identify_zone(df: DataFrame, zones: DataFrame, lat: str = "lat", lon: str = "lon", zone: str = "zone",
                   cell: float = DEFAULT_CELL_DEGREES) -> DataFrame:
     """Add the id of the zone holding each position; null outside all zones or without position.
@@ -27,7 +22,7 @@ def identify_zone(df: DataFrame, zones: DataFrame, lat: str = "lat", lon: str =
 
 def _locate(df: DataFrame, index: DataFrame, lat: str, lon: str, zone: str, cell: float) -> DataFrame:
     cells = index.select(F.col("cell_x").alias("_cell_x"), F.col("cell_y").alias("_cell_y"), "candidates")
-    inside = lambda c: F.size(F.filter(c.edges, lambda e: _crosses(e, F.col(lon), F.col(lat)))) % 2 == 1
+    inside = lambda c: c.whole | odd_crossings(c.edges, F.col(lon), F.col(lat))
     found = F.array_min(F.transform(F.filter("candidates", inside), lambda c: c.zone_id))
     return (
         df.withColumns({"_cell_x": F.floor(F.col(lon) / cell), "_cell_y": F.floor(F.col(lat) / cell)})

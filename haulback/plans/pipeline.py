@@ -9,16 +9,22 @@ from pyspark.sql import functions as F
 
 from ..functions.classes import sector_of
 from ..operators.bootstrap import REPLICATES, SAMPLE_SIZE, SEED, bootstrap_ratio, ratio_rows
-from ..operators.cleaning import clean, kept
+from ..operators.cleaning import (
+    add_cod_had_verdict, early_failing_sets, flag_directed, flag_out_of_scope, kept, removed_audit,
+)
 from ..operators.coverage import (
-    TRIP_KEYS, add_group, aggregate_trips, coverage_cells, group_landings, split_fully_covered,
+    TRIP_KEYS, add_group, aggregate_trips, coverage_cells, coverage_summary, coverage_tiers, group_landings,
+    split_fully_covered,
 )
-from ..operators.discards import allocate_discards, estimate_discards
+from ..operators.discards import allocate_discards, check_allocation, estimate_discards
 from ..operators.landings import landings
 from ..operators.observer import observer_trips, separator_panels, sought_species
-from ..operators.reconcile import reconcile
+from ..operators.reconcile import (
+    landing_errors_incorrect, landing_errors_missing, observer_check, observer_missing, reconcile,
+)
 from ..operators.zones import assign_zone
 from ..session import materialize
+from ..sources.csv_tables import write_report
 from ..sources.tables import LandingTables, ObserverTables
 
 
@@ -36,36 +42,56 @@ class DiscardRun:
     estimates: DataFrame
     by_vessel: DataFrame
 
+    def reports(self) -> dict[str, DataFrame]:
+        """The lists handed on or looked through, by name."""
+        checked = self.cleaned.where("reason is null or reason in ('cod_directed_last_set', 'pollock_directed')")
+        return {
+            "landing_trips_missing": landing_errors_missing(self.reconciled),
+            "observer_check": observer_check(self.observer, landing_errors_incorrect(self.reconciled)),
+            "observer_missing": observer_missing(self.reconciled),
+            "removed_records": removed_audit(self.cleaned),
+            "early_failing_sets": early_failing_sets(add_cod_had_verdict(checked)),
+            "aggregated_trips": self.aggregated,
+            "coverage": coverage_summary(self.cells),
+            "coverage_tiers": coverage_tiers(self.cells),
+            "group_landings": group_landings(self.grouped),
+            "estimates": self.estimates,
+            "by_vessel": self.by_vessel,
+            "allocation_check": check_allocation(self.by_vessel, self.estimates),
+        }
+
+    def write_reports(self, folder: str, fmt: str = "csv") -> None:
+        for name, report in self.reports().items():
+            write_report(report, f"{folder}/{name}", fmt)
 
-def run_discards(landing_tables: LandingTables, observer_tables: ObserverTables, zone_layer: DataFrame,
+
+def run_discards(landing_tables: LandingTables | None, observer_tables: ObserverTables, zone_layer: DataFrame,
                  positions: DataFrame, flags: DataFrame, years, areas=None, tolerance_days: int = 2,
                  trust_observer: bool = True, one_match: bool = False, nrep: int = REPLICATES,
                  nsamp: int = SAMPLE_SIZE, seed: int = SEED,
                  landing_rows: DataFrame | None = None) -> DiscardRun:
     """Run all steps. ``landing_rows`` (e.g. from a CSV) replaces the landings query.
 
-    Four tables are written to the shared folder: observer trips and rolled-up trips (each read by
-    several steps), flagged landings (read by the per-trip pass and by the rows it decides) and the
-    group estimates.
+    Written to the shared folder on the way, because each is read by several steps: observer trips,
+    flagged landings, failing trips, rolled-up trips and the group estimates.
     """
     observed = materialize(observer_trips(observer_tables, years), "observer")
     rows = landing_rows if landing_rows is not None else landings(landing_tables, years, areas)
     reconciled = reconcile(rows, observed, tolerance_days, trust_observer, one_match)
     with_sector = reconciled.withColumn("sector", sector_of(F.col("sflt_desc_id")))
     zoned = assign_zone(with_sector, zone_layer, observed, positions)
-    cleaned = clean(
-        zoned, observed, separator_panels(observer_tables, years),
-        sought_species(observer_tables, years),
+    flagged = materialize(
+        flag_out_of_scope(zoned, observed, separator_panels(observer_tables, years), sought_species(observer_tables, years)),
+        "flagged",
     )
+    cleaned = flag_directed(flagged)
     trips = materialize(aggregate_trips(kept(cleaned)), "trips")
     rest, covered = split_fully_covered(trips)
     grouped = add_group(rest)
     results = bootstrap_ratio(ratio_rows(grouped), TRIP_KEYS, nrep, nsamp, seed)
-    estimates = materialize(
-        estimate_discards(results, group_landings(grouped), flags), "estimates"
-    )
+    estimates = materialize(estimate_discards(results, group_landings(grouped), flags), "estimates")
     return DiscardRun(
-        observer=observed, reconciled=reconciled, cleaned=cleaned, aggregated=rest, fully_covered=covered,
+        observer=observed, reconciled=flagged.select(*reconciled.columns), cleaned=cleaned, aggregated=rest, fully_covered=covered,
         cells=coverage_cells(trips), grouped=grouped, estimates=estimates,
         by_vessel=allocate_discards(grouped, estimates),
     )

@@ -14,6 +14,8 @@ SESSION_SETTINGS = {
     # A skewed join must be split even where that costs one more exchange downstream.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Call sites recorded for every column expression cost more than planning does.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
 }
 

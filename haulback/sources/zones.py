@@ -6,7 +6,7 @@ candidate zones with an equi-join on its grid cell instead of a comparison with
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_CELL_DEGREES = 0.25
@@ -31,12 +31,24 @@ def zones_from_vertices(vertices: DataFrame) -> DataFrame:
     )
 
 
+def crosses(edge: Column, x: Column, y: Column) -> Column:
+    """The ray from (x, y) towards +x crosses the edge."""
+    at_y = (edge.x2 - edge.x1) * (y - edge.y1) / (edge.y2 - edge.y1) + edge.x1
+    return ((edge.y1 > y) != (edge.y2 > y)) & (x < at_y)
+
+
+def odd_crossings(edges, x: Column, y: Column) -> Column:
+    return F.size(F.filter(edges, lambda e: crosses(e, x, y))) % 2 == 1
+
+
 def zone_index(zones: DataFrame, cell: float = DEFAULT_CELL_DEGREES) -> DataFrame:
     """One row per grid cell touched by a zone: ``(cell_x, cell_y, candidates)``.
 
-    A candidate keeps only the edges that a ray from a point of the cell towards +x can cross:
-    those reaching the cell's band of y and not wholly to its left. Horizontal edges are never
-    crossed and are left out. Bounds are padded against rounding; the test itself is exact.
+    A candidate is a zone that holds the whole cell (``whole``, nothing left to test), or one whose
+    boundary may pass through it. The latter keeps only the edges that a ray from a point of the
+    cell towards +x can cross: those reaching the cell's band of y and not wholly to its left.
+    Horizontal edges bound a zone but are never crossed, and are left out of them. Bounds are padded against rounding; the
+    test itself is exact.
     """
     pad = cell * 1e-6
     ends = lambda a, b: F.concat(F.transform("edges", lambda e: e[a]), F.transform("edges", lambda e: e[b]))
@@ -50,19 +62,22 @@ def zone_index(zones: DataFrame, cell: float = DEFAULT_CELL_DEGREES) -> DataFram
         .withColumn("cell_x", steps(F.col("x_min"), F.col("x_max")))
         .withColumn("cell_y", steps(F.col("y_min"), F.col("y_max")))
     )
-    low_x = F.col("cell_x") * cell - pad
-    low_y = F.col("cell_y") * cell - pad
-    high_y = (F.col("cell_y") + 1) * cell + pad
+    low_x, high_x = F.col("cell_x") * cell - pad, (F.col("cell_x") + 1) * cell + pad
+    low_y, high_y = F.col("cell_y") * cell - pad, (F.col("cell_y") + 1) * cell + pad
     near = F.filter(
         "edges",
-        lambda e: (e.y1 != e.y2)
-        & (F.greatest(e.y1, e.y2) >= low_y)
+        lambda e: (F.greatest(e.y1, e.y2) >= low_y)
         & (F.least(e.y1, e.y2) <= high_y)
         & (F.greatest(e.x1, e.x2) >= low_x),
     )
+    centre = (F.col("cell_x") + 0.5) * cell, (F.col("cell_y") + 0.5) * cell
     return (
-        cells.select("cell_x", "cell_y", F.struct("zone_id", near.alias("edges")).alias("candidate"))
-        .where(F.size("candidate.edges") > 0)
+        cells.select("cell_x", "cell_y", "zone_id", near.alias("near"))
+        .withColumn("boundary", F.exists("near", lambda e: F.least(e.x1, e.x2) <= high_x))
+        .withColumn("near", F.filter("near", lambda e: e.y1 != e.y2))
+        .withColumn("whole", ~F.col("boundary") & odd_crossings("near", *centre))
+        .where("boundary or whole")
+        .select("cell_x", "cell_y", F.struct("zone_id", "whole", F.when(F.col("boundary"), F.col("near")).alias("edges")).alias("c"))
         .groupBy("cell_x", "cell_y")
-        .agg(F.collect_list("candidate").alias("candidates"))
+        .agg(F.collect_list("c").alias("candidates"))
     )
