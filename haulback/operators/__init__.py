@@ -2,7 +2,7 @@ from .bootstrap import bootstrap_ratio, ratio_of_ratios, ratio_rows
 from .cleaning import (
     add_cod_had_verdict, all_sets_fail_trips, clean, early_failing_sets, failing_last_sets, flag_directed,
     flag_out_of_scope, kept, remove_cod_directed, remove_no_panel, remove_noncommercial, remove_other_sought,
-    remove_pollock_directed, removed_audit, trip_set_listing, trip_verdicts,
+    remove_pollock_directed, removed_audit, trip_reasons, trip_set_listing, trip_verdicts,
 )
 from .coverage import (
     add_group, aggregate_trips, coverage, coverage_cells, coverage_summary, coverage_tiers, group_landings,

@@ -174,17 +174,13 @@ def remove_pollock_directed(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 # All steps -------------------------------------------------------------------------------------
 
-def flag_out_of_scope(zoned: DataFrame, observer: DataFrame, panels: DataFrame, sought: DataFrame) -> DataFrame:
-    """Add ``reason`` from the zone and the trip's observer data; null weights in scope become 0.
+def flag_out_of_scope(zoned: DataFrame) -> DataFrame:
+    """Add ``reason`` from the zone and from ``trip_reason``, see :func:`trip_reasons`.
 
-    One frame instead of a split and a union per step: all trip flags come in with a single join.
+    One column instead of a split and a union per step. Null weights in scope become 0.
     """
     zone_reason = F.when(F.col("zone").isNull(), ZONE_UNRESOLVED).when(F.col("zone") < 1, ZONE_INVALID)
-    flagged = (
-        left_join_on_trip(zoned, trip_reasons(observer, panels, sought), "vr_number", "trip_id", "set_id")
-        .withColumn("reason", F.coalesce(zone_reason, F.col("trip_reason")))
-        .drop("trip_reason")
-    )
+    flagged = zoned.withColumn("reason", F.coalesce(zone_reason, F.col("trip_reason"))).drop("trip_reason")
     in_scope = F.col("reason").isNull()
     return flagged.withColumns({
         c: F.when(in_scope, zero_if_null(F.col(c))).otherwise(F.col(c)) for c in ("cod", "had", "pol")
@@ -201,7 +197,9 @@ def flag_directed(flagged: DataFrame, threshold: float = COD_HAD_THRESHOLD) -> D
 def clean(zoned: DataFrame, observer: DataFrame, panels: DataFrame, sought: DataFrame,
           threshold: float = COD_HAD_THRESHOLD) -> DataFrame:
     """Every input row with the ``reason`` of its removal, null if it stays in scope."""
-    flagged = materialize(flag_out_of_scope(zoned, observer, panels, sought), "flagged")
+    reasons = trip_reasons(observer, panels, sought)
+    with_reason = left_join_on_trip(zoned, reasons, "vr_number", "trip_id", "set_id")
+    flagged = materialize(flag_out_of_scope(with_reason), "flagged")
     return flag_directed(flagged, threshold)
 
 

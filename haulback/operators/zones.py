@@ -77,13 +77,15 @@ def observer_position(observer: DataFrame) -> DataFrame:
 
 
 def assign_zone(landings: DataFrame, zones: DataFrame, observer: DataFrame, positions: DataFrame,
-                cell: float = DEFAULT_CELL_DEGREES) -> DataFrame:
+                cell: float = DEFAULT_CELL_DEGREES, per_trip: DataFrame | None = None) -> DataFrame:
     """Add ``zone`` and ``zone_source``: reported position, else observer's, else vessel track's.
 
     Observed landings fall back on their trip's observer position, unobserved ones on the
     vessel's mean position on the day fished. Both fallbacks are turned into zones at their own
     grain, one test per trip or vessel-day instead of one per landing. The joins keep their real
     keys for every row, so that rows needing no fallback do not pile up on a null key.
+    ``per_trip``, one row per trip, is brought along by the join on the trip code: its columns are
+    added too, without moving the landings once more.
     """
     index = zone_index(zones, cell)
     zone_obs = _locate(observer_position(observer), index, "lat2", "lon2", "zone_obs", cell).select("trip", "zone_obs")
@@ -93,6 +95,8 @@ def assign_zone(landings: DataFrame, zones: DataFrame, observer: DataFrame, posi
         .select(F.col("vr_number").alias("p_vr"), F.col("date").alias("p_date"), "zone_vms")
     )
     reported = _locate(landings, index, "lat", "lon", "zone_reported", cell)
+    if per_trip is not None:
+        zone_obs = zone_obs.join(per_trip, "trip", "full")
     with_obs = left_join_on_trip(reported, zone_obs, "vr_number", "trip_id", "set_id")
     unobserved = F.col("trip") == ""
     with_both = with_obs.join(

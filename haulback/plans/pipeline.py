@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.classes import sector_of
 from ..operators.bootstrap import REPLICATES, SAMPLE_SIZE, SEED, bootstrap_ratio, ratio_rows
 from ..operators.cleaning import (
-    add_cod_had_verdict, early_failing_sets, flag_directed, flag_out_of_scope, kept, removed_audit,
+    add_cod_had_verdict, early_failing_sets, flag_directed, flag_out_of_scope, kept, removed_audit, trip_reasons,
 )
 from ..operators.coverage import (
     TRIP_KEYS, add_group, aggregate_trips, coverage_cells, coverage_summary, coverage_tiers, group_landings,
@@ -79,11 +79,9 @@ def run_discards(landing_tables: LandingTables | None, observer_tables: Observer
     rows = landing_rows if landing_rows is not None else landings(landing_tables, years, areas)
     reconciled = reconcile(rows, observed, tolerance_days, trust_observer, one_match)
     with_sector = reconciled.withColumn("sector", sector_of(F.col("sflt_desc_id")))
-    zoned = assign_zone(with_sector, zone_layer, observed, positions)
-    flagged = materialize(
-        flag_out_of_scope(zoned, observed, separator_panels(observer_tables, years), sought_species(observer_tables, years)),
-        "flagged",
-    )
+    reasons = trip_reasons(observed, separator_panels(observer_tables, years), sought_species(observer_tables, years))
+    zoned = assign_zone(with_sector, zone_layer, observed, positions, per_trip=reasons)
+    flagged = materialize(flag_out_of_scope(zoned), "flagged")
     cleaned = flag_directed(flagged)
     trips = materialize(aggregate_trips(kept(cleaned)), "trips")
     rest, covered = split_fully_covered(trips)

@@ -12,9 +12,9 @@ from ..functions.positions import decode_packed
 from ..functions.trips import blank_to_empty
 from ..operators.bootstrap import bootstrap_ratio, ratio_of_ratios, ratio_rows
 from ..operators.cleaning import (
-    add_cod_had_verdict, all_sets_fail_trips, clean, early_failing_sets, failing_last_sets, kept, remove_cod_directed,
-    remove_no_panel, remove_noncommercial, remove_other_sought, remove_pollock_directed, removed_audit,
-    trip_set_listing,
+    add_cod_had_verdict, all_sets_fail_trips, early_failing_sets, failing_last_sets, flag_directed, flag_out_of_scope,
+    kept, remove_cod_directed, remove_no_panel, remove_noncommercial, remove_other_sought, remove_pollock_directed,
+    removed_audit, trip_reasons, trip_set_listing,
 )
 from ..operators.coverage import (
     TRIP_KEYS, add_group, aggregate_trips, coverage, coverage_cells, coverage_summary, coverage_tiers, group_landings,
@@ -56,13 +56,14 @@ class Steps:
     def reconciled(self, observer: DataFrame | None = None) -> DataFrame:
         return reconcile(self.landings(), self.observer() if observer is None else observer)
 
-    def zoned(self, observer: DataFrame) -> DataFrame:
+    def zoned(self, observer: DataFrame, per_trip: DataFrame | None = None) -> DataFrame:
         with_sector = self.reconciled(observer).withColumn("sector", sector_of(F.col("sflt_desc_id")))
-        return assign_zone(with_sector, self.s.zones(), observer, self.s.table("positions"))
+        return assign_zone(with_sector, self.s.zones(), observer, self.s.table("positions"), per_trip=per_trip)
 
     def cleaned(self) -> DataFrame:
         observer = materialize(self.observer(), "observer")
-        return clean(self.zoned(observer), observer, self.panels(), self.sought())
+        zoned = self.zoned(observer, trip_reasons(observer, self.panels(), self.sought()))
+        return flag_directed(materialize(flag_out_of_scope(zoned), "flagged"))
 
     def aggregated(self) -> DataFrame:
         return aggregate_trips(kept(self.cleaned()))
