@@ -2,7 +2,8 @@
 
 BENCH_SF_DIR  test-data folder (default /root/testdata/sf0.1)
 BENCH_CPUS    local cores (default 4)
-BENCH_RUNS    timed runs per query after one warm-up; the median counts (default 3)
+BENCH_RUNS    most timed runs per query after one warm-up; the median counts (default 5)
+BENCH_BUDGET  seconds after which no further run of a query is started (default 20)
 BENCH_ONLY    comma-separated query keys, in place of the headline ones
 """
 
@@ -37,7 +38,8 @@ def timed(query, spark, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "4")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
+    budget = float(os.environ.get("BENCH_BUDGET", "20"))
     only = os.environ.get("BENCH_ONLY")
     spark = build_session("haulback-bench", f"local[{cpus}]", {
         "spark.sql.shuffle.partitions": cpus if cpus.isdigit() else "8",
@@ -50,12 +52,15 @@ def main() -> None:
     seconds = {}
     for key in only.split(",") if only else HEADLINE:
         timed(known[key], spark, sf_dir)
-        seconds[key] = round(statistics.median(timed(known[key], spark, sf_dir) for _ in range(runs)), 3)
+        times = [timed(known[key], spark, sf_dir)]
+        while len(times) < runs and sum(times) + times[0] <= budget:
+            times.append(timed(known[key], spark, sf_dir))
+        seconds[key] = round(statistics.median(times), 3)
     spark.stop()
     sf = Path(sf_dir).name.removeprefix("sf")
     print(json.dumps({
         "metric": "total_seconds", "value": round(sum(seconds.values()), 3), "unit": "sec", "queries": seconds,
-        "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf, "cpus": cpus, "runs": runs,
+        "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf, "cpus": cpus,
     }))
 
 

@@ -37,25 +37,27 @@ def landings_crosstab(tables: LandingTables, years, areas=None) -> DataFrame:
     """Set-level landings with cod, haddock and pollock weights as columns.
 
     Weights are summed on the fact table's own narrow keys; names, sizes and descriptions are
-    looked up afterwards, so they never travel through the aggregation's shuffle. No broadcast is
-    hinted: Catalyst and AQE choose it from the lookups' sizes.
+    looked up afterwards, so they never travel through the aggregation's shuffle. Only the areas
+    are hinted as a broadcast, having at most a row per listed id (few ids would make few, large
+    partitions); for the other lookups Catalyst and AQE choose from their sizes.
     """
     fact = tables.pro_spc_info
+    area_ids = list(areas or AREA_IDS)
     weights = [
         F.sum(F.when(F.col("species_code") == code, F.col("rnd_weight_kgs")).otherwise(F.lit(0e0))).alias(name)
         for name, code in SPECIES.items()
     ]
     per_set = (
-        fact.where(in_years(fact, "landed_date", years) & F.col("nafo_unit_area_id").isin(list(areas or AREA_IDS)))
+        fact.where(in_years(fact, "landed_date", years) & F.col("nafo_unit_area_id").isin(area_ids))
         .join(quota_lookup(tables), "lic_quota_id")
         .groupBy(*SET_KEYS)
         .agg(*weights)
     )
     vessels = tables.vessels.select(F.col("vr_number").alias("vr_number_fishing"), "vessel_name", "gross_tonnage", "loa")
-    areas_df = tables.areas.select(F.col("area_id").alias("nafo_unit_area_id"), "area")
+    named = tables.areas.where(F.col("area_id").isin(area_ids)).select(F.col("area_id").alias("nafo_unit_area_id"), "area")
     return (
         per_set.join(vessels, "vr_number_fishing")
-        .join(areas_df, "nafo_unit_area_id")
+        .join(F.broadcast(named), "nafo_unit_area_id")
         .join(tables.sflt_descs.select("sflt_desc_id", "desc_eng"), "sflt_desc_id")
     )
 
