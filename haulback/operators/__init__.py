@@ -10,7 +10,7 @@ from .coverage import (
 )
 from .discards import allocate_discards, check_allocation, estimate_discards
 from .keys import anti_by, left_join_on_trip, semi_by, split_by
-from .landings import landings, landings_crosstab, trip_codes
+from .landings import assign_sector, landings, landings_crosstab, trip_codes
 from .observer import observer_trips, separator_panels, sought_species
 from .reconcile import (
     first_per_vessel_day, landing_errors, landing_errors_incorrect, landing_errors_missing, match_table,

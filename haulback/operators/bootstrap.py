@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.trips import observed_flag
 from ..functions.weights import floor_zero, safe_ratio
+from ..session import materialize
 
 # --- fixed values -----------------------------------------------------------------------------
 REPLICATES = 1000
@@ -130,7 +131,8 @@ def bootstrap_ratio(rows: DataFrame, key: list[str], nrep: int = REPLICATES, nsa
         offsets.groupBy("analysis_group", "observed").agg(F.max("stratum_rows").alias("stratum_rows"))
         .where(F.col("stratum_rows") >= min_n)
     )
-    placed = place_draws(draws(enough, nrep, nsamp, seed), offsets)
+    # Written out: used twice, and small enough (draws x strata) to be worth computing once.
+    placed = materialize(place_draws(draws(enough, nrep, nsamp, seed), offsets), "draws")
     hit = placed.select(*STRATUM, "bucket").distinct()
     if nrep * nsamp <= BROADCAST_DRAWS_PER_STRATUM:
         # At most nrep * nsamp rows for each of the two strata of a group rule.

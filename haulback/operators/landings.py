@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.classes import length_class, tonnage_class
+from ..functions.classes import length_class, sector_of, tonnage_class
 from ..functions.dates import in_years
 from ..functions.positions import decode_packed
 from ..functions.trips import blank_to_empty
@@ -97,3 +97,8 @@ def landings(tables: LandingTables, years, areas=None, documents: str = "left")
         decode_packed(F.col("latitude")).alias("lat"), decode_packed(F.col("longitude"), -1).alias("lon"),
         "year", "month", "q", "tc", "lc", "cod", "had", "pol",
     )
+
+
+def assign_sector(landings: DataFrame, codes: dict[int, list[int]] | None = None) -> DataFrame:
+    """Add the fleet sector of each landing; null for a code that no sector lists."""
+    return landings.withColumn("sector", sector_of(F.col("sflt_desc_id"), codes))

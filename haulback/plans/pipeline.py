@@ -5,9 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ..functions.classes import sector_of
 from ..operators.bootstrap import REPLICATES, SAMPLE_SIZE, SEED, bootstrap_ratio, ratio_rows
 from ..operators.cleaning import (
     add_cod_had_verdict, early_failing_sets, flag_directed, flag_out_of_scope, kept, removed_audit, trip_reasons,
@@ -17,7 +15,7 @@ from ..operators.coverage import (
     split_fully_covered,
 )
 from ..operators.discards import allocate_discards, check_allocation, estimate_discards
-from ..operators.landings import landings
+from ..operators.landings import assign_sector, landings
 from ..operators.observer import observer_trips, separator_panels, sought_species
 from ..operators.reconcile import (
     landing_errors_incorrect, landing_errors_missing, observer_check, observer_missing, reconcile,
@@ -78,9 +76,8 @@ def run_discards(landing_tables: LandingTables | None, observer_tables: Observer
     observed = materialize(observer_trips(observer_tables, years), "observer")
     rows = landing_rows if landing_rows is not None else landings(landing_tables, years, areas)
     reconciled = reconcile(rows, observed, tolerance_days, trust_observer, one_match)
-    with_sector = reconciled.withColumn("sector", sector_of(F.col("sflt_desc_id")))
     reasons = trip_reasons(observed, separator_panels(observer_tables, years), sought_species(observer_tables, years))
-    zoned = assign_zone(with_sector, zone_layer, observed, positions, per_trip=reasons)
+    zoned = assign_zone(assign_sector(reconciled), zone_layer, observed, positions, per_trip=reasons)
     flagged = materialize(flag_out_of_scope(zoned), "flagged")
     cleaned = flag_directed(flagged)
     trips = materialize(aggregate_trips(kept(cleaned)), "trips")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.classes import length_class, sector_of, tonnage_class
+from ..functions.classes import length_class, tonnage_class
 from ..functions.positions import decode_packed
 from ..functions.trips import blank_to_empty
 from ..operators.bootstrap import bootstrap_ratio, ratio_of_ratios, ratio_rows
@@ -21,7 +21,7 @@ from ..operators.coverage import (
     split_fully_covered,
 )
 from ..operators.discards import allocate_discards, check_allocation, estimate_discards
-from ..operators.landings import landings, landings_crosstab, trip_codes
+from ..operators.landings import assign_sector, landings, landings_crosstab, trip_codes
 from ..operators.observer import observer_trips, separator_panels, sought_species
 from ..operators.reconcile import (
     first_per_vessel_day, landing_errors_incorrect, landing_errors_missing, observer_check, observer_missing, reconcile,
@@ -57,8 +57,7 @@ class Steps:
         return reconcile(self.landings(), self.observer() if observer is None else observer)
 
     def zoned(self, observer: DataFrame, per_trip: DataFrame | None = None) -> DataFrame:
-        with_sector = self.reconciled(observer).withColumn("sector", sector_of(F.col("sflt_desc_id")))
-        return assign_zone(with_sector, self.s.zones(), observer, self.s.table("positions"), per_trip=per_trip)
+        return assign_zone(assign_sector(self.reconciled(observer)), self.s.zones(), observer, self.s.table("positions"), per_trip=per_trip)
 
     def cleaned(self) -> DataFrame:
         observer = materialize(self.observer(), "observer")
@@ -70,8 +69,7 @@ class Steps:
 
     def trips(self) -> DataFrame:
         """Trips rolled up straight from the landings with a valid reported zone, without the cleaning."""
-        sets = self.landings().withColumn("sector", sector_of(F.col("sflt_desc_id")))
-        return aggregate_trips(identify_zone(sets, self.s.zones()).where("zone >= 1"))
+        return aggregate_trips(identify_zone(assign_sector(self.landings()), self.s.zones()).where("zone >= 1"))
 
     def grouped(self) -> DataFrame:
         """Those trips with their group, written once: the estimate reads them several times."""
@@ -134,7 +132,7 @@ def q_packed_position(p: Steps) -> DataFrame:
 def q_sector_map(p: Steps) -> DataFrame:
     code = F.expr(case_list(f"c_custkey % {len(ALL_FLEETS)}", ALL_FLEETS))
     customers = p.s._base("customer").select("c_custkey", code.alias("sflt_desc_id"))
-    return customers.withColumn("sector", sector_of(F.col("sflt_desc_id")))
+    return assign_sector(customers)
 
 
 # Reconcile -------------------------------------------------------------------------------------

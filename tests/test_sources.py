@@ -1,4 +1,5 @@
 import datetime as dt
+from types import SimpleNamespace
 
 import pytest
 from conftest import rows
@@ -39,6 +40,18 @@ def test_materialize_writes_to_the_configured_folder(spark):
     assert df.inputFiles() and all(shared_folder(spark) in path for path in df.inputFiles())
 
 
+def test_a_cluster_must_name_its_shared_folder():
+    def session(master, folder, checkpoint=None):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default: folder),
+            sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: checkpoint))
+
+    assert shared_folder(session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    assert shared_folder(session("yarn", None, "hdfs:///set/by/user")) == "hdfs:///set/by/user"
+    with pytest.raises(RuntimeError):
+        shared_folder(session("yarn", None))
+
+
 def landing_tables(spark):
     make = spark.createDataFrame
     ts = dt.datetime
