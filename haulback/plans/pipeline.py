@@ -71,7 +71,7 @@ def run_discards(landing_tables: LandingTables | None, observer_tables: Observer
     """Run all steps. ``landing_rows`` (e.g. from a CSV) replaces the landings query.
 
     Written to the shared folder on the way, because each is read by several steps: observer trips,
-    flagged landings, failing trips, rolled-up trips and the group estimates.
+    flagged landings, failing trips, rolled-up trips, bootstrap draws and the group estimates.
     """
     observed = materialize(observer_trips(observer_tables, years), "observer")
     rows = landing_rows if landing_rows is not None else landings(landing_tables, years, areas)
