@@ -27,7 +27,7 @@ BUCKET_HEX_DIGITS = 4
 STRATUM = ["analysis_group", "observed"]
 # Draws are few but costly to make: spread them over this many tasks, whatever their size in bytes.
 DRAW_TASKS = 32
-BROADCAST_DRAWS_PER_STRATUM = 20_000
+BROADCAST_DRAWS = 1_000_000  # rows of a few dozen bytes
 
 
 def ratio_rows(grouped: DataFrame) -> DataFrame:
@@ -134,8 +134,7 @@ def bootstrap_ratio(rows: DataFrame, key: list[str], nrep: int = REPLICATES, nsa
     # Written out: used twice, and small enough (draws x strata) to be worth computing once.
     placed = materialize(place_draws(draws(enough, nrep, nsamp, seed), offsets), "draws")
     hit = placed.select(*STRATUM, "bucket").distinct()
-    if nrep * nsamp <= BROADCAST_DRAWS_PER_STRATUM:
-        # At most nrep * nsamp rows for each of the two strata of a group rule.
+    if placed.count() <= BROADCAST_DRAWS:  # read from the file footers
         hit, placed = F.broadcast(hit), F.broadcast(placed)
     in_bucket = Window.partitionBy(*STRATUM, "bucket").orderBy("digest", "cod", "had")
     numbered = hashed.join(hit, [*STRATUM, "bucket"], "left_semi").select(
@@ -149,7 +148,8 @@ def bootstrap_ratio(rows: DataFrame, key: list[str], nrep: int = REPLICATES, nsa
             F.sum(F.when(is_obs, F.col("cod"))).alias("co"), F.sum(F.when(is_obs, F.col("had"))).alias("ho"),
             F.sum(F.when(~is_obs, F.col("cod"))).alias("cu"), F.sum(F.when(~is_obs, F.col("had"))).alias("hu"),
         )
-        .select("analysis_group", safe_ratio(safe_ratio(F.col("co"), F.col("ho")), safe_ratio(F.col("cu"), F.col("hu"))).alias("ratio"))
+        .select("analysis_group", safe_ratio(
+            safe_ratio(F.col("co"), F.col("ho")), safe_ratio(F.col("cu"), F.col("hu"))).alias("ratio"))
         .groupBy("analysis_group")
         .agg(F.stddev_samp("ratio").alias("se"), F.avg("ratio").alias("rep_mean"))
     )

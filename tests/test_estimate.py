@@ -91,7 +91,7 @@ def test_bootstrap_spread_is_that_of_samples_of_ten(spark):
 def test_without_broadcast_the_result_is_the_same(spark, monkeypatch):
     data = sample()
     want = bootstrap(spark, data, nrep=20)
-    monkeypatch.setattr("haulback.operators.bootstrap.BROADCAST_DRAWS_PER_STRATUM", 0)
+    monkeypatch.setattr("haulback.operators.bootstrap.BROADCAST_DRAWS", 0)
     close(bootstrap(spark, data, nrep=20), want)
 
 
