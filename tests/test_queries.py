@@ -8,11 +8,12 @@ import pytest
 
 import __spark_entry__ as driver
 from haulback.operators import add_cod_had_verdict, landings_crosstab, match_table, reconcile, trip_verdicts
-from haulback.plans.registry import Steps
+from haulback.plans.oracle import ORACLE
+from haulback.plans.registry import Steps, queries
 from haulback.plans.standins import STANDIN_SQL
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = queries(), ORACLE
 NO_ROWS_AT_THIS_SIZE = {"fully_covered_quarters"}
 
 
