@@ -5,22 +5,62 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from haulback.llm import line_dedup, mixing
+from haulback.llm.fingerprints import fingerprints
+from haulback.llm.jaccard_join import similar_groups
+from haulback.llm.language_id import held_out, identify, train_dictionaries
 from haulback.llm.packing import pack
+from haulback.llm.quality import judged
 from haulback.llm.simple8b import read_ids, write_ids
 from haulback.llm.tables import documents
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_groups(documents(spark, sf_dir))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
 
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(documents(spark, sf_dir))
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_lines(documents(spark, sf_dir)).select(
+        "row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(documents(spark, sf_dir)).drop("rule")
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = identify(docs, train_dictionaries(docs.filter(~held_out(F.col("doc_id")))))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "margin", "rejected")
+
+
 def op9_simple8b_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ids(write_ids(documents(spark, sf_dir)))
 
 
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_plan(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_packing, op9_simple8b_output)
+    f.__name__: f
+    for f in (
+        op1_ngram_jaccard_join, op2_packing, op3_document_fingerprints, op4_line_dedup, op6_quality_rules,
+        op7_language_id, op9_simple8b_output, op10_source_mixing,
+    )
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_line_dedup": line_dedup.ORACLE_SQL,
+    "op10_source_mixing": mixing.ORACLE_SQL,
+}
