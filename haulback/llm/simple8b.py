@@ -28,27 +28,25 @@ from haulback.llm.token_ids import text_encoder, tokenizer_path
 from haulback.session import materialize
 
 MAGIC = b"HS8B"
-BLOCK = 1024
+BLOCK = 256
 #: Ids after which a file is closed; a document is never split.
-FILE_IDS = 1 << 19
+FILE_IDS = 1 << 20
 
 # Ids held by a word, and their width in bits, by selector. Selector 0, else a run of 240 zeros, is the
 # escape here: the next word is one id as it is.
 COUNTS = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTHS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 ESCAPE = 0
+_LEVEL_OF_BITS = np.array([-1, *(np.searchsorted(WIDTHS[2:], n) for n in range(1, 65))], dtype=np.int8)
+_LEVEL = _LEVEL_OF_BITS[np.frexp(np.arange(1 << 16, dtype=np.float64))[1]]
 
 
 def _levels(values: np.ndarray) -> np.ndarray:
     """For each value the narrowest of WIDTHS[2:] that holds it; -1 for zero, 14 for more than 60 bits."""
-    need = np.full(values.shape, -1, dtype=np.int8)
-    need[values > 0] = 0
-    top = values.max(initial=0)
-    for k, width in enumerate(WIDTHS[2:]):
-        if top >> np.uint64(width) == 0:
-            break
-        need[values >> np.uint64(width) > 0] = k + 1
-    return need
+    if values.max(initial=0) < len(_LEVEL):
+        return _LEVEL[values]
+    high, low = (np.frexp(part.astype(np.float64))[1] for part in (values >> np.uint64(32), values & np.uint64(0xFFFFFFFF)))
+    return _LEVEL_OF_BITS[np.where(high > 0, high + 32, low)]
 
 
 def _selectors(need: np.ndarray, rows: np.ndarray, start: np.ndarray, left: np.ndarray) -> np.ndarray:
@@ -94,10 +92,10 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         chosen = _selectors(need, live, start, left)
         taken = np.minimum(COUNTS[chosen], left)
         word = chosen.astype(np.uint64) << np.uint64(60)
-        for s in np.unique(chosen):
-            if s == ESCAPE or WIDTHS[s] == 0:
-                continue
+        for s in range(2, 16):
             mine = np.flatnonzero(chosen == s)
+            if not len(mine):
+                continue
             ahead = np.arange(COUNTS[s])
             parts = padded[live[mine][:, None], np.minimum(start[mine][:, None] + ahead, BLOCK - 1)]
             parts[ahead >= left[mine][:, None]] = 0
