@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulback.llm import line_dedup, mixing
+from haulback.llm import line_dedup, mixing, ngram_scores
 from haulback.llm.fingerprints import fingerprints
 from haulback.llm.jaccard_join import similar_groups
 from haulback.llm.language_id import held_out, identify, train_dictionaries
+from haulback.llm.licences import scan
 from haulback.llm.packing import pack
 from haulback.llm.quality import judged
 from haulback.llm.simple8b import read_ids, write_ids
@@ -34,6 +35,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(documents(spark, sf_dir))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(documents(spark, sf_dir)).drop("rule")
 
@@ -44,6 +49,11 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = ngram_scores.scores(documents(spark, sf_dir), ~ngram_scores.held_out(F.col("doc_id")))
+    return scored.withColumn("held_out", ngram_scores.held_out(F.col("doc_id")))
+
+
 def op9_simple8b_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ids(write_ids(documents(spark, sf_dir)))
 
@@ -55,8 +65,8 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_ngram_jaccard_join, op2_packing, op3_document_fingerprints, op4_line_dedup, op6_quality_rules,
-        op7_language_id, op9_simple8b_output, op10_source_mixing,
+        op1_ngram_jaccard_join, op2_packing, op3_document_fingerprints, op4_line_dedup, op5_license_scan,
+        op6_quality_rules, op7_language_id, op8_lm_scoring, op9_simple8b_output, op10_source_mixing,
     )
 }
 
