@@ -150,9 +150,9 @@ class Groups:
         self.up[max(a, b)] = min(a, b)
 
 
-_SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set_id", pa.int64()), ("classes", pa.list_(pa.struct([
+_SETS = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n", pa.int64()), ("set_id", pa.int64()), ("classes", pa.list_(pa.struct([
     ("class", pa.int32()), ("keys", pa.list_(pa.int64())), ("point", pa.binary())])))])
-_SETS_DDL = "doc_id bigint, n bigint, set_id bigint, classes array<struct<class:int,keys:array<bigint>,point:binary>>"
+_SETS_DDL = "doc_id bigint, text_hash bigint, n bigint, set_id bigint, classes array<struct<class:int,keys:array<bigint>,point:binary>>"
 
 
 def _set_id(shingles: np.ndarray) -> int:
@@ -160,25 +160,25 @@ def _set_id(shingles: np.ndarray) -> int:
 
 
 def sets_of(docs: DataFrame, rule: Threshold) -> DataFrame:
-    """Per row: doc_id, n (shingles), set_id (64-bit hash of the set; null if empty), and keys and points by size class."""
+    """Per row: doc_id, text_hash, n (shingles), set_id (64-bit hash of the set; null if empty), and keys and points by size class."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
-            for doc_id, text in columns(batches, "doc_id", "text"):
+            for doc_id, text_hash, text in columns(batches, "doc_id", "text_hash", "text"):
                 shingles = shingle_set(text, rule.size)
                 if not len(shingles):
-                    yield doc_id, 0, None, []
+                    yield doc_id, text_hash, 0, None, []
                     continue
                 classes = []
                 for k in rule.classes(len(shingles)):
                     keys = rule.keys(shingles, k)
                     if keys is not None:
                         classes.append({"class": k, "keys": keys.view(np.int64), "point": rule.point(shingles, k).tobytes()})
-                yield doc_id, len(shingles), _set_id(shingles), classes
+                yield doc_id, text_hash, len(shingles), _set_id(shingles), classes
 
         yield from batched(rows(), _SETS, most=512)
 
-    return docs.select("doc_id", "text").mapInArrow(made, _SETS_DDL)
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(made, _SETS_DDL)
 
 
 _EDGE = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -317,7 +317,8 @@ def verified(tiled: DataFrame, rule: Threshold) -> DataFrame:
 
 
 def similar_groups(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, n_links.
+    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, n_links, and text_hash and
+    root, which tell rows of one doc_id and components of one name apart.
 
     Two documents link when den * intersection >= num * union of their shingles of ``size`` words. ``component_id`` is
     the smallest doc_id that links reach, ``n_links`` the number of documents linked directly, equal ones included.
@@ -358,12 +359,30 @@ def similar_groups(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100
 
     roots = components(found.select(F.col("set_id").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "set_id")
     links = found.groupBy("set_id").agg(F.sum("links").alias("links"))
-    groups = sets.select("doc_id", "n", "set_id").join(roots, "set_id", "left")
-    groups = groups.select("doc_id", "n", "set_id", F.coalesce("root", "set_id").alias("root"))
+    groups = sets.select("doc_id", "text_hash", "n", "set_id").join(roots, "set_id", "left")
+    groups = groups.select("doc_id", "text_hash", "n", "set_id", F.coalesce("root", "set_id").alias("root"))
     names = groups.filter("set_id is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     counts = sets.filter("set_id is not null").groupBy("set_id").agg((F.count("*") - 1).alias("equal"))
     counts = counts.join(links, "set_id", "left").select("set_id", (F.col("equal") + F.coalesce("links", F.lit(0))).alias("n_links"))
     named = groups.join(names, "root", "left").join(counts, "set_id", "left")
     return named.select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        F.coalesce("n_links", F.lit(0)).alias("n_links"), "text_hash", "root")
+
+
+def one_of_each(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The rows of ``docs``, one of each component of :func:`similar_groups`: the smallest doc_id, then text hash.
+
+    Rows without shingles all stay; a null doc_id stays only where no row of its component has one.
+    """
+    found = materialize(similar_groups(docs, size, num, den), "similar")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+    first = found.filter("root is not null").groupBy("root").agg(F.min(order).alias("first")).select("first.doc_id", "first.text_hash")
+    bare = found.filter("root is null").select("doc_id", "text_hash")
+    stay = first.withColumn("alone", F.lit(True)).unionByName(bare.withColumn("alone", F.lit(False))).distinct()
+    stay = stay.select(F.col("doc_id").alias("stay_id"), F.col("text_hash").alias("stay_hash"), "alone")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("by_id"), F.xxhash64("text").alias("by_hash"))
+    met = rows.join(stay, F.expr("by_id <=> stay_id and by_hash = stay_hash"))
+    copy = F.row_number().over(Window.partitionBy("by_id", "by_hash").orderBy("by_id"))
+    kept = met.withColumn("copy", copy).filter("not alone or copy = 1")
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -19,7 +19,7 @@ from haulback.llm.tables import documents
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similar_groups(documents(spark, sf_dir))
+    return similar_groups(documents(spark, sf_dir)).drop("text_hash", "root")
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
