@@ -51,7 +51,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def word_counts(training: DataFrame) -> DataFrame:
-    """(word, c): how often each token, the end of each text included, occurs; by 48 bits of its hash and the rest.
+    """(word, c): how often each token, the end of each text included, occurs; words as 64-bit hashes.
 
     Counted within each batch of documents first, then across.
     """
