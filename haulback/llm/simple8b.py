@@ -202,7 +202,7 @@ def write_ids(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0) ->
 
         yield from batched(files(), _FILES, most=1)
 
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     return materialize(ordered.mapInArrow(encoded, "part int, seq int, doc_ids array<bigint>, ids bigint, payload binary"), "simple8b")
 
 
