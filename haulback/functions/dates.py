@@ -23,7 +23,3 @@ def parse_dmy(text: Column) -> Column:
         F.try_to_date(text, "d/M/yyyy"), F.try_to_date(text, "d-M-yyyy"),
         F.try_to_date(text, "d-MMM-yyyy"), F.try_to_date(text, "d-MMM-yy"),
     )
-
-
-def within_days(date: Column, centre: Column, days: int) -> Column:
-    return date.between(F.date_sub(centre, days), F.date_add(centre, days))

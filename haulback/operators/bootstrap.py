@@ -1,10 +1,11 @@
 """Observed over unobserved cod:haddock ratio per group, with a stratified bootstrap.
 
 A group may hold a third of all trips, so no stratum is ever numbered, sorted or collected in one
-task. Rows fall into 65,536 buckets per stratum by a hash of their content. The draws (replicates
+task. Rows fall into buckets by the first digits of a hash of their content. The draws (replicates
 x sample size x strata, a number that does not grow with the data) are placed on buckets with the
-help of the bucket counts alone. Only rows of buckets that were hit are kept, and they are numbered
-bucket by bucket.
+help of the bucket counts alone. Hit buckets are counted once more by further digits, so that what
+is left to be numbered follows the draws: with two levels of 65,536, a stratum of four billion rows
+gives about one row for each draw.
 """
 
 from __future__ import annotations
@@ -23,11 +24,11 @@ SEED = 86
 MIN_ROWS = 3
 # ----------------------------------------------------------------------------------------------
 
-BUCKET_HEX_DIGITS = 4
+# Digits of the hash by which rows are told apart, level by level.
+BUCKET_HEX_DIGITS = (4, 4)
 STRATUM = ["analysis_group", "observed"]
 # Draws are few but costly to make: spread them over this many tasks, whatever their size in bytes.
 DRAW_TASKS = 32
-BROADCAST_DRAWS = 1_000_000  # rows of a few dozen bytes
 
 
 def ratio_rows(grouped: DataFrame) -> DataFrame:
@@ -60,22 +61,24 @@ def _hash_number(*parts: Column) -> Column:
 
 
 def _hashed(rows: DataFrame, key: list[str]) -> DataFrame:
+    """The narrow rows that are drawn from, in the order of ``digest``; ``b0``, ``b1``, ... are its leading digits."""
     digest = F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key]))
-    return (
-        rows.select(*STRATUM, "cod", "had", digest.alias("digest"))
-        .withColumn("bucket", F.substring("digest", 1, BUCKET_HEX_DIGITS))
-    )
-
-
-def bucket_offsets(hashed: DataFrame) -> DataFrame:
-    """First row number of each bucket within its stratum, and the stratum's size."""
-    counts = hashed.groupBy(*STRATUM, "bucket").agg(F.count(F.lit(1)).alias("n"))
-    stratum = Window.partitionBy(*STRATUM)
-    before = stratum.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    hashed = rows.select(*STRATUM, "cod", "had", digest.alias("digest"))
+    starts = [1 + sum(BUCKET_HEX_DIGITS[:k]) for k in range(len(BUCKET_HEX_DIGITS))]
+    return hashed.withColumns({
+        f"b{k}": F.substring("digest", at, digits) for k, (at, digits) in enumerate(zip(starts, BUCKET_HEX_DIGITS, strict=True))
+    })
+
+
+def bucket_offsets(hashed: DataFrame, within: list[str], bucket: str) -> DataFrame:
+    """First row number of each bucket among the rows ``within``, and how many those are."""
+    counts = hashed.groupBy(*within, bucket).agg(F.count(F.lit(1)).alias("n"))
+    all_ = Window.partitionBy(*within)
+    before = all_.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     return counts.select(
-        *STRATUM, "bucket",
+        *within, bucket,
         F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"),
-        F.sum("n").over(stratum).alias("stratum_rows"),
+        F.sum("n").over(all_).alias("stratum_rows"),
     )
 
 
@@ -92,29 +95,44 @@ def draws(strata: DataFrame, nrep: int, nsamp: int, seed: int) -> DataFrame:
     )
 
 
-def place_draws(drawn: DataFrame, offsets: DataFrame) -> DataFrame:
-    """Bucket and place within it of every drawn row number.
+def place_draws(drawn: DataFrame, offsets: DataFrame, within: list[str], bucket: str) -> DataFrame:
+    """Bucket of every drawn ``row`` number, and the number within it as the new ``row``.
 
-    Draws and bucket starts are merged in one ordered window per stratum, whose size is bounded by
-    the number of buckets plus draws.
+    Draws and bucket starts are merged in one ordered window, whose size is bounded by the number
+    of buckets plus draws.
     """
     starts = offsets.select(
-        *STRATUM, F.col("start").alias("row"), F.lit(None).cast("int").alias("rep"),
-        F.struct("bucket", "start").alias("at"),
-    )
+        *within, "row_start", F.lit(None).cast("int").alias("rep"), F.struct(bucket, F.col("row_start").alias("start")).alias("at"),
+    ).withColumnRenamed("row_start", "row")
     no_start = F.lit(None).cast(starts.schema["at"].dataType).alias("at")
-    both = drawn.select(*STRATUM, "row", "rep", no_start).unionByName(starts).repartition(DRAW_TASKS, *STRATUM)
+    both = drawn.select(*within, "row", "rep", no_start).unionByName(starts).repartition(DRAW_TASKS, *within)
     # nulls first: a bucket that starts at the drawn row precedes the draw
-    upto = Window.partitionBy(*STRATUM).orderBy("row", F.col("rep").asc_nulls_first()).rowsBetween(
+    upto = Window.partitionBy(*within).orderBy("row", F.col("rep").asc_nulls_first()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     return (
         both.withColumn("at", F.last("at", ignorenulls=True).over(upto))
         .where(F.col("rep").isNotNull())
-        .select(*STRATUM, "rep", F.col("at.bucket").alias("bucket"), (F.col("row") - F.col("at.start")).alias("place"))
+        .select(*within, F.col(f"at.{bucket}").alias(bucket), "rep", (F.col("row") - F.col("at.start")).alias("row"))
     )
 
 
+def drawn_rows(hashed: DataFrame, nrep: int, nsamp: int, seed: int, min_n: int) -> tuple[DataFrame, DataFrame]:
+    """``(rows, placed)``: the rows of all buckets that were hit at the last level, and the draws' places in them."""
+    within, rows, placed = list(STRATUM), hashed, None
+    for level in range(len(BUCKET_HEX_DIGITS)):
+        bucket = f"b{level}"
+        offsets = bucket_offsets(rows, within, bucket)
+        if placed is None:
+            enough = offsets.groupBy(*STRATUM).agg(F.max("stratum_rows").alias("stratum_rows")).where(F.col("stratum_rows") >= min_n)
+            placed = draws(enough, nrep, nsamp, seed)
+        # Written out: read twice, and small (draws x strata); its size lets Catalyst choose the joins.
+        placed = materialize(place_draws(placed, offsets.withColumnRenamed("start", "row_start"), within, bucket), "draws")
+        within = [*within, bucket]
+        rows = rows.join(placed.select(*within).distinct(), within, "left_semi")
+    return rows, placed
+
+
 def bootstrap_ratio(rows: DataFrame, key: list[str], nrep: int = REPLICATES, nsamp: int = SAMPLE_SIZE,
                     seed: int = SEED, min_n: int = MIN_ROWS) -> DataFrame:
     """``(analysis_group, n_obs, n_unobs, mean, se, bias)``.
@@ -125,24 +143,15 @@ def bootstrap_ratio(rows: DataFrame, key: list[str], nrep: int = REPLICATES, nsa
     (seed, group, stratum, replicate, draw), so results do not depend on partitioning.
     """
     point = ratio_of_ratios(rows)
-    hashed = _hashed(rows, key)
-    offsets = bucket_offsets(hashed)
-    enough = (
-        offsets.groupBy("analysis_group", "observed").agg(F.max("stratum_rows").alias("stratum_rows"))
-        .where(F.col("stratum_rows") >= min_n)
-    )
-    # Written out: used twice, and small enough (draws x strata) to be worth computing once.
-    placed = materialize(place_draws(draws(enough, nrep, nsamp, seed), offsets), "draws")
-    hit = placed.select(*STRATUM, "bucket").distinct()
-    if placed.count() <= BROADCAST_DRAWS:  # read from the file footers
-        hit, placed = F.broadcast(hit), F.broadcast(placed)
-    in_bucket = Window.partitionBy(*STRATUM, "bucket").orderBy("digest", "cod", "had")
-    numbered = hashed.join(hit, [*STRATUM, "bucket"], "left_semi").select(
-        *STRATUM, "bucket", "cod", "had", (F.row_number().over(in_bucket) - 1).cast("bigint").alias("place")
-    )
+    # Written once: the digest is the costly part, and every level reads it.
+    hashed = materialize(_hashed(rows, key), "hashed")
+    hit, placed = drawn_rows(hashed, nrep, nsamp, seed, min_n)
+    buckets = [f"b{k}" for k in range(len(BUCKET_HEX_DIGITS))]
+    in_bucket = Window.partitionBy(*STRATUM, *buckets).orderBy("digest", "cod", "had")
+    numbered = hit.select(*STRATUM, *buckets, "cod", "had", (F.row_number().over(in_bucket) - 1).cast("bigint").alias("row"))
     is_obs = F.col("observed") == 1
     replicates = (
-        numbered.join(placed, [*STRATUM, "bucket", "place"])
+        numbered.join(placed, [*STRATUM, *buckets, "row"])
         .groupBy("analysis_group", "rep")
         .agg(
             F.sum(F.when(is_obs, F.col("cod"))).alias("co"), F.sum(F.when(is_obs, F.col("had"))).alias("ho"),

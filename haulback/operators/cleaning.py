@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.weights import COD_HAD_THRESHOLD, cod_had_ratio, pollock_dominant, zero_if_null
 from ..session import materialize
-from .keys import left_join_on_trip, split_by
+from .keys import left_join_on_trip
 
 # --- fixed values -----------------------------------------------------------------------------
 NONCOMMERCIAL_SET_CODE = 7
@@ -38,21 +38,32 @@ def other_sought_trips(sought: DataFrame, target=None) -> DataFrame:
     return sought.where(~F.col("specscd_id").isin(list(target or TARGET_SPECIES))).select("trip")
 
 
+def mark_trips(df: DataFrame, flagged: DataFrame) -> DataFrame:
+    """Add ``removed``: the row's trip is flagged. One join, blank trips salted by the other columns."""
+    marker = flagged.select("trip").distinct().withColumn("removed", F.lit(True))
+    spread = [c for c in df.columns if c != "trip"] or ["trip"]
+    return left_join_on_trip(df, marker, *spread).withColumn("removed", F.coalesce("removed", F.lit(False)))
+
+
+def _split(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return marked.where(~F.col("removed")).drop("removed"), marked.where("removed").drop("removed")
+
+
 def remove_noncommercial(df: DataFrame, observer: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return split_by(df, noncommercial_trips(observer), "trip")
+    return _split(mark_trips(df, noncommercial_trips(observer)))
 
 
 def remove_no_panel(df: DataFrame, panels: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return split_by(df, no_panel_trips(panels), "trip")
+    return _split(mark_trips(df, no_panel_trips(panels)))
 
 
 def remove_other_sought(df: DataFrame, sought: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return split_by(df, other_sought_trips(sought), "trip")
+    return _split(mark_trips(df, other_sought_trips(sought)))
 
 
-def trip_reasons(observer: DataFrame, panels: DataFrame, sought: DataFrame) -> DataFrame:
+def trip_reasons(observer: DataFrame, panels: DataFrame, sought: DataFrame, target=None) -> DataFrame:
     """One row per flagged trip with the first reason that applies."""
-    flagged = [noncommercial_trips(observer), no_panel_trips(panels), other_sought_trips(sought)]
+    flagged = [noncommercial_trips(observer), no_panel_trips(panels), other_sought_trips(sought, target)]
     ranked = [trips.select("trip", F.lit(rank).alias("rank")) for rank, trips in enumerate(flagged)]
     reason = F.when(F.col("rank") == 0, NONCOMMERCIAL).when(F.col("rank") == 1, NO_PANEL).otherwise(OTHER_SOUGHT)
     return (
@@ -78,22 +89,22 @@ def trip_verdicts(verdicts: DataFrame, threshold: float = COD_HAD_THRESHOLD) ->
     above the threshold; a ratio equal to it is not met but does not count as above. A last set
     of several rows fails if all of them do.
 
-    The last id and its verdict travel in one number (twice the id, plus 1 unless it fails), so
-    that the pass is a hash aggregation over fixed-width values, combined before the shuffle.
+    The last id and the last id that doesn't fail are two maxima, so that the pass is a hash
+    aggregation over fixed-width values, combined before the shuffle, for ids of any size.
     """
     failed = F.coalesce(~F.col("met"), F.lit(False))
-    last = F.max(F.col("set_id") * 2 + F.when(failed, 0).otherwise(1))
-    last_fails = F.col("last") % 2 == 0
+    last_fails = F.col("last_passing").isNull() | (F.col("last_passing") < F.col("last"))
     return (
         verdicts.groupBy("trip_id")
         .agg(
             F.bool_and(failed).alias("all_failed"),
             F.bool_or(F.coalesce(F.col("codhad_ratio") > F.lit(threshold), F.lit(False))).alias("any_above"),
-            last.alias("last"),
+            F.max("set_id").alias("last"),
+            F.max(F.when(~failed, F.col("set_id"))).alias("last_passing"),
         )
         .select(
             "trip_id", "all_failed",
-            F.when(~F.col("all_failed") & F.col("any_above") & last_fails, F.expr("last div 2")).alias("failing_last_set"),
+            F.when(~F.col("all_failed") & F.col("any_above") & last_fails, F.col("last")).alias("failing_last_set"),
         )
     )
 
@@ -102,8 +113,8 @@ def all_sets_fail_trips(verdicts: DataFrame) -> DataFrame:
     return trip_verdicts(verdicts).where("all_failed").select("trip_id")
 
 
-def failing_last_sets(verdicts: DataFrame) -> DataFrame:
-    return trip_verdicts(verdicts).where(F.col("failing_last_set").isNotNull()).select(
+def failing_last_sets(verdicts: DataFrame, threshold: float = COD_HAD_THRESHOLD) -> DataFrame:
+    return trip_verdicts(verdicts, threshold).where(F.col("failing_last_set").isNotNull()).select(
         "trip_id", F.col("failing_last_set").alias("set_id")
     )
 
@@ -143,24 +154,26 @@ def mark_cod_directed(df: DataFrame, in_scope: Column, threshold: float = COD_HA
     )
 
 
-def trip_set_listing(verdicts: DataFrame) -> DataFrame:
+def trip_set_listing(verdicts: DataFrame, threshold: float = COD_HAD_THRESHOLD) -> DataFrame:
     """Sets of the trips whose last set fails, to check that failing sets come only last.
 
     One row per set, in trip and set order (sorting a partition at a time, so a trip of any length
-    can be listed). ``is_last`` marks the last set id of the trip.
+    can be listed). ``is_last`` marks the last set id of the trip. A null trip is a trip. The
+    verdicts are written first, as they are read twice.
     """
-    last = failing_last_sets(verdicts).withColumnRenamed("set_id", "last_set_id")
+    verdicts = materialize(verdicts.select("trip_id", "set_id", "codhad_ratio", "met"), "verdicts")
+    last = failing_last_sets(verdicts, threshold).select(F.col("trip_id").alias("last_trip_id"), F.col("set_id").alias("last_set_id"))
     return (
-        verdicts.join(last, "trip_id")
+        verdicts.join(last, F.col("trip_id").eqNullSafe(F.col("last_trip_id")))
         .select("trip_id", "set_id", "codhad_ratio", "met", (F.col("set_id") == F.col("last_set_id")).alias("is_last"))
         .orderBy("trip_id", "set_id")
     )
 
 
-def early_failing_sets(verdicts: DataFrame) -> DataFrame:
+def early_failing_sets(verdicts: DataFrame, threshold: float = COD_HAD_THRESHOLD) -> DataFrame:
     """Per trip with a failing last set: number of sets, and of failing sets that are not last."""
     return (
-        trip_set_listing(verdicts).groupBy("trip_id")
+        trip_set_listing(verdicts, threshold).groupBy("trip_id")
         .agg(F.count(F.lit(1)).alias("n_sets"),
              F.count_if(~F.col("met") & ~F.coalesce("is_last", F.lit(False))).alias("n_failing_before_last"))
     )
@@ -194,15 +207,6 @@ def flag_directed(flagged: DataFrame, threshold: float = COD_HAD_THRESHOLD) -> D
     return marked.withColumn("reason", F.coalesce("reason", "cod_reason", pollock)).drop("cod_reason")
 
 
-def clean(zoned: DataFrame, observer: DataFrame, panels: DataFrame, sought: DataFrame,
-          threshold: float = COD_HAD_THRESHOLD) -> DataFrame:
-    """Every input row with the ``reason`` of its removal, null if it stays in scope."""
-    reasons = trip_reasons(observer, panels, sought)
-    with_reason = left_join_on_trip(zoned, reasons, "vr_number", "trip_id", "set_id")
-    flagged = materialize(flag_out_of_scope(with_reason), "flagged")
-    return flag_directed(flagged, threshold)
-
-
 def kept(cleaned: DataFrame) -> DataFrame:
     return cleaned.where(F.col("reason").isNull()).drop("reason")
 
@@ -212,8 +216,8 @@ def removed_audit(cleaned: DataFrame) -> DataFrame:
 
 
 __all__ = [
-    "noncommercial_trips", "no_panel_trips", "other_sought_trips", "remove_noncommercial", "remove_no_panel",
+    "noncommercial_trips", "no_panel_trips", "other_sought_trips", "mark_trips", "remove_noncommercial", "remove_no_panel",
     "remove_other_sought", "trip_reasons", "add_cod_had_verdict", "trip_verdicts", "all_sets_fail_trips",
     "failing_last_sets", "remove_cod_directed", "mark_cod_directed", "trip_set_listing", "early_failing_sets",
-    "remove_pollock_directed", "flag_out_of_scope", "flag_directed", "clean", "kept", "removed_audit",
+    "remove_pollock_directed", "flag_out_of_scope", "flag_directed", "kept", "removed_audit",
 ]

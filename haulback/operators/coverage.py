@@ -92,6 +92,13 @@ def add_group(aggregated: DataFrame, rules=None) -> DataFrame:
     return aggregated.withColumn("analysis_group", assign_group(F.col("sector"), F.col("zone"), F.col("q"), rules or GROUP_RULES))
 
 
+def ungrouped_counts(grouped: DataFrame) -> DataFrame:
+    """Trips that no group rule takes, and so no estimate, per sector, observed or not."""
+    return grouped.where(F.col("analysis_group").isNull()).groupBy(
+        "sector", observed_flag(F.col("trip")).alias("observed")).agg(
+        F.count(F.lit(1)).alias("n_trips"), F.sum("cod").alias("cod"), F.sum("had").alias("had"))
+
+
 def group_landings(grouped: DataFrame) -> DataFrame:
     """Cod landings per group, unobserved and observed side by side; an absent stratum is null."""
     observed = observed_flag(F.col("trip"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.classes import length_class, sector_of, tonnage_class
@@ -37,9 +37,9 @@ def landings_crosstab(tables: LandingTables, years, areas=None) -> DataFrame:
     """Set-level landings with cod, haddock and pollock weights as columns.
 
     Weights are summed on the fact table's own narrow keys; names, sizes and descriptions are
-    looked up afterwards, so they never travel through the aggregation's shuffle. Only the areas
-    are hinted as a broadcast, having at most a row per listed id (few ids would make few, large
-    partitions); for the other lookups Catalyst and AQE choose from their sizes.
+    looked up afterwards, so they never travel through the aggregation's shuffle. Areas are told
+    apart by name: ids that share one are replaced by the smallest of them before the sum. For all
+    lookups Catalyst and AQE choose the join from their sizes.
     """
     fact = tables.pro_spc_info
     area_ids = list(areas or AREA_IDS)
@@ -47,17 +47,23 @@ def landings_crosstab(tables: LandingTables, years, areas=None) -> DataFrame:
         F.sum(F.when(F.col("species_code") == code, F.col("rnd_weight_kgs")).otherwise(F.lit(0e0))).alias(name)
         for name, code in SPECIES.items()
     ]
+    named = tables.areas.where(F.col("area_id").isin(area_ids)).select(
+        F.col("area_id").alias("nafo_unit_area_id"), "area",
+        F.min("area_id").over(Window.partitionBy("area")).alias("area_key"),
+    )
     per_set = (
         fact.where(in_years(fact, "landed_date", years) & F.col("nafo_unit_area_id").isin(area_ids))
+        .join(named.select("nafo_unit_area_id", "area_key"), "nafo_unit_area_id")
+        .withColumn("nafo_unit_area_id", F.col("area_key"))
         .join(quota_lookup(tables), "lic_quota_id")
         .groupBy(*SET_KEYS)
         .agg(*weights)
     )
     vessels = tables.vessels.select(F.col("vr_number").alias("vr_number_fishing"), "vessel_name", "gross_tonnage", "loa")
-    named = tables.areas.where(F.col("area_id").isin(area_ids)).select(F.col("area_id").alias("nafo_unit_area_id"), "area")
+    names = named.select(F.col("area_key").alias("nafo_unit_area_id"), "area").distinct()
     return (
         per_set.join(vessels, "vr_number_fishing")
-        .join(F.broadcast(named), "nafo_unit_area_id")
+        .join(names, "nafo_unit_area_id")
         .join(tables.sflt_descs.select("sflt_desc_id", "desc_eng"), "sflt_desc_id")
     )
 

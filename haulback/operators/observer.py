@@ -62,15 +62,16 @@ def observer_trips(tables: ObserverTables, years, area_prefix: str = AREA_PREFIX
 
 def separator_panels(tables: ObserverTables, years, area_prefix: str = AREA_PREFIX, point: int = PANEL_POINT,
                      gear: int = PANEL_GEAR, features=None) -> DataFrame:
-    """Number of sets per trip and panel feature of the separator gear."""
+    """Number of sets per trip and panel feature of the separator gear.
+
+    The year is a property of the trips, so the sets are cut down to the year's trips first.
+    """
     trips = tables.istrips.where(in_years(tables.istrips, "landing_date", years))
     per_gear = (
-        tables.issetprofile.where(F.col("pntcd_id") == point).select("fishset_id")
-        .join(
-            tables.isfishsets.where(F.col("nafarea_id").startswith(area_prefix))
-            .select("fishset_id", "trip_id", "gear_id", "set_no"),
-            "fishset_id",
-        )
+        tables.isfishsets.where(F.col("nafarea_id").startswith(area_prefix))
+        .select("fishset_id", "trip_id", "gear_id", "set_no")
+        .join(trips.select("trip_id"), "trip_id", "left_semi")
+        .join(tables.issetprofile.where(F.col("pntcd_id") == point).select("fishset_id"), "fishset_id")
         .groupBy("trip_id", "gear_id")
         .agg(F.count("set_no").alias("n"))
     )
@@ -90,13 +91,14 @@ def separator_panels(tables: ObserverTables, years, area_prefix: str = AREA_PREF
 
 def sought_species(tables: ObserverTables, years, area_prefix: str = AREA_PREFIX, points=None,
                    set_code: int = SOUGHT_SET_CODE) -> DataFrame:
-    """Distinct species sought per trip, gear, set and set date."""
+    """Distinct species sought per trip, gear, set and set date; the sets of the year's trips only, from the start."""
     trips = tables.istrips.where(in_years(tables.istrips, "landing_date", years))
     sets = (
-        tables.issetprofile.where(F.col("pntcd_id").isin(list(points or SOUGHT_POINTS))).select("fishset_id", "setdate")
+        tables.isfishsets.where((F.col("setcd_id") == set_code) & F.col("nafarea_id").startswith(area_prefix))
+        .select("fishset_id", "trip_id", "gear_id", "specscd_id", "set_no")
+        .join(trips.select("trip_id"), "trip_id", "left_semi")
         .join(
-            tables.isfishsets.where((F.col("setcd_id") == set_code) & F.col("nafarea_id").startswith(area_prefix))
-            .select("fishset_id", "trip_id", "gear_id", "specscd_id", "set_no"),
+            tables.issetprofile.where(F.col("pntcd_id").isin(list(points or SOUGHT_POINTS))).select("fishset_id", "setdate"),
             "fishset_id",
         )
         .select("trip_id", "gear_id", "specscd_id", "set_no", "setdate")

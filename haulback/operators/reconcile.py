@@ -105,6 +105,12 @@ def landing_errors(reconciled: DataFrame) -> DataFrame:
     )
 
 
+def landing_error_list(reconciled: DataFrame) -> DataFrame:
+    """Those landings as they are handed on, both kinds in one list."""
+    return landing_errors(reconciled).select(
+        "vr_number", "trip_id", "set_id", "landed_date", F.col("landed_trip").alias("trip"), "obs_trip", "comment")
+
+
 def landing_errors_missing(reconciled: DataFrame) -> DataFrame:
     """Observed trips without an entered code, once each."""
     return _error_list(reconciled, "missing").distinct()

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from ..sources.zones import DEFAULT_CELL_DEGREES, odd_crossings, zone_index
 from .keys import left_join_on_trip
 
@@ -50,16 +53,29 @@ def fleet_positions(positions: DataFrame, *fleets: DataFrame) -> DataFrame:
     return result
 
 
-def vessel_day_mean_position(positions: DataFrame) -> DataFrame:
-    """Mean position per vessel and UTC day.
+def positions_between(positions: DataFrame, days: DataFrame) -> DataFrame:
+    """Positions from the first to the last ``date`` of ``days``: a range of the raw timestamp, so that it reaches the scan."""
+    first, last = days.agg(F.min("date"), F.max("date")).first()
+    if first is None:
+        return positions.where(F.lit(False))
+    kind = positions.schema["position_utc_date"].dataType
+    bound = lambda day: F.lit(f"{day.isoformat()} 00:00:00").cast(kind)
+    return positions.where(
+        (F.col("position_utc_date") >= bound(first)) & (F.col("position_utc_date") < bound(last + dt.timedelta(days=1)))
+    )
+
 
-    Averaged before any join: the partial averages shrink the position track to vessel-days
-    ahead of the shuffle, which filtering it by the landings first would not.
+def vessel_day_mean_position(positions: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """Mean position per vessel and UTC day, of the ``wanted`` vessel-days (vr_number, date) if given.
+
+    Averaged before the join: the partial averages shrink the position track to vessel-days ahead
+    of the shuffle.
     """
-    return (
+    days = (
         positions.groupBy("vr_number", F.to_date("position_utc_date").alias("date"))
         .agg(F.avg("latitude").alias("mean_lat"), F.avg("longitude").alias("mean_lon"))
     )
+    return days if wanted is None else days.join(wanted, ["vr_number", "date"], "left_semi")
 
 
 def parse_positions(raw: DataFrame) -> DataFrame:
@@ -86,15 +102,26 @@ def assign_zone(landings: DataFrame, zones: DataFrame, observer: DataFrame, posi
     keys for every row, so that rows needing no fallback do not pile up on a null key.
     ``per_trip``, one row per trip, is brought along by the join on the trip code: its columns are
     added too, without moving the landings once more.
+
+    ``landings`` is read twice; pass a written table. Before the rest, the vessel-days that need the
+    track are collected from it into a narrow table: their first and last date bound the scan of
+    the positions, and only their vessel-days are averaged. The index is written too, as three
+    joins use it, and broadcast where its size allows.
     """
-    index = zone_index(zones, cell)
+    index = materialize(zone_index(zones, cell), "zone-index")
     zone_obs = _locate(observer_position(observer), index, "lat2", "lon2", "zone_obs", cell).select("trip", "zone_obs")
+    reported = _locate(landings, index, "lat", "lon", "zone_reported", cell)
+    wanted = materialize(
+        reported.where((F.col("trip") == "") & F.col("zone_reported").isNull() & F.col("date_fished").isNotNull())
+        .select("vr_number", F.col("date_fished").alias("date")).distinct(),
+        "vessel-days",
+    )
+    track = vessel_day_mean_position(positions_between(positions, wanted), wanted)
     zone_vms = (
-        _locate(vessel_day_mean_position(positions), index, "mean_lat", "mean_lon", "zone_vms", cell)
+        _locate(track, index, "mean_lat", "mean_lon", "zone_vms", cell)
         .where(F.col("zone_vms").isNotNull())
         .select(F.col("vr_number").alias("p_vr"), F.col("date").alias("p_date"), "zone_vms")
     )
-    reported = _locate(landings, index, "lat", "lon", "zone_reported", cell)
     if per_trip is not None:
         zone_obs = zone_obs.join(per_trip, "trip", "full")
     with_obs = left_join_on_trip(reported, zone_obs, "vr_number", "trip_id", "set_id")
@@ -119,6 +146,7 @@ def assign_zone(landings: DataFrame, zones: DataFrame, observer: DataFrame, posi
 
 
 __all__ = [
-    "identify_zone", "fleet_trips", "fleet_positions", "vessel_day_mean_position", "parse_positions",
+    "identify_zone", "fleet_trips", "fleet_positions", "positions_between", "vessel_day_mean_position",
+    "parse_positions",
     "observer_position", "assign_zone",
 ]

@@ -2,33 +2,38 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 
-from ..operators.bootstrap import REPLICATES, SAMPLE_SIZE, SEED, bootstrap_ratio, ratio_rows
+from ..operators.bootstrap import bootstrap_ratio, ratio_rows
 from ..operators.cleaning import (
     add_cod_had_verdict, early_failing_sets, flag_directed, flag_out_of_scope, kept, removed_audit, trip_reasons,
 )
 from ..operators.coverage import (
     TRIP_KEYS, add_group, aggregate_trips, coverage_cells, coverage_summary, coverage_tiers, group_landings,
-    split_fully_covered,
+    split_fully_covered, ungrouped_counts,
 )
 from ..operators.discards import allocate_discards, check_allocation, estimate_discards
 from ..operators.landings import assign_sector, landings
 from ..operators.observer import observer_trips, separator_panels, sought_species
 from ..operators.reconcile import (
-    landing_errors_incorrect, landing_errors_missing, observer_check, observer_missing, reconcile,
+    landing_error_list, landing_errors_incorrect, landing_errors_missing, observer_check, observer_missing, reconcile,
 )
-from ..operators.zones import assign_zone
-from ..session import materialize
+from ..operators.zones import assign_zone, fleet_positions, parse_positions
+from ..session import delete_written, materialize, watch_written
 from ..sources.csv_tables import write_report
 from ..sources.tables import LandingTables, ObserverTables
+from .settings import Settings
 
 
 @dataclass(frozen=True)
 class DiscardRun:
-    """Every table an analyst looks at. All are lazy, over the few tables written on the way."""
+    """Every table an analyst looks at: lazy frames over the tables that the run has written.
+
+    The run itself writes those while it is set up, and reports that list the sets of failing trips
+    write theirs when asked for. :meth:`release` deletes all of them.
+    """
 
     observer: DataFrame
     reconciled: DataFrame
@@ -39,24 +44,36 @@ class DiscardRun:
     grouped: DataFrame
     estimates: DataFrame
     by_vessel: DataFrame
+    settings: Settings = field(default_factory=Settings)
+    written: list[str] = field(default_factory=list)
 
     def reports(self) -> dict[str, DataFrame]:
         """The lists handed on or looked through, by name."""
         checked = self.cleaned.where("reason is null or reason in ('cod_directed_last_set', 'pollock_directed')")
-        return {
-            "landing_trips_missing": landing_errors_missing(self.reconciled),
-            "observer_check": observer_check(self.observer, landing_errors_incorrect(self.reconciled)),
-            "observer_missing": observer_missing(self.reconciled),
-            "removed_records": removed_audit(self.cleaned),
-            "early_failing_sets": early_failing_sets(add_cod_had_verdict(checked)),
-            "aggregated_trips": self.aggregated,
-            "coverage": coverage_summary(self.cells),
-            "coverage_tiers": coverage_tiers(self.cells),
-            "group_landings": group_landings(self.grouped),
-            "estimates": self.estimates,
-            "by_vessel": self.by_vessel,
-            "allocation_check": check_allocation(self.by_vessel, self.estimates),
-        }
+        with watch_written() as tables:
+            lists = {
+                "landing_errors": landing_error_list(self.reconciled),
+                "landing_trips_missing": landing_errors_missing(self.reconciled),
+                "observer_check": observer_check(self.observer, landing_errors_incorrect(self.reconciled)),
+                "observer_missing": observer_missing(self.reconciled),
+                "removed_records": removed_audit(self.cleaned),
+                "early_failing_sets": early_failing_sets(add_cod_had_verdict(checked, self.settings.cod_had_threshold), self.settings.cod_had_threshold),
+                "aggregated_trips": self.aggregated,
+                "coverage": coverage_summary(self.cells),
+                "coverage_tiers": coverage_tiers(coverage_cells(self.aggregated)),
+                "ungrouped_trips": ungrouped_counts(self.grouped),
+                "group_landings": group_landings(self.grouped),
+                "estimates": self.estimates,
+                "by_vessel": self.by_vessel,
+                "allocation_check": check_allocation(self.by_vessel, self.estimates),
+            }
+        self.written.extend(path for _, path in tables)
+        return lists
+
+    def release(self) -> None:
+        """Delete the tables written for this run; its frames can't be read afterwards."""
+        delete_written(self.by_vessel.sparkSession, self.written)
+        self.written.clear()
 
     def write_reports(self, folder: str, fmt: str = "csv") -> None:
         for name, report in self.reports().items():
@@ -64,29 +81,42 @@ class DiscardRun:
 
 
 def run_discards(landing_tables: LandingTables | None, observer_tables: ObserverTables, zone_layer: DataFrame,
-                 positions: DataFrame, flags: DataFrame, years, areas=None, tolerance_days: int = 2,
-                 trust_observer: bool = True, one_match: bool = False, nrep: int = REPLICATES,
-                 nsamp: int = SAMPLE_SIZE, seed: int = SEED,
-                 landing_rows: DataFrame | None = None) -> DiscardRun:
+                 positions: DataFrame, flags: DataFrame, years, settings: Settings | None = None,
+                 landing_rows: DataFrame | None = None, fleet_trips: DataFrame | None = None) -> DiscardRun:
     """Run all steps. ``landing_rows`` (e.g. from a CSV) replaces the landings query.
 
-    Written to the shared folder on the way, because each is read by several steps: observer trips,
-    flagged landings, failing trips, rolled-up trips, bootstrap draws and the group estimates.
+    ``fleet_trips`` (see :func:`..operators.zones.fleet_trips`) names the vessels whose track may
+    stand in for a missing zone; without it, any vessel's may. Positions with text timestamps are
+    parsed. Written to the shared folder on the way, because each is read by several steps:
+    observer trips, reconciled and flagged landings, the zone index, needed vessel-days, failing
+    trips, rolled-up trips, their groups, bootstrap rows and draws, and the group estimates.
     """
-    observed = materialize(observer_trips(observer_tables, years), "observer")
-    rows = landing_rows if landing_rows is not None else landings(landing_tables, years, areas)
-    reconciled = reconcile(rows, observed, tolerance_days, trust_observer, one_match)
-    reasons = trip_reasons(observed, separator_panels(observer_tables, years), sought_species(observer_tables, years))
-    zoned = assign_zone(assign_sector(reconciled), zone_layer, observed, positions, per_trip=reasons)
-    flagged = materialize(flag_out_of_scope(zoned), "flagged")
-    cleaned = flag_directed(flagged)
-    trips = materialize(aggregate_trips(kept(cleaned)), "trips")
+    use = settings or Settings()
+    with watch_written() as tables:
+        run = _run(landing_tables, observer_tables, zone_layer, positions, flags, years, use, landing_rows, fleet_trips)
+    return replace(run, settings=use, written=[path for _, path in tables])
+
+
+def _run(landing_tables, observer_tables, zone_layer, positions, flags, years, use, landing_rows, fleet_trips) -> DiscardRun:
+    observed = materialize(observer_trips(observer_tables, years, use.area_prefix, use.observer_gears_excluded), "observer")
+    rows = landing_rows if landing_rows is not None else landings(landing_tables, years, use.areas)
+    reconciled = materialize(reconcile(rows, observed, use.tolerance_days, use.trust_observer, use.one_match), "reconciled")
+    reasons = trip_reasons(
+        observed, separator_panels(observer_tables, years, use.area_prefix),
+        sought_species(observer_tables, years, use.area_prefix), use.target_species,
+    )
+    if dict(positions.dtypes)["position_utc_date"] == "string":
+        positions = parse_positions(positions)
+    if fleet_trips is not None:
+        positions = fleet_positions(positions, fleet_trips)
+    zoned = assign_zone(assign_sector(reconciled, use.sector_codes), zone_layer, observed, positions, per_trip=reasons)
+    cleaned = flag_directed(materialize(flag_out_of_scope(zoned), "flagged"), use.cod_had_threshold)
+    trips = materialize(aggregate_trips(kept(cleaned), use.gear_excluded), "trips")
     rest, covered = split_fully_covered(trips)
-    grouped = add_group(rest)
-    results = bootstrap_ratio(ratio_rows(grouped), TRIP_KEYS, nrep, nsamp, seed)
+    grouped = materialize(add_group(rest, use.group_rules), "grouped")
+    results = bootstrap_ratio(ratio_rows(grouped), TRIP_KEYS, use.replicates, use.sample_size, use.seed)
     estimates = materialize(estimate_discards(results, group_landings(grouped), flags), "estimates")
     return DiscardRun(
-        observer=observed, reconciled=flagged.select(*reconciled.columns), cleaned=cleaned, aggregated=rest, fully_covered=covered,
-        cells=coverage_cells(trips), grouped=grouped, estimates=estimates,
-        by_vessel=allocate_discards(grouped, estimates),
+        observer=observed, reconciled=reconciled, cleaned=cleaned, aggregated=rest, fully_covered=covered,
+        cells=coverage_cells(trips), grouped=grouped, estimates=estimates, by_vessel=allocate_discards(grouped, estimates),
     )

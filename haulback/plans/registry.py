@@ -13,23 +13,24 @@ from ..functions.trips import blank_to_empty
 from ..operators.bootstrap import bootstrap_ratio, ratio_of_ratios, ratio_rows
 from ..operators.cleaning import (
     add_cod_had_verdict, all_sets_fail_trips, early_failing_sets, failing_last_sets, flag_directed, flag_out_of_scope,
-    kept, remove_cod_directed, remove_no_panel, remove_noncommercial, remove_other_sought, remove_pollock_directed,
-    removed_audit, trip_reasons, trip_set_listing,
+    kept, mark_trips, no_panel_trips, noncommercial_trips, other_sought_trips, remove_cod_directed,
+    remove_pollock_directed, removed_audit, trip_reasons, trip_set_listing,
 )
 from ..operators.coverage import (
     TRIP_KEYS, add_group, aggregate_trips, coverage, coverage_cells, coverage_summary, coverage_tiers, group_landings,
-    split_fully_covered,
+    split_fully_covered, ungrouped_counts,
 )
 from ..operators.discards import allocate_discards, check_allocation, estimate_discards
 from ..operators.landings import assign_sector, landings, landings_crosstab, trip_codes
 from ..operators.observer import observer_trips, separator_panels, sought_species
 from ..operators.reconcile import (
-    first_per_vessel_day, landing_errors_incorrect, landing_errors_missing, observer_check, observer_missing, reconcile,
+    first_per_vessel_day, landing_error_list, landing_errors_incorrect, landing_errors_missing, observer_check, observer_missing, reconcile,
 )
 from ..operators.zones import assign_zone, fleet_positions, fleet_trips, identify_zone, vessel_day_mean_position
 from ..session import materialize
 from .pipeline import run_discards
-from .standins import ALL_AREAS, ALL_FLEETS, YEARS, Standins, case_list
+from .settings import Settings
+from .standins import ALL_AREAS, ALL_FLEETS, OTHER_RULES, YEARS, Standins, case_list
 
 
 class Steps:
@@ -56,8 +57,14 @@ class Steps:
     def reconciled(self, observer: DataFrame | None = None) -> DataFrame:
         return reconcile(self.landings(), self.observer() if observer is None else observer)
 
+    def fleet(self) -> DataFrame:
+        """The trips whose vessels' tracks may stand in for a missing zone."""
+        return fleet_trips(self.s.table("chp_trips"), "MOBILE", "5Z", f"{YEARS[0]}-01-01", f"{YEARS[1]}-12-31")
+
     def zoned(self, observer: DataFrame, per_trip: DataFrame | None = None) -> DataFrame:
-        return assign_zone(assign_sector(self.reconciled(observer)), self.s.zones(), observer, self.s.table("positions"), per_trip=per_trip)
+        rows = materialize(assign_sector(self.reconciled(observer)), "reconciled")
+        positions = fleet_positions(self.s.table("positions"), self.fleet())
+        return assign_zone(rows, self.s.zones(), observer, positions, per_trip=per_trip)
 
     def cleaned(self) -> DataFrame:
         observer = materialize(self.observer(), "observer")
@@ -68,12 +75,11 @@ class Steps:
         return aggregate_trips(kept(self.cleaned()))
 
     def trips(self) -> DataFrame:
-        """Trips rolled up straight from the landings with a valid reported zone, without the cleaning."""
-        return aggregate_trips(identify_zone(assign_sector(self.landings()), self.s.zones()).where("zone >= 1"))
+        """The trips in scope, written once: most of what follows reads them several times."""
+        return materialize(self.aggregated(), "trips")
 
     def grouped(self) -> DataFrame:
-        """Those trips with their group, written once: the estimate reads them several times."""
-        return add_group(split_fully_covered(materialize(self.trips(), "trips"))[0])
+        return materialize(add_group(split_fully_covered(self.trips())[0]), "grouped")
 
     def results(self, grouped: DataFrame) -> DataFrame:
         return bootstrap_ratio(ratio_rows(grouped), TRIP_KEYS)
@@ -193,18 +199,15 @@ def q_zone_fallback(p: Steps) -> DataFrame:
 
 def q_flag_split_noncommercial(p: Steps) -> DataFrame:
     observer = materialize(p.observer(), "observer")
-    rows = materialize(_set_columns(p.reconciled(observer), "trip"), "reconciled")
-    return _flag_split(remove_noncommercial(rows, observer))
+    return mark_trips(_set_columns(p.reconciled(observer), "trip"), noncommercial_trips(observer))
 
 
 def q_flag_split_no_panel(p: Steps) -> DataFrame:
-    rows = materialize(_set_columns(p.reconciled(), "trip"), "reconciled")
-    return _flag_split(remove_no_panel(rows, p.panels()))
+    return mark_trips(_set_columns(p.reconciled(), "trip"), no_panel_trips(p.panels()))
 
 
 def q_sought_other_species(p: Steps) -> DataFrame:
-    rows = materialize(_set_columns(p.reconciled(), "trip"), "reconciled")
-    return _flag_split(remove_other_sought(rows, p.sought()))
+    return mark_trips(_set_columns(p.reconciled(), "trip"), other_sought_trips(p.sought()))
 
 
 def _finite(ratio: str = "codhad_ratio"):
@@ -246,8 +249,8 @@ def q_removed_counts(p: Steps) -> DataFrame:
 
 # Coverage and groups ---------------------------------------------------------------------------
 
-def q_fully_covered_split(p: Steps) -> DataFrame:
-    rest, covered = split_fully_covered(materialize(p.trips(), "trips"), "vr_number")
+def _covered_split(p: Steps, by: str) -> DataFrame:
+    rest, covered = split_fully_covered(p.trips(), by)
     return rest.withColumn("covered", F.lit(False)).unionByName(covered.withColumn("covered", F.lit(True)))
 
 
@@ -256,6 +259,11 @@ def q_fully_covered_quarters(p: Steps) -> DataFrame:
     return coverage(cells, "vr_number", "q").where("coverage = 1").drop("coverage")
 
 
+def _tiers(p: Steps, by: str, *cell: str) -> DataFrame:
+    """Tiers of the cells, ``by`` that are fully covered left out before."""
+    return coverage_tiers(coverage_cells(split_fully_covered(p.trips(), by)[0], cell))
+
+
 # Estimate --------------------------------------------------------------------------------------
 
 def q_ratio_of_ratios(p: Steps) -> DataFrame:
@@ -282,10 +290,19 @@ def q_allocation_check(p: Steps) -> DataFrame:
     return _rounded(check_allocation(allocate_discards(grouped, estimates), estimates), 6, "allocated", "discards")
 
 
+def _full_run(p: Steps, settings: Settings):
+    return run_discards(p.s.landing_tables(), p.s.observer_tables(), p.s.zones(), p.s.table("positions"), p.s.flags(),
+                        YEARS, settings, fleet_trips=p.fleet())
+
+
 def q_full_pipeline(p: Steps) -> DataFrame:
-    run = run_discards(p.s.landing_tables(), p.s.observer_tables(), p.s.zones(), p.s.table("positions"), p.s.flags(),
-                       YEARS, ALL_AREAS)
-    return _rounded(run.by_vessel, 9, "portion", "discardsmt")
+    return _rounded(_full_run(p, Settings(areas=ALL_AREAS)).by_vessel, 9, "portion", "discardsmt")
+
+
+def q_full_pipeline_other_rules(p: Steps) -> DataFrame:
+    """Another threshold, other groups, and longline kept in."""
+    settings = Settings(areas=ALL_AREAS, cod_had_threshold=0.5, group_rules=OTHER_RULES, gear_excluded=None)
+    return _rounded(_full_run(p, settings).by_vessel, 9, "portion", "discardsmt")
 
 
 STEPS: dict[str, Callable[[Steps], DataFrame]] = {
@@ -304,6 +321,7 @@ STEPS: dict[str, Callable[[Steps], DataFrame]] = {
     "reconcile_interval": q_reconcile_interval,
     "reconcile_status": q_reconcile_status,
     "reconcile_one_match": q_reconcile_one_match,
+    "landing_errors": lambda p: landing_error_list(p.reconciled()),
     "landing_errors_missing": lambda p: landing_errors_missing(p.reconciled()),
     "landing_errors_incorrect": lambda p: landing_errors_incorrect(p.reconciled()),
     "observer_check": q_observer_check,
@@ -327,11 +345,13 @@ STEPS: dict[str, Callable[[Steps], DataFrame]] = {
     "removed_counts": q_removed_counts,
     "trip_rollup": Steps.aggregated,
     "coverage_summary": lambda p: coverage_summary(coverage_cells(p.trips())),
-    "fully_covered_split": q_fully_covered_split,
+    "fully_covered_split": lambda p: _covered_split(p, "sector"),
+    "fully_covered_split_by_vessel": lambda p: _covered_split(p, "vr_number"),
     "fully_covered_quarters": q_fully_covered_quarters,
-    "coverage_tiers": lambda p: coverage_tiers(coverage_cells(p.trips())),
-    "coverage_tiers_by_vessel": lambda p: coverage_tiers(coverage_cells(p.trips(), ("vr_number", "q"))),
+    "coverage_tiers": lambda p: _tiers(p, "sector", "sector", "zone", "q"),
+    "coverage_tiers_by_vessel": lambda p: _tiers(p, "vr_number", "vr_number", "q"),
     "assign_group": Steps.grouped,
+    "ungrouped_trips": lambda p: ungrouped_counts(p.grouped()),
     "group_landings_pivot": lambda p: group_landings(p.grouped()),
     "ratio_of_ratios": q_ratio_of_ratios,
     "bootstrap_ratio": q_bootstrap_ratio,
@@ -339,6 +359,7 @@ STEPS: dict[str, Callable[[Steps], DataFrame]] = {
     "allocate_discards": q_allocate_discards,
     "allocation_check": q_allocation_check,
     "full_pipeline": q_full_pipeline,
+    "full_pipeline_other_rules": q_full_pipeline_other_rules,
 }
 
 

@@ -2,7 +2,8 @@
 
 Each is one SELECT that Spark and a SQL checker both accept, with the test tables in braces, so
 that both start from the same input. Only inputs are shared; every operator is written twice.
-Codes are derived from keys to reach all branches. No row of a test table is left out, except
+Codes are derived from keys to reach all branches; every trip of nations 19 and 20, one sector, is
+observed. No row of a test table is left out, except
 that only orders of status F have an observer on board.
 """
 
@@ -40,6 +41,9 @@ ZONE_RINGS = [
     (0, 1, [(-65.51019, 41.10127), (-64.00231, 41.10127), (-64.00231, 41.90423), (-65.51019, 41.90423)]),
 ]
 
+# Groups of another year: (label, sectors, quarters, zones).
+OTHER_RULES = [("881_Z1_Q1", [881], [1, 2], [1, 2]), ("885_Z12345_Q1234", [885, 311], None, None)]
+
 SIGNIFICANT_GROUPS = ["311_Z12345_Q1234", "881_Z1_Q1", "881_Z2_Q2", "881_Z45_Q1234", "885_Z12345_Q1234"]
 
 
@@ -72,12 +76,16 @@ STANDIN_SQL = {
                case l_returnflag when 'A' then 100 when 'N' then 110 else 170 end as species_code,
                case l_returnflag when 'A' then l_quantity when 'N' then l_quantity * 2e0 else l_quantity / 2e0 end
                    as rnd_weight_kgs,
-               198 + o_orderkey % 10 as nafo_unit_area_id, o_custkey as lic_quota_id
+               198 + (o_orderkey + case when o_orderkey % 10 = 7 and l_linenumber > 3 then 1 else 0 end) % 10 as nafo_unit_area_id, o_custkey as lic_quota_id
         from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey""",
     "vessels": """
         select c_custkey as vr_number, c_name as vessel_name, c_acctbal / 4e0 as gross_tonnage, c_acctbal / 70e0 as loa
         from {customer}""",
-    "areas": "select 190 + n_nationkey as area_id, n_name as area from {nation}",
+    # areas 205 and 206 share a name
+    "areas": """
+        select 190 + n_nationkey as area_id,
+               min(n_name) over (partition by case when n_nationkey = 16 then 15 else n_nationkey end) as area
+        from {nation}""",
     "sflt_descs": f"""
         select sflt_desc_id, min(n_name) as desc_eng
         from (select {case_list("n_nationkey", NATION_FLEETS)} as sflt_desc_id, n_name from {{nation}}) t
@@ -89,12 +97,14 @@ STANDIN_SQL = {
     "fleet_quotas": "select r_regionkey as fleet_quota_id from {region}",
     "lic_quotas": "select c_custkey as lic_quota_id, c_nationkey as sflt_quota_id from {customer}",
     "mon_doc_entrd_dets": """
-        select o_orderkey as mon_doc_id, case when o_orderstatus = 'P' then 740 else 741 end as column_defn_id,
-               case when o_orderstatus = 'F' and o_orderkey % 7 = 0 then null
+        select o_orderkey as mon_doc_id,
+               case when o_orderstatus = 'P' and c_nationkey not in (19, 20) then 740 else 741 end as column_defn_id,
+               case when c_nationkey in (19, 20) then concat('J', cast(o_orderkey as string))
+                    when o_orderstatus = 'F' and o_orderkey % 7 = 0 then null
                     when o_orderstatus = 'F' and o_orderkey % 7 = 1 then 'J0'
                     when o_orderstatus = 'F' then concat('J', cast(o_orderkey as string))
                     when o_orderstatus = 'O' then '' else 'other field' end as data_value
-        from {orders}""",
+        from {orders} join {customer} on o_custkey = c_custkey""",
     # observer database
     "isvessels": "select c_custkey as vess_id, cast(c_custkey as string) as cfv, c_name as vessel_name from {customer}",
     "istrips": """

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,9 +22,10 @@ SESSION_SETTINGS = {
 }
 
 # Off a single machine: many small shuffle partitions to start with, merged by AQE up to a size
-# that fits an executor core's memory; scans cut to the same size.
+# that fits an executor core's memory; scans cut to the same size. AQE never splits an ordinary
+# shuffle partition: where a shuffle exceeds 5 TB, set a count of its bytes over 256 MB.
 CLUSTER_SETTINGS = {
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.shuffle.partitions": "20000",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.files.maxPartitionBytes": "256m",
@@ -44,17 +47,49 @@ def build_session(app_name: str = "haulback", master: str | None = None, setting
     return builder.getOrCreate()
 
 
+# Says that a ``file:`` checkpoint folder on a cluster is a mount that all machines share.
+SHARED_MOUNT = "spark.haulback.sharedMount"
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
+    """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode.
+
+    On a cluster a ``file:`` folder is refused, each machine having its own, unless ``SHARED_MOUNT`` is true.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    local = spark.sparkContext.master.startswith("local")
     if folder:
+        if not local and folder.startswith("file:") and spark.conf.get(SHARED_MOUNT, "false") != "true":
+            raise RuntimeError(f"{folder} is a folder of each machine; name a shared one, or set {SHARED_MOUNT}")
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not local:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="haulback-"))
     return spark.sparkContext.getCheckpointDir()
 
 
+_watchers: list[list[tuple[DataFrame, str]]] = []
+
+
+@contextmanager
+def watch_written() -> Iterator[list[tuple[DataFrame, str]]]:
+    """Collects every frame that :func:`materialize` writes meanwhile, with its path."""
+    written: list[tuple[DataFrame, str]] = []
+    _watchers.append(written)
+    try:
+        yield written
+    finally:
+        _watchers.remove(written)
+
+
+def delete_written(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables of :func:`materialize`, wherever the shared folder is."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for path in paths:
+        where = hadoop.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
@@ -64,5 +99,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/haulback/{label}-{uuid.uuid4().hex}"
+    for written in _watchers:
+        written.append((df, path))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -49,13 +49,22 @@ def _typed(text, kind):
     return text if kind == "string" else text.try_cast(kind)
 
 
+# Columns that a file may do without; the steps then see none, or do not need them.
+OPTIONAL = {"VESSEL_NAME", "LICENCE_ID", "DATE_FISHED", "GEAR_CODE", "SFLT_DESC_ID", "LAT", "LON", "Q", "TC", "LC",
+            "SE", "BIAS", "OBSLAND", "UNOBSLAND"}
+
+
 def _read_by_name(spark: SparkSession, path: str, header: dict) -> DataFrame:
     """Columns picked by header name, so that their order and any extra ones do not matter.
 
-    Everything is read as text and cast with ``try_cast``: unreadable values become null.
+    Everything is read as text and cast with ``try_cast``: unreadable values become null. The files
+    of a folder must have one header: one that differs fails the read rather than being taken for
+    another's columns. A missing column is an error unless it is in ``OPTIONAL``.
     """
-    raw = spark.read.option("header", True).option("nullValue", "NA").csv(path)
+    raw = spark.read.option("header", True).option("nullValue", "NA").option("enforceSchema", False).csv(path)
     by_name = {name.upper(): name for name in raw.columns}
+    if missing := [name for name in header if name.upper() not in by_name and name.upper() not in OPTIONAL]:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
     return raw.select(*[
         _typed(F.col(f"`{by_name[name.upper()]}`"), kind).alias(ours)
         for name, (ours, kind) in header.items()

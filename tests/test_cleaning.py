@@ -3,10 +3,9 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from haulback.operators import (
-    add_cod_had_verdict, all_sets_fail_trips, clean, early_failing_sets, failing_last_sets, kept, left_join_on_trip,
-    remove_cod_directed, remove_no_panel, remove_noncommercial, remove_other_sought, remove_pollock_directed,
-    removed_audit, semi_by, split_by, trip_set_listing,
+    add_cod_had_verdict, all_sets_fail_trips, early_failing_sets, failing_last_sets, flag_directed, flag_out_of_scope, kept, left_join_on_trip, mark_trips, remove_cod_directed, remove_no_panel, remove_noncommercial, remove_other_sought, remove_pollock_directed, removed_audit, semi_by, split_by, trip_reasons, trip_set_listing,
 )
+from haulback.session import materialize
 
 SETS = [
     # trip_id, set_id, cod, had
@@ -116,10 +115,40 @@ def test_clean_gives_each_row_its_first_reason(spark):
     observer = spark.createDataFrame([("J1", 7), ("J2", 1)], "trip string, setcd_id int")
     panels = spark.createDataFrame([("J2", 89), ("J1", 89)], "trip string, gearfcd_id int")
     sought = spark.createDataFrame([("J3", 12), ("J2", 12)], "trip string, specscd_id int")
-    out = clean(df, observer, panels, sought)
+    zoned = left_join_on_trip(df, trip_reasons(observer, panels, sought), "vr_number", "trip_id", "set_id")
+    out = flag_directed(materialize(flag_out_of_scope(zoned), "flagged"))
     assert dict(rows(out, "set_id", "reason")) == {
         10: "zone_unresolved", 11: "zone_invalid", 12: "noncommercial", 20: "no_panel", 30: "other_species_sought",
         40: None, 50: "cod_directed_trip", 60: None, 61: "cod_directed_last_set", 70: "pollock_directed", 71: None,
         80: "zone_unresolved", 81: "cod_directed_trip"}
     assert kept(out).count() + removed_audit(out).count() == len(data)
     assert rows(out.where("set_id = 71"), "pol") == [(0.0,)]
+
+
+@pytest.mark.parametrize(("kind", "top"), [("int", 2**31 - 1), ("bigint", 2**63 - 1)])
+def test_last_set_of_large_ids_and_null_trips(spark, kind, top):
+    data = [
+        (1, top - 1, 1.0, 9.0), (1, top, 9.0, 1.0),  # the last fails
+        (2, top - 1, 9.0, 1.0), (2, top, 1.0, 9.0),  # the last passes
+        (None, top - 3, 1.0, 9.0), (None, top - 2, 9.0, 1.0),  # a null trip is a trip
+        (3, top - 5, 9.0, 1.0), (3, top - 5, 1.0, 9.0), (3, top - 6, 9.0, 1.0),  # one row of the last set passes
+    ]
+    sets = add_cod_had_verdict(spark.createDataFrame(data, f"trip_id int, set_id {kind}, cod double, had double"))
+    assert rows(failing_last_sets(sets)) == [(None, top - 2), (1, top)]
+    listed = trip_set_listing(sets)
+    assert rows(listed, "trip_id", "set_id", "is_last") == [
+        (None, top - 3, False), (None, top - 2, True), (1, top - 1, False), (1, top, True)]
+
+
+def test_flagged_trips_are_marked_by_one_salted_join(spark):
+    df = spark.createDataFrame([("J1", 1), ("J2", 2), ("", 3), ("", 4)], "trip string, set_id int")
+    flagged = spark.createDataFrame([("J1",), ("J1",), ("",)], "trip string")
+    marked = mark_trips(df, flagged)
+    assert rows(marked, "set_id", "removed") == [(1, True), (2, False), (3, False), (4, False)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = marked._jdf.queryExecution().toString()
+        physical = text[text.index("== Physical"):]
+        assert physical.count("LeftOuter") == 1 and "trip_salt" in physical
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -7,7 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from haulback.operators import allocate_discards, bootstrap_ratio, check_allocation, estimate_discards, ratio_rows
-from haulback.operators.bootstrap import _hashed, bucket_offsets
+from haulback.operators.bootstrap import STRATUM, _hashed, bucket_offsets, drawn_rows
 
 ROWS = "analysis_group string, trip string, trip_id long, cod double, had double"
 
@@ -88,23 +88,34 @@ def test_bootstrap_spread_is_that_of_samples_of_ten(spark):
     assert abs(bias - (statistics.fmean(reps) - mean)) < 0.02
 
 
-def test_without_broadcast_the_result_is_the_same(spark, monkeypatch):
+@pytest.mark.parametrize("digits", [(1,), (1, 1, 1), (2, 4)])
+def test_the_levels_of_buckets_change_nothing(spark, monkeypatch, digits):
     data = sample()
     want = bootstrap(spark, data, nrep=20)
-    monkeypatch.setattr("haulback.operators.bootstrap.BROADCAST_DRAWS", 0)
+    monkeypatch.setattr("haulback.operators.bootstrap.BUCKET_HEX_DIGITS", digits)
     close(bootstrap(spark, data, nrep=20), want)
 
 
+def test_rows_to_be_numbered_follow_the_draws(spark):
+    draws = 2 * 5 * 10
+    for n in (20_000, 200_000):
+        df = ratio_rows(spark.range(n).select(
+            F.lit("a").alias("analysis_group"), F.when(F.col("id") % 2 == 0, "J").otherwise("").alias("trip"),
+            F.col("id").alias("trip_id"), F.lit(1e0).alias("cod"), F.lit(1e0).alias("had")))
+        hit, placed = drawn_rows(_hashed(df, ["trip_id"]), 5, 10, 86, 3)
+        assert placed.count() == draws and hit.count() <= 1.2 * draws
+
+
 def test_bucket_offsets_number_a_stratum_without_gaps(spark):
     df = ratio_rows(spark.range(5000).select(
         F.lit("a").alias("analysis_group"), F.lit("").alias("trip"), F.col("id").alias("trip_id"),
         F.lit(1e0).alias("cod"), F.lit(1e0).alias("had")))
     hashed = _hashed(df, ["trip_id"])
-    counts = {r.bucket: r["count"] for r in hashed.groupBy("bucket").count().collect()}
+    counts = {r.b0: r["count"] for r in hashed.groupBy("b0").count().collect()}
     upto = 0
-    for r in bucket_offsets(hashed).orderBy("bucket").collect():
+    for r in bucket_offsets(hashed, STRATUM, "b0").orderBy("b0").collect():
         assert (r.start, r.stratum_rows) == (upto, 5000)
-        upto += counts[r.bucket]
+        upto += counts[r.b0]
     assert upto == 5000
 
 

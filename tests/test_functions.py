@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from haulback.functions import (
     assign_group, blank_to_empty, cod_had_ratio, decode_packed, floor_zero, in_years, length_class, observed_flag,
-    parse_dmy, pollock_dominant, safe_ratio, sector_of, tonnage_class, within_days,
+    parse_dmy, pollock_dominant, safe_ratio, sector_of, tonnage_class,
 )
 
 
@@ -80,12 +80,6 @@ def test_in_years(spark, kind):
     assert df.where(in_years(df, "t", (2020, 2021))).count() == 3
 
 
-def test_within_days(spark):
-    centre = F.to_date(F.lit("2021-03-01"))
-    near = lambda day: one(spark, within_days(F.to_date(F.lit(day)), centre, 2))
-    assert [near(d) for d in ("2021-02-26", "2021-02-27", "2021-03-03", "2021-03-04")] == [False, True, True, False]
-
-
 @pytest.mark.parametrize("cod, had, expected", [
     (8.0, 10.0, 0.8), (1.0, 0.0, math.inf), (0.0, 0.0, None), (0.0, 5.0, 0.0), (None, 5.0, None),
 ])

@@ -1,11 +1,15 @@
 """The whole run on the stand-ins: invariants, reports, the CSV route, and plans without broadcasts."""
 
+from pathlib import Path
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from haulback import run_discards
 from haulback.operators import landings, reconcile
+from haulback.operators import coverage_cells, coverage_tiers, fleet_trips
+from haulback.plans.settings import Settings
 from haulback.plans.standins import ALL_AREAS, YEARS, Standins
 from haulback.sources import read_landings_csv, write_report
 from haulback.sources.csv_tables import LANDINGS_HEADER
@@ -18,10 +22,13 @@ def standins(spark):
     return Standins(spark, SF)
 
 
-def run(standins, **options):
+SETTINGS = {"areas": ALL_AREAS, "replicates": 20}
+
+
+def run(standins, fleet=None, **options):
     s = standins
     return run_discards(s.landing_tables(), s.observer_tables(), s.zones(), s.table("positions"), s.flags(), YEARS,
-                        ALL_AREAS, nrep=20, **options)
+                        Settings(**SETTINGS, **options), fleet_trips=fleet)
 
 
 @pytest.fixture(scope="module")
@@ -68,7 +75,7 @@ def test_the_csv_route_gives_the_same_discards(spark, standins, result, tmp_path
     ]
     write_report(table.select(*columns), str(tmp_path / "landings"))
     s = standins
-    again = run_discards(None, s.observer_tables(), s.zones(), s.table("positions"), s.flags(), YEARS, nrep=20,
+    again = run_discards(None, s.observer_tables(), s.zones(), s.table("positions"), s.flags(), YEARS, Settings(replicates=20),
                          landing_rows=read_landings_csv(spark, str(tmp_path / "landings")))
     assert rounded(again.by_vessel) == rounded(result.by_vessel)
 
@@ -88,3 +95,40 @@ def test_without_any_automatic_broadcast_the_result_is_the_same(spark, standins,
 def test_one_match_keeps_the_number_of_landings(standins):
     one = run(standins, one_match=True)
     assert one.cleaned.count() == landings(standins.landing_tables(), YEARS, ALL_AREAS).count()
+
+
+def test_tiers_leave_out_fully_covered_sectors(result):
+    covered = {r.sector for r in result.fully_covered.select("sector").distinct().collect()}
+    assert covered == {886}
+    tiers = result.reports()["coverage_tiers"]
+    assert not covered & {r.sector for r in tiers.select("sector").distinct().collect()}
+    assert covered & {r.sector for r in coverage_tiers(result.cells).select("sector").distinct().collect()}
+    assert tiers.count() == coverage_cells(result.aggregated).count()
+
+
+def test_reconciled_keeps_null_weights_apart(result):
+    assert "reason" not in result.reconciled.columns and "status" in result.reconciled.columns
+
+
+def test_a_vessel_outside_the_fleet_lends_no_zone(standins):
+    nobody = fleet_trips(standins.table("chp_trips"), "NONE", "5Z", "1990-01-01", "1990-01-02")
+    none = run(standins, fleet=nobody)
+    assert none.cleaned.where("zone_source = 'vessel_track'").count() == 0
+    assert none.cleaned.where("zone_source = 'reported'").count() > 0
+
+
+def test_settings_reach_the_steps(standins, result):
+    other = run(standins, cod_had_threshold=0.2, group_rules=[("all", [881], None, None)], gear_excluded=None)
+    assert {r.analysis_group for r in other.estimates.collect()} == {"all"}
+    count = lambda r: r.cleaned.where("reason = 'cod_directed_trip'").count()
+    assert count(other) > count(result)
+    assert other.aggregated.where("gear_code = 51").count() > 0 == result.aggregated.where("gear_code = 51").count()
+
+
+def test_release_deletes_what_the_run_wrote(standins):
+    mine = run(standins)
+    mine.reports()
+    paths = [Path(p.removeprefix("file:")) for p in mine.written]
+    assert len(paths) > 10 and all(p.exists() for p in paths)
+    mine.release()
+    assert not any(p.exists() for p in paths) and not mine.written

@@ -11,6 +11,7 @@ from haulback.operators import add_cod_had_verdict, landings_crosstab, match_tab
 from haulback.plans.oracle import ORACLE
 from haulback.plans.registry import Steps, queries
 from haulback.plans.standins import STANDIN_SQL
+from haulback.session import materialize, watch_written
 
 SF = "/root/testdata/sf0.001"
 QUERIES, SQL = queries(), ORACLE
@@ -33,14 +34,47 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
 
 
+BAD_NODES = ("CartesianProduct", "NestedLoopJoin", "Python", "Pandas", "SinglePartition")
+
+
+def bad_stages(query):
+    """Nodes that don't scale, in the plan of the result or of any table written on the way."""
+    with watch_written() as written:
+        df = query()
+    found = [(bad, frame.columns) for frame in [*(f for f, _ in written), df] for bad in BAD_NODES if bad in plan(frame)]
+    return df, found
+
+
 @pytest.mark.parametrize("key", list(QUERIES))
 def test_query_equals_its_sql(spark, con, key):
-    df = QUERIES[key](spark, SF)
+    df, found = bad_stages(lambda: QUERIES[key](spark, SF))
+    assert not found
     problems = [p for p in check_queries.compare(df, con, SQL[key]) if not (p == "no rows" and key in NO_ROWS_AT_THIS_SIZE)]
     assert not problems
-    text = plan(df)
-    for bad in ("CartesianProduct", "NestedLoopJoin", "Python", "Pandas", "SinglePartition"):
-        assert bad not in text, text
+
+
+def test_a_single_partition_behind_a_written_table_is_seen(spark):
+    def planted():
+        ranked = spark.range(10).selectExpr("id", "row_number() over (order by id) as n")
+        return materialize(ranked, "planted").groupBy("n").count()
+
+    _, found = bad_stages(planted)
+    assert [bad for bad, _ in found] == ["SinglePartition"]
+
+
+def test_observer_sets_meet_the_years_trips_first(spark):
+    for step in (Steps.panels, Steps.sought):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            text = plan(step(Steps(spark, SF)), "extended")
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        optimized = text[text.index("Optimized"):text.index("Physical")]
+        lines = optimized.splitlines()
+        depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+        semi = [depth(x) for x in lines if "Join LeftSemi" in x]
+        profile = [depth(x) for x in lines if "Join Inner" in x and "fishset_id" in x]
+        assert semi and profile and min(semi) > min(profile)
 
 
 def test_entry_is_the_full_pipeline(spark):

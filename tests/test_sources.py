@@ -24,6 +24,20 @@ def test_landings_csv_is_read_by_name(spark, tmp_path):
         (2, "Be, ta", 101, dt.date(2021, 1, 4), "", 1.0, None, 0.0, None)]
 
 
+def test_csv_files_of_other_column_order_are_not_mixed_up(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text(CSV)
+    (tmp_path / "in" / "b.csv").write_text(CSV.replace("110,100,", "100,110,", 1))
+    with pytest.raises(Exception, match="(?s)CSV header does not conform"):
+        read_landings_csv(spark, str(tmp_path / "in")).collect()
+
+
+def test_a_missing_column_is_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(CSV.replace("TRIP_ID", "OTHER"))
+    with pytest.raises(ValueError, match="TRIP_ID"):
+        read_landings_csv(spark, str(tmp_path / "a.csv"))
+
+
 @pytest.mark.parametrize("fmt", ["csv", "parquet"])
 def test_report_round_trip(spark, tmp_path, fmt):
     df = spark.createDataFrame([("a", 1.5), ("b", None)], "zones_q string, mean double")
@@ -41,15 +55,18 @@ def test_materialize_writes_to_the_configured_folder(spark):
 
 
 def test_a_cluster_must_name_its_shared_folder():
-    def session(master, folder, checkpoint=None):
+    def session(master, folder, checkpoint=None, mount=None):
         return SimpleNamespace(
-            conf=SimpleNamespace(get=lambda key, default: folder),
+            conf=SimpleNamespace(get=lambda key, default: folder if key == "spark.checkpoint.dir" else (mount or default)),
             sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: checkpoint))
 
     assert shared_folder(session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
     assert shared_folder(session("yarn", None, "hdfs:///set/by/user")) == "hdfs:///set/by/user"
-    with pytest.raises(RuntimeError):
-        shared_folder(session("yarn", None))
+    for folder in (None, "file:///tmp/own"):
+        with pytest.raises(RuntimeError):
+            shared_folder(session("yarn", folder))
+    assert shared_folder(session("yarn", "file:///mnt/shared", mount="true")) == "file:///mnt/shared"
+    assert shared_folder(session("local[2]", "file:///tmp/own")) == "file:///tmp/own"
 
 
 def landing_tables(spark):
