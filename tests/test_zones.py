@@ -116,12 +116,13 @@ def test_fleet_positions(spark):
     assert rows(means) == [(1, dt.date(2021, 6, 1), 1.0, 2.0)]
 
 
-def test_needed_days_bound_the_scan_of_positions(spark, tmp_path):
+def test_needed_days_bound_the_scan_of_positions(spark, tmp_path, capsys):
     spark.sql("select 1L vr_number, timestamp_ntz '2021-06-01 23:59:59' position_utc_date, 1e0 latitude, 2e0 longitude "
               "union all select 1L, timestamp_ntz '2021-06-03 00:00:00', 1e0, 2e0").write.parquet(str(tmp_path / "p"))
     days = spark.createDataFrame([(1, dt.date(2021, 5, 30)), (1, dt.date(2021, 6, 2))], "vr_number long, date date")
     found = positions_between(spark.read.parquet(str(tmp_path / "p")), days)
     assert found.count() == 1
-    text = found._jdf.queryExecution().toString()
+    found.explain("formatted")
+    text = capsys.readouterr().out
     assert "GreaterThanOrEqual(position_utc_date,2021-05-30T00:00)" in text and "LessThan(position_utc_date,2021-06-03T00:00)" in text
     assert positions_between(found, days.where("1 = 0")).count() == 0
