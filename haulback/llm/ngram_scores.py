@@ -6,7 +6,7 @@ shards, and each shard first builds its part of the trie from the training docum
 from a file of the task, and then scores the n-grams of all documents:
 
 * level 1: the context hashes, monotone; where each context's successors begin, monotone; their counts;
-* level 2: successors as 48-bit words, made monotone by adding what the contexts before have used up, and searched
+* level 2: successors as 40 bits of their hashes, made monotone by adding what the contexts before have used up, and searched
   relative to their context; beside them the smoothed log probability, quantised to 256 levels.
 
 Smoothing is by absolute discounting: a successor seen c times after a context of count C has (c - D) / C; any other
@@ -43,6 +43,8 @@ SENT_TOKENS, SENT_DOCS = 2_000_000, 60_000
 BEGIN = np.uint64(xxhash.xxh3_64_intdigest(b"\n begin"))
 END = np.uint64(xxhash.xxh3_64_intdigest(b"\n end"))
 _PART = np.uint64((1 << 48) - 1)
+#: Of a successor, what is told apart within its context. With fewer than 2^23 contexts a shard, a trie's values stay below 2^63.
+_RELATIVE = np.uint64((1 << 40) - 1)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -163,7 +165,7 @@ class Trie:
 
     @staticmethod
     def build(context: np.ndarray, word: np.ndarray, count: np.ndarray, total: np.ndarray | None = None, split: int = 1) -> bytes:
-        """From distinct n-grams by context and word, words of 48 bits.
+        """From distinct n-grams by context and word, words of 40 bits.
 
         ``total``: the counts of the contexts, where other shards hold a part of their successors; of so many shards
         this one stands for all.
@@ -250,7 +252,8 @@ def scores(docs: DataFrame, training: Column) -> DataFrame:
     log10 1 = 0 in both. Every row comes back once, rows that repeat others with the same scores; a null doc_id stays
     null; an empty table gives no row; other columns aren't read.
 
-    Word counts are exact by 64-bit hashes; successors are told apart by 48 bits.
+    Word counts are exact by 64-bit hashes; the words of unseen n-grams are looked up by 48 bits, and successors of one
+    context told apart by 40.
     """
     rows = docs.select("doc_id", "text", training.alias("training"), F.xxhash64("doc_id", "text").alias("row"))
     light = materialize(rows.select("doc_id", "row"), "row-keys")
@@ -295,7 +298,7 @@ def scores(docs: DataFrame, training: Column) -> DataFrame:
                 spool.write(len(payload).to_bytes(8, "little") + payload)
                 _, trained, contexts, runs, word, doc, count = _unpack(payload)
                 mine = trained[doc]
-                learned.append((np.repeat(contexts, runs)[mine], word[mine], count[mine]))
+                learned.append((np.repeat(contexts, runs)[mine], word[mine] & _RELATIVE, count[mine]))
                 pending += int(mine.sum())
                 if pending > SHARD_TOKENS // 2:
                     learned, pending = _merged(learned), 0
@@ -316,7 +319,7 @@ def scores(docs: DataFrame, training: Column) -> DataFrame:
             spool.seek(0)
             while size := spool.read(8):
                 row, _, contexts, runs, word, doc, count = _unpack(spool.read(int.from_bytes(size, "little")))
-                c, log, seen = trie.find(contexts, runs, word)
+                c, log, seen = trie.find(contexts, runs, word & _RELATIVE)
                 if shard >= shards.plain:
                     c = np.array([frequent[int(x)] for x in contexts], dtype=np.int64)
                 owner = np.repeat(np.arange(len(contexts)), runs)
