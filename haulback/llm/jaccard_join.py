@@ -354,7 +354,8 @@ def similar_groups(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100
     pairs = one.join(two, "part").filter((F.col("one") <= F.col("two")) & (F.lit(den) * F.col("high_one") >= F.lit(num) * F.col("low_two")))
     sides = pairs.select("part", "one", "two", F.explode(F.array_distinct(F.array("one", "two"))).alias("tile"))
     texts = docs.select(F.col("doc_id").alias("holder"), "text")
-    with_text = placed.join(texts, "holder")
+    # merged at any size: what is compared grows with the input, so its side is never sent to all tasks
+    with_text = placed.join(texts.hint("merge"), "holder")
     found = materialize(verified(with_text.join(sides, ["part", "tile"]), rule), "links")
 
     roots = components(found.select(F.col("set_id").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "set_id")
