@@ -377,13 +377,20 @@ def one_of_each(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -
     Rows without shingles all stay; a null doc_id stays only where no row of its component has one.
     """
     found = materialize(similar_groups(docs, size, num, den), "similar")
-    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
-    first = found.filter("root is not null").groupBy("root").agg(F.min(order).alias("first")).select("first.doc_id", "first.text_hash")
-    bare = found.filter("root is null").select("doc_id", "text_hash")
-    stay = first.withColumn("alone", F.lit(True)).unionByName(bare.withColumn("alone", F.lit(False))).distinct()
-    stay = stay.select(F.col("doc_id").alias("stay_id"), F.col("text_hash").alias("stay_hash"), "alone")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("by_id"), F.xxhash64("text").alias("by_hash"))
-    met = rows.join(stay, F.expr("by_id <=> stay_id and by_hash = stay_hash"))
-    copy = F.row_number().over(Window.partitionBy("by_id", "by_hash").orderBy("by_id"))
-    kept = met.withColumn("copy", copy).filter("not alone or copy = 1")
+    bare = found.filter("root is null").select("doc_id", "text_hash").distinct()
+    rows = found.filter("root is not null").groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("copies"))
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "copies")
+    first = materialize(rows.groupBy("root").agg(F.min(order).alias("first")).select("first.*"), "firsts")
+    once = first.filter("copies = 1").select("doc_id", "text_hash").unionByName(bare)
+    repeated = first.filter("copies > 1").select("doc_id", "text_hash")
+    kept = _rows_of(docs, once)
+    if not repeated.isEmpty():  # rows that are equal in doc_id and text: any one of them
+        kept = kept.unionByName(_rows_of(docs, repeated).dropDuplicates(["by_id", "by_hash"]))
     return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+
+
+def _rows_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``docs`` as struct ``row``, with by_id and by_hash, that ``wanted`` (doc_id, text_hash) names."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("by_id"), F.xxhash64("text").alias("by_hash"))
+    wanted = wanted.select(F.col("doc_id").alias("stay_id"), F.col("text_hash").alias("stay_hash"))
+    return rows.join(wanted, F.expr("by_id <=> stay_id and by_hash = stay_hash"), "left_semi")
