@@ -15,7 +15,7 @@ SPACES = "[\\x20\\x09-\\x0D]"
 WORD = "[^\\x20\\x09-\\x0D]+"
 WEIGHTS = (3, 1, 2)
 #: Documents that share a key range, about, over all sources.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 
 
 def word_count(text: Column) -> Column:
