@@ -87,7 +87,7 @@ def rules() -> dict[str, Column]:
         "word_chars": ~(F.col("word_chars") / F.col("n_words")).between(*WORD_CHARS),
         "alphabetic": 100 * F.regexp_count(text, F.lit("\\p{L}[^\\x20\\x09-\\x0D]*")) < LEAST_ALPHABETIC_PERCENT * F.col("n_words"),
         "bullet_lines": percent_of_lines("^[\\x20\\x09-\\x0D]*[-*•●◦]", MOST_BULLET_LINES_PERCENT),
-        "ellipsis_lines": percent_of_lines("(\\.\\.\\.|…)[\\x20\\x09-\\x0D]*$", MOST_ELLIPSIS_LINES_PERCENT),
+        "ellipsis_lines": percent_of_lines("(\\.\\.\\.|…)[\\x20\\x09-\\x0D]*\\z", MOST_ELLIPSIS_LINES_PERCENT),
     }
 
 
@@ -118,3 +118,32 @@ def judged(docs: DataFrame) -> DataFrame:
     return base_counts(docs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base_failed().alias("base_failed"), verdict.isNull().alias("kept"), verdict.alias("rule"))
+
+
+#: The contract's rows for DuckDB, all rules in one expression.
+ORACLE_SQL = rf"""
+with texts as (
+    select doc_id, coalesce(text, '') as body, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words,
+           list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+    from documents),
+places as (select doc_id, words, unnest(range(len(words) - {WINDOW - 1})) as pos from texts where len(words) >= {WINDOW}),
+windows as (select doc_id, pos, array_to_string(words[pos + 1 : pos + {WINDOW}], ' ') as span from places),
+found as (select doc_id, pos from windows join (select doc_id, span from windows group by doc_id, span having count(*) > 1) using (doc_id, span)),
+followed as (select doc_id, pos, lead(pos) over (partition by doc_id order by pos) as next_pos from found),
+repeated as (select doc_id, sum(least({WINDOW}, coalesce(next_pos - pos, {WINDOW})))::bigint as n from followed group by doc_id),
+counted as (
+    select doc_id, words, lines, len(words)::bigint as n_words,
+           length(regexp_replace(body, '[\x20\x09-\x0D]', '', 'g'))::bigint as word_chars,
+           length(regexp_replace(body, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols,
+           (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines, coalesce(repeated.n, 0)::bigint as n_repeat_words
+    from texts left join repeated using (doc_id)),
+judged as (
+    select *, n_words < {LEAST_WORDS} or 100 * n_repeat_words > {MOST_REPEATED_PERCENT} * n_words as base_failed from counted)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not base_failed and 100 * n_symbols <= {MOST_SYMBOLS_PERCENT} * n_words and 100 * n_dup_lines <= {MOST_DUP_LINES_PERCENT} * len(lines)
+       and word_chars / n_words between {WORD_CHARS[0]} and {WORD_CHARS[1]}
+       and 100 * len(list_filter(words, lambda x: regexp_matches(x, '\p{{L}}'))) >= {LEAST_ALPHABETIC_PERCENT} * n_words
+       and 100 * len(list_filter(lines, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*•●◦]'))) <= {MOST_BULLET_LINES_PERCENT} * len(lines)
+       and 100 * len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*\z'))) <= {MOST_ELLIPSIS_LINES_PERCENT} * len(lines) as kept
+from judged
+"""

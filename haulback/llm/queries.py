@@ -7,13 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulback.llm import line_dedup, mixing, ngram_scores
+from haulback.llm import line_dedup, mixing, ngram_scores, quality
 from haulback.llm.fingerprints import fingerprints
 from haulback.llm.jaccard_join import similar_groups
 from haulback.llm.language_id import held_out, identify, train_dictionaries
 from haulback.llm.licences import scan
 from haulback.llm.packing import pack
-from haulback.llm.quality import judged
 from haulback.llm.simple8b import read_ids, write_ids
 from haulback.llm.tables import documents
 
@@ -40,7 +39,7 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judged(documents(spark, sf_dir)).drop("rule")
+    return quality.judged(documents(spark, sf_dir)).drop("rule")
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,5 +71,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op4_line_dedup": line_dedup.ORACLE_SQL,
+    "op6_quality_rules": quality.ORACLE_SQL,
     "op10_source_mixing": mixing.ORACLE_SQL,
 }
