@@ -32,6 +32,8 @@ TILE_SETS = 1000
 LEAF = 32
 #: Points of a block whose pairs are bounded; the points of a larger one count as hanging together, and are verified as such.
 BLOCK_POINTS = 1024
+#: Sets that a task remembers so as to give the keys of copies once.
+KEPT_SETS = 1_000_000
 #: Coordinates of a point at most, and the largest value of one; cutting counts off only loosens the bound.
 MOST_GROUPS, MOST_COUNT = 256, 255
 
@@ -160,21 +162,28 @@ def _set_id(shingles: np.ndarray) -> int:
 
 
 def sets_of(docs: DataFrame, rule: Threshold) -> DataFrame:
-    """Per row: doc_id, text_hash, n (shingles), set_id (64-bit hash of the set; null if empty), and keys and points by size class."""
+    """Per row: doc_id, text_hash, n (shingles), set_id (64-bit hash of the set; null if empty), and keys and points by size class.
+
+    A task gives those of a set once (``KEPT_SETS`` of them are remembered), and no classes for its copies.
+    """
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
+            given = set()
             for doc_id, text_hash, text in columns(batches, "doc_id", "text_hash", "text"):
                 shingles = shingle_set(text, rule.size)
                 if not len(shingles):
                     yield doc_id, text_hash, 0, None, []
                     continue
-                classes = []
-                for k in rule.classes(len(shingles)):
+                classes, set_id = [], _set_id(shingles)
+                for k in rule.classes(len(shingles)) if set_id not in given else ():
                     keys = rule.keys(shingles, k)
                     if keys is not None:
                         classes.append({"class": k, "keys": keys.view(np.int64), "point": rule.point(shingles, k).tobytes()})
-                yield doc_id, text_hash, len(shingles), _set_id(shingles), classes
+                if len(given) >= KEPT_SETS:
+                    given.clear()
+                given.add(set_id)
+                yield doc_id, text_hash, len(shingles), set_id, classes
 
         yield from batched(rows(), _SETS, most=512)
 
@@ -195,8 +204,11 @@ def candidate_edges(blocks: DataFrame, rule: Threshold) -> DataFrame:
                     yield from closed(ids, sizes, points)
                     held_key, ids, sizes, points, hub = key, [], [], [], None
                 if hub is not None:
-                    yield hub, set_id
+                    if hub != set_id:
+                        yield hub, set_id
                     continue
+                if ids and ids[-1] == set_id:
+                    continue  # from another task
                 ids.append(set_id)
                 sizes.append(n)
                 points.append(point)
@@ -331,16 +343,16 @@ def similar_groups(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100
     """
     rule = Threshold(num, den, size)
     sets = materialize(sets_of(docs, rule), "sets")
-    distinct = sets.filter("set_id is not null").groupBy("set_id").agg(
-        F.first("n").alias("n"), F.first("classes").alias("classes"), F.count("*").alias("copies"), F.min("doc_id").alias("holder"))
-    distinct = materialize(distinct.filter("holder is not null"), "distinct-sets")
-    by_class = distinct.select("set_id", "n", F.explode("classes").alias("c")).select("set_id", "n", "c.class", "c.keys", "c.point")
+    distinct = materialize(sets.filter("set_id is not null").groupBy("set_id").agg(
+        F.first("n").alias("n"), F.count("*").alias("copies"), F.min("doc_id").alias("holder")).filter("holder is not null"), "distinct-sets")
+    by_class = sets.filter("doc_id is not null or n > 0").select("set_id", "n", F.explode("classes").alias("c")).select("set_id", "n", "c.class", "c.keys", "c.point")
     keys = by_class.select("set_id", "class", F.explode("keys").alias("key"))
     # a key of one set only is no block
-    in_key = Window.partitionBy("key").orderBy("set_id")
-    met = keys.withColumn("before", F.lag("set_id").over(in_key)).withColumn("after", F.lead("set_id").over(in_key))
-    met = met.filter("before is not null or after is not null").select("key", "set_id", "class")
-    blocks = met.join(by_class.select("set_id", "class", "n", "point"), ["set_id", "class"]).select("key", "set_id", "n", "point")
+    in_key = Window.partitionBy("key")
+    met = keys.withColumn("low", F.min("set_id").over(in_key)).withColumn("high", F.max("set_id").over(in_key))
+    met = met.filter("low < high").select("key", "set_id", "class")
+    points = by_class.groupBy("set_id", "class").agg(F.first("n").alias("n"), F.first("point").alias("point"))
+    blocks = met.join(points, ["set_id", "class"]).select("key", "set_id", "n", "point")
     parts = components(candidate_edges(blocks, rule)).select(F.col("node").alias("set_id"), F.col("root").alias("part"))
 
     # tiles of bounded work, by size of set: similar sets have similar sizes
