@@ -69,7 +69,7 @@ class Compressors:
     def __call__(self, text: str | None) -> tuple[str, float, float]:
         """Language, score and margin: 1 - best/second and second/best - 1; ``und`` where there's no letter."""
         text = plain_words(text or "")
-        if not text or not self.by_language:
+        if not any(map(str.isalpha, text)) or not self.by_language:  # a superscript isn't a letter
             return UNDETERMINED, 0.0, 0.0
         slices = [text[at : at + SLICE].encode() for at in range(0, len(text), SLICE)]
         sizes = sorted((sum(len(c.compress(s)) for s in slices), lang) for lang, c in self.by_language.items())
