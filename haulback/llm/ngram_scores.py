@@ -36,9 +36,9 @@ from haulback.session import materialize
 DISCOUNT = 0.75
 LEVELS = 256
 #: Tokens whose n-grams one shard holds, about.
-SHARD_TOKENS = 4_000_000
+SHARD_TOKENS = 2_500_000
 #: Tokens of documents sent off together, and documents at most.
-SENT_TOKENS, SENT_DOCS = 2_000_000, 60_000
+SENT_TOKENS, SENT_DOCS = 800_000, 60_000
 
 BEGIN = np.uint64(xxhash.xxh3_64_intdigest(b"\n begin"))
 END = np.uint64(xxhash.xxh3_64_intdigest(b"\n end"))

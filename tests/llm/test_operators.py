@@ -359,7 +359,7 @@ def brute_scores(plain, trained):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("shard_tokens", [4_000_000, 300])
+@pytest.mark.parametrize("shard_tokens", [2_500_000, 300])
 def test_scores_against_a_plain_model(odd_docs, plain, monkeypatch, shard_tokens):
     monkeypatch.setattr(ngram_scores, "SHARD_TOKENS", shard_tokens)
     got = ngram_scores.scores(odd_docs, ~ngram_scores.held_out(F.col("doc_id")))
