@@ -150,7 +150,9 @@ def train(docs: DataFrame) -> LicenceModel:
 
 def _scored(grams: DataFrame, model: LicenceModel, *keys: str) -> DataFrame:
     """Of the paragraphs (row, pos, grams) with any n-gram of the model: ``best`` family, its ``margin`` over ordinary text, their n-grams."""
-    exploded = grams.select("row", "pos", *keys, F.size("grams").alias("n_grams"), F.explode("grams").alias("gram"))
+    # outer: an inner explode brings a filter on the array, which the optimizer would work out anew from the text below;
+    # the join drops what has no n-gram
+    exploded = grams.select("row", "pos", *keys, F.size("grams").alias("n_grams"), F.explode_outer("grams").alias("gram"))
     classes = list(model.intercepts)
     met = exploded.join(model.weights, "gram").groupBy("row", "pos", "n_grams", *keys).agg(
         *[F.sum(F.get("w", F.lit(k))).alias(f"w{k}") for k in range(len(classes))], F.collect_set("gram").alias("met"))
@@ -165,7 +167,8 @@ def licence_paragraphs(docs: DataFrame, model: LicenceModel) -> DataFrame:
 
     ``family`` is ``unknown`` where the calibrated confidence is too low, or no template confirms it.
     """
-    found = _scored(_grams(paragraphs(docs), "words"), model).filter("margin > 0")
+    # few rows, read twice
+    found = materialize(_scored(_grams(paragraphs(docs), "words"), model).filter("margin > 0"), "licence-paragraphs")
     met = found.select("row", "pos", F.col("best").alias("family"), "n_grams", "margin", F.explode("met").alias("gram"))
     shared = met.join(model.templates, ["gram", "family"]).groupBy("row", "pos", "id").agg(
         F.count("*").alias("n"), F.first("n_template").alias("n_template"), F.first("n_grams").alias("n_grams"))
