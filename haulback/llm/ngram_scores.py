@@ -13,7 +13,9 @@ Smoothing is by absolute discounting: a successor seen c times after a context o
 has D * T / C (T: distinct successors) times its smoothed unigram probability, and just that after an unknown context.
 The unigram counts of unseen n-grams come from an ordinary join with the table of word counts.
 
-A context that makes up more than a share of all tokens is split by successor into shards of its own.
+A context that makes up more than a share of all tokens is split by successor into shards of its own. Each of these
+knows the counts of its own successors only; C and T are summed over the shards afterwards, and enter the scores by
+how many n-grams of a document were seen after the context, and how many not.
 """
 
 from __future__ import annotations
@@ -106,9 +108,9 @@ class Shards:
             shard[hot] = self.first[at[hot]] + (word[hot] % self.parts[at[hot]].astype(np.uint64)).astype(np.int64)
         return shard
 
-    def split(self, shard: int) -> int:
-        """Into how many shards the contexts of this one are split."""
-        return int(self.parts[np.searchsorted(self.first, shard, side="right") - 1]) if shard >= self.plain else 1
+    def split(self, shard: int) -> int | None:
+        """The context that this shard holds a part of."""
+        return int(self.words[np.searchsorted(self.first, shard, side="right") - 1]) if shard >= self.plain else None
 
 
 def _ngrams(docs: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -164,23 +166,22 @@ class Trie:
     """One shard of the model, read from a buffer that :meth:`build` has made."""
 
     @staticmethod
-    def build(context: np.ndarray, word: np.ndarray, count: np.ndarray, total: np.ndarray | None = None, split: int = 1) -> bytes:
+    def build(context: np.ndarray, word: np.ndarray, count: np.ndarray, whole: bool = True) -> bytes:
         """From distinct n-grams by context and word, words of 40 bits.
 
-        ``total``: the counts of the contexts, where other shards hold a part of their successors; of so many shards
-        this one stands for all.
+        Not ``whole``: other shards hold a part of the successors, and probabilities are still to be divided by C.
         """
         first = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1]))) if len(context) else np.zeros(0, np.int64)
         ends = np.append(first[1:], len(context)) if len(context) else first
-        sums = total if total is not None else (np.add.reduceat(count, first) if len(first) else first)
+        sums = np.add.reduceat(count, first) if len(first) else first
         last = word[ends - 1] if len(first) else word
         if last.astype(np.float64).sum() >= 2.0**63:
             raise ValueError("too many contexts for one shard")
         base = np.concatenate(([np.uint64(0)], np.cumsum(last[:-1] + np.uint64(1), dtype=np.uint64))) if len(first) else word
         owner = np.repeat(np.arange(len(first)), ends - first)
-        exact = np.log10((count - DISCOUNT) / sums[owner]) if len(first) else np.zeros(0)
+        exact = np.log10((count - DISCOUNT) / (sums[owner] if whole else 1)) if len(first) else np.zeros(0)
         levels, codes_of = _quantised(exact)
-        spare = np.log10(np.minimum(1.0, DISCOUNT * split * (ends - first) / np.maximum(sums, 1))) if len(first) else np.zeros(0)
+        spare = np.log10(np.minimum(1.0, DISCOUNT * (ends - first) / np.maximum(sums, 1))) if len(first) else np.zeros(0)
         codes = [encode(context[first]), encode(first.astype(np.uint64)), encode(base), encode(base[owner] + word)]
         arrays = [sums.astype("<i8"), spare.astype("<f8"), levels.astype("<f8"), codes_of]
         head = np.array([len(x) for x in arrays], "<u8").tobytes()
@@ -240,7 +241,7 @@ def _merged(parts: list[tuple]) -> list[tuple]:
 
 
 _SENT = pa.schema([("shard", pa.int32()), ("payload", pa.binary())])
-_SCORED = pa.schema([("row", pa.int64()), ("word", pa.int64()), ("n", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
+_SCORED = pa.schema([("row", pa.int64()), ("context", pa.int64()), ("word", pa.int64()), ("n", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
 
 
 def scores(docs: DataFrame, training: Column) -> DataFrame:
@@ -307,11 +308,11 @@ def scores(docs: DataFrame, training: Column) -> DataFrame:
 
         def answered(shard, spool, learned):
             context, word, count = _merged(learned)[0]
-            total = None
-            if shard >= shards.plain:
-                total = np.array([frequent[int(c)] for c in context[:1]], dtype=np.int64)
+            split = shards.split(shard)
+            if split is not None:  # T and C of this part
+                yield from table([0], split, None, np.array([len(word)]), np.array([count.sum()]), None, None, of_rows=False)
             levels = tempfile.TemporaryFile()
-            levels.write(Trie.build(context, word, count, total, shards.split(shard)))
+            levels.write(Trie.build(context, word, count, split is None))
             levels.flush()
             del context, word, count
             learned.clear()
@@ -320,35 +321,45 @@ def scores(docs: DataFrame, training: Column) -> DataFrame:
             while size := spool.read(8):
                 row, _, contexts, runs, word, doc, count = _unpack(spool.read(int.from_bytes(size, "little")))
                 c, log, seen = trie.find(contexts, runs, word & _RELATIVE)
-                if shard >= shards.plain:
-                    c = np.array([frequent[int(x)] for x in contexts], dtype=np.int64)
+                if split is not None:
+                    c, log = np.full(len(contexts), frequent[split], dtype=np.int64), np.where(seen, log, 0.0)
                 owner = np.repeat(np.arange(len(contexts)), runs)
                 is_word = contexts[owner] != BEGIN
                 n = np.bincount(doc, count, len(row)).astype(np.int64)
                 known = np.bincount(doc, count * (is_word & (c[owner] > 0)), len(row)).astype(np.int64)
                 base = np.bincount(doc, count * is_word * np.log10(c + 1.0)[owner], len(row))
                 score = np.bincount(doc, count * log, len(row))
-                yield from table(row, None, n, known, base, score)
+                yield from table(row, None, None, n, known, base, score)
+                if split is not None:
+                    met = np.bincount(doc, count * seen, len(row)).astype(np.int64)
+                    yield from table(row, split, None, n - met, met, None, None)
                 new = np.flatnonzero(~seen)
                 if len(new):  # the unigrams of unseen n-grams, still to be looked up
-                    yield from table(row[doc[new]], word[new], count[new], None, None, None)
+                    yield from table(row[doc[new]], None, word[new], count[new], None, None, None)
             spool.close()
             levels.close()
 
-        def table(row, word, n, known, base, score):
+        def table(row, context, word, n, known, base, score, of_rows=True):
             for at in range(0, len(row), 1 << 15):
                 part = slice(at, at + (1 << 15))
                 size = len(row[part])
+                held = np.full(len(row), context, np.uint64) if context is not None else None
                 yield pa.RecordBatch.from_arrays([
                     pa.array(x[part].astype(f.type.to_pandas_dtype())) if x is not None else pa.nulls(size, f.type)
-                    for x, f in zip((row, word, n, known, base, score), _SCORED, strict=True)], schema=_SCORED)
+                    for x, f in zip((row if of_rows else None, held, word, n, known, base, score), _SCORED, strict=True)], schema=_SCORED)
 
         yield from results()
 
-    ddl = "row bigint, word bigint, n bigint, known bigint, base double, score double"
+    ddl = "row bigint, context bigint, word bigint, n bigint, known bigint, base double, score double"
     payloads = rows.select("row", "text", "training").mapInArrow(sent, "shard int, payload binary")
     found = materialize(payloads.repartition(shards.total, "shard").sortWithinPartitions("shard").mapInArrow(scored, ddl), "ngrams")
-    parts = found.filter("word is null").groupBy("row").agg(
+    # as few as split contexts
+    whole = found.filter("row is null").groupBy("context").agg(F.log10(F.sum("known")).alias("c"), F.log10(DISCOUNT * F.sum("n")).alias("t"))
+    after = found.filter("row is not null and context is not null").join(F.broadcast(whole), "context")
+    after = after.select("row", *[F.lit(0).cast(t).alias(x) for x, t in (("n", "long"), ("known", "long"), ("base", "double"))], (
+        F.col("n") * F.least(F.lit(0.0), F.col("t") - F.col("c")) - F.col("known") * F.col("c")).alias("score"))
+    sums = found.filter("row is not null and context is null and word is null").select(after.columns).unionByName(after)
+    parts = sums.groupBy("row").agg(
         F.sum("n").alias("n"), F.sum("known").alias("known"), F.sum("base").alias("base"), F.sum("score").alias("score"))
     short = counts.groupBy(F.col("word").bitwiseAND(int(_PART)).alias("word")).agg(F.sum("c").alias("c"))
     unseen = found.filter("word is not null").select("row", "word", "n").join(short, "word", "left")

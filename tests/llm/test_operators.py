@@ -371,6 +371,18 @@ def test_scores_against_a_plain_model(odd_docs, plain, monkeypatch, shard_tokens
         assert a[:4] == b[:4] and a[4] == pytest.approx(b[4], rel=1e-9) and a[5] == pytest.approx(b[5], rel=loose, abs=0.3)
 
 
+def test_split_contexts_back_off_as_whole_ones(spark, monkeypatch):
+    # "hot" has few successors, so that most of its shards learn none
+    texts = [" ".join(f"hot {'ab'[(k + j) % 2]}" for j in range(60)) for k in range(6)] + [" ".join(f"hot unseen{k} w{k}" for k in range(40))]
+    made = list(enumerate(texts))
+    docs = spark.createDataFrame(made, "doc_id bigint, text string")
+    monkeypatch.setattr(ngram_scores, "SHARD_TOKENS", 60)
+    got = ngram_scores.scores(docs, F.col("doc_id") < 6)
+    want = brute_scores([(i, t, None) for i, t in made], lambda i: i < 6)
+    for r, b in zip(sorted(got.collect(), key=lambda r: r["doc_id"]), sorted(want), strict=True):
+        assert r["score"] == pytest.approx(b[5], rel=0.01)
+
+
 def test_scores_without_training(odd_docs):
     out = ngram_scores.scores(odd_docs, F.lit(False))
     assert {(r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in out.collect()} == {(0, 0, 0.0, 0.0)}
