@@ -1,21 +1,24 @@
 """N-gram language-model scores from sharded Elias-Fano tries.
 
-A word is a 64-bit hash. The model is a trie of two levels, contexts and their successors, cut into shards by context,
-so that neither the model nor its vocabulary ever has to fit into one task. Documents send their n-grams to the
-shards, and each shard first builds its part of the trie from the training documents' n-grams, maps it into memory
-from a file of the task, and then scores the n-grams of all documents:
+A word is a 64-bit hash. The model has two tries, of words and of pairs of words as contexts, with their successors, cut
+into shards by the previous word, so that neither the model nor its vocabulary ever has to fit into one task. Documents
+send their n-grams to the shards, and each shard first builds its part of the tries from the training documents'
+n-grams, maps it into memory from a file of the task, and then scores the n-grams of all documents. Of each trie:
 
 * level 1: the context hashes, monotone; where each context's successors begin, monotone; their counts;
 * level 2: successors as 40 bits of their hashes, made monotone by adding what the contexts before have used up, and searched
   relative to their context; beside them the smoothed log probability, quantised to 256 levels.
 
 Smoothing is by absolute discounting: a successor seen c times after a context of count C has (c - D) / C; any other
-has D * T / C (T: distinct successors) times its smoothed unigram probability, and just that after an unknown context.
-The unigram counts of unseen n-grams come from an ordinary join with the table of word counts.
-
-A context that makes up more than a share of all tokens is split by successor into shards of its own. Each of these
-knows the counts of its own successors only; C and T are summed over the shards afterwards, and enter the scores by
-how many n-grams of a document were seen after the context, and how many not.
+has D * T / C (T: distinct successors) times its probability of the order below, and just that after an unknown context:
+after a pair that after its second word, after a word the smoothed unigram probability. A text's first word has its
+begin as context, and no pair. The unigram counts of unseen n-grams come from an ordinary join with the table of word counts.
+
+A word that makes up more than a share of all tokens is split into shards of its own. Where pairs are contexts that's by
+pair: each is in one shard, and the unseen n-grams meet the word's successors in a join. Else, and for a pair that is as
+frequent itself, it's by successor. Each of these shards knows the counts of its own successors only; C and T are summed
+over the shards afterwards, and enter the scores by how many n-grams of a document were seen after the context, and how
+many not.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulback.llm.elias_fano import EliasFano, encode
-from haulback.llm.shingles import word_hashes
+from haulback.llm.shingles import mixed, word_hashes
 from haulback.llm.tables import batched, columns
 from haulback.session import materialize
 
@@ -39,6 +42,8 @@ DISCOUNT = 0.75
 LEVELS = 256
 #: Tokens whose n-grams one shard holds, about.
 SHARD_TOKENS = 2_500_000
+#: Bytes of a shard's n-grams that wait in memory to be scored; more go to a file.
+SPOOLED = 64 << 20
 #: Tokens of documents sent off together, and documents at most.
 SENT_TOKENS, SENT_DOCS = 800_000, 60_000
 
@@ -47,6 +52,10 @@ END = np.uint64(xxhash.xxh3_64_intdigest(b"\n end"))
 _PART = np.uint64((1 << 48) - 1)
 #: Of a successor, what is told apart within its context. With fewer than 2^23 contexts a shard, a trie's values stay below 2^63.
 _RELATIVE = np.uint64((1 << 40) - 1)
+#: Of a pair's first word, what is told apart before its second; the last bit says that there is one.
+_EARLIER = np.uint64((1 << 32) - 1)
+#: A batch of documents tells of the pairs that are at least such a part of it: those to split are many times that in most.
+PAIR_SHARE = 1 / 40_000
 
 
 def held_out(doc_id: Column) -> Column:
@@ -54,21 +63,33 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 7 == 2, F.lit(False))
 
 
-def word_counts(training: DataFrame) -> DataFrame:
-    """(word, c): how often each token, the end of each text included, occurs; words as 64-bit hashes.
+def word_counts(training: DataFrame, order: int = 2) -> DataFrame:
+    """(word, pair, c): how often each token, the end of each text included, occurs; words as 64-bit hashes.
 
-    Counted within each batch of documents first, then across.
+    Counted within each batch of documents first, then across. At order 3 also the pairs (true) that are frequent in a
+    batch: their counts, from the batches where they are.
     """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for hashes in _grouped(((word_hashes(text), None) for (text,) in columns(batches, "text"))):
-            tokens = np.concatenate([x for x, _ in hashes] + [np.full(len(hashes), END)])
-            word, c = np.unique(tokens, return_counts=True)
-            for at in range(0, len(word), 1 << 16):
-                part = slice(at, at + (1 << 16))
-                yield pa.RecordBatch.from_arrays([pa.array(word[part].view(np.int64)), pa.array(c[part].astype(np.int64))], names=["word", "c"])
+            tokens, contexts, earlier, _ = _tokens(hashes, order)
+            found = [np.unique(tokens, return_counts=True)]
+            if order > 2:
+                pair, c = np.unique(pairs_of(contexts, earlier)[earlier > 0], return_counts=True)
+                often = c > max(1, len(tokens) * PAIR_SHARE)
+                found.append((pair[often], c[often]))
+            for is_pair, (word, c) in enumerate(found):
+                for at in range(0, len(word), 1 << 16):
+                    part = slice(at, at + (1 << 16))
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(word[part].view(np.int64)), pa.array(np.full(len(c[part]), bool(is_pair))), pa.array(c[part].astype(np.int64))], names=["word", "pair", "c"])
+
+    return training.select("text").mapInArrow(counted, "word bigint, pair boolean, c bigint").groupBy("word", "pair").agg(F.sum("c").alias("c"))
+
 
-    return training.select("text").mapInArrow(counted, "word bigint, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
+def pairs_of(context: np.ndarray, earlier: np.ndarray) -> np.ndarray:
+    """Hashes, of 48 bits, of the pairs of a context and what is kept of the word before it."""
+    return mixed(context + earlier.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(16)
 
 
 def _grouped(rows: Iterator[tuple]) -> Iterator[list]:
@@ -84,72 +105,133 @@ def _grouped(rows: Iterator[tuple]) -> Iterator[list]:
 
 
 class Shards:
-    """Which shard holds the n-grams of a context. ``frequent``: (word hash, count) of the contexts to split."""
+    """Which shard holds an n-gram. ``frequent`` and ``pairs``: (hash, count) of the words and pairs to split.
+
+    ``by_pair``: the words whose n-grams are split by pair, not by successor.
+    """
 
-    def __init__(self, tokens: int, frequent: list[tuple[int, int]]):
+    def __init__(self, tokens: int, frequent: list[tuple[int, int]], pairs: list[tuple[int, int]] = (), by_pair: frozenset[int] = frozenset()):
         self.plain = max(1, -(-tokens // SHARD_TOKENS))
-        share = max(1, tokens // self.plain)
+        self.share = max(1, tokens // self.plain)
+        self.words, self.parts, self.first, self.total = self._placed(frequent, self.plain)
+        self.by_pair = np.array([int(w) in by_pair for w in self.words], dtype=bool)
+        self.begin_pairs = self.total
+        self.pairs, self.pair_parts, self.pair_first, self.total = self._placed(pairs, self.total)
+
+    def _placed(self, frequent, begin: int):
         frequent = sorted(frequent)
-        self.words = np.array([w for w, _ in frequent], dtype=np.uint64)
-        self.parts = np.array([2 * c // share + 1 for _, c in frequent], dtype=np.int64)
-        self.first = self.plain + np.cumsum(self.parts) - self.parts
-        self.total = int(self.plain + self.parts.sum())
+        parts = np.array([2 * c // self.share + 1 for _, c in frequent], dtype=np.int64)
+        return np.array([w for w, _ in frequent], dtype=np.uint64), parts, begin + np.cumsum(parts) - parts, int(begin + parts.sum())
 
     @staticmethod
     def is_frequent(tokens: int) -> int:
         """Count from which a context is split: half a shard. So at most twice as many contexts as shards are."""
         return max(1, tokens // max(1, -(-tokens // SHARD_TOKENS)) // 2)
 
-    def __call__(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    def __call__(self, context: np.ndarray, word: np.ndarray, earlier: np.ndarray) -> np.ndarray:
         shard = ((context >> np.uint64(32)) * np.uint64(self.plain) >> np.uint64(32)).astype(np.int64)
-        if len(self.words):
-            at = np.minimum(np.searchsorted(self.words, context), len(self.words) - 1)
-            hot = np.flatnonzero(self.words[at] == context)
-            shard[hot] = self.first[at[hot]] + (word[hot] % self.parts[at[hot]].astype(np.uint64)).astype(np.int64)
+        if not len(self.words):
+            return shard
+        at = np.minimum(np.searchsorted(self.words, context), len(self.words) - 1)
+        hot = np.flatnonzero(self.words[at] == context)
+        at = at[hot]
+        pair = pairs_of(context[hot], earlier[hot])
+        by = np.where(self.by_pair[at], pair, word[hot])
+        shard[hot] = self.first[at] + (by % self.parts[at].astype(np.uint64)).astype(np.int64)
+        if len(self.pairs):  # both words of a frequent pair are frequent
+            at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+            as_frequent = np.flatnonzero((self.pairs[at] == pair) & (earlier[hot] > 0))
+            at = at[as_frequent]
+            shard[hot[as_frequent]] = self.pair_first[at] + (word[hot[as_frequent]] % self.pair_parts[at].astype(np.uint64)).astype(np.int64)
         return shard
 
-    def split(self, shard: int) -> int | None:
-        """The context that this shard holds a part of."""
-        return int(self.words[np.searchsorted(self.first, shard, side="right") - 1]) if shard >= self.plain else None
+    def split(self, shard: int) -> tuple[int | None, bool]:
+        """The context (word or pair) whose successors this shard holds a part of, and whether a word's pairs are split."""
+        if shard >= self.begin_pairs:
+            return int(self.pairs[np.searchsorted(self.pair_first, shard, side="right") - 1]), True
+        if shard < self.plain:
+            return None, False
+        k = np.searchsorted(self.first, shard, side="right") - 1
+        return (None, True) if self.by_pair[k] else (int(self.words[k]), False)
 
 
-def _ngrams(docs: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """context, word, document, count of the distinct n-grams of some documents, by context, word, document."""
+def _tokens(docs: list, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each token of some documents: its hash, that of the context, what is kept of the word before (0: none), its document."""
     lengths = np.array([len(h) + 1 for h, _ in docs])
     tokens = np.concatenate([x for h, _ in docs for x in (h, [END])]).astype(np.uint64)
+    begins = np.cumsum(lengths) - lengths
     contexts = np.empty_like(tokens)
     contexts[1:] = tokens[:-1]
-    contexts[np.cumsum(lengths) - lengths] = BEGIN
-    vocabulary, place = np.unique(np.concatenate([tokens, contexts]), return_inverse=True)
-    bits, doc_bits = np.int64(len(vocabulary)).item().bit_length(), len(docs).bit_length()
-    doc = np.repeat(np.arange(len(docs)), lengths)
-    key = (((place[len(tokens):] << bits) | place[: len(tokens)]) << doc_bits) | doc
-    key, count = np.unique(key, return_counts=True)
-    pair = key >> doc_bits
-    return vocabulary[pair >> bits], vocabulary[pair & ((1 << bits) - 1)], key & ((1 << doc_bits) - 1), count
+    contexts[begins] = BEGIN
+    earlier = np.zeros(len(tokens), np.uint64)
+    if order > 2:
+        earlier[1:] = (contexts[:-1] & _EARLIER) | np.uint64(1)
+        earlier[begins] = 0
+    return tokens, contexts, earlier, np.repeat(np.arange(len(docs)), lengths)
 
 
-def _pack(context, word, doc, count, rows, training) -> bytes:
-    """N-grams of one shard, in order, with the row keys of their documents."""
-    starts = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1])))
+def _ngrams(docs: list, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """context, word, earlier, document, count of the distinct n-grams of some documents, by context, word, earlier, document."""
+    tokens, contexts, earlier, doc = _tokens(docs, order)
+    vocabulary, place = np.unique(np.concatenate([tokens, contexts]), return_inverse=True)
+    bits, doc_bits = np.int64(len(vocabulary)).item().bit_length(), len(docs).bit_length()
+    key = (place[len(tokens):] << bits) | place[: len(tokens)]
+    if order > 2:
+        pairs, key = np.unique(key, return_inverse=True)
+        # the context of the token before
+        before = np.concatenate(([0], place[len(tokens) : -1] + 1))
+        before[earlier == 0] = 0
+        key = (key << bits + 1) | before
+    key, count = np.unique((key << doc_bits) | doc, return_counts=True)
+    doc, key = key & ((1 << doc_bits) - 1), key >> doc_bits
+    if order > 2:
+        before, key = key & ((1 << bits + 1) - 1), pairs[key >> bits + 1]
+        earlier = np.where(before > 0, (vocabulary[before - 1] & _EARLIER) | np.uint64(1), np.uint64(0))
+    else:
+        earlier = np.zeros(len(key), np.uint64)
+    return vocabulary[key >> bits], vocabulary[key & ((1 << bits) - 1)], earlier, doc, count
+
+
+def _starts(*columns_: np.ndarray) -> np.ndarray:
+    """Where a row of some columns differs from the one before."""
+    if not len(columns_[0]):
+        return np.zeros(0, np.int64)
+    return np.flatnonzero(np.concatenate(([True], np.logical_or.reduce([c[1:] != c[:-1] for c in columns_]))))
+
+
+#: Which arrays of a payload are compressed: hashes don't get smaller; lengths, documents and counts do.
+_KINDS = (("<i8", False), (np.uint8, True), ("<u8", False), ("<u4", True), ("<u4", False), (np.uint8, False), (np.uint8, False), ("<u4", True), ("<u4", False), ("<u4", True), ("<u2", True), ("<u4", True))
+
+
+def _pack(context, word, earlier, doc, count, rows, training) -> bytes:
+    """N-grams of one shard, in order, with the row keys of their documents: contexts, their words, what is before them, documents."""
+    ones, twos, threes = _starts(context), _starts(context, word), _starts(context, word, earlier)
     seen, place = np.unique(doc, return_inverse=True)
+    words, before = word[twos], earlier[threes]
+    # what is learned needs 40 bits of a word; the unigram that may have to be looked up for others, 48
+    long = np.logical_or.reduceat(~training[doc], twos)
     arrays = [
-        rows[seen].astype("<i8"), training[seen].astype(np.uint8), context[starts].astype("<u8"), np.diff(np.append(starts, len(context))).astype("<u4"),
-        (word & np.uint64(0xFFFFFFFF)).astype("<u4"), (word >> np.uint64(32)).astype("<u2"), place.astype("<u2"), count.astype("<u4")]
-    # hashes don't compress; lengths, documents and counts do
-    packed = [a.tobytes() if k in (0, 2, 4, 5) else zlib.compress(a.tobytes(), 1) for k, a in enumerate(arrays)]
+        rows[seen], training[seen], context[ones], np.diff(np.append(np.searchsorted(twos, ones), len(twos))),
+        words & np.uint64(0xFFFFFFFF), (words >> np.uint64(32)) & np.uint64(0xFF), (words[long] >> np.uint64(40)) & np.uint64(0xFF), np.diff(np.append(np.searchsorted(threes, twos), len(threes))),
+        before if before.any() else before[:0], np.diff(np.append(threes, len(context))), place, count]
+    packed = [zlib.compress(a.astype(kind).tobytes(), 1) if small else a.astype(kind).tobytes() for a, (kind, small) in zip(arrays, _KINDS, strict=True)]
     return b"".join([np.array([len(p) for p in packed], "<u4").tobytes(), *packed])
 
 
 def _unpack(payload: bytes):
-    lengths = np.frombuffer(payload, "<u4", 8)
-    ends = 32 + np.cumsum(lengths, dtype=np.int64)
-    kinds = ("<i8", np.uint8, "<u8", "<u4", "<u4", "<u2", "<u2", "<u4")
+    """rows, training; contexts and how many words follow each; words and how many are before each; those and their documents; doc, count."""
+    lengths = np.frombuffer(payload, "<u4", len(_KINDS))
+    ends = 4 * len(_KINDS) + np.cumsum(lengths, dtype=np.int64)
     parts = [payload[e - n : e] for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
-    rows, training, contexts, runs, low, high, doc, count = (
-        np.frombuffer(p if k in (0, 2, 4, 5) else zlib.decompress(p), kind) for k, (p, kind) in enumerate(zip(parts, kinds, strict=True)))
-    word = low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32))
-    return rows, training.astype(bool), contexts, runs, word, doc, count.astype(np.int64)
+    rows, training, contexts, words_of, low, middle, high, before_of, before, docs_of, doc, count = (
+        np.frombuffer(zlib.decompress(p) if small else p, kind) for p, (kind, small) in zip(parts, _KINDS, strict=True))
+    word = low.astype(np.uint64) | (middle.astype(np.uint64) << np.uint64(32))
+    training = training.astype(bool)
+    begins = np.cumsum(docs_of, dtype=np.int64) - docs_of
+    long = np.logical_or.reduceat(~training[doc], begins[np.cumsum(before_of, dtype=np.int64) - before_of])
+    word[long] |= high.astype(np.uint64) << np.uint64(40)
+    before = before.astype(np.uint64) if len(before) else np.zeros(len(docs_of), np.uint64)
+    return rows, training, contexts, words_of, word, before_of, before, docs_of, doc, count.astype(np.int64)
 
 
 def _quantised(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -166,10 +248,10 @@ class Trie:
     """One shard of the model, read from a buffer that :meth:`build` has made."""
 
     @staticmethod
-    def build(context: np.ndarray, word: np.ndarray, count: np.ndarray, whole: bool = True) -> bytes:
+    def build(context: np.ndarray, word: np.ndarray, count: np.ndarray, whole: bool = True, counted: bool = True) -> bytes:
         """From distinct n-grams by context and word, words of 40 bits.
 
-        Not ``whole``: other shards hold a part of the successors, and probabilities are still to be divided by C.
+        Not ``whole``: other shards hold a part of the successors, and probabilities are still to be divided by C. Not ``counted``: without the contexts' counts.
         """
         first = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1]))) if len(context) else np.zeros(0, np.int64)
         ends = np.append(first[1:], len(context)) if len(context) else first
@@ -183,7 +265,7 @@ class Trie:
         levels, codes_of = _quantised(exact)
         spare = np.log10(np.minimum(1.0, DISCOUNT * (ends - first) / np.maximum(sums, 1))) if len(first) else np.zeros(0)
         codes = [encode(context[first]), encode(first.astype(np.uint64)), encode(base), encode(base[owner] + word)]
-        arrays = [sums.astype("<i8"), spare.astype("<f8"), levels.astype("<f8"), codes_of]
+        arrays = [sums.astype("<i8") if counted else sums[:0].astype("<i8"), spare.astype("<f4"), levels.astype("<f8"), codes_of]
         head = np.array([len(x) for x in arrays], "<u8").tobytes()
         return head + b"".join(codes) + b"".join(a.tobytes() for a in arrays)
 
@@ -195,12 +277,12 @@ class Trie:
         self.successors = EliasFano(buffer, self.bases.end)
         at = self.successors.end
         self.counts = np.frombuffer(buffer, "<i8", n, at)
-        self.spare = np.frombuffer(buffer, "<f8", m, at + 8 * n)
-        self.levels = np.frombuffer(buffer, "<f8", k, at + 8 * (n + m))
-        self.codes = np.frombuffer(buffer, np.uint8, e, at + 8 * (n + m + k))
+        self.spare = np.frombuffer(buffer, "<f4", m, at + 8 * n)
+        self.levels = np.frombuffer(buffer, "<f8", k, at + 8 * n + 4 * m)
+        self.codes = np.frombuffer(buffer, np.uint8, e, at + 8 * (n + k) + 4 * m)
 
     def find(self, contexts: np.ndarray, runs: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of each context its count (0: unknown); of each n-gram its log10 probability, and whether it was seen.
+        """Of each context its count (0: unknown, or not counted); of each n-gram its log10 probability, and whether it was seen.
 
         For an unseen one that's the share left to the unigram, 0 (all of it) after an unknown context.
         """
@@ -210,8 +292,9 @@ class Trie:
             return count, log, seen
         at = np.minimum(self.contexts.successor(contexts), self.contexts.n - 1)
         known = self.contexts.access(at) == contexts
-        count[known] = self.counts[at[known]]
-        spare = np.where(known, self.spare[at], 0.0)
+        if len(self.counts):
+            count[known] = self.counts[at[known]]
+        spare = np.where(known, self.spare[at].astype(np.float64), 0.0)
         base, begin = self.bases.access(at), self.begins.access(at).astype(np.int64)
         end = np.where(at + 1 < self.contexts.n, self.begins.access(np.minimum(at + 1, self.contexts.n - 1)).astype(np.int64), self.successors.n)
         owner = np.repeat(np.arange(len(contexts)), runs)
@@ -233,32 +316,35 @@ class Trie:
 
 
 def _merged(parts: list[tuple]) -> list[tuple]:
-    context, word, count = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.lexsort((word, context))
-    context, word, count = context[order], word[order], count[order]
-    first = np.flatnonzero(np.concatenate(([True], (context[1:] != context[:-1]) | (word[1:] != word[:-1])))) if len(context) else order
-    return [(context[first], word[first], np.add.reduceat(count, first) if len(first) else count)]
+    context, word, earlier, count = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.lexsort((earlier, word, context))
+    context, word, earlier, count = context[order], word[order], earlier[order], count[order]
+    first = _starts(context, word, earlier)
+    return [(context[first], word[first], earlier[first], np.add.reduceat(count, first) if len(first) else count)]
 
 
 _SENT = pa.schema([("shard", pa.int32()), ("payload", pa.binary())])
 _SCORED = pa.schema([("row", pa.int64()), ("context", pa.int64()), ("word", pa.int64()), ("n", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
 
 
-def scores(docs: DataFrame, training: Column) -> DataFrame:
+def scores(docs: DataFrame, training: Column, order: int = 2) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_tokens, n_known, train_tokens, base_score, score.
 
     Tokens are the words (runs without ASCII white space, A-Z lower-cased) and one end. ``n_known`` are those that
     occur in the rows of ``training``; ``base_score`` is the sum of log10((c + 1) / (N + V + 1)), ``score`` the log10
-    probability of the trie. A null or empty text is its end alone. Where nothing is trained on, every token has
+    probability of the tries, of words and, at ``order`` 3, of pairs. A null or empty text is its end alone. Where nothing is trained on, every token has
     log10 1 = 0 in both. Every row comes back once, rows that repeat others with the same scores; a null doc_id stays
     null; an empty table gives no row; other columns aren't read.
 
     Word counts are exact by 64-bit hashes; the words of unseen n-grams are looked up by 48 bits, and successors of one
-    context told apart by 40.
+    context told apart by 40, the words before it by 31.
     """
+    if order not in (2, 3):
+        raise ValueError(f"order {order} is neither 2 nor 3")
     rows = docs.select("doc_id", "text", training.alias("training"), F.xxhash64("doc_id", "text").alias("row"))
     light = materialize(rows.select("doc_id", "row"), "row-keys")
-    counts = materialize(word_counts(rows.filter("training")), "word-counts")
+    counted = materialize(word_counts(rows.filter("training"), order), "word-counts")
+    counts = counted.filter("not pair").select("word", "c")
     sizes = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     tokens, vocabulary = sizes["n"] or 0, sizes["v"]
     ends_row = counts.filter(F.col("word") == int(END.astype(np.int64))).first()
@@ -269,7 +355,8 @@ def scores(docs: DataFrame, training: Column) -> DataFrame:
     frequent.pop(int(END), None)
     if ends > most:
         frequent[int(BEGIN)] = ends
-    shards = Shards(tokens, list(frequent.items()))
+    pairs = [(int(np.int64(r["word"]).astype(np.uint64)), r["c"]) for r in counted.filter(F.col("pair") & (F.col("c") > most)).collect()]
+    shards = Shards(tokens, list(frequent.items()), pairs, frozenset(frequent) - {int(BEGIN)} if order > 2 else frozenset())
     log_all = float(np.log10(tokens + vocabulary + 1))
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,13 +365,13 @@ def scores(docs: DataFrame, training: Column) -> DataFrame:
             for group in _grouped(source):
                 row = np.array([r for _, (r, _) in group], dtype=np.int64)
                 trained = np.array([t for _, (_, t) in group], dtype=bool)
-                context, word, doc, count = _ngrams(group)
-                shard = shards(context, word)
-                order = np.argsort(shard, kind="stable")
-                bounds = np.searchsorted(shard[order], np.arange(shards.total + 1))
+                context, word, earlier, doc, count = _ngrams(group, order)
+                shard = shards(context, word, earlier)
+                by_shard = np.argsort(shard, kind="stable")
+                bounds = np.searchsorted(shard[by_shard], np.arange(shards.total + 1))
                 for s in np.flatnonzero(np.diff(bounds)).tolist():
-                    mine = order[bounds[s] : bounds[s + 1]]
-                    yield s, _pack(context[mine], word[mine], doc[mine], count[mine], row, trained)
+                    mine = by_shard[bounds[s] : bounds[s + 1]]
+                    yield s, _pack(context[mine], word[mine], earlier[mine], doc[mine], count[mine], row, trained)
 
         yield from batched(payloads(), _SENT, most=64, weight=lambda r: len(r[1]), most_weight=8 << 20)
 
@@ -295,11 +382,13 @@ def scores(docs: DataFrame, training: Column) -> DataFrame:
                 if shard != held:
                     if held is not None:
                         yield from answered(held, spool, learned)
-                    held, spool, learned, pending = shard, tempfile.TemporaryFile(), [], 0
+                    held, spool, learned, pending = shard, tempfile.SpooledTemporaryFile(SPOOLED), [], 0
                 spool.write(len(payload).to_bytes(8, "little") + payload)
-                _, trained, contexts, runs, word, doc, count = _unpack(payload)
-                mine = trained[doc]
-                learned.append((np.repeat(contexts, runs)[mine], word[mine] & _RELATIVE, count[mine]))
+                _, trained, contexts, words_of, word, before_of, before, docs_of, doc, count = _unpack(payload)
+                taught = np.add.reduceat(count * trained[doc], np.cumsum(docs_of, dtype=np.int64) - docs_of)
+                mine = taught > 0
+                learned.append((
+                    np.repeat(np.repeat(contexts, words_of), before_of)[mine], np.repeat(word & _RELATIVE, before_of)[mine], before[mine], taught[mine]))
                 pending += int(mine.sum())
                 if pending > SHARD_TOKENS // 2:
                     learned, pending = _merged(learned), 0
@@ -307,43 +396,78 @@ def scores(docs: DataFrame, training: Column) -> DataFrame:
                 yield from answered(held, spool, learned)
 
         def answered(shard, spool, learned):
-            context, word, count = _merged(learned)[0]
-            split = shards.split(shard)
+            context, word, earlier, count = _merged(learned)[0]
+            learned.clear()
+            split, by_pair = shards.split(shard)
+            # the pairs' level; then the words', unless it's in other shards too
+            has_pair = np.flatnonzero(earlier > 0)
+            pair = pairs_of(context[has_pair], earlier[has_pair])
+            by = np.lexsort((word[has_pair], pair))
+            upper = built(pair[by], word[has_pair][by], count[has_pair][by], split is None or not by_pair, counted=False)
+            del pair, by, has_pair, earlier
+            first = _starts(context, word)
+            context, word, count = context[first], word[first], np.add.reduceat(count, first) if len(first) else count
             if split is not None:  # T and C of this part
                 yield from table([0], split, None, np.array([len(word)]), np.array([count.sum()]), None, None, of_rows=False)
-            levels = tempfile.TemporaryFile()
-            levels.write(Trie.build(context, word, count, split is None))
-            levels.flush()
+            if by_pair:
+                yield from table(word, context, word, count, None, None, None, of_rows=False)
+                context, word, count = context[:0], word[:0], count[:0]
+            lower = built(context, word, count, split is None)
             del context, word, count
-            learned.clear()
-            trie = Trie(np.memmap(levels, dtype=np.uint8, mode="r"))
+            tries = [Trie(np.memmap(x, dtype=np.uint8, mode="r")) for x in (upper, lower)]
             spool.seek(0)
             while size := spool.read(8):
-                row, _, contexts, runs, word, doc, count = _unpack(spool.read(int.from_bytes(size, "little")))
-                c, log, seen = trie.find(contexts, runs, word & _RELATIVE)
-                if split is not None:
-                    c, log = np.full(len(contexts), frequent[split], dtype=np.int64), np.where(seen, log, 0.0)
-                owner = np.repeat(np.arange(len(contexts)), runs)
-                is_word = contexts[owner] != BEGIN
-                n = np.bincount(doc, count, len(row)).astype(np.int64)
-                known = np.bincount(doc, count * (is_word & (c[owner] > 0)), len(row)).astype(np.int64)
-                base = np.bincount(doc, count * is_word * np.log10(c + 1.0)[owner], len(row))
-                score = np.bincount(doc, count * log, len(row))
-                yield from table(row, None, None, n, known, base, score)
-                if split is not None:
-                    met = np.bincount(doc, count * seen, len(row)).astype(np.int64)
-                    yield from table(row, split, None, n - met, met, None, None)
-                new = np.flatnonzero(~seen)
-                if len(new):  # the unigrams of unseen n-grams, still to be looked up
-                    yield from table(row[doc[new]], None, word[new], count[new], None, None, None)
-            spool.close()
-            levels.close()
+                yield from asked(split, by_pair, *tries, *_unpack(spool.read(int.from_bytes(size, "little"))))
+            for x in (spool, upper, lower):
+                x.close()
+
+        def built(context, word, count, whole, counted=True):
+            levels = tempfile.TemporaryFile()
+            levels.write(Trie.build(context, word, count, whole, counted))
+            levels.flush()
+            return levels
+
+        def asked(split, by_pair, upper, lower, row, _, contexts, words_of, word, before_of, before, docs_of, doc, count):
+            of_context = np.repeat(np.arange(len(contexts)), words_of)
+            of_word = np.repeat(np.arange(len(word)), before_of)
+            c, log, seen = lower.find(contexts, words_of, word & _RELATIVE)
+            if split is not None or by_pair:
+                c, log = np.array([frequent[x] for x in contexts.tolist()], dtype=np.int64), np.where(seen, log, 0.0)
+            log, seen = log[of_word], seen[of_word]
+            # pairs first; what they haven't seen is left to the words
+            has_pair = np.flatnonzero(before > 0)
+            if len(has_pair):
+                pair, mine = pairs_of(contexts[of_context[of_word[has_pair]]], before[has_pair]), word[of_word[has_pair]] & _RELATIVE
+                by = np.lexsort((mine, pair))
+                first = _starts(pair[by])
+                _, upper_log, upper_seen = upper.find(pair[by][first], np.diff(np.append(first, len(by))), mine[by])
+                has_pair = has_pair[by]
+                if split is not None and by_pair:
+                    upper_log = np.where(upper_seen, upper_log, 0.0)
+                log[has_pair] = np.where(upper_seen, upper_log, upper_log + log[has_pair])
+                seen[has_pair] |= upper_seen
+            of_entry = np.repeat(np.arange(len(before)), docs_of)
+            log, seen = log[of_entry], seen[of_entry]
+            owner = of_context[of_word[of_entry]]
+            is_word = contexts[owner] != BEGIN
+            n = np.bincount(doc, count, len(row)).astype(np.int64)
+            known = np.bincount(doc, count * (is_word & (c[owner] > 0)), len(row)).astype(np.int64)
+            base = np.bincount(doc, count * is_word * np.log10(c + 1.0)[owner], len(row))
+            score = np.bincount(doc, count * log, len(row))
+            yield from table(row, None, None, n, known, base, score)
+            if split is not None:
+                met = np.bincount(doc, count * seen, len(row)).astype(np.int64)
+                yield from table(row, split, None, n - met, met, None, None)
+            new = np.flatnonzero(~seen)
+            if len(new):  # the unigrams of unseen n-grams, still to be looked up, after the successors that other shards hold too
+                after = contexts[owner[new]] if by_pair else None
+                yield from table(row[doc[new]], after, word[of_word[of_entry[new]]], count[new], None, None, None)
 
         def table(row, context, word, n, known, base, score, of_rows=True):
             for at in range(0, len(row), 1 << 15):
                 part = slice(at, at + (1 << 15))
                 size = len(row[part])
-                held = np.full(len(row), context, np.uint64) if context is not None else None
+                held = np.broadcast_to(np.asarray(context, np.uint64), len(row)) if context is not None else None
                 yield pa.RecordBatch.from_arrays([
                     pa.array(x[part].astype(f.type.to_pandas_dtype())) if x is not None else pa.nulls(size, f.type)
                     for x, f in zip((row if of_rows else None, held, word, n, known, base, score), _SCORED, strict=True)], schema=_SCORED)
@@ -354,16 +478,30 @@ def scores(docs: DataFrame, training: Column) -> DataFrame:
     payloads = rows.select("row", "text", "training").mapInArrow(sent, "shard int, payload binary")
     found = materialize(payloads.repartition(shards.total, "shard").sortWithinPartitions("shard").mapInArrow(scored, ddl), "ngrams")
     # as few as split contexts
-    whole = found.filter("row is null").groupBy("context").agg(F.log10(F.sum("known")).alias("c"), F.log10(DISCOUNT * F.sum("n")).alias("t"))
-    after = found.filter("row is not null and context is not null").join(F.broadcast(whole), "context")
+    whole = found.filter("row is null and word is null").groupBy("context").agg(F.log10(F.sum("known")).alias("c"), F.log10(DISCOUNT * F.sum("n")).alias("t"))
+    after = found.filter("row is not null and context is not null and word is null").join(F.broadcast(whole), "context")
     after = after.select("row", *[F.lit(0).cast(t).alias(x) for x, t in (("n", "long"), ("known", "long"), ("base", "double"))], (
         F.col("n") * F.least(F.lit(0.0), F.col("t") - F.col("c")) - F.col("known") * F.col("c")).alias("score"))
     sums = found.filter("row is not null and context is null and word is null").select(after.columns).unionByName(after)
     parts = sums.groupBy("row").agg(
         F.sum("n").alias("n"), F.sum("known").alias("known"), F.sum("base").alias("base"), F.sum("score").alias("score"))
     short = counts.groupBy(F.col("word").bitwiseAND(int(_PART)).alias("word")).agg(F.sum("c").alias("c"))
-    unseen = found.filter("word is not null").select("row", "word", "n").join(short, "word", "left")
-    unseen = unseen.groupBy("row").agg(F.sum(F.col("n") * (F.log10(F.coalesce("c", F.lit(0)) + 1) - log_all)).alias("unigrams"))
+    unseen = found.filter("row is not null and context is null and word is not null").select("row", "word", "n", F.lit(0.0).alias("spare"))
+    if shards.by_pair.any():
+        relative = F.col("word").bitwiseAND(int(_RELATIVE)).alias("relative")
+        after = found.filter("row is null and word is not null").groupBy("context", relative).agg(F.sum("n").alias("c"))
+        # as few as split contexts
+        spare = after.groupBy("context").agg(F.sum("c").alias("all"), F.least(F.lit(0.0), F.log10(DISCOUNT * F.count("*") / F.sum("c"))).alias("spare"))
+        wanted = found.filter("row is not null and context is not null and word is not null").select("row", "context", "word", relative, "n")
+        wanted = wanted.join(after, ["context", "relative"], "left").join(F.broadcast(spare), "context", "left")
+        # a word that was seen after the context has its probability, and no unigram
+        unseen = unseen.unionByName(wanted.select(
+            "row", F.when(F.col("c").isNull(), F.col("word")).alias("word"), "n",
+            F.when(F.col("c").isNull(), F.coalesce("spare", F.lit(0.0))).otherwise(F.log10((F.col("c") - DISCOUNT) / F.col("all"))).alias("spare")))
+    settled = unseen.filter("word is null").select("row", (F.col("n") * F.col("spare")).alias("unigram"))
+    unseen = unseen.filter("word is not null").withColumn("short", F.col("word").bitwiseAND(int(_PART))).join(short.withColumnRenamed("word", "short"), "short", "left")
+    unseen = unseen.select("row", (F.col("n") * (F.col("spare") + F.log10(F.coalesce("c", F.lit(0)) + 1) - log_all)).alias("unigram"))
+    unseen = unseen.unionByName(settled).groupBy("row").agg(F.sum("unigram").alias("unigrams"))
     # rows that repeat a document have sent its n-grams as often
     copies = light.groupBy("row").agg(F.count("*").alias("copies"))
     sums = parts.join(unseen, "row", "left").join(copies, "row").select("row", *[

@@ -49,7 +49,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = ngram_scores.scores(documents(spark, sf_dir), ~ngram_scores.held_out(F.col("doc_id")))
+    scored = ngram_scores.scores(documents(spark, sf_dir), ~ngram_scores.held_out(F.col("doc_id")), order=3)
     return scored.withColumn("held_out", ngram_scores.held_out(F.col("doc_id")))
 
 

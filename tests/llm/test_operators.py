@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from haulback.llm import (
-    components, fingerprints, jaccard_join, language_id, licences, line_dedup, mixing, ngram_scores, packing, quality, simple8b,
+    components, fingerprints, jaccard_join, language_id, licences, line_dedup, mixing, ngram_scores, packing, quality, queries, simple8b,
 )
 from haulback.llm.token_ids import text_encoder, tokenizer_path
 
@@ -383,6 +383,49 @@ def test_split_contexts_back_off_as_whole_ones(spark, monkeypatch):
         assert r["score"] == pytest.approx(b[5], rel=0.01)
 
 
+def brute_trigrams(made, trained):
+    """Per doc_id: the score by pairs, words and unigrams, each backing off to the next."""
+    texts = {i: [*lowered(t), "\n"] for i, t in made}
+    c, after = Counter(w for i, t in texts.items() if trained(i) for w in t), defaultdict(Counter)
+    contexts = lambda t, k: [(t[k - 2] if k > 1 else None, t[k - 1])] * (k > 0) + [t[k - 1] if k else None]
+    for i, t in texts.items():
+        if trained(i):
+            for k, w in enumerate(t):
+                for u in contexts(t, k):
+                    after[u][w] += 1
+
+    def log(w, given):
+        if not given:
+            return math.log10((c[w] + 1) / (sum(c.values()) + len(c) + 1))
+        seen = after.get(given[0], Counter())
+        if seen[w]:
+            return math.log10((seen[w] - 0.75) / sum(seen.values()))
+        return log(w, given[1:]) + (math.log10(0.75 * len(seen) / sum(seen.values())) if seen else 0)
+
+    return {i: sum(log(w, contexts(t, k)) for k, w in enumerate(t)) for i, t in texts.items()}
+
+
+@pytest.mark.parametrize("shard_tokens", [2_500_000, 300, 60])
+def test_third_order_scores_against_a_plain_model(spark, monkeypatch, shard_tokens):
+    monkeypatch.setattr(ngram_scores, "SHARD_TOKENS", shard_tokens)
+    made = [(k, text_of(k, 50)) for k in range(20)] + [(20 + k, " ".join(f"hot pair {'ab'[(k + j) % 2]}" for j in range(30))) for k in range(4)]
+    made += [(100, " ".join(f"hot pair unseen{k} the fox pair b" for k in range(9))), (101, "hot a pair b quick hot pair pair a hot"), (102, None), (103, text_of(4, 30) + " " + text_of(9, 30)), (104, "one")]
+    docs = spark.createDataFrame(made, "doc_id bigint, text string").repartition(3)
+    want = brute_trigrams(made, lambda i: i < 100 and i % 5)
+    out = ngram_scores.scores(docs, (F.col("doc_id") < 100) & (F.col("doc_id") % 5 != 0), order=3)
+    got = {r["doc_id"]: r["score"] for r in out.collect()}
+    assert got.keys() == want.keys()
+    for i, score in got.items():
+        assert score == pytest.approx(want[i], rel=0.01, abs=0.02), i
+
+
+def test_the_query_scores_pairs(spark, monkeypatch):
+    given = []
+    monkeypatch.setattr(queries.ngram_scores, "scores", lambda docs, training, order=2: given.append(order) or docs.select("doc_id"))
+    queries.op8_lm_scoring(spark, "/root/testdata/sf0.001")
+    assert given == [3]
+
+
 def test_scores_without_training(odd_docs):
     out = ngram_scores.scores(odd_docs, F.lit(False))
     assert {(r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in out.collect()} == {(0, 0, 0.0, 0.0)}
