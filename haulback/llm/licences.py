@@ -112,7 +112,7 @@ def train(docs: DataFrame) -> LicenceModel:
     lines = paragraphs(chosen.select("doc_id", "text")).filter((F.col("pos") < ORDINARY_LINES) & (F.size("words") > 1))
     lines = materialize(_grams(lines, "words"), "licence-lines")
     exploded = lines.select("row", "pos", F.explode("grams").alias("gram"))
-    met = exploded.join(templates.select("gram").distinct(), "gram").groupBy("row", "pos").agg(F.count("*").alias("shared"))
+    met = exploded.join(templates.select("gram").distinct(), "gram").groupBy("row", "pos").agg(F.count_distinct("gram").alias("shared"))
     ordinary = lines.join(met.filter("shared > 2"), ["row", "pos"], "left_anti").select(F.lit(ORDINARY).alias("family"), "grams")
 
     rows = positive.unionByName(ordinary)
@@ -154,8 +154,10 @@ def _scored(grams: DataFrame, model: LicenceModel, *keys: str) -> DataFrame:
     # the join drops what has no n-gram
     exploded = grams.select("row", "pos", *keys, F.size("grams").alias("n_grams"), F.explode_outer("grams").alias("gram"))
     classes = list(model.intercepts)
-    met = exploded.join(model.weights, "gram").groupBy("row", "pos", "n_grams", *keys).agg(
-        *[F.sum(F.get("w", F.lit(k))).alias(f"w{k}") for k in range(len(classes))], F.collect_set("gram").alias("met"))
+    # a set: rows that are repeated bring the same n-grams again
+    met = exploded.join(model.weights, "gram").groupBy("row", "pos", "n_grams", *keys).agg(F.array_sort(F.collect_set(F.struct("gram", "w"))).alias("terms"))
+    met = met.select("row", "pos", "n_grams", *keys, F.col("terms.gram").alias("met"), *[
+        F.aggregate(F.transform("terms", lambda t: F.get(t["w"], F.lit(k))), F.lit(0.0), lambda total, w: total + w).alias(f"w{k}") for k in range(len(classes))])  # noqa: B023
     logit = [F.col(f"w{k}") + model.intercepts[c] for k, c in enumerate(classes)]
     ranked = F.array_max(F.array(*[F.struct(x.alias("logit"), F.lit(c).alias("family")) for x, c in zip(logit[1:], classes[1:], strict=True)]))
     judged = met.withColumn("first", ranked)
@@ -189,8 +191,7 @@ def scan(docs: DataFrame) -> DataFrame:
     aren't read.
     """
     narrow = docs.select("doc_id", "text")
-    # a row that is repeated is scanned once
-    found = licence_paragraphs(narrow, train(narrow)).dropDuplicates(["row", "pos"])
+    found = licence_paragraphs(narrow, train(narrow))
     by_row = found.groupBy("row").agg(
         F.count("*").alias("n_licence"), F.array_join(F.sort_array(F.collect_set("family")), ",").alias("families"), F.max("confidence").alias("confidence"))
     worded = F.size(F.filter(F.split("text", "\n", -1), lambda x: F.rlike(x, F.lit("[\\p{L}\\p{N}]"))))

@@ -265,6 +265,16 @@ def test_licences_are_found_and_ordinary_text_is_left_alone(spark, odd_docs):
     assert out.count() == filler.count() + 5
 
 
+def test_repeated_rows_score_as_one(spark, odd_docs):
+    lines = ["Released under the MIT License.", "a copy of the license was in the file", "the use of this library is free of charge", "distributed under the law of the land"]
+    once = spark.createDataFrame([(None if k % 2 else k, x) for k, x in enumerate(lines)], "doc_id bigint, text string")
+    model = licences.train(odd_docs.select("doc_id", "text").unionByName(once))
+    grams = lambda docs: licences._grams(licences.paragraphs(docs), "words")
+    margins = lambda docs: sorted((r["row"], r["pos"], round(r["margin"], 6)) for r in licences._scored(grams(docs), model).collect())
+    copies = spark.createDataFrame([tuple(r) for r in once.collect()] * 9, once.schema).repartition(3)
+    assert margins(once) and margins(copies) == margins(once)
+
+
 # --- quality rules
 
 
