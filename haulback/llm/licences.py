@@ -86,10 +86,12 @@ def paragraphs(docs: DataFrame) -> DataFrame:
 
 
 class LicenceModel:
-    """Weights and templates as small tables, and the two numbers of the calibration."""
+    """Weights and templates as small tables, the templates' n-grams with their weights, and the two numbers of the calibration."""
 
     def __init__(self, weights: DataFrame, templates: DataFrame, intercepts: dict[str, float], scale: float, shift: float):
         self.weights, self.templates, self.intercepts, self.scale, self.shift = weights, templates, intercepts, scale, shift
+        # all n-grams of the templates; those of the model are some of them, the others have no weights
+        self.wording = materialize(templates.select("gram").distinct().join(weights, "gram", "left"), "licence-wording")
 
 
 def train(docs: DataFrame) -> LicenceModel:
@@ -149,14 +151,15 @@ def train(docs: DataFrame) -> LicenceModel:
 
 
 def _scored(grams: DataFrame, model: LicenceModel, *keys: str) -> DataFrame:
-    """Of the paragraphs (row, pos, grams) with any n-gram of the model: ``best`` family, its ``margin`` over ordinary text, their n-grams."""
+    """Of the paragraphs (row, pos, grams) with any n-gram of the model: ``best`` family, its ``margin`` over ordinary text, and ``met``, all their n-grams that any template has."""
     # outer: an inner explode brings a filter on the array, which the optimizer would work out anew from the text below;
     # the join drops what has no n-gram
     exploded = grams.select("row", "pos", *keys, F.size("grams").alias("n_grams"), F.explode_outer("grams").alias("gram"))
     classes = list(model.intercepts)
     # a set: rows that are repeated bring the same n-grams again
-    met = exploded.join(model.weights, "gram").groupBy("row", "pos", "n_grams", *keys).agg(F.array_sort(F.collect_set(F.struct("gram", "w"))).alias("terms"))
-    met = met.select("row", "pos", "n_grams", *keys, F.col("terms.gram").alias("met"), *[
+    met = exploded.join(model.wording, "gram").groupBy("row", "pos", "n_grams", *keys).agg(F.array_sort(F.collect_set(F.struct("gram", "w"))).alias("terms"))
+    met = met.select("row", "pos", "n_grams", *keys, F.col("terms.gram").alias("met"), F.filter("terms", lambda t: t["w"].isNotNull()).alias("terms"))
+    met = met.filter(F.size("terms") > 0).select("row", "pos", "n_grams", *keys, "met", *[
         F.aggregate(F.transform("terms", lambda t: F.get(t["w"], F.lit(k))), F.lit(0.0), lambda total, w: total + w).alias(f"w{k}") for k in range(len(classes))])  # noqa: B023
     logit = [F.col(f"w{k}") + model.intercepts[c] for k, c in enumerate(classes)]
     ranked = F.array_max(F.array(*[F.struct(x.alias("logit"), F.lit(c).alias("family")) for x, c in zip(logit[1:], classes[1:], strict=True)]))

@@ -275,6 +275,29 @@ def test_repeated_rows_score_as_one(spark, odd_docs):
     assert margins(once) and margins(copies) == margins(once)
 
 
+def test_overlap_counts_every_n_gram(spark, odd_docs):
+    wrapped = licences.TEMPLATES[2][1].split()
+    notices = [" ".join(wrapped[k : k + 9]) for k in (0, 9, 18)] + ["licensed under the Apache License", "This program is free software under the terms of the GNU General Public License"]
+    filler = [f"number {k} is in agreement with the law, of any kind, on an as yet unknown basis, under the terms, either express or mail" for k in range(40)]
+    docs = spark.createDataFrame(list(enumerate(notices)) + [(100 + k, x) for k, x in enumerate(filler)], "doc_id bigint, text string").unionByName(odd_docs.select("doc_id", "text"))
+    model = licences.train(docs)
+    made = spark.createDataFrame(list(enumerate(notices)), "doc_id bigint, text string")
+    told = {r["row"]: r["doc_id"] for r in made.select("doc_id", F.xxhash64("doc_id", "text").alias("row")).collect()}
+    got = {told[r["row"]]: r for r in licences.licence_paragraphs(made, model).collect()}
+
+    def grams(text):
+        w = re.findall(r"[^\W_]+", text.lower())
+        return {tuple(w[k : k + n]) for n in (2, 3) for k in range(len(w) - n + 1)}
+
+    families = ["Apache-2.0", "Apache-2.0", "Apache-2.0", "Apache-2.0", "GPL"]
+    assert len(got) >= 4
+    for k, r in got.items():
+        own = grams(notices[k])
+        best = max(len(own & (t := grams(x))) / min(len(own), len(t)) for f, x in licences.TEMPLATES if f == families[k])
+        assert r["overlap"] == pytest.approx(best), k
+        assert r["family"] in (families[k], licences.UNKNOWN) and r["confirmed"]
+
+
 # --- quality rules
 
 
