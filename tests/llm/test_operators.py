@@ -5,6 +5,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -365,6 +366,11 @@ def test_held_out_accuracy(spark):
     assert n > 200 and right > 0.96
 
 
+def test_readme_states_the_least_margin():
+    readme = (Path(__file__).resolve().parents[2] / "README.md").read_text()
+    assert f"Margins under {100 * language_id.LEAST_MARGIN:g} % reject" in readme
+
+
 # --- n-gram scores
 
 
