@@ -15,6 +15,7 @@ from haulback.llm.licences import scan
 from haulback.llm.packing import pack
 from haulback.llm.simple8b import read_ids, write_ids
 from haulback.llm.tables import documents
+from haulback.llm.whitening import whiten
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,11 +62,16 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(documents(spark, sf_dir))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard_join, op2_packing, op3_document_fingerprints, op4_line_dedup, op5_license_scan,
         op6_quality_rules, op7_language_id, op8_lm_scoring, op9_simple8b_output, op10_source_mixing,
+        op13_embedding_whitening,
     )
 }
 
