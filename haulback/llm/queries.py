@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulback.llm import line_dedup, mixing, ngram_scores, quality
+from haulback.llm import decontamination, line_dedup, mixing, ngram_scores, quality
 from haulback.llm.fingerprints import fingerprints
 from haulback.llm.jaccard_join import similar_groups
 from haulback.llm.language_id import held_out, identify, train_dictionaries
@@ -62,6 +62,13 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(documents(spark, sf_dir))
 
 
+def op12_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -71,7 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_ngram_jaccard_join, op2_packing, op3_document_fingerprints, op4_line_dedup, op5_license_scan,
         op6_quality_rules, op7_language_id, op8_lm_scoring, op9_simple8b_output, op10_source_mixing,
-        op13_embedding_whitening,
+        op12_benchmark_decontamination, op13_embedding_whitening,
     )
 }
 
@@ -79,4 +86,5 @@ ORACLE: dict[str, str] = {
     "op4_line_dedup": line_dedup.ORACLE_SQL,
     "op6_quality_rules": quality.ORACLE_SQL,
     "op10_source_mixing": mixing.ORACLE_SQL,
+    "op12_benchmark_decontamination": decontamination.ORACLE_SQL,
 }
