@@ -304,7 +304,7 @@ windows as (
     select doc_id, p, width, array_to_string(w[p : p + width - 1], ' ') as phrase
     from of_docs, (select distinct width from phrases), lateral (select unnest(range(1, len(w) + 1)) as p) where p + width - 1 <= len(w)),
 met as (select doc_id, p, width, item_id from windows join phrases using (width, phrase)),
-hit as (select doc_id, count(distinct at) as n_hit from (select doc_id, unnest(range(p, p + width)) as at from met) group by doc_id),
+hit as (select doc_id, count(distinct place) as n_hit from (select doc_id, unnest(range(p, p + width)) as place from met) group by doc_id),
 items as (
     select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as listed
     from (select distinct doc_id, item_id::varchar as item from met where item_id is not null) group by doc_id)
