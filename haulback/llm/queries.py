@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulback.llm import decontamination, line_dedup, mixing, ngram_scores, quality
+from haulback.llm import decontamination, line_dedup, mixing, ngram_scores, quality, spelling
 from haulback.llm.fingerprints import fingerprints
 from haulback.llm.jaccard_join import similar_groups
 from haulback.llm.language_id import held_out, identify, train_dictionaries
@@ -62,6 +62,10 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(documents(spark, sf_dir))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
 def op12_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.select(
@@ -78,7 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_ngram_jaccard_join, op2_packing, op3_document_fingerprints, op4_line_dedup, op5_license_scan,
         op6_quality_rules, op7_language_id, op8_lm_scoring, op9_simple8b_output, op10_source_mixing,
-        op12_benchmark_decontamination, op13_embedding_whitening,
+        op11_spelling_variants, op12_benchmark_decontamination, op13_embedding_whitening,
     )
 }
 
@@ -86,5 +90,6 @@ ORACLE: dict[str, str] = {
     "op4_line_dedup": line_dedup.ORACLE_SQL,
     "op6_quality_rules": quality.ORACLE_SQL,
     "op10_source_mixing": mixing.ORACLE_SQL,
+    "op11_spelling_variants": spelling.ORACLE_SQL,
     "op12_benchmark_decontamination": decontamination.ORACLE_SQL,
 }
