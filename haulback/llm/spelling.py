@@ -151,12 +151,14 @@ class _Part:
 def near_pairs(words: DataFrame) -> DataFrame:
     """(word, other, other_n): every two of ``words`` (word: distinct, not null; n) that differ by one inserted, deleted or replaced character, in both orders.
 
-    The driver holds a sample of ``SAMPLE_WORDS`` words, a number for each length and for each box grown from the sample.
+    The driver holds a sample of about ``SAMPLE_WORDS`` words, a number for each length and for each box grown from the sample.
     Tasks hold one part of a box; the words asked for stream past it.
     """
     spark = words.sparkSession
     counts = {r["length"]: r["count"] for r in words.groupBy(F.length("word").alias("length")).count().collect()}
-    sample = [r["word"] for r in words.select("word", F.xxhash64("word").alias("h")).orderBy("h").limit(SAMPLE_WORDS).collect()]
+    # by hash, so that no task sends more than its share
+    share = min(1.0, SAMPLE_WORDS / max(1, sum(counts.values())))
+    sample = [r["word"] for r in words.select("word").filter(F.pmod(F.xxhash64("word"), F.lit(1 << 40)) < int(share * (1 << 40))).collect()]
     boxes = Boxes(sample, counts)
     for r in _homes(words, boxes).groupBy("box").count().collect():
         boxes.parts[r["box"]] = -(-r["count"] // (4 * BOX_WORDS))
