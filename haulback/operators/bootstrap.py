@@ -1,11 +1,12 @@
 """Observed over unobserved cod:haddock ratio per group, with a stratified bootstrap.
 
 A group may hold a third of all trips, so no stratum is ever numbered, sorted or collected in one
-task. Rows fall into buckets by the first digits of a hash of their content. The draws (replicates
-x sample size x strata, a number that does not grow with the data) are placed on buckets with the
-help of the bucket counts alone. Hit buckets are counted once more by further digits, so that what
-is left to be numbered follows the draws: with two levels of 65,536, a stratum of four billion rows
-gives about one row for each draw.
+task. Drawing row number r of a stratum means finding its r-th order statistic by a hash of the
+rows' content, and that is a descent through a radix histogram: the rows are counted by two hex
+digits of the hash, each draw (replicates x sample size x strata, a number that does not grow with
+the data) falls into one of the 256 buckets, and only buckets that were hit are counted by the next
+two digits. Every level has at most 256 counts for each draw, whatever the number of rows, and
+there are as many levels as the largest stratum needs for buckets of about one row.
 """
 
 from __future__ import annotations
@@ -24,11 +25,15 @@ SEED = 86
 MIN_ROWS = 3
 # ----------------------------------------------------------------------------------------------
 
-# Digits of the hash by which rows are told apart, level by level.
-BUCKET_HEX_DIGITS = (4, 4)
 STRATUM = ["analysis_group", "observed"]
-# Draws are few but costly to make: spread them over this many tasks, whatever their size in bytes.
-DRAW_TASKS = 32
+#: Hex digits of the hash by which rows are told apart at each level.
+DIGITS = 2
+#: Buckets of the last level for each row of the largest stratum, at least.
+BUCKETS_PER_ROW = 16
+#: Draws made or placed by one task, about; they are few but costly, whatever their size in bytes.
+TASK_DRAWS = 8192
+#: Hit buckets are broadcast up to so many draws: some 60 bytes each.
+BROADCAST_DRAWS = 1_000_000
 
 
 def ratio_rows(grouped: DataFrame) -> DataFrame:
@@ -61,51 +66,60 @@ def _hash_number(*parts: Column) -> Column:
 
 
 def _hashed(rows: DataFrame, key: list[str]) -> DataFrame:
-    """The narrow rows that are drawn from, in the order of ``digest``; ``b0``, ``b1``, ... are its leading digits."""
+    """The narrow rows that are drawn from, in the order of ``digest``."""
     digest = F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key]))
-    hashed = rows.select(*STRATUM, "cod", "had", digest.alias("digest"))
-    starts = [1 + sum(BUCKET_HEX_DIGITS[:k]) for k in range(len(BUCKET_HEX_DIGITS))]
+    return rows.select(*STRATUM, "cod", "had", digest.alias("digest"))
+
+
+def _at_level(hashed: DataFrame, level: int) -> DataFrame:
+    """With ``prefix``, the digits of the levels above, and ``digits``, those of this one."""
     return hashed.withColumns({
-        f"b{k}": F.substring("digest", at, digits) for k, (at, digits) in enumerate(zip(starts, BUCKET_HEX_DIGITS, strict=True))
+        "prefix": F.substring("digest", 1, DIGITS * level), "digits": F.substring("digest", 1 + DIGITS * level, DIGITS),
     })
 
 
-def bucket_offsets(hashed: DataFrame, within: list[str], bucket: str) -> DataFrame:
-    """First row number of each bucket among the rows ``within``, and how many those are."""
-    counts = hashed.groupBy(*within, bucket).agg(F.count(F.lit(1)).alias("n"))
+def bucket_offsets(rows: DataFrame) -> DataFrame:
+    """First row number of each bucket (``digits``) among the rows of its ``prefix``, and how many those are."""
+    within = [*STRATUM, "prefix"]
+    counts = rows.groupBy(*within, "digits").agg(F.count(F.lit(1)).alias("n"))
     all_ = Window.partitionBy(*within)
-    before = all_.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    before = all_.orderBy("digits").rowsBetween(Window.unboundedPreceding, -1)
     return counts.select(
-        *within, bucket,
+        *within, "digits",
         F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"),
-        F.sum("n").over(all_).alias("stratum_rows"),
+        F.sum("n").over(all_).alias("prefix_rows"),
     )
 
 
-def draws(strata: DataFrame, nrep: int, nsamp: int, seed: int) -> DataFrame:
+def _tasks(draws: int) -> int:
+    return max(1, -(-draws // TASK_DRAWS))
+
+
+def draws(strata: DataFrame, nrep: int, nsamp: int, seed: int, tasks: int) -> DataFrame:
     """``nsamp`` row numbers per replicate and stratum, with replacement."""
     return (
         strata.withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(nrep))))
-        .repartition(DRAW_TASKS, *STRATUM, "rep")
+        .repartition(tasks, *STRATUM, "rep")
         .withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(nsamp))))
         .withColumn("row", F.pmod(
             _hash_number(F.lit(seed), F.col("analysis_group"), F.col("observed"), F.col("rep"), F.col("draw")),
-            F.col("stratum_rows"),
+            F.col("prefix_rows"),
         ))
+        .select(*STRATUM, F.lit("").alias("prefix"), "rep", "row")
     )
 
 
-def place_draws(drawn: DataFrame, offsets: DataFrame, within: list[str], bucket: str) -> DataFrame:
-    """Bucket of every drawn ``row`` number, and the number within it as the new ``row``.
+def place_draws(drawn: DataFrame, offsets: DataFrame, tasks: int) -> DataFrame:
+    """The draws one level down: ``prefix`` longer by the digits of the bucket hit, ``row`` the number within it.
 
     Draws and bucket starts are merged in one ordered window, whose size is bounded by the number
     of buckets plus draws.
     """
+    within = [*STRATUM, "prefix"]
     starts = offsets.select(
-        *within, "row_start", F.lit(None).cast("int").alias("rep"), F.struct(bucket, F.col("row_start").alias("start")).alias("at"),
-    ).withColumnRenamed("row_start", "row")
+        *within, F.col("start").alias("row"), F.lit(None).cast("int").alias("rep"), F.struct("digits", "start").alias("at"))
     no_start = F.lit(None).cast(starts.schema["at"].dataType).alias("at")
-    both = drawn.select(*within, "row", "rep", no_start).unionByName(starts).repartition(DRAW_TASKS, *within)
+    both = drawn.select(*within, "row", "rep", no_start).unionByName(starts).repartition(tasks, *within)
     # nulls first: a bucket that starts at the drawn row precedes the draw
     upto = Window.partitionBy(*within).orderBy("row", F.col("rep").asc_nulls_first()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
@@ -113,24 +127,40 @@ def place_draws(drawn: DataFrame, offsets: DataFrame, within: list[str], bucket:
     return (
         both.withColumn("at", F.last("at", ignorenulls=True).over(upto))
         .where(F.col("rep").isNotNull())
-        .select(*within, F.col(f"at.{bucket}").alias(bucket), "rep", (F.col("row") - F.col("at.start")).alias("row"))
+        .select(*STRATUM, F.concat("prefix", "at.digits").alias("prefix"), "rep", (F.col("row") - F.col("at.start")).alias("row"))
     )
 
 
-def drawn_rows(hashed: DataFrame, nrep: int, nsamp: int, seed: int, min_n: int) -> tuple[DataFrame, DataFrame]:
-    """``(rows, placed)``: the rows of all buckets that were hit at the last level, and the draws' places in them."""
-    within, rows, placed = list(STRATUM), hashed, None
-    for level in range(len(BUCKET_HEX_DIGITS)):
-        bucket = f"b{level}"
-        offsets = bucket_offsets(rows, within, bucket)
-        if placed is None:
-            enough = offsets.groupBy(*STRATUM).agg(F.max("stratum_rows").alias("stratum_rows")).where(F.col("stratum_rows") >= min_n)
-            placed = draws(enough, nrep, nsamp, seed)
-        # Written out: read twice, and small (draws x strata); its size lets Catalyst choose the joins.
-        placed = materialize(place_draws(placed, offsets.withColumnRenamed("start", "row_start"), within, bucket), "draws")
-        within = [*within, bucket]
-        rows = rows.join(placed.select(*within).distinct(), within, "left_semi")
-    return rows, placed
+def _in_hit_buckets(rows: DataFrame, placed: DataFrame, drawn: int) -> DataFrame:
+    """The rows whose prefix was hit. The prefixes are sent to the rows as long as the number of draws bounds them."""
+    hit = placed.select(*STRATUM, "prefix").distinct()
+    return rows.join(F.broadcast(hit) if drawn <= BROADCAST_DRAWS else hit, [*STRATUM, "prefix"], "left_semi")
+
+
+def levels_for(rows: int) -> int:
+    """Levels after which a stratum of ``rows`` rows has ``BUCKETS_PER_ROW`` buckets a row, as far as the digest reaches."""
+    level = 1
+    while 16 ** (DIGITS * level) < BUCKETS_PER_ROW * rows and DIGITS * (level + 1) <= 32:
+        level += 1
+    return level
+
+
+def drawn_rows(hashed: DataFrame, nrep: int, nsamp: int, seed: int, min_n: int) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """``(rows, placed, counted)``: the rows of all buckets that were hit at the last level, the draws' places in them,
+    and the bucket counts of each level."""
+    offsets = materialize(bucket_offsets(_at_level(hashed, 0)), "buckets")
+    strata = offsets.groupBy(*STRATUM).agg(F.max("prefix_rows").alias("prefix_rows")).where(F.col("prefix_rows") >= min_n)
+    number, largest = strata.agg(F.count(F.lit(1)), F.max("prefix_rows")).first()
+    drawn = number * nrep * nsamp
+    tasks = _tasks(drawn)
+    placed, counted = draws(strata, nrep, nsamp, seed, tasks), []
+    for level in range(levels_for(largest or 0)):
+        if level:
+            offsets = bucket_offsets(_in_hit_buckets(_at_level(hashed, level), placed, drawn))
+        counted.append(offsets)
+        # Written out: read twice, and small (draws x strata).
+        placed = materialize(place_draws(placed, offsets, tasks), "draws")
+    return _in_hit_buckets(_at_level(hashed, len(counted)), placed, drawn), placed, counted
 
 
 def bootstrap_ratio(rows: DataFrame, key: list[str], nrep: int = REPLICATES, nsamp: int = SAMPLE_SIZE,
@@ -145,13 +175,12 @@ def bootstrap_ratio(rows: DataFrame, key: list[str], nrep: int = REPLICATES, nsa
     point = ratio_of_ratios(rows)
     # Written once: the digest is the costly part, and every level reads it.
     hashed = materialize(_hashed(rows, key), "hashed")
-    hit, placed = drawn_rows(hashed, nrep, nsamp, seed, min_n)
-    buckets = [f"b{k}" for k in range(len(BUCKET_HEX_DIGITS))]
-    in_bucket = Window.partitionBy(*STRATUM, *buckets).orderBy("digest", "cod", "had")
-    numbered = hit.select(*STRATUM, *buckets, "cod", "had", (F.row_number().over(in_bucket) - 1).cast("bigint").alias("row"))
+    hit, placed, _ = drawn_rows(hashed, nrep, nsamp, seed, min_n)
+    in_bucket = Window.partitionBy(*STRATUM, "prefix").orderBy("digest", "cod", "had")
+    numbered = hit.select(*STRATUM, "prefix", "cod", "had", (F.row_number().over(in_bucket) - 1).cast("bigint").alias("row"))
     is_obs = F.col("observed") == 1
     replicates = (
-        numbered.join(placed, [*STRATUM, *buckets, "row"])
+        numbered.join(placed, [*STRATUM, "prefix", "row"])
         .groupBy("analysis_group", "rep")
         .agg(
             F.sum(F.when(is_obs, F.col("cod"))).alias("co"), F.sum(F.when(is_obs, F.col("had"))).alias("ho"),

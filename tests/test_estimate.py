@@ -7,7 +7,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from haulback.operators import allocate_discards, bootstrap_ratio, check_allocation, estimate_discards, ratio_rows
-from haulback.operators.bootstrap import STRATUM, _hashed, bucket_offsets, drawn_rows
+from haulback.operators.bootstrap import _at_level, _hashed, bucket_offsets, drawn_rows, levels_for
+from haulback.session import materialize
 
 ROWS = "analysis_group string, trip string, trip_id long, cod double, had double"
 
@@ -88,35 +89,58 @@ def test_bootstrap_spread_is_that_of_samples_of_ten(spark):
     assert abs(bias - (statistics.fmean(reps) - mean)) < 0.02
 
 
-@pytest.mark.parametrize("digits", [(1,), (1, 1, 1), (2, 4)])
+@pytest.mark.parametrize("digits", [1, 3, 4])
 def test_the_levels_of_buckets_change_nothing(spark, monkeypatch, digits):
     data = sample()
     want = bootstrap(spark, data, nrep=20)
-    monkeypatch.setattr("haulback.operators.bootstrap.BUCKET_HEX_DIGITS", digits)
+    monkeypatch.setattr("haulback.operators.bootstrap.DIGITS", digits)
     close(bootstrap(spark, data, nrep=20), want)
 
 
-def test_rows_to_be_numbered_follow_the_draws(spark):
-    draws = 2 * 5 * 10
-    for n in (20_000, 200_000):
-        df = ratio_rows(spark.range(n).select(
-            F.lit("a").alias("analysis_group"), F.when(F.col("id") % 2 == 0, "J").otherwise("").alias("trip"),
-            F.col("id").alias("trip_id"), F.lit(1e0).alias("cod"), F.lit(1e0).alias("had")))
-        hit, placed = drawn_rows(_hashed(df, ["trip_id"]), 5, 10, 86, 3)
+def test_many_draws_need_no_broadcast(spark, monkeypatch):
+    data = sample()
+    want = bootstrap(spark, data, nrep=20)
+    monkeypatch.setattr("haulback.operators.bootstrap.BROADCAST_DRAWS", 0)
+    close(bootstrap(spark, data, nrep=20), want)
+
+
+def trips_of_one_group(spark, n):
+    return ratio_rows(spark.range(n).select(
+        F.lit("a").alias("analysis_group"), F.when(F.col("id") % 2 == 0, "J").otherwise("").alias("trip"),
+        F.col("id").alias("trip_id"), F.lit(1e0).alias("cod"), F.lit(1e0).alias("had")))
+
+
+def test_counts_and_rows_at_every_level_follow_the_draws(spark):
+    """Ten and a hundred times the rows: no level counts or windows more than 256 buckets a draw."""
+    draws = 2 * 2 * 5
+    for n in (10_000, 100_000, 1_000_000):
+        hashed = materialize(_hashed(trips_of_one_group(spark, n), ["trip_id"]), "hashed")
+        hit, placed, counted = drawn_rows(hashed, 2, 5, 86, 3)
+        counts = [level.count() for level in counted]
+        assert len(counts) == levels_for(n // 2) and all(c <= 256 * draws for c in counts)
         assert placed.count() == draws and hit.count() <= 1.2 * draws
 
 
+def test_levels_follow_the_largest_stratum():
+    assert [levels_for(n) for n in (0, 1, 16, 17, 4096, 4097, 4_000_000_000)] == [1, 1, 1, 2, 2, 3, 5]
+    assert levels_for(10**60) == 16
+
+
+def test_rows_with_one_digest_are_numbered_together(spark):
+    data = [("a", "J" if k % 2 else "", 1, float(k), 1.0) for k in range(40)]
+    out = bootstrap(spark, data, nrep=30)["a"]
+    assert out[:2] == (20, 20) and out[3] > 0
+
+
 def test_bucket_offsets_number_a_stratum_without_gaps(spark):
-    df = ratio_rows(spark.range(5000).select(
-        F.lit("a").alias("analysis_group"), F.lit("").alias("trip"), F.col("id").alias("trip_id"),
-        F.lit(1e0).alias("cod"), F.lit(1e0).alias("had")))
-    hashed = _hashed(df, ["trip_id"])
-    counts = {r.b0: r["count"] for r in hashed.groupBy("b0").count().collect()}
+    hashed = _at_level(_hashed(trips_of_one_group(spark, 5000).where("observed = 0"), ["trip_id"]), 0)
+    counts = {r.digits: r["count"] for r in hashed.groupBy("digits").count().collect()}
+    assert len(counts) == 256
     upto = 0
-    for r in bucket_offsets(hashed, STRATUM, "b0").orderBy("b0").collect():
-        assert (r.start, r.stratum_rows) == (upto, 5000)
-        upto += counts[r.b0]
-    assert upto == 5000
+    for r in bucket_offsets(hashed).orderBy("digits").collect():
+        assert (r.start, r.prefix_rows, r.prefix) == (upto, 2500, "")
+        upto += counts[r.digits]
+    assert upto == 2500
 
 
 def test_estimate_discards(spark):
