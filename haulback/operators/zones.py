@@ -8,30 +8,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from ..sources.zones import DEFAULT_CELL_DEGREES, odd_crossings, zone_index
+from ..sources.zones import MOST_EDGES, ZoneIndex, inside, zone_index
 from .keys import left_join_on_trip
 
 
 def identify_zone(df: DataFrame, zones: DataFrame, lat: str = "lat", lon: str = "lon", zone: str = "zone",
-                  cell: float = DEFAULT_CELL_DEGREES) -> DataFrame:
+                  most_edges: int = MOST_EDGES) -> DataFrame:
     """Add the id of the zone holding each position; null outside all zones or without position.
 
-    Planar even-odd test. Overlapping zones give the lowest id, so that no row is repeated. The
-    join is on the grid cell, one index row per cell; rows keep their number and nothing is
-    aggregated. ``zones`` is ``(zone_id, edges)``.
+    Planar even-odd test. Overlapping zones give the lowest id, so that no row is repeated. ``zones``
+    is the edges of :func:`..sources.zones.zones_from_vertices`; rows keep their number.
     """
-    return _locate(df, zone_index(zones, cell), lat, lon, zone, cell)
+    return _locate(df, zone_index(zones, most_edges), lat, lon, zone)
 
 
-def _locate(df: DataFrame, index: DataFrame, lat: str, lon: str, zone: str, cell: float) -> DataFrame:
-    cells = index.select(F.col("cell_x").alias("_cell_x"), F.col("cell_y").alias("_cell_y"), "candidates")
-    inside = lambda c: c.whole | odd_crossings(c.edges, F.col(lon), F.col(lat))
-    found = F.array_min(F.transform(F.filter("candidates", inside), lambda c: c.zone_id))
+def _locate(df: DataFrame, index: ZoneIndex, lat: str, lon: str, zone: str) -> DataFrame:
+    """A position probes the leaves' keys at each level that has leaves, and one is met; then it meets that leaf's edges."""
+    leaf = F.struct("level", "ix", "iy")
+    keys = index.leaves.select(leaf.alias("_leaf"), F.lit(True).alias("_met"))
+    edges = index.leaves.select(leaf.alias("_leaf"), "candidates")
+    at = (
+        df.withColumn("_leaf", F.explode(index.keys(lon, lat))).join(keys, "_leaf", "left")
+        .where("_met or _leaf is null")
+    )
+    right = index.right_of(F.col("_leaf.level"), F.col("_leaf.ix"))
+    held = F.filter("candidates", lambda c: inside(c, F.col("_right"), F.col(lon), F.col(lat)))
     return (
-        df.withColumns({"_cell_x": F.floor(F.col(lon) / cell), "_cell_y": F.floor(F.col(lat) / cell)})
-        .join(cells, ["_cell_x", "_cell_y"], "left")
-        .withColumn(zone, found)
-        .drop("_cell_x", "_cell_y", "candidates")
+        at.join(edges, "_leaf", "left").withColumn("_right", right)
+        .withColumn(zone, F.array_min(F.transform(held, lambda c: c.zone_id)))
+        .drop("_leaf", "_met", "candidates", "_right")
     )
 
 
@@ -93,7 +98,7 @@ def observer_position(observer: DataFrame) -> DataFrame:
 
 
 def assign_zone(landings: DataFrame, zones: DataFrame, observer: DataFrame, positions: DataFrame,
-                cell: float = DEFAULT_CELL_DEGREES, per_trip: DataFrame | None = None) -> DataFrame:
+                per_trip: DataFrame | None = None) -> DataFrame:
     """Add ``zone`` and ``zone_source``: reported position, else observer's, else vessel track's.
 
     Observed landings fall back on their trip's observer position, unobserved ones on the
@@ -105,12 +110,11 @@ def assign_zone(landings: DataFrame, zones: DataFrame, observer: DataFrame, posi
 
     ``landings`` is read twice; pass a written table. Before the rest, the vessel-days that need the
     track are collected from it into a narrow table: their first and last date bound the scan of
-    the positions, and only their vessel-days are averaged. The index is written too, as three
-    joins use it, and broadcast where its size allows.
+    the positions, and only their vessel-days are averaged. The written index serves three joins.
     """
-    index = materialize(zone_index(zones, cell), "zone-index")
-    zone_obs = _locate(observer_position(observer), index, "lat2", "lon2", "zone_obs", cell).select("trip", "zone_obs")
-    reported = _locate(landings, index, "lat", "lon", "zone_reported", cell)
+    index = zone_index(zones)
+    zone_obs = _locate(observer_position(observer), index, "lat2", "lon2", "zone_obs").select("trip", "zone_obs")
+    reported = _locate(landings, index, "lat", "lon", "zone_reported")
     wanted = materialize(
         reported.where((F.col("trip") == "") & F.col("zone_reported").isNull() & F.col("date_fished").isNotNull())
         .select("vr_number", F.col("date_fished").alias("date")).distinct(),
@@ -118,7 +122,7 @@ def assign_zone(landings: DataFrame, zones: DataFrame, observer: DataFrame, posi
     )
     track = vessel_day_mean_position(positions_between(positions, wanted), wanted)
     zone_vms = (
-        _locate(track, index, "mean_lat", "mean_lon", "zone_vms", cell)
+        _locate(track, index, "mean_lat", "mean_lon", "zone_vms")
         .where(F.col("zone_vms").isNotNull())
         .select(F.col("vr_number").alias("p_vr"), F.col("date").alias("p_date"), "zone_vms")
     )

@@ -1,6 +1,8 @@
 import datetime as dt
+import math
 import random
 
+import numpy as np
 import pytest
 from conftest import rows
 
@@ -8,6 +10,7 @@ from haulback.operators import (
     assign_zone, fleet_positions, fleet_trips, identify_zone, observer_position, parse_positions, positions_between,
     vessel_day_mean_position,
 )
+from haulback.operators.zones import _locate
 from haulback.sources import zone_index, zones_from_vertices
 
 RINGS = [
@@ -42,19 +45,21 @@ def by_hand(x, y, rings=RINGS):
 
 
 def test_zone_edges_close_each_ring(spark):
-    edges = {r.zone_id: r.edges for r in zones(spark).collect()}
-    assert [len(edges[z]) for z in (1, 2, 3, 4)] == [4, 8, 4, 6]
-    assert (edges[1][-1].x1, edges[1][-1].y1, edges[1][-1].x2, edges[1][-1].y2) == (0.0, 10.0, 0.0, 0.0)
+    edges = [tuple(r) for r in zones(spark).collect()]
+    assert [sum(e[0] == z for e in edges) for z in (1, 2, 3, 4)] == [4, 8, 4, 6]
+    assert (1, 0.0, 10.0, 0.0, 0.0) in edges
+    closed = [(z, r, points + points[:1]) for z, r, points in RINGS]
+    assert sorted(tuple(r) for r in zones(spark, closed).collect()) == sorted(edges)
 
 
-@pytest.mark.parametrize("cell", [0.25, 1.0, 3.7, 100.0])
-def test_identify_zone_by_hand(spark, cell):
+@pytest.mark.parametrize("most_edges", [2, 8, 1000])
+def test_identify_zone_by_hand(spark, most_edges):
     rnd = random.Random(3)
     points = [(rnd.uniform(-2, 43), rnd.uniform(-2, 13)) for _ in range(400)]
     points += [(float(x), float(y)) for x in (0, 5, 10, 12, 14, 15, 20, 40) for y in (0, 4, 5, 6, 10, 12)]  # on edges
     points += [(None, 1.0), (1.0, None), (None, None)]
     df = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(points)], "id int, lon double, lat double")
-    found = dict(rows(identify_zone(df, zones(spark), cell=cell), "id", "zone"))
+    found = dict(rows(identify_zone(df, zones(spark), most_edges=most_edges), "id", "zone"))
     assert found == {i: by_hand(x, y) for i, (x, y) in enumerate(points)}
 
 
@@ -63,9 +68,68 @@ def test_shared_edge_goes_to_one_zone(spark):
     assert identify_zone(df, zones(spark)).first().zone == 2
 
 
-def test_index_is_small_and_has_one_row_per_cell(spark):
-    index = zone_index(zones(spark), 1.0)
-    assert index.count() == index.select("cell_x", "cell_y").distinct().count()
+def leaf_edges(index):
+    """Different edges of each leaf."""
+    return [len({frozenset([(e.x1, e.y1), (e.x2, e.y2)]) for c in r.candidates for e in c.edges}) for r in index.leaves.collect()]
+
+
+def test_leaves_tile_the_layer_and_hold_few_edges(spark):
+    index = zone_index(zones(spark), 3)
+    cells = index.leaves.select("level", "ix", "iy").collect()
+    assert len(set(cells)) == len(cells) and sum(16.0 ** -r.level for r in cells) == 1.0
+    # where four edges end in one point no split helps
+    assert max(leaf_edges(index)) <= 6 and sum(n > 3 for n in leaf_edges(index)) <= 5
+
+
+def test_edges_that_several_zones_share_count_once(spark):
+    stacked = [(z, 1, [(0, 0), (8, 0), (8, 8), (0, 8)]) for z in range(20)]
+    assert zone_index(zones(spark, stacked), 4).levels == (0,)
+    star = [(z, 1, [(0, 0), (10 * math.cos(z), 10 * math.sin(z)), (10 * math.cos(z + 0.5), 10 * math.sin(z + 0.5))]) for z in range(1, 9)]
+    df = spark.createDataFrame([(0.01 * math.cos(k / 10), 0.01 * math.sin(k / 10)) for k in range(63)], "lon double, lat double")
+    found = identify_zone(df, zones(spark, star), most_edges=4).collect()
+    assert [r.zone for r in found] == [by_hand(r.lon, r.lat, star) for r in found]
+
+
+def coast(n):
+    """A ring of n vertices with bays of every size."""
+    points = []
+    for k in range(n):
+        a = 2 * math.pi * k / n
+        r = 3 + 0.5 * math.sin(7 * a) + 0.1 * math.sin(101 * a) + 0.003 * math.sin(5003 * a)
+        points.append((r * math.cos(a) - 60, r * math.sin(a) + 42))
+    return points
+
+
+def test_random_polygons_by_hand(spark):
+    rnd = random.Random(8)
+    rings = [(z, 1, [(rnd.uniform(0, 10), rnd.uniform(0, 10)) for _ in range(rnd.randrange(3, 40))]) for z in range(1, 7)]
+    rings += [(z, 2, [(float(rnd.randrange(10)), float(rnd.randrange(10))) for _ in range(12)]) for z in range(1, 4)]
+    points = [(rnd.uniform(-1, 11), rnd.uniform(-1, 11)) for _ in range(500)] + [(float(x), float(y)) for x in range(10) for y in range(10)]
+    df = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(points)], "id int, lon double, lat double")
+    found = dict(rows(identify_zone(df, zones(spark, rings), most_edges=8), "id", "zone"))
+    assert found == {i: by_hand(x, y, rings) for i, (x, y) in enumerate(points)}
+
+
+def test_a_ring_of_many_vertices(spark):
+    points = coast(100_000)
+    edges = zones(spark, [(1, 1, points), (2, 1, [(-64, 38), (-56, 38), (-56, 46), (-64, 46)])])
+    index = zone_index(edges)
+    assert max(leaf_edges(index)) <= 32 and len(index.levels) > 5
+    rnd = random.Random(2)
+    near = [points[rnd.randrange(len(points))] for _ in range(150)]
+    tried = [(x + rnd.uniform(-1e-4, 1e-4), y + rnd.uniform(-1e-4, 1e-4)) for x, y in near] + [(rnd.uniform(-64, -56), rnd.uniform(38, 46)) for _ in range(50)]
+    df = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(tried)], "id int, lon double, lat double")
+    found = dict(rows(_locate(df, index, "lat", "lon", "zone"), "id", "zone"))
+    e = np.array([(*a, *b) for a, b in zip(points, points[1:] + points[:1], strict=True)])
+    for i, (x, y) in enumerate(tried):
+        up = (e[:, 1] > y) != (e[:, 3] > y)
+        at = (e[up, 2] - e[up, 0]) * (y - e[up, 1]) / (e[up, 3] - e[up, 1]) + e[up, 0]
+        assert found[i] == (1 if (x < at).sum() % 2 else 2)
+
+
+def test_no_zones(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (None, 1.0)], "lon double, lat double")
+    assert [r.zone for r in identify_zone(df, zones(spark).where("1 = 0")).collect()] == [None, None]
 
 
 def test_fallback_chain(spark):
