@@ -49,24 +49,20 @@ def _levels(values: np.ndarray) -> np.ndarray:
     return _LEVEL_OF_BITS[np.where(high > 0, high + 32, low)]
 
 
-def _selectors(need: np.ndarray, rows: np.ndarray, start: np.ndarray, left: np.ndarray) -> np.ndarray:
-    """For the values from ``start`` on, the selector that holds most of them in one word."""
-    ahead = np.arange(8)
-    near = need[rows[:, None], np.minimum(start[:, None] + ahead, BLOCK - 1)]
-    near[ahead >= left[:, None]] = -1
-    widest = np.maximum.accumulate(near, axis=1)
-    chosen = np.full(len(rows), ESCAPE)
-    for s in range(15, 7, -1):
-        chosen[widest[:, COUNTS[s] - 1] <= s - 2] = s
-    more = np.flatnonzero(chosen == 8)
-    for s in range(7, 0, -1):  # narrow values only: rare in ids of a large vocabulary
-        if not len(more):
+def _selectors(need: np.ndarray) -> np.ndarray:
+    """For every place of the blocks, the selector that holds most of the values from there on in one word."""
+    blocks = len(need)
+    chosen = np.full(need.shape, ESCAPE, dtype=np.int8)
+    ahead = np.full((blocks, BLOCK + int(COUNTS[0])), -1, dtype=np.int8)
+    ahead[:, :BLOCK] = need
+    held = 1
+    for s in range(15, 0, -1):
+        if s < 8 and not (chosen == s + 1).any():
             break
-        ahead = np.arange(COUNTS[s])
-        run = need[rows[more][:, None], np.minimum(start[more][:, None] + ahead, BLOCK - 1)]
-        run[ahead >= left[more][:, None]] = -1
-        fits = run.max(axis=1) <= s - 2
-        chosen[more[fits]] = s
+        more = int(COUNTS[s]) - held  # the widest value of a run, from two shorter runs that overlap
+        ahead[:, : ahead.shape[1] - more] = np.maximum(ahead[:, : ahead.shape[1] - more], ahead[:, more:])
+        held += more
+        chosen[ahead[:, :BLOCK] <= s - 2] = s
     return chosen
 
 
@@ -79,72 +75,76 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     blocks = -(-len(values) // BLOCK)
     if not blocks:
         return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
-    padded = np.zeros((blocks, BLOCK), dtype=np.uint64)
-    padded.reshape(-1)[: len(values)] = values
-    need = _levels(padded)
-    length = np.full(blocks, BLOCK)
-    length[-1] = len(values) - BLOCK * (blocks - 1)
-    at = np.zeros(blocks, dtype=np.int64)
-    live = np.arange(blocks)
-    words, owners = [], []
-    while len(live):  # each turn packs one word of every block that isn't done
-        start, left = at[live], length[live] - at[live]
-        chosen = _selectors(need, live, start, left)
-        taken = np.minimum(COUNTS[chosen], left)
-        word = chosen.astype(np.uint64) << np.uint64(60)
-        for s in range(2, 16):
-            mine = np.flatnonzero(chosen == s)
-            if not len(mine):
-                continue
-            ahead = np.arange(COUNTS[s])
-            parts = padded[live[mine][:, None], np.minimum(start[mine][:, None] + ahead, BLOCK - 1)]
-            parts[ahead >= left[mine][:, None]] = 0
-            word[mine] |= np.bitwise_or.reduce(parts << (ahead * WIDTHS[s]).astype(np.uint64), axis=1)
-        words.append(word)
-        owners.append(live)
-        escaped = np.flatnonzero(chosen == ESCAPE)
-        if len(escaped):
-            taken[escaped] = 1
-            words.append(padded[live[escaped], start[escaped]])
-            owners.append(live[escaped])
-        at[live] += taken
-        live = live[at[live] < length[live]]
-    owner = np.concatenate(owners)
-    per_block = np.bincount(owner, minlength=blocks)
-    return np.concatenate(words)[np.argsort(owner, kind="stable")], (np.cumsum(per_block) - per_block).astype(np.uint64)
+    flat = np.zeros(blocks * BLOCK + int(COUNTS[0]), dtype=np.uint64)
+    flat[: len(values)] = values
+    need = _levels(flat[: blocks * BLOCK])
+    need[len(values) :] = -1
+    chosen = _selectors(need.reshape(blocks, BLOCK)).ravel()
+    steps = np.where(chosen == ESCAPE, 1, COUNTS[chosen]).astype(np.int64)
+    opens = np.zeros(blocks * BLOCK, dtype=bool)  # the values that open a word
+    ends = np.minimum(np.arange(1, blocks + 1) * BLOCK, len(values))
+    at = np.arange(blocks) * BLOCK
+    while len(at):  # each turn opens one word of every block that isn't done
+        opens[at] = True
+        at = at + steps[at]
+        live = at < ends
+        at, ends = at[live], ends[live]
+    start = np.flatnonzero(opens)
+    selector = chosen[start].astype(np.int64)
+    left = np.minimum((start // BLOCK + 1) * BLOCK, len(values)) - start
+    words = selector.astype(np.uint64) << np.uint64(60)
+    for s in range(2, 16):
+        mine = np.flatnonzero(selector == s)
+        for k in range(int(COUNTS[s]) if len(mine) else 0):
+            part = flat[start[mine] + k] << np.uint64(k * WIDTHS[s])
+            part[left[mine] <= k] = 0
+            words[mine] |= part
+    escaped = np.flatnonzero(selector == ESCAPE)
+    words = np.insert(words, escaped + 1, flat[start[escaped]])
+    per_block = np.bincount(start // BLOCK, minlength=blocks) + np.bincount(start[escaped] // BLOCK, minlength=blocks)
+    return words, (np.cumsum(per_block) - per_block).astype(np.uint64)
+
+
+def _opened(words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The words that open values: all but those that stand behind an escape."""
+    opens = np.ones(len(words), dtype=bool)
+    if (words >> np.uint64(60) == ESCAPE).any():
+        at, ends = offsets, np.append(offsets[1:], len(words))
+        while len(at):  # each turn passes one word of every block, or an escape with the word behind it
+            escape = words[at] >> np.uint64(60) == ESCAPE
+            opens[at[escape] + 1] = False
+            at = at + 1 + escape
+            live = at < ends
+            at, ends = at[live], ends[live]
+    return opens
 
 
 def decode(words: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:
-    """The integers of :func:`encode`; every block is read from its own offset."""
+    """The ``n`` integers of :func:`encode` in the blocks at ``offsets``, some or all of them in turn."""
     blocks = len(offsets)
-    out = np.zeros((blocks, BLOCK), dtype=np.uint64)
-    length = np.full(blocks, BLOCK)
-    if blocks:
-        length[-1] = n - BLOCK * (blocks - 1)
-    place = offsets.astype(np.int64).copy()
-    at = np.zeros(blocks, dtype=np.int64)
-    live = np.flatnonzero(at < length)
-    while len(live):
-        word = words[place[live]]
-        selector = (word >> np.uint64(60)).astype(np.int64)
-        taken = np.minimum(COUNTS[selector], length[live] - at[live])
-        for s in np.unique(selector):
-            mine = np.flatnonzero(selector == s)
-            if s == ESCAPE:
-                out[live[mine], at[live[mine]]] = words[place[live[mine]] + 1]
-                place[live[mine]] += 1
-                taken[mine] = 1
-            elif WIDTHS[s]:
-                mask = np.uint64((1 << int(WIDTHS[s])) - 1)
-                values = (word[mine][:, None] >> (np.arange(COUNTS[s]) * WIDTHS[s]).astype(np.uint64)) & mask
-                reach = at[live[mine]][:, None] + np.arange(COUNTS[s])
-                inside = np.arange(COUNTS[s]) < taken[mine][:, None]
-                row = np.broadcast_to(live[mine][:, None], reach.shape)
-                out[row[inside], reach[inside]] = values[inside]
-        place[live] += 1
-        at[live] += taken
-        live = live[at[live] < length[live]]
-    return out.reshape(-1)[:n]
+    out = np.zeros(blocks * BLOCK + int(COUNTS[0]), dtype=np.uint64)
+    if not blocks:
+        return out[:0]
+    words, offsets = words[int(offsets[0]) :], offsets.astype(np.int64) - int(offsets[0])
+    place = np.flatnonzero(_opened(words, offsets))
+    word = words[place]
+    selector = (word >> np.uint64(60)).astype(np.int64)
+    count = np.where(selector == ESCAPE, 1, COUNTS[selector])
+    first = np.searchsorted(place, offsets)
+    block = np.repeat(np.arange(blocks), np.diff(np.append(first, len(place))))
+    before = np.cumsum(count) - count
+    start = before - before[first][block] + block * BLOCK
+    left = np.minimum((block + 1) * BLOCK, n) - start  # none for what stands behind the last block
+    for s in np.unique(selector).tolist():
+        mine = np.flatnonzero((selector == s) & (left > 0))
+        if s == ESCAPE:
+            out[start[mine]] = words[place[mine] + 1]
+        elif WIDTHS[s]:
+            mask = np.uint64((1 << int(WIDTHS[s])) - 1)
+            for k in range(int(COUNTS[s])):
+                held = mine if k == 0 else mine[left[mine] > k]
+                out[start[held] + k] = word[held] >> np.uint64(k * WIDTHS[s]) & mask
+    return out[:n]
 
 
 def write_file(doc_ids: list[bytes]) -> bytes:
