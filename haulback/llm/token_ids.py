@@ -56,6 +56,8 @@ class _Pieces(dict):
 
     def __missing__(self, piece: str) -> bytes:
         found = self.older.get(piece)
+        if found is None and self.lead and piece[:1] == "\n":
+            found = self.encoder.newline + self.encoder.bare[piece[1:]]  # a newline takes the lead's place
         if found is None:
             core = piece.rstrip(_TAIL)
             if core.isalpha() and (core.isascii() or max(core) <= "ɏ"):
@@ -113,7 +115,7 @@ class TextEncoder:
         if any(s in text for s in self._special):
             return self.library(text)
         try:
-            return self._joined(text.split(" "))
+            return self._joined(text.replace("\n", " \n").split(" "))
         except _NeedsCare:
             pass
         pieces = _SINGLE_SPACE.split(text)
