@@ -334,18 +334,18 @@ def similar_groups(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100
 
     Two documents link when den * intersection >= num * union of their shingles of ``size`` words. ``component_id`` is
     the smallest doc_id that links reach, ``n_links`` the number of documents linked directly, equal ones included.
-    Null and empty texts, and those without words, have no shingles and link with nothing. A row without doc_id goes
-    with the documents of equal shingles; where there is none, it links with no other set and its component_id is
-    null. Rows that repeat a doc_id are documents of their own that share a name. An empty table gives no row; other
-    columns aren't read.
+    Null and empty texts, and those without words, have no shingles and link with nothing. A row without doc_id links
+    like any other; the component_id is null where no row of the component has a doc_id. Rows that repeat a doc_id are
+    documents of their own that share a name. An empty table gives no row; other columns aren't read.
 
     Sets count as equal by a 64-bit hash of their shingle hashes.
     """
     rule = Threshold(num, den, size)
     sets = materialize(sets_of(docs, rule), "sets")
     distinct = materialize(sets.filter("set_id is not null").groupBy("set_id").agg(
-        F.first("n").alias("n"), F.count("*").alias("copies"), F.min("doc_id").alias("holder")).filter("holder is not null"), "distinct-sets")
-    by_class = sets.filter("doc_id is not null or n > 0").select("set_id", "n", F.explode("classes").alias("c")).select("set_id", "n", "c.class", "c.keys", "c.point")
+        F.first("n").alias("n"), F.count("*").alias("copies"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias("holder")), "distinct-sets")
+    by_class = sets.filter("set_id is not null").select("set_id", "n", F.explode("classes").alias("c")).select("set_id", "n", "c.class", "c.keys", "c.point")
     keys = by_class.select("set_id", "class", F.explode("keys").alias("key"))
     # a key of one set only is no block
     in_key = Window.partitionBy("key")
@@ -357,7 +357,7 @@ def similar_groups(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100
 
     # tiles of bounded work, by size of set: similar sets have similar sizes
     in_part = Window.partitionBy("part").orderBy("n", "set_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = parts.join(distinct.select("set_id", "n", "copies", "holder"), "set_id")
+    placed = parts.join(distinct.select("set_id", "n", "copies", F.col("holder.doc_id").alias("holder"), F.col("holder.text_hash").alias("holder_hash")), "set_id")
     work = F.greatest(F.sum("n").over(in_part) / TILE_SHINGLES, F.row_number().over(in_part) / TILE_SETS)
     placed = materialize(placed.withColumn("tile", F.floor(work).cast("int")), "tiles")
     tiles = placed.groupBy("part", "tile").agg(F.min("n").alias("low"), F.max("n").alias("high"))
@@ -365,9 +365,11 @@ def similar_groups(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100
     two = tiles.select("part", F.col("tile").alias("two"), F.col("low").alias("low_two"))
     pairs = one.join(two, "part").filter((F.col("one") <= F.col("two")) & (F.lit(den) * F.col("high_one") >= F.lit(num) * F.col("low_two")))
     sides = pairs.select("part", "one", "two", F.explode(F.array_distinct(F.array("one", "two"))).alias("tile"))
-    texts = docs.select(F.col("doc_id").alias("holder"), "text")
+    texts = docs.select(F.col("doc_id").alias("text_id"), F.xxhash64("text").alias("text_hash"), "text")
+    # of rows without a name, those of equal text are one
+    texts = texts.filter("text_id is not null").unionByName(texts.filter("text_id is null").dropDuplicates(["text_hash"]))
     # merged at any size: what is compared grows with the input, so its side is never sent to all tasks
-    with_text = placed.join(texts.hint("merge"), "holder")
+    with_text = placed.join(texts.hint("merge"), F.expr("holder <=> text_id and holder_hash = text_hash"))
     found = materialize(verified(with_text.join(sides, ["part", "tile"]), rule), "links")
 
     roots = components(found.select(F.col("set_id").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "set_id")

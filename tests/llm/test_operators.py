@@ -82,8 +82,7 @@ def shingles(text, size):
 def brute_groups(plain, size, num, den):
     """Per row: n_shingles, component_id, n_links."""
     sets = [shingles(t, size) for _, t, _ in plain]
-    named = {s for (i, _, _), s in zip(plain, sets, strict=True) if i is not None}
-    near = [[k for k, b in enumerate(sets) if k != j and a and b and (a == b or (a in named and b in named and den * len(a & b) >= num * len(a | b)))] for j, a in enumerate(sets)]
+    near = [[k for k, b in enumerate(sets) if k != j and a and b and den * len(a & b) >= num * len(a | b)] for j, a in enumerate(sets)]
     out = []
     for j, s in enumerate(sets):
         reach, open_ = {j}, [j]
@@ -121,6 +120,17 @@ def test_jaccard_join_of_edited_copies(spark, monkeypatch):
         assert sorted((tuple(r) for r in got.collect()), key=repr) == brute_groups(made, size, num, den)
 
 
+def test_near_copies_without_doc_id_link(spark):
+    base = text_of(1, 120)
+    plain = [(1, base, ""), (None, base + " one", ""), (None, base + " one two", ""), (None, base + " one", ""), (None, text_of(9, 90), ""), (None, text_of(9, 90) + " x", ""), (2, text_of(4, 50), "")]
+    docs = spark.createDataFrame([p[:2] for p in plain], "doc_id bigint, text string").repartition(3)
+    got = jaccard_join.similar_groups(docs).select("doc_id", "n_shingles", "component_id", "n_links")
+    want = brute_groups(plain, 3, 90, 100)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == want and max(r[3] for r in want) == 3
+    kept = [r.doc_id for r in jaccard_join.one_of_each(docs, 3, 90, 100).collect()]
+    assert sorted(kept, key=repr) == [1, 2, None]
+
+
 def test_one_of_each_component_stays(odd_docs, plain):
     kept = jaccard_join.one_of_each(odd_docs)
     assert kept.columns == odd_docs.columns
