@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.bootstrap import bootstrap_ratio, ratio_rows
 from ..operators.cleaning import (
@@ -23,7 +24,9 @@ from ..operators.reconcile import (
 from ..operators.zones import assign_zone, fleet_positions, parse_positions
 from ..session import delete_written, materialize, watch_written
 from ..sources.csv_tables import write_report
+from ..sources.reports import publish_reports
 from ..sources.tables import LandingTables, ObserverTables
+from .checks import Measured, count_by, weights
 from .settings import Settings
 
 
@@ -45,6 +48,7 @@ class DiscardRun:
     estimates: DataFrame
     by_vessel: DataFrame
     settings: Settings = field(default_factory=Settings)
+    measured: Measured = field(default_factory=Measured)  # rows and sums of the tables, as they were written
     written: list[str] = field(default_factory=list)
 
     def reports(self) -> dict[str, DataFrame]:
@@ -66,6 +70,7 @@ class DiscardRun:
                 "estimates": self.estimates,
                 "by_vessel": self.by_vessel,
                 "allocation_check": check_allocation(self.by_vessel, self.estimates),
+                "run_counts": self.by_vessel.sparkSession.createDataFrame(self.measured.counts(), "step string, measure string, value double"),
             }
         self.written.extend(path for _, path in tables)
         return lists
@@ -79,28 +84,48 @@ class DiscardRun:
         for name, report in self.reports().items():
             write_report(report, f"{folder}/{name}", fmt)
 
+    def publish(self, folder: str) -> str:
+        """All reports as a new version of ``folder``, seen whole or not at all; see :func:`..sources.reports.publish_reports`."""
+        return publish_reports(self.reports(), folder)
+
 
 def run_discards(landing_tables: LandingTables | None, observer_tables: ObserverTables, zone_layer: DataFrame,
                  positions: DataFrame, flags: DataFrame, years, settings: Settings | None = None,
-                 landing_rows: DataFrame | None = None, fleet_trips: DataFrame | None = None) -> DiscardRun:
+                 landing_rows: DataFrame | None = None, fleet_trips: DataFrame | None = None,
+                 results: DataFrame | None = None) -> DiscardRun:
     """Run all steps. ``landing_rows`` (e.g. from a CSV) replaces the landings query.
 
     ``fleet_trips`` (see :func:`..operators.zones.fleet_trips`) names the vessels whose track may
     stand in for a missing zone; without it, any vessel's may. Positions with text timestamps are
-    parsed. Written to the shared folder on the way, because each is read by several steps:
-    observer trips, reconciled and flagged landings, the zone index, needed vessel-days, failing
-    trips, rolled-up trips, their groups, bootstrap rows and draws, and the group estimates.
+    parsed. ``results`` (e.g. from :func:`..sources.read_results_csv`) replaces the bootstrap: ratios
+    per group, with the groups' landings or without. Written to the shared folder on the way, because
+    each is read by several steps: observer trips, reconciled and flagged landings, the zone index,
+    needed vessel-days, failing trips, rolled-up trips, their groups, bootstrap rows and draws, the
+    group estimates and the vessels' shares.
+
+    What is written is counted and summed up by the same job; a step that loses rows, weights or
+    allocated discards ends the run with a :class:`.checks.RunCheckError`.
     """
     use = settings or Settings()
     with watch_written() as tables:
-        run = _run(landing_tables, observer_tables, zone_layer, positions, flags, years, use, landing_rows, fleet_trips)
+        run = _run(landing_tables, observer_tables, zone_layer, positions, flags, years, use, landing_rows, fleet_trips, results)
     return replace(run, settings=use, written=[path for _, path in tables])
 
 
-def _run(landing_tables, observer_tables, zone_layer, positions, flags, years, use, landing_rows, fleet_trips) -> DiscardRun:
+STATUSES = ["agree", "missing", "incorrect", "unobserved", "not_in_observer"]
+ZONE_SOURCES = ["reported", "vessel_track", "observer"]
+
+
+def _run(landing_tables, observer_tables, zone_layer, positions, flags, years, use, landing_rows, fleet_trips, results) -> DiscardRun:
+    seen = Measured()
     observed = materialize(observer_trips(observer_tables, years, use.area_prefix, use.observer_gears_excluded), "observer")
-    rows = landing_rows if landing_rows is not None else landings(landing_tables, years, use.areas)
-    reconciled = materialize(reconcile(rows, observed, use.tolerance_days, use.trust_observer, use.one_match), "reconciled")
+    rows = seen.watch(landing_rows if landing_rows is not None else landings(landing_tables, years, use.areas), "landings")
+    reconciled = seen.written(
+        reconcile(rows, observed, use.tolerance_days, use.trust_observer, use.one_match), "reconciled", **count_by("status", STATUSES))
+    seen.at_least("reconciled landings", seen.rows("reconciled"), seen.rows("landings"))
+    if use.one_match:
+        seen.same("landings with one match each", seen.rows("reconciled"), seen.rows("landings"))
+    seen.same("landings with a status", sum(seen.values["reconciled"][s] for s in STATUSES), seen.rows("reconciled"))
     reasons = trip_reasons(
         observed, separator_panels(observer_tables, years, use.area_prefix),
         sought_species(observer_tables, years, use.area_prefix), use.target_species,
@@ -110,13 +135,28 @@ def _run(landing_tables, observer_tables, zone_layer, positions, flags, years, u
     if fleet_trips is not None:
         positions = fleet_positions(positions, fleet_trips)
     zoned = assign_zone(assign_sector(reconciled, use.sector_codes), zone_layer, observed, positions, per_trip=reasons)
-    cleaned = flag_directed(materialize(flag_out_of_scope(zoned), "flagged"), use.cod_had_threshold)
-    trips = materialize(aggregate_trips(kept(cleaned), use.gear_excluded), "trips")
+    flagged = seen.written(flag_out_of_scope(zoned), "flagged", **count_by("zone_source", ZONE_SOURCES))
+    seen.same("landings with their zones and reasons", seen.rows("flagged"), seen.rows("reconciled"))
+    cleaned = flag_directed(flagged, use.cod_had_threshold)
+    in_scope = kept(cleaned)
+    if use.gear_excluded is not None:
+        in_scope = in_scope.where(F.col("gear_code") != use.gear_excluded)
+    trips = seen.written(aggregate_trips(seen.watch(in_scope, "in_scope", **weights()), None), "trips", **weights())
+    for c in weights():
+        seen.same(f"{c} of the trips", seen.values["trips"][c], seen.values["in_scope"][c])
     rest, covered = split_fully_covered(trips)
-    grouped = materialize(add_group(rest, use.group_rules), "grouped")
-    results = bootstrap_ratio(ratio_rows(grouped), TRIP_KEYS, use.replicates, use.sample_size, use.seed)
-    estimates = materialize(estimate_discards(results, group_landings(grouped), flags), "estimates")
+    grouped = seen.written(add_group(rest, use.group_rules), "grouped", **weights(), ungrouped=F.count_if(F.col("analysis_group").isNull()))
+    found = results if results is not None else bootstrap_ratio(ratio_rows(grouped), TRIP_KEYS, use.replicates, use.sample_size, use.seed)
+    from_file = "unobsland_kg" in found.columns
+    estimates = materialize(estimate_discards(found, None if from_file else group_landings(grouped), flags), "estimates")
+    # one row for each group rule
+    shared = {r["analysis_group"]: r["discards"] for r in estimates.where("significant = 1").collect()}
+    allocated = {g: F.sum(F.when(F.col("analysis_group") == g, F.col("discardsmt"))) for g in shared}
+    by_vessel = seen.written(allocate_discards(grouped, estimates), "by_vessel", **allocated)
+    for group, discards in shared.items():
+        if seen.values["by_vessel"][group] is not None:  # a group without unobserved haddock has no shares
+            seen.same(f"discards allocated in {group}", seen.values["by_vessel"][group], discards)
     return DiscardRun(
         observer=observed, reconciled=reconciled, cleaned=cleaned, aggregated=rest, fully_covered=covered,
-        cells=coverage_cells(trips), grouped=grouped, estimates=estimates, by_vessel=allocate_discards(grouped, estimates),
+        cells=coverage_cells(trips), grouped=grouped, estimates=estimates, by_vessel=by_vessel, measured=seen,
     )

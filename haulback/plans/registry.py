@@ -27,7 +27,9 @@ from ..operators.reconcile import (
     first_per_vessel_day, landing_error_list, landing_errors_incorrect, landing_errors_missing, observer_check, observer_missing, reconcile,
 )
 from ..operators.zones import assign_zone, fleet_positions, fleet_trips, identify_zone, vessel_day_mean_position
-from ..session import materialize
+from ..session import materialize, scratch_path
+from ..sources.csv_tables import LANDINGS_HEADER, CheckedRows, check_landings_csv, read_results_csv, write_report
+from ..sources.reports import publish_reports, read_reports
 from .pipeline import run_discards
 from .settings import Settings
 from .standins import ALL_AREAS, ALL_FLEETS, OTHER_RULES, YEARS, Standins, case_list
@@ -141,6 +143,46 @@ def q_sector_map(p: Steps) -> DataFrame:
     return assign_sector(customers)
 
 
+# Files -----------------------------------------------------------------------------------------
+
+def _landings_file(p: Steps) -> CheckedRows:
+    """The landings written as a crosstab file and read back.
+
+    Dates are written day first. Some sets have a fishing date or a cod weight that can't be read,
+    and some vessels a name that breaks the line, so that their record becomes two, both too short.
+    """
+    set_id = F.col("set_id")
+    written = p.landings().withColumns({
+        "landed_date": F.date_format("landed_date", "d/M/yyyy"),
+        "date_fished": F.when(set_id % 97 == 0, "soon").otherwise(F.date_format("date_fished", "d/M/yyyy")),
+        "cod": F.when(set_id % 101 == 0, "heavy").otherwise(F.col("cod").cast("string")),
+        "vessel_name": F.when(set_id % 89 == 0, F.concat("vessel_name", F.lit("\nII"))).otherwise(F.col("vessel_name")),
+    })
+    path = scratch_path(p.s.spark, "landings-csv")
+    write_report(written.select(*[F.col(ours).alias(theirs) for theirs, (ours, _) in LANDINGS_HEADER.items()]), path)
+    return check_landings_csv(p.s.spark, path)
+
+
+def q_estimates_from_file(p: Steps) -> DataFrame:
+    """Ratios and landings of the groups written as a results file, which replaces the bootstrap."""
+    grouped = p.grouped()
+    ratios = ratio_of_ratios(ratio_rows(grouped)).join(group_landings(grouped), "analysis_group", "left")
+    path = scratch_path(p.s.spark, "results-csv")
+    write_report(ratios.select(
+        F.col("analysis_group").alias("zones_q"), "mean", F.lit("NA").alias("SE"), F.lit("NA").alias("bias"),
+        F.col("obsland_kg").alias("OBSLAND"), F.col("unobsland_kg").alias("UNOBSLAND")), path)
+    return _rounded(estimate_discards(read_results_csv(p.s.spark, path), None, p.s.flags()), 9, "mean", "discards", "sigdiscards").drop("se", "bias")
+
+
+def q_reports_read_back(p: Steps) -> DataFrame:
+    """The trips that stay and those set aside, published together by sector and quarter and read back."""
+    rest, covered = split_fully_covered(p.trips())
+    folder = scratch_path(p.s.spark, "reports")
+    publish_reports({"aggregated_trips": rest, "fully_covered": covered}, folder)
+    back = read_reports(p.s.spark, folder)
+    return back["aggregated_trips"].withColumn("covered", F.lit(False)).unionByName(back["fully_covered"].withColumn("covered", F.lit(True)))
+
+
 # Reconcile -------------------------------------------------------------------------------------
 
 def q_first_observer_row(p: Steps) -> DataFrame:
@@ -195,6 +237,11 @@ def q_zone_fallback(p: Steps) -> DataFrame:
     return _set_columns(p.zoned(materialize(p.observer(), "observer")), "trip", "lat", "lon", "zone", "zone_source")
 
 
+def q_zone_source_counts(p: Steps) -> DataFrame:
+    return p.zoned(materialize(p.observer(), "observer")).groupBy(F.coalesce("zone_source", F.lit("none")).alias("zone_source")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("trip_id").alias("n_trips"))
+
+
 # Cleaning --------------------------------------------------------------------------------------
 
 def q_flag_split_noncommercial(p: Steps) -> DataFrame:
@@ -313,6 +360,8 @@ STEPS: dict[str, Callable[[Steps], DataFrame]] = {
     "date_parts": q_date_parts,
     "tonnage_length_class": q_tonnage_length_class,
     "packed_position": q_packed_position,
+    "csv_landings": lambda p: _landings_file(p).rows,
+    "csv_problem_counts": lambda p: _landings_file(p).problem_counts(),
     "observer_extents": Steps.observer,
     "separator_panels": Steps.panels,
     "sought_species": Steps.sought,
@@ -331,6 +380,7 @@ STEPS: dict[str, Callable[[Steps], DataFrame]] = {
     "zone_point_in_polygon": q_zone_point_in_polygon,
     "vessel_day_mean_position": q_vessel_day_mean_position,
     "zone_fallback": q_zone_fallback,
+    "zone_source_counts": q_zone_source_counts,
     "flag_split_noncommercial": q_flag_split_noncommercial,
     "flag_split_no_panel": q_flag_split_no_panel,
     "sought_other_species": q_sought_other_species,
@@ -356,6 +406,8 @@ STEPS: dict[str, Callable[[Steps], DataFrame]] = {
     "ratio_of_ratios": q_ratio_of_ratios,
     "bootstrap_ratio": q_bootstrap_ratio,
     "estimate_discards": q_estimate_discards,
+    "estimates_from_file": q_estimates_from_file,
+    "reports_read_back": q_reports_read_back,
     "allocate_discards": q_allocate_discards,
     "allocation_check": q_allocation_check,
     "full_pipeline": q_full_pipeline,

@@ -90,6 +90,11 @@ def delete_written(spark: SparkSession, paths: list[str]) -> None:
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A path of its own in the shared folder."""
+    return f"{shared_folder(spark)}/haulback/{label}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
@@ -98,7 +103,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     statically whether it is small enough to broadcast.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/haulback/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
     for written in _watchers:
         written.append((df, path))
     df.write.parquet(path)

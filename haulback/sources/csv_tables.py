@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from ..functions.dates import parse_dmy
 from ..functions.trips import blank_to_empty
@@ -54,32 +57,74 @@ OPTIONAL = {"VESSEL_NAME", "LICENCE_ID", "DATE_FISHED", "GEAR_CODE", "SFLT_DESC_
             "SE", "BIAS", "OBSLAND", "UNOBSLAND"}
 
 
-def _read_by_name(spark: SparkSession, path: str, header: dict) -> DataFrame:
-    """Columns picked by header name, so that their order and any extra ones do not matter.
+#: Holds the whole text of a record whose number of fields isn't the header's.
+RECORD = "_malformed_record"
+#: The problem of such a record; other problems are named after the column.
+MALFORMED = "number of fields"
+
 
-    Everything is read as text and cast with ``try_cast``: unreadable values become null. The files
-    of a folder must have one header: one that differs fails the read rather than being taken for
-    another's columns. A missing column is an error unless it is in ``OPTIONAL``.
+@dataclass(frozen=True)
+class CheckedRows:
+    """``rows`` with columns of our names and types, and ``quarantine``: ``(record, problems)``.
+
+    A record with another number of fields than the header is in quarantine only, as none of its
+    values can be trusted to stand in its column. A value that can't be read as its column's type is
+    null in ``rows``, and its record is in quarantine too, with the names of such columns.
     """
-    raw = spark.read.option("header", True).option("nullValue", "NA").option("enforceSchema", False).csv(path)
-    by_name = {name.upper(): name for name in raw.columns}
+
+    rows: DataFrame
+    quarantine: DataFrame
+
+    def problem_counts(self) -> DataFrame:
+        """``(problem, n)``: records by what is wrong with them."""
+        return self.quarantine.select(F.explode("problems").alias("problem")).groupBy("problem").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _unreadable(text: Column, kind: str) -> Column:
+    return F.lit(False) if kind in ("string", "trip") else (F.btrim(text) != "") & _typed(text, kind).isNull()
+
+
+def read_checked(spark: SparkSession, path: str, header: dict) -> CheckedRows:
+    """A file, or a folder of files of one header, with its bad records apart.
+
+    Columns are picked by header name, so that their order and any extra ones do not matter. A file
+    of another header fails the read rather than being taken for another's columns. A missing column
+    is an error unless it is in ``OPTIONAL``. All is read as text; one scan serves each of the results.
+    """
+    reader = lambda: spark.read.option("header", True).option("nullValue", "NA").option("enforceSchema", False)
+    names = reader().csv(path).columns
+    by_name = {name.upper(): name for name in names}
     if missing := [name for name in header if name.upper() not in by_name and name.upper() not in OPTIONAL]:
         raise ValueError(f"{path} has no column {', '.join(missing)}")
-    return raw.select(*[
-        _typed(F.col(f"`{by_name[name.upper()]}`"), kind).alias(ours)
-        for name, (ours, kind) in header.items()
-        if name.upper() in by_name
-    ])
+    schema = StructType()
+    for name in [*names, RECORD]:
+        schema = schema.add(name, StringType())
+    # every field is parsed, or else a record's number of them wouldn't show
+    raw = reader().schema(schema).option("columnNameOfCorruptRecord", RECORD).option("columnPruning", False).csv(path)
+    found = [(theirs, F.col(f"`{by_name[theirs.upper()]}`"), ours, kind) for theirs, (ours, kind) in header.items() if theirs.upper() in by_name]
+    whole = F.col(RECORD).isNull()
+    unreadable = F.array_compact(F.array(*[F.when(_unreadable(text, kind), theirs) for theirs, text, _, kind in found]))
+    problems = F.when(whole, unreadable).otherwise(F.array(F.lit(MALFORMED)))
+    record = F.coalesce(RECORD, F.to_json(F.struct(*[F.col(f"`{n}`") for n in names])))
+    return CheckedRows(
+        raw.where(whole).select(*[_typed(text, kind).alias(ours) for _, text, ours, kind in found]),
+        raw.select(record.alias("record"), problems.alias("problems")).where(F.size("problems") > 0),
+    )
+
+
+def check_landings_csv(spark: SparkSession, path: str) -> CheckedRows:
+    """A landings crosstab file or folder. The trip code is never null."""
+    return read_checked(spark, path, LANDINGS_HEADER)
 
 
 def read_landings_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A landings crosstab file or folder. The trip code is never null."""
-    return _read_by_name(spark, path, LANDINGS_HEADER)
+    """The rows of :func:`check_landings_csv`."""
+    return check_landings_csv(spark, path).rows
 
 
 def read_results_csv(spark: SparkSession, path: str) -> DataFrame:
     """Group ratios computed elsewhere, in place of the bootstrap's."""
-    return _read_by_name(spark, path, RESULTS_HEADER)
+    return read_checked(spark, path, RESULTS_HEADER).rows
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "csv") -> None:

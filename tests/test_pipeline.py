@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from haulback import run_discards
 from haulback.operators import landings, reconcile
 from haulback.operators import coverage_cells, coverage_tiers, fleet_trips
+from haulback.plans import pipeline
+from haulback.plans.checks import RunCheckError
 from haulback.plans.settings import Settings
 from haulback.plans.standins import ALL_AREAS, YEARS, Standins
-from haulback.sources import read_landings_csv, write_report
+from haulback.sources import read_landings_csv, read_reports, read_results_csv, write_report
 from haulback.sources.csv_tables import LANDINGS_HEADER
 
 SF = "/root/testdata/sf0.001"
@@ -132,3 +134,42 @@ def test_release_deletes_what_the_run_wrote(standins):
     assert len(paths) > 10 and all(p.exists() for p in paths)
     mine.release()
     assert not any(p.exists() for p in paths) and not mine.written
+
+
+@pytest.mark.parametrize("step, lose", [
+    ("assign_zone", lambda df: df.where("trip_id % 50 <> 3")),
+    ("aggregate_trips", lambda df: df.withColumn("had", F.col("had") * 0.999)),
+    ("allocate_discards", lambda df: df.where("licence_id % 9 <> 1")),
+])
+def test_a_planted_loss_ends_the_run(standins, monkeypatch, step, lose):
+    whole = getattr(pipeline, step)
+    monkeypatch.setattr(pipeline, step, lambda *a, **k: lose(whole(*a, **k)))
+    with pytest.raises(RunCheckError):
+        run(standins)
+
+
+def test_counts_are_those_of_the_tables(result):
+    counted = {(r.step, r.measure): r.value for r in result.reports()["run_counts"].collect()}
+    assert counted["reconciled", "rows"] == result.reconciled.count() and counted["flagged", "rows"] == result.cleaned.count()
+    assert counted["reconciled", "missing"] == result.reconciled.where("status = 'missing'").count()
+    for source in ("reported", "vessel_track", "observer"):
+        assert counted["flagged", source] == result.cleaned.where(F.col("zone_source") == source).count()
+    assert counted["grouped", "ungrouped"] == result.grouped.where("analysis_group is null").count()
+
+
+def test_ratios_from_a_file_replace_the_bootstrap(spark, standins, result, tmp_path):
+    given = result.estimates.select(F.col("analysis_group").alias("zones_q"), "mean", F.col("se").alias("SE"), "bias")
+    write_report(given, str(tmp_path / "ratios"))
+    s = standins
+    again = run_discards(s.landing_tables(), s.observer_tables(), s.zones(), s.table("positions"), s.flags(), YEARS, Settings(**SETTINGS),
+                         results=read_results_csv(spark, str(tmp_path / "ratios")))
+    assert rounded(again.by_vessel) == rounded(result.by_vessel)
+    assert not any("draws" in path for path in again.written) and any("draws" in path for path in result.written)
+
+
+def test_published_reports_read_back(spark, result, tmp_path):
+    result.publish(str(tmp_path / "out"))
+    back = read_reports(spark, str(tmp_path / "out"))
+    assert set(back) == set(result.reports())
+    assert rounded(back["by_vessel"]) == rounded(result.by_vessel)
+    assert back["aggregated_trips"].schema["sector"].dataType == result.aggregated.schema["sector"].dataType

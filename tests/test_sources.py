@@ -1,12 +1,17 @@
 import datetime as dt
+import json
 from types import SimpleNamespace
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from haulback import materialize, shared_folder
 from haulback.operators import landings, observer_trips, separator_panels, sought_species
-from haulback.sources import LandingTables, ObserverTables, read_landings_csv, read_results_csv, read_tables, write_report
+from haulback.sources import (
+    LandingTables, ObserverTables, check_landings_csv, publish_reports, read_landings_csv, read_reports, read_results_csv, read_tables,
+    write_report,
+)
 
 CSV = """VR_NUMBER_FISHING,VESSEL_NAME,TRIP_ID,extra,LOG_EFRT_STD_INFO_ID,LANDED_DATE,DATA_VALUE,110,100,170,LAT
 1,Alpha,10,x,100,3/1/2021,J1,5,2.5,,42.5
@@ -151,3 +156,37 @@ def test_panels_and_sought(spark):
         ("J10", 12, 89, 1), ("J10", 12, 90, 1)]
     assert rows(sought_species(tables, 2021), "trip", "gearcd_id", "specscd_id", "set_no") == [
         ("J10", 12, 10, 1), ("J10", 12, 10, 1), ("J10", 12, 12, 2), ("J10", 71, 10, 3)]
+
+
+def test_bad_records_go_to_quarantine(spark, tmp_path):
+    path = tmp_path / "landings.csv"
+    path.write_text(
+        "TRIP_ID,VR_NUMBER_FISHING,LOG_EFRT_STD_INFO_ID,LANDED_DATE,DATA_VALUE,100,110,170,REMARK\n"
+        "1,2,3,31/1/2021,J1,1.5,2,,fine\n"
+        "1,2,4,31/2/2021,,much,2,3,no such day\n"
+        "1,2,5,1/2/2021\n"
+        "1,2,6,1/2/2021,,1,2,3,four,five\n"
+        "one,2,7,NA,NA, ,2,3,\n")
+    found = check_landings_csv(spark, str(path))
+    assert rows(found.rows, "set_id", "trip_id", "cod", "trip") == [(3, 1, 1.5, "J1"), (4, 1, None, ""), (7, None, None, "")]
+    assert {r.record.split(",")[2] if r.problems == ["number of fields"] else json.loads(r.record)["LOG_EFRT_STD_INFO_ID"]: r.problems for r in found.quarantine.collect()} == {
+        "4": ["LANDED_DATE", "100"], "5": ["number of fields"], "6": ["number of fields"], "7": ["TRIP_ID"]}
+    assert rows(found.problem_counts()) == [("100", 1), ("LANDED_DATE", 1), ("TRIP_ID", 1), ("number of fields", 2)]
+
+
+def test_a_failed_write_leaves_the_version_before(spark, tmp_path):
+    folder = str(tmp_path / "out")
+    table = spark.createDataFrame([(1, 881, 2, "a"), (2, None, None, "b"), (3, 90, 4, "c")], "id int, sector int, q int, name string")
+    plain = spark.createDataFrame([(1.5,)], "x double")
+    with pytest.raises(ValueError, match="no published version"):
+        read_reports(spark, folder)
+    first = publish_reports({"trips": table, "plain": plain}, folder)
+    assert (tmp_path / "out" / "tables" / first / "trips" / "sector=881" / "q=2").is_dir()
+    broken = table.withColumn("name", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        publish_reports({"plain": plain.withColumn("x", F.col("x") * 2), "trips": broken}, folder)
+    back = read_reports(spark, folder)
+    assert rows(back["trips"].select(table.columns)) == rows(table) and rows(back["plain"]) == [(1.5,)]
+    second = publish_reports({"plain": plain.withColumn("x", F.col("x") * 2)}, folder)
+    assert rows(read_reports(spark, folder)["plain"]) == [(3.0,)] and second > first
+    assert rows(read_reports(spark, folder, first)["plain"]) == [(1.5,)]
