@@ -287,7 +287,7 @@ def test_repeated_rows_score_as_one(spark, odd_docs):
 
 
 def test_overlap_counts_every_n_gram(spark, odd_docs):
-    wrapped = licences.TEMPLATES[2][1].split()
+    wrapped = next(t for _, t in licences.TEMPLATES if t.startswith("Unless required")).split()
     notices = [" ".join(wrapped[k : k + 9]) for k in (0, 9, 18)] + ["licensed under the Apache License", "This program is free software under the terms of the GNU General Public License"]
     filler = [f"number {k} is in agreement with the law, of any kind, on an as yet unknown basis, under the terms, either express or mail" for k in range(40)]
     docs = spark.createDataFrame(list(enumerate(notices)) + [(100 + k, x) for k, x in enumerate(filler)], "doc_id bigint, text string").unionByName(odd_docs.select("doc_id", "text"))
@@ -309,6 +309,85 @@ def test_overlap_counts_every_n_gram(spark, odd_docs):
         assert r["family"] in (families[k], licences.UNKNOWN) and r["confirmed"]
 
 
+#: Notices in other words than the templates', by family.
+NOTICES = {
+    "Apache-2.0": ["This project uses the Apache License, Version 2.0; you may obtain a copy of the license online.", "released under Apache License 2.0", " * Licensed to you under the Apache License, Version 2.0 (the License)"],
+    "MIT": ["Code is released as open source under the MIT License.", "MIT License - do what you want", "Permission is hereby granted, free of charge, to anyone obtaining a copy of this software"],
+    "BSD": ["Use of this source code is governed by a BSD-style license", "Redistribution and use in source and binary forms, are permitted provided that these conditions are met", "this is 3-Clause BSD License software"],
+    "ISC": ["available under the permissive ISC License", "Permission to use, copy, modify, and distribute this software for any purpose is hereby granted"],
+    "GPL": ["GNU General Public License for more details", "this file is part of foo, released under the GNU General Public License, version 2", "foo is free software: you can redistribute it under the terms of the GNU General Public License"],
+    "LGPL": ["this library is licensed under the GNU Lesser General Public License", "linking is allowed by the GNU Lesser General Public License, version 3"],
+    "AGPL": ["the server is licensed under the GNU Affero General Public License, version 3", "released as GNU Affero General Public License software"],
+    "MPL-2.0": ["This file is subject to the Mozilla Public License, version 2.0", "licensed: Mozilla Public License"],
+    "EPL": ["released under the Eclipse Public License 2.0 by the authors"],
+    "BSL-1.0": ["Use, modification and distribution are subject to the Boost Software License, Version 1.0"],
+    "zlib": ["altered source versions must be plainly marked as such, and must not be misrepresented"],
+    "Unlicense": ["This is free and unencumbered software released into the public domain, anyone may copy"],
+    "CC0": ["the data are in the public domain by CC0 1.0 Universal", "the author has waived all copyright to this work"],
+    "CC-BY": ["This work is licensed under a Creative Commons Attribution 4.0 International License.", "pictures: CC BY 4.0 by the museum"],
+    "CC-BY-SA": ["Text is available under the Creative Commons Attribution-ShareAlike License; additional terms may apply", "Licensed under CC BY-SA 4.0."],
+    "CC-BY-NC": ["Licensed under CC BY-NC 4.0.", "this paper is CC BY-NC 3.0, no resale"],
+    "proprietary": ["All rights reserved.", "(c) 2019 Some Press Ltd. All rights reserved.", "No part of this publication may be reproduced in any form without written permission of the publisher"],
+}
+
+
+@pytest.fixture(scope="module")
+def licence_model(spark, odd_docs):
+    rows = [(1000 + k, text_of(k, 12)) for k in range(300)]
+    return licences.train(odd_docs.select("doc_id", "text").unionByName(spark.createDataFrame(rows, "doc_id bigint, text string")))
+
+
+def found_licences(spark, model, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    keys = {r["row"]: r["doc_id"] for r in docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row")).collect()}
+    return {keys[r["row"]]: r for r in licences.licence_paragraphs(docs, model).collect()}
+
+
+def test_notices_in_other_words_are_found(spark, licence_model):
+    assert not {x for xs in NOTICES.values() for x in xs} & {t for _, t in licences.TEMPLATES}
+    told = [(f, x) for f, xs in NOTICES.items() for x in xs] + [("proprietary", "All rights reserved.")]
+    got = found_licences(spark, licence_model, [x for _, x in told])
+    right = [k in got and got[k]["family"] == f for k, (f, _) in enumerate(told)]
+    assert sum(right) >= 0.9 * len(told), [told[k] for k, r in enumerate(right) if not r]
+    assert {f for k, (f, _) in enumerate(told) if right[k]} == set(licences.FAMILIES) and right[-1]
+
+
+def test_everyday_use_of_the_same_words_is_left_alone(spark, licence_model):
+    texts = ["Her license to drive was out of date.", "All seats are reserved for the public.", "The work is under way, and the terms are general.",
+             "They granted the rights to the software company.", "A common source of joy is free of charge.", "He wrote a general letter to the foundation in the first version."]
+    assert found_licences(spark, licence_model, texts) == {}
+
+
+def test_what_no_template_confirms_is_unknown(spark, licence_model, monkeypatch):
+    monkeypatch.setattr(licences, "LEAST_OVERLAP", 1.1)
+    got = found_licences(spark, licence_model, ["Released under the MIT License."])
+    assert got[0]["family"] == licences.UNKNOWN and not got[0]["confirmed"]
+
+
+def test_margins_against_plain_sums(spark, licence_model):
+    texts = [x for xs in NOTICES.values() for x in xs] + ["a line of no licence", "x " * 50_000 + "MIT License"]
+    weights = {r["gram"]: r["w"] for r in licence_model.weights.collect()}
+    grams = []
+    for k, text in enumerate(texts):
+        w = re.findall(r"[^\W_]+", text.lower())
+        grams += [(k, w[j], w[j + 1], w[j + 2] if n == 3 else None) for n in (2, 3) for j in range(len(w) - n + 1)]
+    hashed = spark.createDataFrame(grams, "k int, a string, b string, c string").distinct()
+    two = F.xxhash64(F.xxhash64("a"), F.xxhash64("b"))
+    sums = defaultdict(lambda: np.zeros(len(licence_model.intercepts)))
+    for k, gram in {(r["k"], r["gram"]) for r in hashed.select("k", F.when(F.col("c").isNull(), two).otherwise(F.xxhash64(two, F.xxhash64("c"))).alias("gram")).collect()}:
+        if gram in weights:
+            sums[k] += weights[gram]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    keys = {r["row"]: r["doc_id"] for r in docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row")).collect()}
+    scored = licences._scored(licences._grams(licences.paragraphs(docs), "words"), licence_model)
+    got = {keys[r["row"]]: (r["best"], r["margin"]) for r in scored.collect()}
+    names, offsets = list(licence_model.intercepts), np.array(list(licence_model.intercepts.values()))
+    assert set(got) == set(sums)
+    for k, total in sums.items():
+        logit = total + offsets
+        assert got[k][1] == pytest.approx(logit[1:].max() - logit[0]) and got[k][0] == names[1 + int(logit[1:].argmax())]
+
+
 # --- quality rules
 
 
