@@ -41,9 +41,9 @@ from haulback.session import materialize
 DISCOUNT = 0.75
 LEVELS = 256
 #: Tokens whose n-grams one shard holds, about.
-SHARD_TOKENS = 2_500_000
+SHARD_TOKENS = 800_000
 #: Bytes of a shard's n-grams that wait in memory to be scored; more go to a file.
-SPOOLED = 64 << 20
+SPOOLED = 16 << 20
 #: Tokens of documents sent off together, and documents at most.
 SENT_TOKENS, SENT_DOCS = 800_000, 60_000
 
