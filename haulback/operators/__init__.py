@@ -1,3 +1,4 @@
+from .attributes import ATTRIBUTES, Attributes, landing_attributes, narrowed
 from .bootstrap import bootstrap_ratio, ratio_of_ratios, ratio_rows
 from .cleaning import (
     add_cod_had_verdict, all_sets_fail_trips, early_failing_sets, failing_last_sets, flag_directed,
@@ -10,7 +11,7 @@ from .coverage import (
 )
 from .discards import allocate_discards, check_allocation, estimate_discards
 from .keys import anti_by, left_join_on_trip, semi_by, split_by
-from .landings import assign_sector, landings, landings_crosstab, trip_codes
+from .landings import assign_sector, landings, landings_crosstab, narrow_landings, trip_codes
 from .observer import observer_trips, separator_panels, sought_species
 from .reconcile import (
     first_per_vessel_day, landing_error_list, landing_errors, landing_errors_incorrect, landing_errors_missing, match_table,

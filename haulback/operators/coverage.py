@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.classes import GROUP_RULES, assign_group
 from ..functions.trips import observed_flag
+from .attributes import TRIP_ATTRIBUTES, Attributes
 from .keys import anti_by, semi_by
 
 # --- fixed values -----------------------------------------------------------------------------
@@ -21,11 +22,19 @@ TRIP_KEYS = [
 CELL_KEYS = ["sector", "zone", "q"]
 
 
-def aggregate_trips(kept: DataFrame, exclude_gear: int | None = LONGLINE_GEAR) -> DataFrame:
-    """Weights per trip, vessel, licence, gear, quarter, zone and sector; longline left out."""
+def aggregate_trips(kept: DataFrame, exclude_gear: int | None = LONGLINE_GEAR, attributes: Attributes | None = None) -> DataFrame:
+    """Weights per trip, vessel, licence, gear, quarter, zone and sector; longline left out.
+
+    With ``attributes``, vessel names and size classes aren't columns of ``kept`` but looked up for the summed rows.
+    """
     rows = kept if exclude_gear is None else kept.where(F.col("gear_code") != exclude_gear)
     total = lambda c: F.coalesce(F.sum(c), F.lit(0e0)).alias(c)
-    return rows.groupBy(*TRIP_KEYS).agg(total("cod"), total("had"), total("pol"))
+    weights = [total("cod"), total("had"), total("pol")]
+    if attributes is None:
+        return rows.groupBy(*TRIP_KEYS).agg(*weights)
+    narrow = [k for k in TRIP_KEYS if k not in TRIP_ATTRIBUTES]
+    keys = list(dict.fromkeys([*narrow, *attributes.trip_keys(rows)]))
+    return attributes.add(rows.groupBy(*keys).agg(*weights), *TRIP_ATTRIBUTES).select(*TRIP_KEYS, "cod", "had", "pol")
 
 
 def coverage_cells(aggregated: DataFrame, by=tuple(CELL_KEYS)) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.classes import length_class, sector_of, tonnage_class
@@ -10,6 +10,7 @@ from ..functions.dates import in_years
 from ..functions.positions import decode_packed
 from ..functions.trips import blank_to_empty
 from ..sources.tables import LandingTables
+from .attributes import area_keys
 
 # --- fixed values -----------------------------------------------------------------------------
 SPECIES = {"cod": 100, "had": 110, "pol": 170}
@@ -33,12 +34,10 @@ def quota_lookup(tables: LandingTables) -> DataFrame:
     )
 
 
-def landings_crosstab(tables: LandingTables, years, areas=None) -> DataFrame:
-    """Set-level landings with cod, haddock and pollock weights as columns.
+def landings_by_set(tables: LandingTables, years, areas=None) -> DataFrame:
+    """Cod, haddock and pollock weights of each set, on the fact table's own narrow keys.
 
-    Weights are summed on the fact table's own narrow keys; names, sizes and descriptions are
-    looked up afterwards, so they never travel through the aggregation's shuffle. Areas are told
-    apart by name: ids that share one are replaced by the smallest of them before the sum. For all
+    Areas are told apart by name: ids that share one are replaced by the smallest of them before the sum. For all
     lookups Catalyst and AQE choose the join from their sizes.
     """
     fact = tables.pro_spc_info
@@ -47,22 +46,26 @@ def landings_crosstab(tables: LandingTables, years, areas=None) -> DataFrame:
         F.sum(F.when(F.col("species_code") == code, F.col("rnd_weight_kgs")).otherwise(F.lit(0e0))).alias(name)
         for name, code in SPECIES.items()
     ]
-    named = tables.areas.where(F.col("area_id").isin(area_ids)).select(
-        F.col("area_id").alias("nafo_unit_area_id"), "area",
-        F.min("area_id").over(Window.partitionBy("area")).alias("area_key"),
-    )
-    per_set = (
+    keys = area_keys(tables, area_ids).select(F.col("area_id").alias("nafo_unit_area_id"), "area_key")
+    return (
         fact.where(in_years(fact, "landed_date", years) & F.col("nafo_unit_area_id").isin(area_ids))
-        .join(named.select("nafo_unit_area_id", "area_key"), "nafo_unit_area_id")
+        .join(keys, "nafo_unit_area_id")
         .withColumn("nafo_unit_area_id", F.col("area_key"))
         .join(quota_lookup(tables), "lic_quota_id")
         .groupBy(*SET_KEYS)
         .agg(*weights)
     )
+
+
+def landings_crosstab(tables: LandingTables, years, areas=None) -> DataFrame:
+    """Set-level landings with cod, haddock and pollock weights as columns.
+
+    Names, sizes and descriptions are looked up after the sum, so they never travel through its shuffle.
+    """
     vessels = tables.vessels.select(F.col("vr_number").alias("vr_number_fishing"), "vessel_name", "gross_tonnage", "loa")
-    names = named.select(F.col("area_key").alias("nafo_unit_area_id"), "area").distinct()
+    names = area_keys(tables, list(areas or AREA_IDS)).select(F.col("area_key").alias("nafo_unit_area_id"), "area").distinct()
     return (
-        per_set.join(vessels, "vr_number_fishing")
+        landings_by_set(tables, years, areas).join(vessels, "vr_number_fishing")
         .join(names, "nafo_unit_area_id")
         .join(tables.sflt_descs.select("sflt_desc_id", "desc_eng"), "sflt_desc_id")
     )
@@ -76,15 +79,14 @@ def trip_codes(tables: LandingTables) -> DataFrame:
     )
 
 
+def add_dates(df: DataFrame) -> DataFrame:
+    """Year, month and quarter."""
+    return df.withColumns({"year": F.year("landed_date"), "month": F.month("landed_date"), "q": F.quarter("landed_date")})
+
+
 def add_classes(df: DataFrame) -> DataFrame:
     """Year, month, quarter, tonnage class and length class."""
-    return df.withColumns({
-        "year": F.year("landed_date"),
-        "month": F.month("landed_date"),
-        "q": F.quarter("landed_date"),
-        "tc": tonnage_class(F.col("gross_tonnage")),
-        "lc": length_class(F.col("loa")),
-    })
+    return add_dates(df).withColumns({"tc": tonnage_class(F.col("gross_tonnage")), "lc": length_class(F.col("loa"))})
 
 
 def landings(tables: LandingTables, years, areas=None, documents: str = "left") -> DataFrame:
@@ -94,15 +96,43 @@ def landings(tables: LandingTables, years, areas=None, documents: str = "left")
     ``"inner"`` drops them. ``years`` is a year or an inclusive ``(first, last)``.
     """
     coded = landings_crosstab(tables, years, areas).join(trip_codes(tables), "mon_doc_id", documents)
+    ids, measures = _set_columns()
     return add_classes(coded).select(
-        F.col("vr_number_fishing").alias("vr_number"), "vessel_name", "licence_id", "trip_id",
-        F.col("log_efrt_std_info_id").alias("set_id"),
+        F.col("vr_number_fishing").alias("vr_number"), "vessel_name", *ids, "area", "desc_eng", "gross_tonnage", "loa",
+        *measures, "tc", "lc",
+    )
+
+
+def narrow_landings(tables: LandingTables, years, areas=None, documents: str = "left") -> DataFrame:
+    """The rows of :func:`landings` as ids, dates, positions and weights, with no text but the trip code.
+
+    What describes them is added later by :func:`.attributes.landing_attributes`, by vessel, ``area_id`` and fleet. As
+    there, a landing of an unlisted vessel or fleet is left out.
+    """
+    vessels = tables.vessels.select(F.col("vr_number").alias("vr_number_fishing"))
+    coded = (
+        landings_by_set(tables, years, areas)
+        .join(vessels, "vr_number_fishing", "left_semi")
+        .join(tables.sflt_descs.select("sflt_desc_id"), "sflt_desc_id", "left_semi")
+        .join(trip_codes(tables), "mon_doc_id", documents)
+    )
+    ids, measures = _set_columns()
+    return add_dates(coded).select(
+        F.col("vr_number_fishing").alias("vr_number"), *ids, F.col("nafo_unit_area_id").alias("area_id"), *measures)
+
+
+def _set_columns() -> tuple[list[Column | str], list[Column | str]]:
+    """The ids and codes of a set, and its position, date parts and weights."""
+    ids = [
+        "licence_id", "trip_id", F.col("log_efrt_std_info_id").alias("set_id"),
         F.to_date("landed_date").alias("landed_date"), F.to_date("date_fished").alias("date_fished"),
-        blank_to_empty(F.col("data_value")).alias("trip"),
-        "gear_code", "area", "sflt_desc_id", "desc_eng", "mon_doc_id", "gross_tonnage", "loa",
+        blank_to_empty(F.col("data_value")).alias("trip"), "gear_code", "sflt_desc_id", "mon_doc_id",
+    ]
+    measures = [
         decode_packed(F.col("latitude")).alias("lat"), decode_packed(F.col("longitude"), -1).alias("lon"),
-        "year", "month", "q", "tc", "lc", "cod", "had", "pol",
-    )
+        "year", "month", "q", *SPECIES,
+    ]
+    return ids, measures
 
 
 def assign_sector(landings: DataFrame, codes: dict[int, list[int]] | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.attributes import Attributes, landing_attributes, narrowed
 from ..operators.bootstrap import bootstrap_ratio, ratio_rows
 from ..operators.cleaning import (
     add_cod_had_verdict, early_failing_sets, flag_directed, flag_out_of_scope, kept, removed_audit, trip_reasons,
@@ -16,7 +17,7 @@ from ..operators.coverage import (
     split_fully_covered, ungrouped_counts,
 )
 from ..operators.discards import allocate_discards, check_allocation, estimate_discards
-from ..operators.landings import assign_sector, landings
+from ..operators.landings import AREA_IDS, assign_sector, narrow_landings
 from ..operators.observer import observer_trips, separator_panels, sought_species
 from ..operators.reconcile import (
     landing_error_list, landing_errors_incorrect, landing_errors_missing, observer_check, observer_missing, reconcile,
@@ -47,6 +48,7 @@ class DiscardRun:
     grouped: DataFrame
     estimates: DataFrame
     by_vessel: DataFrame
+    attributes: Attributes = field(default_factory=Attributes)  # what describes the rows of reconciled and cleaned
     settings: Settings = field(default_factory=Settings)
     measured: Measured = field(default_factory=Measured)  # rows and sums of the tables, as they were written
     written: list[str] = field(default_factory=list)
@@ -60,7 +62,7 @@ class DiscardRun:
                 "landing_trips_missing": landing_errors_missing(self.reconciled),
                 "observer_check": observer_check(self.observer, landing_errors_incorrect(self.reconciled)),
                 "observer_missing": observer_missing(self.reconciled),
-                "removed_records": removed_audit(self.cleaned),
+                "removed_records": self.attributes.widened(removed_audit(self.cleaned)),
                 "early_failing_sets": early_failing_sets(add_cod_had_verdict(checked, self.settings.cod_had_threshold), self.settings.cod_had_threshold),
                 "aggregated_trips": self.aggregated,
                 "coverage": coverage_summary(self.cells),
@@ -98,8 +100,9 @@ def run_discards(landing_tables: LandingTables | None, observer_tables: Observer
     ``fleet_trips`` (see :func:`..operators.zones.fleet_trips`) names the vessels whose track may
     stand in for a missing zone; without it, any vessel's may. Positions with text timestamps are
     parsed. ``results`` (e.g. from :func:`..sources.read_results_csv`) replaces the bootstrap: ratios
-    per group, with the groups' landings or without. Written to the shared folder on the way, because
-    each is read by several steps: observer trips, reconciled and flagged landings, the zone index,
+    per group, with the groups' landings or without. Names, areas, descriptions and sizes are looked up
+    for the roll-up and for reports only; ``attributes`` adds them to landings. Written to the shared
+    folder on the way, because each is read by several steps: given landing rows, observer trips, reconciled and flagged landings, the zone index,
     needed vessel-days, failing trips, rolled-up trips, their groups, bootstrap rows and draws, the
     group estimates and the vessels' shares.
 
@@ -119,7 +122,12 @@ ZONE_SOURCES = ["reported", "vessel_track", "observer"]
 def _run(landing_tables, observer_tables, zone_layer, positions, flags, years, use, landing_rows, fleet_trips, results) -> DiscardRun:
     seen = Measured()
     observed = materialize(observer_trips(observer_tables, years, use.area_prefix, use.observer_gears_excluded), "observer")
-    rows = seen.watch(landing_rows if landing_rows is not None else landings(landing_tables, years, use.areas), "landings")
+    if landing_rows is not None:
+        rows, attributes = narrowed(materialize(landing_rows, "landing-rows"))
+    else:
+        rows = narrow_landings(landing_tables, years, use.areas)
+        attributes = landing_attributes(landing_tables, list(use.areas or AREA_IDS))
+    rows = seen.watch(rows, "landings")
     reconciled = seen.written(
         reconcile(rows, observed, use.tolerance_days, use.trust_observer, use.one_match), "reconciled", **count_by("status", STATUSES))
     seen.at_least("reconciled landings", seen.rows("reconciled"), seen.rows("landings"))
@@ -141,7 +149,7 @@ def _run(landing_tables, observer_tables, zone_layer, positions, flags, years, u
     in_scope = kept(cleaned)
     if use.gear_excluded is not None:
         in_scope = in_scope.where(F.col("gear_code") != use.gear_excluded)
-    trips = seen.written(aggregate_trips(seen.watch(in_scope, "in_scope", **weights()), None), "trips", **weights())
+    trips = seen.written(aggregate_trips(seen.watch(in_scope, "in_scope", **weights()), None, attributes), "trips", **weights())
     for c in weights():
         seen.same(f"{c} of the trips", seen.values["trips"][c], seen.values["in_scope"][c])
     rest, covered = split_fully_covered(trips)
@@ -158,5 +166,5 @@ def _run(landing_tables, observer_tables, zone_layer, positions, flags, years, u
             seen.same(f"discards allocated in {group}", seen.values["by_vessel"][group], discards)
     return DiscardRun(
         observer=observed, reconciled=reconciled, cleaned=cleaned, aggregated=rest, fully_covered=covered,
-        cells=coverage_cells(trips), grouped=grouped, estimates=estimates, by_vessel=by_vessel, measured=seen,
+        cells=coverage_cells(trips), grouped=grouped, estimates=estimates, by_vessel=by_vessel, attributes=attributes, measured=seen,
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.classes import length_class, tonnage_class
 from ..functions.positions import decode_packed
 from ..functions.trips import blank_to_empty
+from ..operators.attributes import landing_attributes
 from ..operators.bootstrap import bootstrap_ratio, ratio_of_ratios, ratio_rows
 from ..operators.cleaning import (
     add_cod_had_verdict, all_sets_fail_trips, early_failing_sets, failing_last_sets, flag_directed, flag_out_of_scope,
@@ -21,7 +22,7 @@ from ..operators.coverage import (
     split_fully_covered, ungrouped_counts,
 )
 from ..operators.discards import allocate_discards, check_allocation, estimate_discards
-from ..operators.landings import assign_sector, landings, landings_crosstab, trip_codes
+from ..operators.landings import assign_sector, landings, landings_crosstab, narrow_landings, trip_codes
 from ..operators.observer import observer_trips, separator_panels, sought_species
 from ..operators.reconcile import (
     first_per_vessel_day, landing_error_list, landing_errors_incorrect, landing_errors_missing, observer_check, observer_missing, reconcile,
@@ -44,6 +45,9 @@ class Steps:
     def landings(self) -> DataFrame:
         return landings(self.s.landing_tables(), YEARS, ALL_AREAS)
 
+    def narrow_landings(self) -> DataFrame:
+        return narrow_landings(self.s.landing_tables(), YEARS, ALL_AREAS)
+
     def verdicts(self) -> DataFrame:
         return add_cod_had_verdict(self.landings())
 
@@ -57,7 +61,7 @@ class Steps:
         return sought_species(self.s.observer_tables(), YEARS)
 
     def reconciled(self, observer: DataFrame | None = None) -> DataFrame:
-        return reconcile(self.landings(), self.observer() if observer is None else observer)
+        return reconcile(self.narrow_landings(), self.observer() if observer is None else observer)
 
     def fleet(self) -> DataFrame:
         """The trips whose vessels' tracks may stand in for a missing zone."""
@@ -74,7 +78,7 @@ class Steps:
         return flag_directed(materialize(flag_out_of_scope(zoned), "flagged"))
 
     def aggregated(self) -> DataFrame:
-        return aggregate_trips(kept(self.cleaned()))
+        return aggregate_trips(kept(self.cleaned()), attributes=landing_attributes(self.s.landing_tables(), ALL_AREAS))
 
     def trips(self) -> DataFrame:
         """The trips in scope, written once: most of what follows reads them several times."""
@@ -205,7 +209,7 @@ def q_reconcile_status(p: Steps) -> DataFrame:
 
 
 def q_reconcile_one_match(p: Steps) -> DataFrame:
-    one = reconcile(p.landings(), p.observer(), trust_observer=False, one_match=True)
+    one = reconcile(p.narrow_landings(), p.observer(), trust_observer=False, one_match=True)
     return _set_columns(one, "landed_date", "landed_trip", "trip", "obs_trip")
 
 

@@ -7,7 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from haulback import run_discards
-from haulback.operators import landings, reconcile
+from haulback.operators import ATTRIBUTES, landing_attributes, landings, narrow_landings, narrowed, reconcile
 from haulback.operators import coverage_cells, coverage_tiers, fleet_trips
 from haulback.plans import pipeline
 from haulback.plans.checks import RunCheckError
@@ -173,3 +173,34 @@ def test_published_reports_read_back(spark, result, tmp_path):
     assert set(back) == set(result.reports())
     assert rounded(back["by_vessel"]) == rounded(result.by_vessel)
     assert back["aggregated_trips"].schema["sector"].dataType == result.aggregated.schema["sector"].dataType
+
+
+def test_landings_travel_without_their_descriptions(spark, standins, result):
+    for table in (result.reconciled, result.cleaned):
+        assert not set(ATTRIBUTES) & set(table.columns)
+        text = {c for c, t in table.dtypes if t == "string"}
+        assert text <= {"trip", "obs_trip", "landed_trip", "match", "status", "zone_source", "reason"}
+    wide = landings(standins.landing_tables(), YEARS, ALL_AREAS)
+    narrow = narrow_landings(standins.landing_tables(), YEARS, ALL_AREAS)
+    back = landing_attributes(standins.landing_tables(), ALL_AREAS).add(narrow).select(*wide.columns)
+    assert back.exceptAll(wide).isEmpty() and wide.exceptAll(back).isEmpty()
+    assert set(ATTRIBUTES) < set(result.reports()["removed_records"].columns)
+
+
+def test_descriptions_that_differ_in_nulls_stay_apart(spark):
+    rows_in = spark.createDataFrame(
+        [(1, "A", None, 2, 1e0), (1, "A", 2, None, 2e0), (1, None, None, None, 3e0), (None, "A", 2, 2, 4e0), (1, "A", None, 2, 5e0)],
+        "vr_number long, vessel_name string, tc int, lc int, cod double")
+    narrow, attributes = narrowed(rows_in)
+    assert "vessel_name" not in narrow.columns and narrow.select("trip_profile").distinct().count() == 4
+    assert rows(attributes.widened(narrow).select(*rows_in.columns)) == rows(rows_in)
+    assert attributes.trip_keys(narrow) == ["vr_number", "trip_profile"]
+
+
+def test_rows_without_descriptions_are_left_as_they_are(spark):
+    bare = spark.createDataFrame([(1, 2e0)], "vr_number long, cod double")
+    narrow, attributes = narrowed(bare)
+    assert rows(attributes.widened(narrow)) == rows(bare) and not attributes.tables
+    empty = spark.createDataFrame([], "vr_number long, vessel_name string, area string")
+    narrow, attributes = narrowed(empty)
+    assert attributes.widened(narrow).count() == 0 and len(attributes.tables) == 2
