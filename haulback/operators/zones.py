@@ -11,6 +11,9 @@ from ..session import materialize
 from ..sources.zones import MOST_EDGES, ZoneIndex, inside, zone_index
 from .keys import left_join_on_trip
 
+#: Vessel numbers of 8 bytes that may be broadcast.
+MOST_SENT_VESSELS = 1_000_000
+
 
 def identify_zone(df: DataFrame, zones: DataFrame, lat: str = "lat", lon: str = "lon", zone: str = "zone",
                   most_edges: int = MOST_EDGES) -> DataFrame:
@@ -73,9 +76,16 @@ def positions_between(positions: DataFrame, days: DataFrame) -> DataFrame:
 def vessel_day_mean_position(positions: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     """Mean position per vessel and UTC day, of the ``wanted`` vessel-days (vr_number, date) if given.
 
-    Averaged before the join: the partial averages shrink the position track to vessel-days ahead
-    of the shuffle.
+    Averaged before the join with the vessel-days: the partial averages shrink the position track ahead of the
+    shuffle. Where the vessel-days are few enough to broadcast, Catalyst moves that join below the average by itself.
+    Where they aren't, their vessels mostly still are, one number each: up to ``MOST_SENT_VESSELS`` of them are
+    broadcast and cut the track at its scan. Beyond that the track is only averaged; the raw positions are never
+    shuffled. ``wanted`` is read three times; pass a written table.
     """
+    if wanted is not None:
+        vessels = wanted.select("vr_number").distinct()
+        if vessels.count() <= MOST_SENT_VESSELS:
+            positions = positions.join(F.broadcast(vessels), "vr_number", "left_semi")
     days = (
         positions.groupBy("vr_number", F.to_date("position_utc_date").alias("date"))
         .agg(F.avg("latitude").alias("mean_lat"), F.avg("longitude").alias("mean_lon"))

@@ -10,6 +10,7 @@ from haulback.operators import (
     assign_zone, fleet_positions, fleet_trips, identify_zone, observer_position, parse_positions, positions_between,
     vessel_day_mean_position,
 )
+from haulback.operators import zones as zones_module
 from haulback.operators.zones import _locate
 from haulback.sources import zone_index, zones_from_vertices
 
@@ -190,3 +191,24 @@ def test_needed_days_bound_the_scan_of_positions(spark, tmp_path, capsys):
     text = capsys.readouterr().out
     assert "GreaterThanOrEqual(position_utc_date,2021-05-30T00:00)" in text and "LessThan(position_utc_date,2021-06-03T00:00)" in text
     assert positions_between(found, days.where("1 = 0")).count() == 0
+
+
+@pytest.mark.parametrize("most", [0, 1_000_000])
+def test_the_track_is_cut_to_the_wanted_vessels_below_the_average(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(zones_module, "MOST_SENT_VESSELS", most)
+    spark.range(2000).selectExpr(
+        "id % 50 as vr_number", "timestamp'1997-01-01 00:00:00' + make_interval(0, 0, 0, 0, id % 500) as position_utc_date",
+        "cast(id as double) as latitude", "cast(-id as double) as longitude").write.parquet(str(tmp_path / "track"))
+    track = spark.read.parquet(str(tmp_path / "track"))
+    spark.range(90).selectExpr("id % 7 as vr_number", "date'1997-01-01' + cast(id % 15 as int) as date").distinct().write.parquet(str(tmp_path / "days"))
+    days = spark.read.parquet(str(tmp_path / "days"))
+    whole = vessel_day_mean_position(track).join(days, ["vr_number", "date"], "left_semi")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cut = vessel_day_mean_position(track, days)
+        plan = cut._jdf.queryExecution().optimizedPlan().toString()
+        below = plan[plan.index("Aggregate"):]  # the tree's lines go from the top down
+        assert ("strategy=broadcast" in below and "LeftSemi" in below) == (most > 0)
+        assert rows(cut) == rows(whole) and rows(whole)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
