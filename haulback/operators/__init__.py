@@ -14,7 +14,7 @@ from .keys import anti_by, left_join_on_trip, semi_by, split_by
 from .landings import assign_sector, landings, landings_crosstab, narrow_landings, trip_codes
 from .observer import observer_trips, separator_panels, sought_species
 from .reconcile import (
-    first_per_vessel_day, landing_error_list, landing_errors, landing_errors_incorrect, landing_errors_missing, match_table,
+    first_per_vessel_day, landing_error_list, landing_errors, landing_errors_incorrect, landing_errors_missing, landed_days, match_table,
     observer_check, observer_missing, reconcile,
 )
 from .zones import (

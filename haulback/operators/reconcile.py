@@ -2,9 +2,10 @@
 
 Whether and to what a landing matches depends only on its vessel and landed date. So the matching
 is worked out on the small observer side, as one table keyed by (vessel, date), and the landings
-are joined to it once. The date tolerance is unrolled into days there, which makes the interval
-join an equi-join on two keys: one busy vessel spreads over its dates, and no pair of rows is
-ever compared only to be discarded.
+are joined to it once. A tolerance of a few days is unrolled into days there, which makes the
+interval join an equi-join on two keys: one busy vessel spreads over its dates, and no pair of rows
+is ever compared only to be discarded. A longer tolerance would repeat each observer row too often;
+there the days that have landings meet the observer rows in bins of dates.
 """
 
 from __future__ import annotations
@@ -18,6 +19,9 @@ from .keys import semi_by
 TOLERANCE_DAYS = 2
 MATCH_KEYS = ["vr_number", "landed_date"]
 
+#: The longest tolerance that is unrolled: up to 15 copies of an observer row. Both ways give the same rows.
+MOST_UNROLLED_DAYS = 7
+
 
 def first_per_vessel_day(observer: DataFrame) -> DataFrame:
     """The first observer row of each vessel and landing date, in trip, set code, gear order.
@@ -45,16 +49,52 @@ def unroll_days(observer: DataFrame, tolerance_days: int = TOLERANCE_DAYS) -> Da
     )
 
 
-def match_table(observer: DataFrame, tolerance_days: int = TOLERANCE_DAYS, one_match: bool = False) -> DataFrame:
+def in_bins(observer: DataFrame, tolerance_days: int) -> DataFrame:
+    """Each observer row in the one or two bins of dates that its reach touches, whatever the tolerance.
+
+    A bin is as long as the reach: the tolerance before and after, and the day itself.
+    """
+    reach = [F.floor((F.unix_date("landing_date") + F.lit(d)) / F.lit(2 * tolerance_days + 1)) for d in (-tolerance_days, tolerance_days)]
+    return (
+        observer.where(F.col("vr_number").isNotNull() & F.col("landing_date").isNotNull())
+        .withColumn("bin", F.explode(F.sequence(*reach)))
+    )
+
+
+def landed_days(landings: DataFrame) -> DataFrame:
+    """The vessels and days that have landings, each once."""
+    return landings.select(*MATCH_KEYS).distinct()
+
+
+def near_landed_days(observer: DataFrame, days: DataFrame, tolerance_days: int) -> DataFrame:
+    """As :func:`unroll_days`, for the landed ``days`` (vr_number, landed_date) only, each listed once.
+
+    A range join as an equi-join: a day lies in one bin, so no pair is met twice, and at least about
+    half of the pairs within a bin are in reach.
+    """
+    day_bin = F.floor(F.unix_date("landed_date") / F.lit(2 * tolerance_days + 1))
+    return (
+        in_bins(observer, tolerance_days)
+        .join(days.withColumn("bin", day_bin), ["vr_number", "bin"])
+        .withColumn("days_off", F.abs(F.date_diff("landed_date", "landing_date")))
+        .where(F.col("days_off") <= tolerance_days)
+    )
+
+
+def match_table(observer: DataFrame, tolerance_days: int = TOLERANCE_DAYS, one_match: bool = False,
+                days: DataFrame | None = None) -> DataFrame:
     """``(vr_number, landed_date, obs_trip, match)`` for every vessel and day that can match.
 
+    With the landed ``days`` (vr_number, landed_date), interval matches are found for these only.
+
     A vessel and day with an observer landing on that very day matches its first row ("exact").
     Any other day within the tolerance matches every observer row in reach ("interval"), or with
     ``one_match`` only the nearest, ties by trip, set code and gear.
     """
     coded = observer.where(F.col("trip").isNotNull())
     exact = first_per_vessel_day(coded).select(*MATCH_KEYS, "obs_trip", F.lit("exact").alias("match"))
-    near = unroll_days(coded, tolerance_days).where("days_off > 0").join(exact, MATCH_KEYS, "left_anti")
+    reached = unroll_days(coded, tolerance_days) if days is None else near_landed_days(coded, days, tolerance_days)
+    near = reached.where("days_off > 0").join(exact, MATCH_KEYS, "left_anti")
     if one_match:
         near = (
             near.groupBy(*MATCH_KEYS)
@@ -66,15 +106,20 @@ def match_table(observer: DataFrame, tolerance_days: int = TOLERANCE_DAYS, one_m
 
 
 def reconcile(landings: DataFrame, observer: DataFrame, tolerance_days: int = TOLERANCE_DAYS,
-              trust_observer: bool = True, one_match: bool = False) -> DataFrame:
+              trust_observer: bool = True, one_match: bool = False, days: DataFrame | None = None) -> DataFrame:
     """Landings with ``obs_trip``, ``match``, ``status`` and the corrected ``trip``.
 
     The entered code stays in ``landed_trip``. ``status`` is agree, missing, incorrect, unobserved
     or not_in_observer. With ``trust_observer`` the observer's code replaces a differing one,
     otherwise it only fills a blank. Without ``one_match`` a landing appears once per observer row
-    it matches within the tolerance.
+    it matches within the tolerance. A tolerance above ``MOST_UNROLLED_DAYS`` needs the landed days,
+    see :func:`landed_days`; unless given, they are taken from the landings, which are then read twice.
     """
-    table = match_table(observer, tolerance_days, one_match).alias("m")
+    if tolerance_days <= MOST_UNROLLED_DAYS:
+        days = None
+    elif days is None:
+        days = landed_days(landings)
+    table = match_table(observer, tolerance_days, one_match, days).alias("m")
     joined = landings.withColumn("trip", blank_to_empty(F.col("trip"))).alias("l").join(
         table,
         F.col("l.vr_number").eqNullSafe(F.col("m.vr_number"))

@@ -20,7 +20,7 @@ from ..operators.discards import allocate_discards, check_allocation, estimate_d
 from ..operators.landings import AREA_IDS, assign_sector, narrow_landings
 from ..operators.observer import observer_trips, separator_panels, sought_species
 from ..operators.reconcile import (
-    landing_error_list, landing_errors_incorrect, landing_errors_missing, observer_check, observer_missing, reconcile,
+    MOST_UNROLLED_DAYS, landing_error_list, landing_errors_incorrect, landing_errors_missing, landed_days, observer_check, observer_missing, reconcile,
 )
 from ..operators.zones import assign_zone, fleet_positions, parse_positions
 from ..session import delete_written, materialize, watch_written
@@ -127,9 +127,12 @@ def _run(landing_tables, observer_tables, zone_layer, positions, flags, years, u
     else:
         rows = narrow_landings(landing_tables, years, use.areas)
         attributes = landing_attributes(landing_tables, list(use.areas or AREA_IDS))
+        if use.tolerance_days > MOST_UNROLLED_DAYS:
+            rows = materialize(rows, "landings")  # read for their days, and again
+    days = landed_days(rows)
     rows = seen.watch(rows, "landings")
     reconciled = seen.written(
-        reconcile(rows, observed, use.tolerance_days, use.trust_observer, use.one_match), "reconciled", **count_by("status", STATUSES))
+        reconcile(rows, observed, use.tolerance_days, use.trust_observer, use.one_match, days), "reconciled", **count_by("status", STATUSES))
     seen.at_least("reconciled landings", seen.rows("reconciled"), seen.rows("landings"))
     if use.one_match:
         seen.same("landings with one match each", seen.rows("reconciled"), seen.rows("landings"))

@@ -204,6 +204,12 @@ def q_reconcile_interval(p: Steps) -> DataFrame:
     return _set_columns(near, "landed_date", F.col("landed_trip").alias("trip"), "obs_trip")
 
 
+def q_reconcile_interval_wide(p: Steps) -> DataFrame:
+    """Landings up to 60 days from an observer row, matched in bins of dates."""
+    near = reconcile(materialize(p.narrow_landings(), "landings"), p.observer(), tolerance_days=60).where("match = 'interval'")
+    return _set_columns(near, "landed_date", F.col("landed_trip").alias("trip"), "obs_trip")
+
+
 def q_reconcile_status(p: Steps) -> DataFrame:
     return _set_columns(p.reconciled(), "landed_date", "trip", "landed_trip", "obs_trip", "match", "status")
 
@@ -372,6 +378,7 @@ STEPS: dict[str, Callable[[Steps], DataFrame]] = {
     "first_observer_row": q_first_observer_row,
     "reconcile_exact": q_reconcile_exact,
     "reconcile_interval": q_reconcile_interval,
+    "reconcile_interval_wide": q_reconcile_interval_wide,
     "reconcile_status": q_reconcile_status,
     "reconcile_one_match": q_reconcile_one_match,
     "landing_errors": lambda p: landing_error_list(p.reconciled()),

@@ -204,3 +204,10 @@ def test_rows_without_descriptions_are_left_as_they_are(spark):
     empty = spark.createDataFrame([], "vr_number long, vessel_name string, area string")
     narrow, attributes = narrowed(empty)
     assert attributes.widened(narrow).count() == 0 and len(attributes.tables) == 2
+
+
+def test_a_long_tolerance_runs_through(standins):
+    wide = run(standins, tolerance_days=30)
+    direct = reconcile(narrow_landings(standins.landing_tables(), YEARS, ALL_AREAS), wide.observer, tolerance_days=30)
+    assert wide.reconciled.count() == direct.count() == wide.measured.rows("reconciled")
+    assert wide.reconciled.where("match = 'interval'").count() > 0

@@ -8,6 +8,7 @@ from conftest import rows
 from haulback.operators import (
     landing_errors, landing_errors_incorrect, landing_errors_missing, observer_check, observer_missing, reconcile,
 )
+from haulback.operators.reconcile import in_bins, near_landed_days, unroll_days
 
 DAY = dt.date(2021, 5, 10)
 LANDINGS = "vr_number long, trip_id long, set_id long, landed_date date, trip string"
@@ -94,6 +95,33 @@ def test_other_tolerance(spark):
         EDGE_LANDINGS, EDGE_OBSERVER, tolerance=3)
 
 
+@pytest.mark.parametrize("tolerance", [8, 60])
+@pytest.mark.parametrize("one_match", [False, True])
+def test_long_tolerance_in_bins(spark, tolerance, one_match):
+    rnd = random.Random(tolerance)
+    vessel = lambda: rnd.choice([1, 1, 1, 2, 3, None])
+    day = lambda: rnd.choice([None, *[at(rnd.randint(-400, 400))] * 15])  # noqa: E731  bins begin before and after 1970 alike
+    landings = [(vessel(), i, i, day(), rnd.choice(["", f"J{rnd.randint(1, 9)}"])) for i in range(200)]
+    observer = [(vessel(), rnd.choice([None, "J1", "J2", "J3"]), day(), rnd.randint(1, 2), 1) for _ in range(60)]
+    want = expected(landings, observer, True, one_match, tolerance)
+    assert actual(spark, landings, observer, tolerance_days=tolerance, one_match=one_match) == want
+    assert any(k[6] == "interval" for k in want)
+
+
+@pytest.mark.parametrize("tolerance", [0, 1, 2, 7, 60, 400])
+def test_bins_give_the_unrolled_days_from_two_rows_at_most(spark, tolerance):
+    rnd = random.Random(5)
+    observer = spark.createDataFrame(
+        [(rnd.randint(1, 3), f"J{i}", dt.date(1970, 1, 1) + dt.timedelta(days=rnd.randint(-300, 300)), 1, 1) for i in range(50)], OBSERVER)
+    days = spark.createDataFrame(
+        [(v, dt.date(1970, 1, 1) + dt.timedelta(days=d)) for v in (1, 2, 9) for d in range(-400, 400, 3)], "vr_number long, landed_date date")
+    picked = ["vr_number", "landed_date", "trip", "days_off"]
+    binned = near_landed_days(observer, days, tolerance).select(*picked)
+    unrolled = unroll_days(observer, tolerance).join(days, ["vr_number", "landed_date"], "left_semi").select(*picked)
+    assert rows(binned) == rows(unrolled)
+    assert in_bins(observer, tolerance).count() <= 100
+
+
 def test_every_landing_has_a_status_and_one_match_keeps_the_row_count(spark):
     df = reconcile(spark.createDataFrame(EDGE_LANDINGS, LANDINGS), spark.createDataFrame(EDGE_OBSERVER, OBSERVER), one_match=True)
     assert df.count() == len(EDGE_LANDINGS)
