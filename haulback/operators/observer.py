@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import in_years
+from ..session import materialize
 from ..sources.tables import ObserverTables
 
 # --- fixed values -----------------------------------------------------------------------------
@@ -21,11 +24,18 @@ def _vessel_number(cfv="cfv"):
     return F.col(cfv).try_cast("bigint")
 
 
+def area_sets(tables: ObserverTables, area_prefix: str = AREA_PREFIX) -> ObserverTables:
+    """``tables`` with the sets cut to the areas and written once: trips, panels and species sought each read them."""
+    sets = tables.isfishsets.where(F.col("nafarea_id").startswith(area_prefix)).select(
+        "fishset_id", "trip_id", "gear_id", "nafarea_id", "setcd_id", "set_no", "specscd_id")
+    return replace(tables, isfishsets=materialize(sets, "observer-sets"))
+
+
 def observer_trips(tables: ObserverTables, years, area_prefix: str = AREA_PREFIX, exclude_gears=None) -> DataFrame:
     """Dates and position of observed trips, one row per trip, gear code and set code.
 
-    Minima and maxima are first taken per trip, gear and set code, before any name is looked up;
-    taking them again over the final keys gives the same values and shuffles little.
+    Sets of other gears leave before they meet their profiles. Minima and maxima are first taken per trip, gear code
+    and set code, before any name is looked up; taking them again over the final keys gives the same values and shuffles little.
     The position is the smallest latitude and the smallest (positive west) longitude.
     """
     profile = tables.issetprofile
@@ -39,16 +49,17 @@ def observer_trips(tables: ObserverTables, years, area_prefix: str = AREA_PREFIX
         .select("fishset_id", "setdate", "latitude", "longitude")
         .join(
             tables.isfishsets.where(F.col("nafarea_id").startswith(area_prefix))
-            .select("fishset_id", "trip_id", "gear_id", "setcd_id"),
+            .select("fishset_id", "trip_id", "gear_id", "setcd_id")
+            .join(gears.select("gear_id", "gearcd_id"), "gear_id"),
             "fishset_id",
         )
-        .groupBy("trip_id", "gear_id", "setcd_id")
+        .repartition("trip_id")  # for the sums and the trips' names
+        .groupBy("trip_id", "gearcd_id", "setcd_id")
         .agg(*extents("setdate", "setdate", "latitude", "longitude"))
     )
     keys = ["cfv", "vessel_name", "trip", "tripcd_id", "conf_number", "landing_date", "gearcd_id", "setcd_id"]
     named = (
-        per_gear.join(gears.select("gear_id", "gearcd_id"), "gear_id")
-        .join(tables.istrips.select("trip_id", "vess_id", "trip", "tripcd_id", "conf_number", "landing_date"), "trip_id")
+        per_gear.join(tables.istrips.select("trip_id", "vess_id", "trip", "tripcd_id", "conf_number", "landing_date"), "trip_id")
         .join(tables.isvessels.select("vess_id", "cfv", "vessel_name"), "vess_id")
         .groupBy(*keys)
         .agg(*extents("min_date", "max_date", "lat2", "lon2"))
