@@ -40,6 +40,17 @@ def landings_by_set(tables: LandingTables, years, areas=None) -> DataFrame:
     Areas are told apart by name: ids that share one are replaced by the smallest of them before the sum. For all
     lookups Catalyst and AQE choose the join from their sizes.
     """
+    quotas = quota_lookup(tables)
+    return _sum_again(landings_by_quota(tables, years, areas).join(quotas, "lic_quota_id"), SET_KEYS)
+
+
+def _sum_again(sums: DataFrame, keys: list[str]) -> DataFrame:
+    """Sums over ``keys``, laid out by vessel: lookups and matches by vessel that follow need no move of their own."""
+    return sums.repartition("vr_number_fishing").groupBy(*keys).agg(*[F.sum(c).alias(c) for c in SPECIES])
+
+
+def landings_by_quota(tables: LandingTables, years, areas=None) -> DataFrame:
+    """As :func:`landings_by_set`, for each licence quota instead of each fleet: summed before anything is looked up but areas."""
     fact = tables.pro_spc_info
     area_ids = list(areas or AREA_IDS)
     weights = [
@@ -51,8 +62,7 @@ def landings_by_set(tables: LandingTables, years, areas=None) -> DataFrame:
         fact.where(in_years(fact, "landed_date", years) & F.col("nafo_unit_area_id").isin(area_ids))
         .join(keys, "nafo_unit_area_id")
         .withColumn("nafo_unit_area_id", F.col("area_key"))
-        .join(quota_lookup(tables), "lic_quota_id")
-        .groupBy(*SET_KEYS)
+        .groupBy(*[k for k in SET_KEYS if k != "sflt_desc_id"], "lic_quota_id")
         .agg(*weights)
     )
 
@@ -108,14 +118,16 @@ def narrow_landings(tables: LandingTables, years, areas=None, documents: str = "
 
     What describes them is added later by :func:`.attributes.landing_attributes`, by vessel, ``area_id`` and fleet. As
     there, a landing of an unlisted vessel or fleet is left out.
+
+    A document's code is looked up ahead of the last sum, once for each different code with the number of its entries,
+    which repeat the summed row. So what is left to do by vessel, here and in :func:`.reconcile.reconcile`, follows one move.
     """
     vessels = tables.vessels.select(F.col("vr_number").alias("vr_number_fishing"))
-    coded = (
-        landings_by_set(tables, years, areas)
-        .join(vessels, "vr_number_fishing", "left_semi")
-        .join(tables.sflt_descs.select("sflt_desc_id"), "sflt_desc_id", "left_semi")
-        .join(trip_codes(tables), "mon_doc_id", documents)
-    )
+    codes = trip_codes(tables).repartition("mon_doc_id").groupBy("mon_doc_id", "data_value").agg(F.count(F.lit(1)).alias("entries"))
+    fleets = quota_lookup(tables).join(tables.sflt_descs.select("sflt_desc_id"), "sflt_desc_id", "left_semi")
+    sums = landings_by_quota(tables, years, areas).join(codes, "mon_doc_id", documents).join(fleets, "lic_quota_id")
+    coded = _sum_again(sums, [*SET_KEYS, "data_value", "entries"]).join(vessels, "vr_number_fishing", "left_semi")
+    coded = coded.withColumn("entry", F.explode(F.sequence(F.lit(1), F.coalesce("entries", F.lit(1)).cast("int"))))
     ids, measures = _set_columns()
     return add_dates(coded).select(
         F.col("vr_number_fishing").alias("vr_number"), *ids, F.col("nafo_unit_area_id").alias("area_id"), *measures)

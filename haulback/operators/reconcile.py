@@ -106,7 +106,8 @@ def match_table(observer: DataFrame, tolerance_days: int = TOLERANCE_DAYS, one_m
 
 
 def reconcile(landings: DataFrame, observer: DataFrame, tolerance_days: int = TOLERANCE_DAYS,
-              trust_observer: bool = True, one_match: bool = False, days: DataFrame | None = None) -> DataFrame:
+              trust_observer: bool = True, one_match: bool = False, days: DataFrame | None = None,
+              null_keys: bool = True) -> DataFrame:
     """Landings with ``obs_trip``, ``match``, ``status`` and the corrected ``trip``.
 
     The entered code stays in ``landed_trip``. ``status`` is agree, missing, incorrect, unobserved
@@ -114,17 +115,19 @@ def reconcile(landings: DataFrame, observer: DataFrame, tolerance_days: int = TO
     otherwise it only fills a blank. Without ``one_match`` a landing appears once per observer row
     it matches within the tolerance. A tolerance above ``MOST_UNROLLED_DAYS`` needs the landed days,
     see :func:`landed_days`; unless given, they are taken from the landings, which are then read twice.
+
+    A null vessel or date matches the observer's null. Landings that have neither, as those of
+    :func:`.landings.narrow_landings`, say so by ``null_keys=False``: laid out by vessel, they needn't be moved where the
+    table is written with ``keep_layout``, see :func:`..session.materialize`.
     """
     if tolerance_days <= MOST_UNROLLED_DAYS:
         days = None
     elif days is None:
         days = landed_days(landings)
-    table = match_table(observer, tolerance_days, one_match, days).alias("m")
+    table = match_table(observer, tolerance_days, one_match, days)
+    same = lambda k: F.col(f"l.{k}").eqNullSafe(F.col(f"m.{k}")) if null_keys else F.col(f"l.{k}") == F.col(f"m.{k}")
     joined = landings.withColumn("trip", blank_to_empty(F.col("trip"))).alias("l").join(
-        table,
-        F.col("l.vr_number").eqNullSafe(F.col("m.vr_number"))
-        & F.col("l.landed_date").eqNullSafe(F.col("m.landed_date")),
-        "left",
+        table.alias("m"), same("vr_number") & same("landed_date"), "left",
     ).select("l.*", "m.obs_trip", F.coalesce("m.match", F.lit("none")).alias("match"))
     blank = F.col("trip") == ""
     status = (

@@ -30,9 +30,9 @@ class Measured:
         seen = self._open[label] = Observation(f"{label}-{uuid.uuid4().hex}")
         return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(name) for name, c in sums.items()])
 
-    def written(self, df: DataFrame, label: str, **sums: Column) -> DataFrame:
+    def written(self, df: DataFrame, label: str, keep_layout: bool = False, **sums: Column) -> DataFrame:
         """``df`` as a written table, see :func:`..session.materialize`; what it watches is known afterwards."""
-        table = materialize(self.watch(df, label, **sums), label)
+        table = materialize(self.watch(df, label, **sums), label, keep_layout)
         self.values |= {name: dict(seen.get) for name, seen in self._open.items()}
         self._open.clear()
         return table
