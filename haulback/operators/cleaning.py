@@ -131,26 +131,31 @@ def remove_cod_directed(df: DataFrame, threshold: float = COD_HAD_THRESHOLD) ->
 def mark_cod_directed(df: DataFrame, in_scope: Column, threshold: float = COD_HAD_THRESHOLD) -> DataFrame:
     """Add ``cod_reason`` to the rows in scope; the others pass through with null.
 
-    Only the failing trips and sets are kept from the per-trip pass. They are written out, so that
-    the two joins see their true size and broadcast them when small; otherwise they shuffle on
-    high-cardinality ids, and AQE splits a trip that is too large.
+    Only the failing trips, and those with a failing last set, are kept from the per-trip pass and written out, so that
+    the join sees their true size and broadcasts them when small; otherwise it shuffles on the trip id, and AQE splits a
+    trip that is too large. A set id that fails as the last one of a trip fails wherever else it occurs: such pairs
+    of trip and set, few if set ids are the sets' own, are found by their ids alone and written too.
     """
     verdicts = add_cod_had_verdict(df.where(in_scope).select("trip_id", "set_id", "cod", "had"), threshold)
     failing = materialize(
         trip_verdicts(verdicts, threshold).where(F.col("all_failed") | F.col("failing_last_set").isNotNull()),
         "cod-directed",
     )
-    trips = failing.where("all_failed").select(F.col("trip_id").alias("f_trip_id"), F.lit(True).alias("f_trip"))
-    sets = (
-        failing.where(~F.col("all_failed")).select(F.col("failing_last_set").alias("f_set_id")).distinct()
-        .withColumn("f_set", F.lit(True))
-    )
-    reason = F.when(in_scope & F.col("f_trip"), COD_TRIP).when(in_scope & F.col("f_set"), COD_LAST_SET)
+    trips = failing.select(F.col("trip_id").alias("f_trip_id"), F.col("all_failed").alias("f_trip"), F.col("failing_last_set").alias("f_last"))
+    last_sets = trips.where(~F.col("f_trip"))
+    elsewhere = materialize(
+        df.where(in_scope).select("trip_id", "set_id")
+        .join(last_sets, (F.col("set_id") == F.col("f_last")) & ~F.col("trip_id").eqNullSafe(F.col("f_trip_id")))
+        .select(F.col("trip_id").alias("e_trip_id"), F.col("set_id").alias("e_set_id")).distinct(),
+        "cod-directed-elsewhere",
+    ).withColumn("f_elsewhere", F.lit(True))
+    last = F.coalesce(F.col("set_id") == F.col("f_last"), F.lit(False)) | F.col("f_elsewhere").isNotNull()
+    reason = F.when(in_scope & F.col("f_trip"), COD_TRIP).when(in_scope & last, COD_LAST_SET)
     return (
         df.join(trips, F.col("trip_id").eqNullSafe(F.col("f_trip_id")), "left")
-        .join(sets, F.col("set_id") == F.col("f_set_id"), "left")
+        .join(elsewhere, F.col("trip_id").eqNullSafe(F.col("e_trip_id")) & (F.col("set_id") == F.col("e_set_id")), "left")
         .withColumn("cod_reason", reason)
-        .drop("f_trip_id", "f_trip", "f_set_id", "f_set")
+        .drop("f_trip_id", "f_trip", "f_last", "e_trip_id", "e_set_id", "f_elsewhere")
     )
 
 
