@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from ..sources.zones import MOST_EDGES, ZoneIndex, inside, zone_index
-from .keys import left_join_on_trip
 
 #: Vessel numbers of 8 bytes that may be broadcast.
 MOST_SENT_VESSELS = 1_000_000
@@ -107,60 +106,66 @@ def observer_position(observer: DataFrame) -> DataFrame:
     )
 
 
-def assign_zone(landings: DataFrame, zones: DataFrame, observer: DataFrame, positions: DataFrame,
+def report_zone(landings: DataFrame, zones: DataFrame | ZoneIndex) -> DataFrame:
+    """Add ``zone_reported``, the zone of the reported position, for :func:`assign_zone`."""
+    return _locate(landings, _index(zones), "lat", "lon", "zone_reported")
+
+
+def _index(zones: DataFrame | ZoneIndex) -> ZoneIndex:
+    return zones if isinstance(zones, ZoneIndex) else zone_index(zones)
+
+
+def assign_zone(landings: DataFrame, zones: DataFrame | ZoneIndex, observer: DataFrame, positions: DataFrame,
                 per_trip: DataFrame | None = None) -> DataFrame:
     """Add ``zone`` and ``zone_source``: reported position, else observer's, else vessel track's.
 
     Observed landings fall back on their trip's observer position, unobserved ones on the
     vessel's mean position on the day fished. Both fallbacks are turned into zones at their own
-    grain, one test per trip or vessel-day instead of one per landing. The joins keep their real
-    keys for every row, so that rows needing no fallback do not pile up on a null key.
+    grain, one test per trip or vessel-day instead of one per landing. Observed landings meet the
+    trips, unobserved ones without a reported zone the vessel-days; all others stay where they are.
     ``per_trip``, one row per trip, is brought along by the join on the trip code: its columns are
     added too, without moving the landings once more.
 
-    ``landings`` is read twice; pass a written table. Before the rest, the vessel-days that need the
+    ``landings`` with ``zone_reported``, see :func:`report_zone`, is read several times; pass a written
+    table. Without it, they are located and written here. Before the rest, the vessel-days that need the
     track are collected from it into a narrow table: their first and last date bound the scan of
     the positions, and only their vessel-days are averaged. The written index serves three joins.
     """
-    index = zone_index(zones)
-    zone_obs = _locate(observer_position(observer), index, "lat2", "lon2", "zone_obs").select("trip", "zone_obs")
-    reported = _locate(landings, index, "lat", "lon", "zone_reported")
+    index = _index(zones)
+    if "zone_reported" not in landings.columns:
+        landings = materialize(report_zone(landings, index), "located")
+    per_obs = _locate(observer_position(observer), index, "lat2", "lon2", "zone_obs").select("trip", "zone_obs")
+    brought = [] if per_trip is None else [c for c in per_trip.columns if c != "trip"]
+    if per_trip is not None:
+        per_obs = per_obs.join(per_trip, "trip", "full")
+    observed = F.coalesce(F.col("trip") != "", F.lit(False))
+    lacking = ~observed & F.col("zone_reported").isNull() & F.col("vr_number").isNotNull() & F.col("date_fished").isNotNull()
+    blank = (F.col("trip") == "") & lacking  # a null trip has no fallback
     wanted = materialize(
-        reported.where((F.col("trip") == "") & F.col("zone_reported").isNull() & F.col("date_fished").isNotNull())
-        .select("vr_number", F.col("date_fished").alias("date")).distinct(),
-        "vessel-days",
-    )
+        landings.where(blank).select("vr_number", F.col("date_fished").alias("date")).distinct(), "vessel-days")
     track = vessel_day_mean_position(positions_between(positions, wanted), wanted)
     zone_vms = (
         _locate(track, index, "mean_lat", "mean_lon", "zone_vms")
         .where(F.col("zone_vms").isNotNull())
         .select(F.col("vr_number").alias("p_vr"), F.col("date").alias("p_date"), "zone_vms")
     )
-    if per_trip is not None:
-        zone_obs = zone_obs.join(per_trip, "trip", "full")
-    with_obs = left_join_on_trip(reported, zone_obs, "vr_number", "trip_id", "set_id")
-    unobserved = F.col("trip") == ""
-    with_both = with_obs.join(
-        zone_vms,
-        (F.col("vr_number") == F.col("p_vr")) & (F.col("date_fished") == F.col("p_date"))
-        & unobserved & F.col("zone_reported").isNull(),
-        "left",
-    )
-    fallback = F.when(unobserved, F.col("zone_vms")).otherwise(F.col("zone_obs"))
-    source = (
-        F.when(F.col("zone_reported").isNotNull(), "reported")
-        .when(unobserved & F.col("zone_vms").isNotNull(), "vessel_track")
-        .when(~unobserved & F.col("zone_obs").isNotNull(), "observer")
-    )
-    return (
-        with_both.withColumn("zone", F.coalesce("zone_reported", fallback))
-        .withColumn("zone_source", source)
-        .drop("p_vr", "p_date", "zone_reported", "zone_obs", "zone_vms")
-    )
+    none = {c: F.lit(None).cast(per_obs.schema[c].dataType) for c in brought}
+    by_trip = landings.where(observed).join(per_obs, "trip", "left").withColumns({
+        "zone": F.coalesce("zone_reported", "zone_obs"),
+        "zone_source": F.when(F.col("zone_reported").isNotNull(), "reported").when(F.col("zone_obs").isNotNull(), "observer"),
+    })
+    by_track = landings.where(blank).join(
+        zone_vms, (F.col("vr_number") == F.col("p_vr")) & (F.col("date_fished") == F.col("p_date")), "left",
+    ).withColumns({**none, "zone": F.col("zone_vms"), "zone_source": F.when(F.col("zone_vms").isNotNull(), "vessel_track")})
+    staying = landings.where(~observed & ~F.coalesce(blank, F.lit(False))).withColumns({
+        **none, "zone": F.col("zone_reported"), "zone_source": F.when(F.col("zone_reported").isNotNull(), "reported")})
+    columns = [*[c for c in landings.columns if c != "zone_reported"], *brought, "zone", "zone_source"]
+    parts = [part.select(*columns) for part in (by_trip, by_track, staying)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 __all__ = [
     "identify_zone", "fleet_trips", "fleet_positions", "positions_between", "vessel_day_mean_position",
     "parse_positions",
-    "observer_position", "assign_zone",
+    "observer_position", "report_zone", "assign_zone",
 ]

@@ -18,15 +18,16 @@ from ..operators.coverage import (
 )
 from ..operators.discards import allocate_discards, check_allocation, estimate_discards
 from ..operators.landings import AREA_IDS, assign_sector, narrow_landings
-from ..operators.observer import observer_trips, separator_panels, sought_species
+from ..operators.observer import area_sets, observer_trips, separator_panels, sought_species
 from ..operators.reconcile import (
     MOST_UNROLLED_DAYS, landing_error_list, landing_errors_incorrect, landing_errors_missing, landed_days, observer_check, observer_missing, reconcile,
 )
-from ..operators.zones import assign_zone, fleet_positions, parse_positions
+from ..operators.zones import assign_zone, fleet_positions, parse_positions, report_zone
 from ..session import delete_written, materialize, watch_written
 from ..sources.csv_tables import write_report
 from ..sources.reports import publish_reports
 from ..sources.tables import LandingTables, ObserverTables
+from ..sources.zones import zone_index
 from .checks import Measured, count_by, weights
 from .settings import Settings
 
@@ -121,6 +122,7 @@ ZONE_SOURCES = ["reported", "vessel_track", "observer"]
 
 def _run(landing_tables, observer_tables, zone_layer, positions, flags, years, use, landing_rows, fleet_trips, results) -> DiscardRun:
     seen = Measured()
+    observer_tables = area_sets(observer_tables, use.area_prefix)
     observed = materialize(observer_trips(observer_tables, years, use.area_prefix, use.observer_gears_excluded), "observer")
     if landing_rows is not None:
         rows, attributes = narrowed(materialize(landing_rows, "landing-rows"))
@@ -131,8 +133,10 @@ def _run(landing_tables, observer_tables, zone_layer, positions, flags, years, u
             rows = materialize(rows, "landings")  # read for their days, and again
     days = landed_days(rows)
     rows = seen.watch(rows, "landings")
-    reconciled = seen.written(
-        reconcile(rows, observed, use.tolerance_days, use.trust_observer, use.one_match, days), "reconciled", **count_by("status", STATUSES))
+    index = zone_index(zone_layer)
+    matched = reconcile(rows, observed, use.tolerance_days, use.trust_observer, use.one_match, days, null_keys=landing_rows is not None)
+    located = seen.written(report_zone(assign_sector(matched, use.sector_codes), index), "reconciled", True, **count_by("status", STATUSES))
+    reconciled = located.drop("sector", "zone_reported")
     seen.at_least("reconciled landings", seen.rows("reconciled"), seen.rows("landings"))
     if use.one_match:
         seen.same("landings with one match each", seen.rows("reconciled"), seen.rows("landings"))
@@ -145,7 +149,7 @@ def _run(landing_tables, observer_tables, zone_layer, positions, flags, years, u
         positions = parse_positions(positions)
     if fleet_trips is not None:
         positions = fleet_positions(positions, fleet_trips)
-    zoned = assign_zone(assign_sector(reconciled, use.sector_codes), zone_layer, observed, positions, per_trip=reasons)
+    zoned = assign_zone(located, index, observed, positions, per_trip=reasons)
     flagged = seen.written(flag_out_of_scope(zoned), "flagged", **count_by("zone_source", ZONE_SOURCES))
     seen.same("landings with their zones and reasons", seen.rows("flagged"), seen.rows("reconciled"))
     cleaned = flag_directed(flagged, use.cod_had_threshold)

@@ -23,14 +23,15 @@ from ..operators.coverage import (
 )
 from ..operators.discards import allocate_discards, check_allocation, estimate_discards
 from ..operators.landings import assign_sector, landings, landings_crosstab, narrow_landings, trip_codes
-from ..operators.observer import observer_trips, separator_panels, sought_species
+from ..operators.observer import area_sets, observer_trips, separator_panels, sought_species
 from ..operators.reconcile import (
     first_per_vessel_day, landing_error_list, landing_errors_incorrect, landing_errors_missing, observer_check, observer_missing, reconcile,
 )
-from ..operators.zones import assign_zone, fleet_positions, fleet_trips, identify_zone, vessel_day_mean_position
+from ..operators.zones import assign_zone, fleet_positions, fleet_trips, identify_zone, report_zone, vessel_day_mean_position
 from ..session import materialize, scratch_path
 from ..sources.csv_tables import LANDINGS_HEADER, CheckedRows, check_landings_csv, read_results_csv, write_report
 from ..sources.reports import publish_reports, read_reports
+from ..sources.zones import zone_index
 from .pipeline import run_discards
 from .settings import Settings
 from .standins import ALL_AREAS, ALL_FLEETS, OTHER_RULES, YEARS, Standins, case_list
@@ -39,8 +40,13 @@ from .standins import ALL_AREAS, ALL_FLEETS, OTHER_RULES, YEARS, Standins, case_
 class Steps:
     """The stand-in run, one step after another, for queries that start in its middle."""
 
+    #: What the steps from the zones to the roll-up and the lists of removed rows need of a landing.
+    CARRIED = ["vr_number", "licence_id", "trip_id", "set_id", "landed_date", "date_fished", "trip", "gear_code", "q", "sector",
+               "cod", "had", "pol"]
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.s = Standins(spark, sf_dir)
+        self.sources = self.s.observer_tables()
 
     def landings(self) -> DataFrame:
         return landings(self.s.landing_tables(), YEARS, ALL_AREAS)
@@ -52,30 +58,34 @@ class Steps:
         return add_cod_had_verdict(self.landings())
 
     def observer(self) -> DataFrame:
-        return observer_trips(self.s.observer_tables(), YEARS)
+        return observer_trips(self.sources, YEARS)
 
     def panels(self) -> DataFrame:
-        return separator_panels(self.s.observer_tables(), YEARS)
+        return separator_panels(self.sources, YEARS)
 
     def sought(self) -> DataFrame:
-        return sought_species(self.s.observer_tables(), YEARS)
+        return sought_species(self.sources, YEARS)
 
     def reconciled(self, observer: DataFrame | None = None) -> DataFrame:
-        return reconcile(self.narrow_landings(), self.observer() if observer is None else observer)
+        return reconcile(self.narrow_landings(), self.observer() if observer is None else observer, null_keys=False)
 
     def fleet(self) -> DataFrame:
         """The trips whose vessels' tracks may stand in for a missing zone."""
         return fleet_trips(self.s.table("chp_trips"), "MOBILE", "5Z", f"{YEARS[0]}-01-01", f"{YEARS[1]}-12-31")
 
-    def zoned(self, observer: DataFrame, per_trip: DataFrame | None = None) -> DataFrame:
-        rows = materialize(assign_sector(self.reconciled(observer)), "reconciled")
+    def zoned(self, observer: DataFrame, per_trip: DataFrame | None = None, *more: str) -> DataFrame:
+        """Landings with their zones: the columns that are CARRIED, and ``more``."""
+        index = zone_index(self.s.zones())
+        located = report_zone(assign_sector(self.reconciled(observer)), index)
+        rows = materialize(located.select(*self.CARRIED, *more, "zone_reported"), "reconciled", keep_layout=True)
         positions = fleet_positions(self.s.table("positions"), self.fleet())
-        return assign_zone(rows, self.s.zones(), observer, positions, per_trip=per_trip)
+        return assign_zone(rows, index, observer, positions, per_trip=per_trip)
 
     def cleaned(self) -> DataFrame:
+        self.sources = area_sets(self.sources)
         observer = materialize(self.observer(), "observer")
         zoned = self.zoned(observer, trip_reasons(observer, self.panels(), self.sought()))
-        return flag_directed(materialize(flag_out_of_scope(zoned), "flagged"))
+        return flag_directed(materialize(flag_out_of_scope(zoned).drop("date_fished", "zone_source"), "flagged"))
 
     def aggregated(self) -> DataFrame:
         return aggregate_trips(kept(self.cleaned()), attributes=landing_attributes(self.s.landing_tables(), ALL_AREAS))
@@ -244,7 +254,7 @@ def q_vessel_day_mean_position(p: Steps) -> DataFrame:
 
 
 def q_zone_fallback(p: Steps) -> DataFrame:
-    return _set_columns(p.zoned(materialize(p.observer(), "observer")), "trip", "lat", "lon", "zone", "zone_source")
+    return _set_columns(p.zoned(materialize(p.observer(), "observer"), None, "lat", "lon"), "trip", "lat", "lon", "zone", "zone_source")
 
 
 def q_zone_source_counts(p: Steps) -> DataFrame:

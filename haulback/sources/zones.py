@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 #: Different edges in a leaf, at most.
-MOST_EDGES = 32
+MOST_EDGES = 8
 #: Squares along a side of a split one.
 FAN = 4
 #: Splits at most: with 10, leaves are a millionth of the layer wide. Edges closer than that stay together.
@@ -91,7 +91,8 @@ PAD = 1e-6
 
 def inside(candidate: Column, right: Column, x: Column, y: Column) -> Column:
     """The position, in the leaf ending at ``right``, is in the candidate zone."""
-    turns = F.size(F.filter(candidate["edges"], lambda e: _turns(e, right, x, y))) % 2 == 1
+    above = lambda e: (e["y1"] > y) | (e["y2"] > y)  # noqa: E731  # other edges never turn
+    turns = F.size(F.filter(candidate["edges"], lambda e: above(e) & _turns(e, right, x, y))) % 2 == 1
     return candidate["odd"] != turns
 
 
