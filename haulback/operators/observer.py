@@ -28,7 +28,7 @@ def area_sets(tables: ObserverTables, area_prefix: str = AREA_PREFIX) -> Observe
     """``tables`` with the sets cut to the areas and written once: trips, panels and species sought each read them."""
     sets = tables.isfishsets.where(F.col("nafarea_id").startswith(area_prefix)).select(
         "fishset_id", "trip_id", "gear_id", "nafarea_id", "setcd_id", "set_no", "specscd_id")
-    return replace(tables, isfishsets=materialize(sets, "observer-sets"))
+    return replace(tables, isfishsets=materialize(sets, "observer-sets", compression="zstd"))
 
 
 def observer_trips(tables: ObserverTables, years, area_prefix: str = AREA_PREFIX, exclude_gears=None) -> DataFrame:

@@ -32,7 +32,7 @@ class Measured:
 
     def written(self, df: DataFrame, label: str, keep_layout: bool = False, **sums: Column) -> DataFrame:
         """``df`` as a written table, see :func:`..session.materialize`; what it watches is known afterwards."""
-        table = materialize(self.watch(df, label, **sums), label, keep_layout)
+        table = materialize(self.watch(df, label, **sums), label, keep_layout, "zstd")
         self.values |= {name: dict(seen.get) for name, seen in self._open.items()}
         self._open.clear()
         return table

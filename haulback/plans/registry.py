@@ -77,7 +77,7 @@ class Steps:
         """Landings with their zones: the columns that are CARRIED, and ``more``."""
         index = zone_index(self.s.zones())
         located = report_zone(assign_sector(self.reconciled(observer)), index)
-        rows = materialize(located.select(*self.CARRIED, *more, "zone_reported"), "reconciled", keep_layout=True)
+        rows = materialize(located.select(*self.CARRIED, *more, "zone_reported"), "reconciled", keep_layout=True, compression="zstd")
         positions = fleet_positions(self.s.table("positions"), self.fleet())
         return assign_zone(rows, index, observer, positions, per_trip=per_trip)
 
@@ -85,7 +85,7 @@ class Steps:
         self.sources = area_sets(self.sources)
         observer = materialize(self.observer(), "observer")
         zoned = self.zoned(observer, trip_reasons(observer, self.panels(), self.sought()))
-        return flag_directed(materialize(flag_out_of_scope(zoned).drop("date_fished", "zone_source"), "flagged"))
+        return flag_directed(materialize(flag_out_of_scope(zoned).drop("date_fished", "zone_source"), "flagged", compression="zstd"))
 
     def aggregated(self) -> DataFrame:
         return aggregate_trips(kept(self.cleaned()), attributes=landing_attributes(self.s.landing_tables(), ALL_AREAS))
