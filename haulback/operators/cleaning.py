@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -128,8 +129,16 @@ def remove_cod_directed(df: DataFrame, threshold: float = COD_HAD_THRESHOLD) ->
     )
 
 
-def mark_cod_directed(df: DataFrame, in_scope: Column, threshold: float = COD_HAD_THRESHOLD) -> DataFrame:
-    """Add ``cod_reason`` to the rows in scope; the others pass through with null.
+@dataclass(frozen=True)
+class CodDirected:
+    """What :func:`cod_directed` found: ``trips`` that fail or whose last set does, and where else such a set occurs."""
+
+    trips: DataFrame
+    elsewhere: DataFrame
+
+
+def cod_directed(df: DataFrame, in_scope: Column, threshold: float = COD_HAD_THRESHOLD) -> CodDirected:
+    """The failing trips and sets among the rows in scope.
 
     Only the failing trips, and those with a failing last set, are kept from the per-trip pass and written out, so that
     the join sees their true size and broadcasts them when small; otherwise it shuffles on the trip id, and AQE splits a
@@ -148,11 +157,18 @@ def mark_cod_directed(df: DataFrame, in_scope: Column, threshold: float = COD_HA
         .join(last_sets, (F.col("set_id") == F.col("f_last")) & ~F.col("trip_id").eqNullSafe(F.col("f_trip_id")))
         .select(F.col("trip_id").alias("e_trip_id"), F.col("set_id").alias("e_set_id")).distinct(),
         "cod-directed-elsewhere",
-    ).withColumn("f_elsewhere", F.lit(True))
+    )
+    return CodDirected(trips, elsewhere)
+
+
+def mark_cod_directed(df: DataFrame, in_scope: Column, threshold: float = COD_HAD_THRESHOLD, found: CodDirected | None = None) -> DataFrame:
+    """Add ``cod_reason`` to the rows in scope; the others pass through with null. ``found``, see :func:`cod_directed`, if it is there already."""
+    found = found or cod_directed(df, in_scope, threshold)
+    elsewhere = found.elsewhere.withColumn("f_elsewhere", F.lit(True))
     last = F.coalesce(F.col("set_id") == F.col("f_last"), F.lit(False)) | F.col("f_elsewhere").isNotNull()
     reason = F.when(in_scope & F.col("f_trip"), COD_TRIP).when(in_scope & last, COD_LAST_SET)
     return (
-        df.join(trips, F.col("trip_id").eqNullSafe(F.col("f_trip_id")), "left")
+        df.join(found.trips, F.col("trip_id").eqNullSafe(F.col("f_trip_id")), "left")
         .join(elsewhere, F.col("trip_id").eqNullSafe(F.col("e_trip_id")) & (F.col("set_id") == F.col("e_set_id")), "left")
         .withColumn("cod_reason", reason)
         .drop("f_trip_id", "f_trip", "f_last", "e_trip_id", "e_set_id", "f_elsewhere")
@@ -205,11 +221,27 @@ def flag_out_of_scope(zoned: DataFrame) -> DataFrame:
     })
 
 
-def flag_directed(flagged: DataFrame, threshold: float = COD_HAD_THRESHOLD) -> DataFrame:
-    """Add the reasons that depend on the catch. ``flagged`` is read twice; pass a written table."""
-    marked = mark_cod_directed(flagged, F.col("reason").isNull(), threshold)
-    pollock = F.when(pollock_dominant(F.col("cod"), F.col("had"), F.col("pol")), POLLOCK)
-    return marked.withColumn("reason", F.coalesce("reason", "cod_reason", pollock)).drop("cod_reason")
+def directed(flagged: DataFrame, threshold: float = COD_HAD_THRESHOLD) -> CodDirected:
+    """The failing trips and sets among the rows without a reason, for :func:`flag_directed` and :func:`kept_directed`."""
+    return cod_directed(flagged, F.col("reason").isNull(), threshold)
+
+
+def flag_directed(flagged: DataFrame, threshold: float = COD_HAD_THRESHOLD, found: CodDirected | None = None) -> DataFrame:
+    """Add the reasons that depend on the catch. ``flagged`` is read several times; pass a written table."""
+    marked = mark_cod_directed(flagged, F.col("reason").isNull(), threshold, found)
+    return marked.withColumn("reason", F.coalesce("reason", "cod_reason", F.when(_pollock(), POLLOCK))).drop("cod_reason")
+
+
+def kept_directed(flagged: DataFrame, threshold: float = COD_HAD_THRESHOLD, found: CodDirected | None = None) -> DataFrame:
+    """``kept(flag_directed(flagged))``: rows with a reason of their own leave before the rest meets the failing trips."""
+    found = found or directed(flagged, threshold)
+    rows = flagged.where(F.col("reason").isNull() & ~F.coalesce(_pollock(), F.lit(False)))
+    marked = mark_cod_directed(rows, F.lit(True), threshold, found)
+    return marked.where(F.col("cod_reason").isNull()).drop("cod_reason", "reason")
+
+
+def _pollock() -> Column:
+    return pollock_dominant(F.col("cod"), F.col("had"), F.col("pol"))
 
 
 def kept(cleaned: DataFrame) -> DataFrame:
@@ -223,6 +255,7 @@ def removed_audit(cleaned: DataFrame) -> DataFrame:
 __all__ = [
     "noncommercial_trips", "no_panel_trips", "other_sought_trips", "mark_trips", "remove_noncommercial", "remove_no_panel",
     "remove_other_sought", "trip_reasons", "add_cod_had_verdict", "trip_verdicts", "all_sets_fail_trips",
-    "failing_last_sets", "remove_cod_directed", "mark_cod_directed", "trip_set_listing", "early_failing_sets",
-    "remove_pollock_directed", "flag_out_of_scope", "flag_directed", "kept", "removed_audit",
+    "failing_last_sets", "remove_cod_directed", "CodDirected", "cod_directed", "mark_cod_directed", "trip_set_listing",
+    "early_failing_sets", "remove_pollock_directed", "flag_out_of_scope", "directed", "flag_directed", "kept_directed", "kept",
+    "removed_audit",
 ]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators.attributes import Attributes, landing_attributes, narrowed
 from ..operators.bootstrap import bootstrap_ratio, ratio_rows
 from ..operators.cleaning import (
-    add_cod_had_verdict, early_failing_sets, flag_directed, flag_out_of_scope, kept, removed_audit, trip_reasons,
+    add_cod_had_verdict, directed, early_failing_sets, flag_directed, flag_out_of_scope, kept_directed, removed_audit, trip_reasons,
 )
 from ..operators.coverage import (
     TRIP_KEYS, add_group, aggregate_trips, coverage_cells, coverage_summary, coverage_tiers, group_landings,
@@ -152,8 +152,9 @@ def _run(landing_tables, observer_tables, zone_layer, positions, flags, years, u
     zoned = assign_zone(located, index, observed, positions, per_trip=reasons)
     flagged = seen.written(flag_out_of_scope(zoned), "flagged", **count_by("zone_source", ZONE_SOURCES))
     seen.same("landings with their zones and reasons", seen.rows("flagged"), seen.rows("reconciled"))
-    cleaned = flag_directed(flagged, use.cod_had_threshold)
-    in_scope = kept(cleaned)
+    found_directed = directed(flagged, use.cod_had_threshold)
+    cleaned = flag_directed(flagged, use.cod_had_threshold, found_directed)
+    in_scope = kept_directed(flagged, use.cod_had_threshold, found_directed)
     if use.gear_excluded is not None:
         in_scope = in_scope.where(F.col("gear_code") != use.gear_excluded)
     trips = seen.written(aggregate_trips(seen.watch(in_scope, "in_scope", **weights()), None, attributes), "trips", **weights())

@@ -14,7 +14,7 @@ from ..operators.attributes import landing_attributes
 from ..operators.bootstrap import bootstrap_ratio, ratio_of_ratios, ratio_rows
 from ..operators.cleaning import (
     add_cod_had_verdict, all_sets_fail_trips, early_failing_sets, failing_last_sets, flag_directed, flag_out_of_scope,
-    kept, mark_trips, no_panel_trips, noncommercial_trips, other_sought_trips, remove_cod_directed,
+    kept_directed, mark_trips, no_panel_trips, noncommercial_trips, other_sought_trips, remove_cod_directed,
     remove_pollock_directed, removed_audit, trip_reasons, trip_set_listing,
 )
 from ..operators.coverage import (
@@ -81,14 +81,17 @@ class Steps:
         positions = fleet_positions(self.s.table("positions"), self.fleet())
         return assign_zone(rows, index, observer, positions, per_trip=per_trip)
 
-    def cleaned(self) -> DataFrame:
+    def flagged(self) -> DataFrame:
         self.sources = area_sets(self.sources)
         observer = materialize(self.observer(), "observer")
         zoned = self.zoned(observer, trip_reasons(observer, self.panels(), self.sought()))
-        return flag_directed(materialize(flag_out_of_scope(zoned).drop("date_fished", "zone_source"), "flagged", compression="zstd"))
+        return materialize(flag_out_of_scope(zoned).drop("date_fished", "zone_source"), "flagged", compression="zstd")
+
+    def cleaned(self) -> DataFrame:
+        return flag_directed(self.flagged())
 
     def aggregated(self) -> DataFrame:
-        return aggregate_trips(kept(self.cleaned()), attributes=landing_attributes(self.s.landing_tables(), ALL_AREAS))
+        return aggregate_trips(kept_directed(self.flagged()), attributes=landing_attributes(self.s.landing_tables(), ALL_AREAS))
 
     def trips(self) -> DataFrame:
         """The trips in scope, written once: most of what follows reads them several times."""
