@@ -82,7 +82,7 @@ def near_landed_days(observer: DataFrame, days: DataFrame, tolerance_days: int)
 
 
 def match_table(observer: DataFrame, tolerance_days: int = TOLERANCE_DAYS, one_match: bool = False,
-                days: DataFrame | None = None) -> DataFrame:
+                days: DataFrame | None = None, by_vessel: bool = False) -> DataFrame:
     """``(vr_number, landed_date, obs_trip, match)`` for every vessel and day that can match.
 
     With the landed ``days`` (vr_number, landed_date), interval matches are found for these only.
@@ -90,8 +90,13 @@ def match_table(observer: DataFrame, tolerance_days: int = TOLERANCE_DAYS, one_m
     A vessel and day with an observer landing on that very day matches its first row ("exact").
     Any other day within the tolerance matches every observer row in reach ("interval"), or with
     ``one_match`` only the nearest, ties by trip, set code and gear.
+
+    ``by_vessel`` lays the observer rows out by vessel before they are unrolled into days, for landings that are laid out
+    so; written with ``keep_layout``, see :func:`..session.materialize`, nothing after that moves.
     """
     coded = observer.where(F.col("trip").isNotNull())
+    if by_vessel:
+        coded = coded.repartition("vr_number")
     exact = first_per_vessel_day(coded).select(*MATCH_KEYS, "obs_trip", F.lit("exact").alias("match"))
     reached = unroll_days(coded, tolerance_days) if days is None else near_landed_days(coded, days, tolerance_days)
     near = reached.where("days_off > 0").join(exact, MATCH_KEYS, "left_anti")
@@ -124,7 +129,7 @@ def reconcile(landings: DataFrame, observer: DataFrame, tolerance_days: int = TO
         days = None
     elif days is None:
         days = landed_days(landings)
-    table = match_table(observer, tolerance_days, one_match, days)
+    table = match_table(observer, tolerance_days, one_match, days, by_vessel=not null_keys)
     same = lambda k: F.col(f"l.{k}").eqNullSafe(F.col(f"m.{k}")) if null_keys else F.col(f"l.{k}") == F.col(f"m.{k}")
     joined = landings.withColumn("trip", blank_to_empty(F.col("trip"))).alias("l").join(
         table.alias("m"), same("vr_number") & same("landed_date"), "left",

@@ -122,3 +122,14 @@ def test_removed_rows_leave_before_the_failing_trips_are_joined(spark):
     assert "Exchange" in text
     deepest = text[text.index("Exchange"):]  # below the first move of the landings
     assert "isnull(reason" in deepest and "pol#" in deepest
+
+
+def test_matches_are_unrolled_where_the_vessels_are(spark):
+    """Observer rows move by vessel before they become a row a day, and the days not at all."""
+    p = Steps(spark, SF)
+    observer = materialize(p.observer(), "observer")
+    out = reconcile(materialize(p.narrow_landings(), "landings").repartition("vr_number"), observer, null_keys=False)
+    text = planned(spark, out, NO_BROADCAST | {ALL_KEYS: "false"})
+    days = text[text.rindex("Union"):]
+    assert "explode" in days and "Exchange" not in text[:text.rindex("Union")].splitlines()[-2]
+    assert all("REPARTITION_BY_COL" in line for line in days.splitlines() if "Exchange" in line)
