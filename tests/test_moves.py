@@ -133,3 +133,18 @@ def test_matches_are_unrolled_where_the_vessels_are(spark):
     days = text[text.rindex("Union"):]
     assert "explode" in days and "Exchange" not in text[:text.rindex("Union")].splitlines()[-2]
     assert all("REPARTITION_BY_COL" in line for line in days.splitlines() if "Exchange" in line)
+
+
+def test_sets_and_profiles_meet_once(spark):
+    """Trips, panels and species sought read no profile of their own after area_sets, however often ids repeat or are null."""
+    whole = Steps(spark, SF).s.observer_tables()
+    sets, profile = whole.isfishsets.limit(40).cache(), whole.issetprofile
+    odd = replace(
+        whole, isfishsets=sets.unionByName(sets).unionByName(sets.withColumn("fishset_id", F.lit(None).cast("long"))).unionByName(whole.isfishsets),
+        issetprofile=profile.unionByName(profile.limit(50)).unionByName(profile.limit(9).withColumn("fishset_id", F.lit(None).cast("long"))))
+    for tables in (whole, odd):
+        cut = area_sets(tables)
+        for step in (observer_trips, separator_panels, sought_species):
+            assert rows(step(cut, YEARS)) == rows(step(tables, YEARS))
+            assert "l_shipdate" not in planned(spark, step(cut, YEARS), NO_BROADCAST)
+    sets.unpersist()
