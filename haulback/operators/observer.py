@@ -33,11 +33,15 @@ class AreaSets(ObserverTables):
 
 
 def area_sets(tables: ObserverTables, area_prefix: str = AREA_PREFIX) -> AreaSets:
-    """``tables`` with the sets cut to the areas, joined with their profiles and written once.
+    """``tables`` with the sets cut to the areas and the listed trips, joined with their profiles and written once.
 
-    Trips, panels and species sought each read them from there, so both tables move by set a single time.
+    Trips, panels and species sought each read them from there, so both tables move by set a single time. All three
+    look up a set's trip, so sets of a trip that isn't listed leave before they meet their profiles.
     """
-    sets = tables.isfishsets.where(F.col("nafarea_id").startswith(area_prefix)).select("fishset_id", *SET_COLUMNS)
+    sets = (
+        tables.isfishsets.where(F.col("nafarea_id").startswith(area_prefix)).select("fishset_id", *SET_COLUMNS)
+        .join(tables.istrips.select("trip_id"), "trip_id", "left_semi")
+    )
     profile = tables.issetprofile.select("fishset_id", "setdate", "latitude", "longitude", "pntcd_id")
     written = materialize(sets.join(profile, "fishset_id").drop("fishset_id"), "observer-sets", compression="zstd")
     return AreaSets(**{f.name: getattr(tables, f.name) for f in fields(ObserverTables)}, profiled=written)
