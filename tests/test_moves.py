@@ -4,6 +4,7 @@ import datetime as dt
 import re
 from dataclasses import replace
 
+import pyarrow as pa
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from haulback.operators.reconcile import reconcile
 from haulback.operators.zones import assign_zone, report_zone
 from haulback.plans.registry import Steps
 from haulback.plans.standins import ALL_AREAS, YEARS
-from haulback.session import ALL_KEYS, materialize, watch_written
+from haulback.session import ALL_KEYS, ARROW_ROWS, FREED, materialize, watch_written
 from haulback.sources import zones_from_vertices
 
 SF = "/root/testdata/sf0.001"
@@ -166,3 +167,14 @@ def test_sets_are_summed_and_meet_their_trips_after_one_move(spark):
     sets = p.s.table("isfishsets").join(p.s.table("istrips").select("trip_id"), "trip_id", "left_semi")
     moved = [line for line in planned(spark, sets, NO_BROADCAST).splitlines() if "Exchange" in line]
     assert len(moved) == 2 and sum("l_orderkey" in line for line in moved) == 1
+
+
+def test_python_tasks_of_written_tables_get_few_rows_at_once(spark):
+    def counted(batches):
+        for batch in batches:
+            yield batch.slice(0, 1).set_column(0, "id", pa.array([batch.num_rows]))
+
+    before = {key: spark.conf.get(key, None) for key in (FREED, *ARROW_ROWS)}
+    written = materialize(spark.range(0, 7000, 1, 1).mapInArrow(counted, "id bigint"), "batches")
+    assert written.agg(F.max("id"), F.sum("id")).first() == (2000, 7000)
+    assert before == {key: spark.conf.get(key, None) for key in before}
