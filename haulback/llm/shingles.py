@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 #: Word hashes remembered by one Python worker.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 100_000
 
 
 class _WordHashes(dict):
