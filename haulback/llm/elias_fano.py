@@ -12,18 +12,22 @@ import struct
 import numpy as np
 
 _HEAD = "<QQQQ"  # values, low bits, words of high bits, words of low bits
-_ONES = np.array([bin(b).count("1") for b in range(256)], dtype=np.uint8)
 #: Place of the k-th one in a byte.
 _PLACE = np.array([[([i for i in range(8) if b >> i & 1] + [0] * 8)[k] for k in range(8)] for b in range(256)], dtype=np.uint8)
 
 
 def _select_in_word(words: np.ndarray, k: np.ndarray) -> np.ndarray:
     """Place of the k-th one (from 0) of each word."""
-    parts = words.astype("<u8").view(np.uint8).reshape(-1, 8)
-    upto = np.cumsum(_ONES[parts], axis=1, dtype=np.int64)
-    byte = (upto <= k[:, None]).sum(axis=1)
-    before = np.where(byte > 0, upto[np.arange(len(k)), np.maximum(byte - 1, 0)], 0)
-    return 8 * byte + _PLACE[parts[np.arange(len(k)), byte], k - before]
+    u = np.uint64
+    words, k = words.astype(u), k.astype(u)
+    # ones of each byte and those before it, all bytes of a word at once
+    upto = words - ((words >> u(1)) & u(0x5555555555555555))
+    upto = (upto & u(0x3333333333333333)) + ((upto >> u(2)) & u(0x3333333333333333))
+    upto = ((upto + (upto >> u(4))) & u(0x0F0F0F0F0F0F0F0F)) * u(0x0101010101010101)
+    passed = ((k * u(0x0101010101010101)) | u(0x8080808080808080)) - upto
+    shift = ((((passed >> u(7)) & u(0x0101010101010101)) * u(0x0101010101010101)) >> u(56)) << u(3)
+    before = ((upto << u(8)) >> shift) & u(0xFF)
+    return shift.astype(np.int64) + _PLACE[(words >> shift) & u(0xFF), k - before]
 
 
 def encode(values: np.ndarray) -> bytes:

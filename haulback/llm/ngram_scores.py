@@ -14,7 +14,7 @@ has D * T / C (T: distinct successors) times its probability of the order below,
 after a pair that after its second word, after a word the smoothed unigram probability. A text's first word has its
 begin as context, and no pair. The unigram counts of unseen n-grams come from an ordinary join with the table of word counts.
 
-A word that makes up more than a share of all tokens is split into shards of its own. Where pairs are contexts that's by
+A word that makes up more than a share of all tokens has shards of its own. Where pairs are contexts that's by
 pair: each is in one shard, and the unseen n-grams meet the word's successors in a join. Else, and for a pair that is as
 frequent itself, it's by successor. Each of these shards knows the counts of its own successors only; C and T are summed
 over the shards afterwards, and enter the scores by how many n-grams of a document were seen after the context, and how
@@ -23,13 +23,16 @@ many not.
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import zlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,8 +45,12 @@ DISCOUNT = 0.75
 LEVELS = 256
 #: Tokens whose n-grams one shard holds, about.
 SHARD_TOKENS = 800_000
-#: Bytes of a shard's n-grams that wait in memory to be scored; more go to a file.
-SPOOLED = 16 << 20
+#: Share of all tokens from which a word's n-grams are split, whatever the size of the table; half a shard's where that is less.
+SPLIT_SHARE = 300
+#: N-grams of documents that are told apart and looked up together; of a shard with more, blocks wait in a file.
+BLOCK = 1_200_000
+#: Shards that one task builds and asks, one after another: a document's scores of them are summed before they leave.
+TASK_SHARDS = 4
 #: Tokens of documents sent off together, and documents at most.
 SENT_TOKENS, SENT_DOCS = 800_000, 60_000
 
@@ -124,9 +131,13 @@ class Shards:
         return np.array([w for w, _ in frequent], dtype=np.uint64), parts, begin + np.cumsum(parts) - parts, int(begin + parts.sum())
 
     @staticmethod
-    def is_frequent(tokens: int) -> int:
-        """Count from which a context is split: half a shard. So at most twice as many contexts as shards are."""
-        return max(1, tokens // max(1, -(-tokens // SHARD_TOKENS)) // 2)
+    def is_frequent(tokens: int) -> tuple[int, int]:
+        """Counts above which a word and a pair are split: for a pair half a shard, for a word that or ``SPLIT_SHARE``.
+
+        So at most ``SPLIT_SHARE`` contexts, or twice as many as shards are.
+        """
+        half = max(1, tokens // max(1, -(-tokens // SHARD_TOKENS)) // 2)
+        return max(1, min(half, tokens // SPLIT_SHARE)), half
 
     def __call__(self, context: np.ndarray, word: np.ndarray, earlier: np.ndarray) -> np.ndarray:
         shard = ((context >> np.uint64(32)) * np.uint64(self.plain) >> np.uint64(32)).astype(np.int64)
@@ -170,28 +181,6 @@ def _tokens(docs: list, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return tokens, contexts, earlier, np.repeat(np.arange(len(docs)), lengths)
 
 
-def _ngrams(docs: list, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """context, word, earlier, document, count of the distinct n-grams of some documents, by context, word, earlier, document."""
-    tokens, contexts, earlier, doc = _tokens(docs, order)
-    vocabulary, place = np.unique(np.concatenate([tokens, contexts]), return_inverse=True)
-    bits, doc_bits = np.int64(len(vocabulary)).item().bit_length(), len(docs).bit_length()
-    key = (place[len(tokens):] << bits) | place[: len(tokens)]
-    if order > 2:
-        pairs, key = np.unique(key, return_inverse=True)
-        # the context of the token before
-        before = np.concatenate(([0], place[len(tokens) : -1] + 1))
-        before[earlier == 0] = 0
-        key = (key << bits + 1) | before
-    key, count = np.unique((key << doc_bits) | doc, return_counts=True)
-    doc, key = key & ((1 << doc_bits) - 1), key >> doc_bits
-    if order > 2:
-        before, key = key & ((1 << bits + 1) - 1), pairs[key >> bits + 1]
-        earlier = np.where(before > 0, (vocabulary[before - 1] & _EARLIER) | np.uint64(1), np.uint64(0))
-    else:
-        earlier = np.zeros(len(key), np.uint64)
-    return vocabulary[key >> bits], vocabulary[key & ((1 << bits) - 1)], earlier, doc, count
-
-
 def _starts(*columns_: np.ndarray) -> np.ndarray:
     """Where a row of some columns differs from the one before."""
     if not len(columns_[0]):
@@ -199,39 +188,89 @@ def _starts(*columns_: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], np.logical_or.reduce([c[1:] != c[:-1] for c in columns_]))))
 
 
-#: Which arrays of a payload are compressed: hashes don't get smaller; lengths, documents and counts do.
-_KINDS = (("<i8", False), (np.uint8, True), ("<u8", False), ("<u4", True), ("<u4", False), (np.uint8, False), (np.uint8, False), ("<u4", True), ("<u4", False), ("<u4", True), ("<u2", True), ("<u4", True))
+#: Which arrays of a payload are compressed: hashes and places don't get smaller; lengths and counts do.
+_KINDS = (("<u8", False), ("<u4", True), ("<u2", False), ("<u4", False), ("<u2", False), ("<u2", False), ("<u4", False), ("<u2", False), ("<u4", True))
+#: Codes of words that aren't listed, and of no word.
+_OTHER, _NONE = 65_535, 65_534
+#: Words that have a code, a text's begin besides.
+LISTED = _NONE - 1
+
 
+class Listed:
+    """The most frequent words, that n-grams are sent with two bytes of: at most as many as two bytes can tell."""
 
-def _pack(context, word, earlier, doc, count, rows, training) -> bytes:
-    """N-grams of one shard, in order, with the row keys of their documents: contexts, their words, what is before them, documents."""
-    ones, twos, threes = _starts(context), _starts(context, word), _starts(context, word, earlier)
-    seen, place = np.unique(doc, return_inverse=True)
-    words, before = word[twos], earlier[threes]
-    # what is learned needs 40 bits of a word; the unigram that may have to be looked up for others, 48
-    long = np.logical_or.reduceat(~training[doc], twos)
+    def __init__(self, words: list[int]):
+        self.words = np.sort(np.array(words, dtype=np.uint64))
+
+    def codes(self, words: np.ndarray) -> np.ndarray:
+        if not len(self.words):
+            return np.full(len(words), _OTHER, np.uint16)
+        at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+        return np.where(self.words[at] == words, at, _OTHER).astype(np.uint16)
+
+    def words_of(self, codes: np.ndarray, others: np.ndarray) -> np.ndarray:
+        found = np.zeros(len(codes), np.uint64)
+        is_listed = codes < _NONE
+        found[is_listed] = self.words[codes[is_listed]]
+        found[codes == _OTHER] = others
+        return found
+
+
+def _once(tokens, contexts, earlier, doc) -> tuple[np.ndarray, np.ndarray] | None:
+    """Where each n-gram of a document is first, and how often it is there; None where few of them repeat."""
+    key = mixed(mixed(pairs_of(contexts, earlier) ^ tokens) + doc.astype(np.uint64))
+    ordered = np.sort(key)
+    if np.count_nonzero(ordered[1:] == ordered[:-1]) <= len(key) // 8:
+        return None
+    by = np.lexsort((doc, earlier, tokens, contexts))
+    first = _starts(contexts[by], tokens[by], earlier[by], doc[by])
+    return by[first], np.diff(np.append(first, len(by)))
+
+
+def _pack(context, word, code, earlier, earlier_code, doc, count) -> bytes:
+    """N-grams of one shard by context: contexts, their words and what is before them, places of documents."""
+    ones, other = _starts(context), word[code == _OTHER] & _PART
     arrays = [
-        rows[seen], training[seen], context[ones], np.diff(np.append(np.searchsorted(twos, ones), len(twos))),
-        words & np.uint64(0xFFFFFFFF), (words >> np.uint64(32)) & np.uint64(0xFF), (words[long] >> np.uint64(40)) & np.uint64(0xFF), np.diff(np.append(np.searchsorted(threes, twos), len(threes))),
-        before if before.any() else before[:0], np.diff(np.append(threes, len(context))), place, count]
-    packed = [zlib.compress(a.astype(kind).tobytes(), 1) if small else a.astype(kind).tobytes() for a, (kind, small) in zip(arrays, _KINDS, strict=True)]
+        context[ones], np.diff(np.append(ones, len(context))), code, other & np.uint64(0xFFFFFFFF), other >> np.uint64(32), earlier_code, earlier[earlier_code == _OTHER], doc, count if count.max() > 1 else count[:0]]
+    packed = [zlib.compress(a.astype(kind).tobytes(), 1) if small else a.astype(kind, copy=False).tobytes() for a, (kind, small) in zip(arrays, _KINDS, strict=True)]
     return b"".join([np.array([len(p) for p in packed], "<u4").tobytes(), *packed])
 
 
-def _unpack(payload: bytes):
-    """rows, training; contexts and how many words follow each; words and how many are before each; those and their documents; doc, count."""
+def _unpack(payload: bytes, listed: Listed):
+    """context, word, earlier, place of the document and count of each n-gram."""
     lengths = np.frombuffer(payload, "<u4", len(_KINDS))
     ends = 4 * len(_KINDS) + np.cumsum(lengths, dtype=np.int64)
     parts = [payload[e - n : e] for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
-    rows, training, contexts, words_of, low, middle, high, before_of, before, docs_of, doc, count = (
+    contexts, runs, code, low, high, earlier_code, before, doc, count = (
         np.frombuffer(zlib.decompress(p) if small else p, kind) for p, (kind, small) in zip(parts, _KINDS, strict=True))
-    word = low.astype(np.uint64) | (middle.astype(np.uint64) << np.uint64(32))
-    training = training.astype(bool)
-    begins = np.cumsum(docs_of, dtype=np.int64) - docs_of
-    long = np.logical_or.reduceat(~training[doc], begins[np.cumsum(before_of, dtype=np.int64) - before_of])
-    word[long] |= high.astype(np.uint64) << np.uint64(40)
-    before = before.astype(np.uint64) if len(before) else np.zeros(len(docs_of), np.uint64)
-    return rows, training, contexts, words_of, word, before_of, before, docs_of, doc, count.astype(np.int64)
+    earlier = listed.words_of(earlier_code, before)
+    earlier = np.where(earlier_code == _NONE, np.uint64(0), (earlier & _EARLIER) | np.uint64(1))
+    word = listed.words_of(code, low | (high.astype(np.uint64) << np.uint64(32)))
+    return np.repeat(contexts, runs), word, earlier, doc, count.astype(np.int32) if len(count) else np.ones(len(doc), np.int32)
+
+
+class Block:
+    """N-grams of one shard, a bounded number: the distinct ones in order, and of each entry its n-gram, document and count."""
+
+    def __init__(self, parts: list[tuple], trained: np.ndarray):
+        context, word, earlier, self.doc, self.count = (np.concatenate(x) for x in zip(*parts, strict=True))
+        relative = word & _RELATIVE
+        order = np.lexsort((earlier, relative, context))
+        context, relative, earlier = context[order], relative[order], earlier[order]
+        first = _starts(context, relative, earlier)
+        self.context, self.relative, self.earlier, self.word = context[first], relative[first], earlier[first], word[order[first]]
+        self.place = np.empty(len(order), np.int32)
+        self.place[order] = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(np.append(first, len(order))))
+        self.taught = np.bincount(self.place, self.count * trained[self.doc], len(first)).astype(np.int64)
+        has_pair = np.flatnonzero(self.earlier > 0)
+        pair = pairs_of(self.context[has_pair], self.earlier[has_pair])
+        by = np.lexsort((self.relative[has_pair], pair))
+        #: the n-grams with a pair by pair and successor, and the pairs
+        self.paired, self.pair = has_pair[by].astype(np.int32), pair[by]
+
+    def learned(self) -> tuple:
+        mine = self.taught > 0
+        return self.context[mine], self.relative[mine], self.earlier[mine], self.taught[mine]
 
 
 def _quantised(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -281,37 +320,46 @@ class Trie:
         self.levels = np.frombuffer(buffer, "<f8", k, at + 8 * n + 4 * m)
         self.codes = np.frombuffer(buffer, np.uint8, e, at + 8 * (n + k) + 4 * m)
 
-    def find(self, contexts: np.ndarray, runs: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def find(self, contexts: np.ndarray, runs: np.ndarray, word: np.ndarray, place: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of each context its count (0: unknown, or not counted); of each n-gram its log10 probability, and whether it was seen.
 
-        For an unseen one that's the share left to the unigram, 0 (all of it) after an unknown context.
+        For an unseen one that's the share left to the unigram, 0 (all of it) after an unknown context. ``place``: which of
+        the trie's n-grams it is, where the caller has kept that; -1 where it is to be searched.
         """
         count, log = np.zeros(len(contexts), np.int64), np.zeros(len(word))
         seen = np.zeros(len(word), dtype=bool)
         if not self.contexts.n:
             return count, log, seen
-        at = np.minimum(self.contexts.successor(contexts), self.contexts.n - 1)
-        known = self.contexts.access(at) == contexts
+        owner = np.repeat(np.arange(len(contexts)), runs)
+        searched = np.flatnonzero(place < 0) if place is not None else np.arange(len(word))
+        if place is not None:
+            seen = place >= 0
+            log[seen] = self.levels[self.codes[place[seen]]]
+        # contexts whose counts are asked for, or some of whose n-grams are
+        asked = np.ones(len(contexts), dtype=bool)
+        if not len(self.counts):
+            asked[:] = False
+            asked[owner[searched]] = True
+        asked = np.flatnonzero(asked)
+        at = np.zeros(len(contexts), np.int64)
+        at[asked] = np.minimum(self.contexts.successor(contexts[asked]), self.contexts.n - 1)
+        known = np.zeros(len(contexts), dtype=bool)
+        known[asked] = self.contexts.access(at[asked]) == contexts[asked]
         if len(self.counts):
             count[known] = self.counts[at[known]]
-        spare = np.where(known, self.spare[at].astype(np.float64), 0.0)
-        base, begin = self.bases.access(at), self.begins.access(at).astype(np.int64)
-        end = np.where(at + 1 < self.contexts.n, self.begins.access(np.minimum(at + 1, self.contexts.n - 1)).astype(np.int64), self.successors.n)
-        owner = np.repeat(np.arange(len(contexts)), runs)
-        log = spare[owner]
-        wanted = np.flatnonzero(known[owner])
+        wanted = searched[known[owner[searched]]]
         if not len(wanted):
             return count, log, seen
-        # n-grams come in order, each repeated for its documents
-        mine, target = owner[wanted], base[owner[wanted]] + word[wanted]
-        fresh = np.concatenate(([True], (target[1:] != target[:-1]) | (mine[1:] != mine[:-1])))
-        place = self.successors.successor(target[fresh])
-        inside = (place >= begin[mine[fresh]]) & (place < end[mine[fresh]])
-        hit = inside.copy()
-        hit[inside] = self.successors.access(place[inside]) == target[fresh][inside]
-        value = np.where(hit, self.levels[self.codes[np.minimum(place, len(self.codes) - 1)]], spare[mine[fresh]])
-        back = np.cumsum(fresh) - 1
-        log[wanted], seen[wanted] = value[back], hit[back]
+        mine, back = np.unique(at[owner[wanted]], return_inverse=True)
+        target = self.bases.access(mine)[back] + word[wanted]
+        begin = self.begins.access(mine).astype(np.int64)
+        end = np.where(mine + 1 < self.contexts.n, self.begins.access(np.minimum(mine + 1, self.contexts.n - 1)).astype(np.int64), self.successors.n)
+        found = self.successors.successor(target)
+        hit = (found >= begin[back]) & (found < end[back])
+        hit[hit] = self.successors.access(found[hit]) == target[hit]
+        spare = self.spare[mine].astype(np.float64)[back]
+        log[wanted] = np.where(hit, self.levels[self.codes[np.minimum(found, len(self.codes) - 1)]], spare)
+        seen[wanted] = hit
         return count, log, seen
 
 
@@ -323,7 +371,7 @@ def _merged(parts: list[tuple]) -> list[tuple]:
     return [(context[first], word[first], earlier[first], np.add.reduceat(count, first) if len(first) else count)]
 
 
-_SENT = pa.schema([("shard", pa.int32()), ("payload", pa.binary())])
+_SENT = pa.schema([("task", pa.int32()), ("shard", pa.int32()), ("lot", pa.int64()), ("payload", pa.binary())])
 _SCORED = pa.schema([("row", pa.int64()), ("context", pa.int64()), ("word", pa.int64()), ("n", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
 
 
@@ -349,62 +397,114 @@ def scores(docs: DataFrame, training: Column, order: int = 2) -> DataFrame:
     tokens, vocabulary = sizes["n"] or 0, sizes["v"]
     ends_row = counts.filter(F.col("word") == int(END.astype(np.int64))).first()
     ends = ends_row["c"] if ends_row else 0
-    # bounded: as many contexts as there are half shards
-    most = Shards.is_frequent(tokens)
+    # bounded: as many contexts as there are half shards, or ``SPLIT_SHARE``
+    most, most_pairs = Shards.is_frequent(tokens)
     frequent = {int(np.int64(r["word"]).astype(np.uint64)): r["c"] for r in counts.filter(F.col("c") > most).collect()}
     frequent.pop(int(END), None)
     if ends > most:
         frequent[int(BEGIN)] = ends
-    pairs = [(int(np.int64(r["word"]).astype(np.uint64)), r["c"]) for r in counted.filter(F.col("pair") & (F.col("c") > most)).collect()]
+    pairs = [(int(np.int64(r["word"]).astype(np.uint64)), r["c"]) for r in counted.filter(F.col("pair") & (F.col("c") > most_pairs)).collect()]
     shards = Shards(tokens, list(frequent.items()), pairs, frozenset(frequent) - {int(BEGIN)} if order > 2 else frozenset())
     log_all = float(np.log10(tokens + vocabulary + 1))
 
+    # bounded by what two bytes can tell
+    listed = Listed([int(np.int64(r["word"]).astype(np.uint64)) for r in counts.orderBy(F.desc("c"), "word").limit(LISTED).collect()] + [int(BEGIN)])
+    per_task = max(1, min(TASK_SHARDS, shards.total // (2 * docs.sparkSession.sparkContext.defaultParallelism)))
+
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def payloads():
+            lot = TaskContext.get().partitionId() << 32
             source = ((word_hashes(text), (row, trained)) for row, text, trained in columns(batches, "row", "text", "training"))
             for group in _grouped(source):
-                row = np.array([r for _, (r, _) in group], dtype=np.int64)
-                trained = np.array([t for _, (_, t) in group], dtype=bool)
-                context, word, earlier, doc, count = _ngrams(group, order)
+                lot += 1
+                row = np.array([r for _, (r, _) in group], dtype="<i8")
+                trained = np.array([t for _, (_, t) in group], dtype=np.uint8)
+                word, context, earlier, doc = _tokens(group, order)
+                code = listed.codes(word)
+                # the word before the context's: two back
+                earlier_code = np.concatenate((code[:2], code[:-2]))[: len(code)]
+                after_begin = np.flatnonzero(context == BEGIN) + 1
+                earlier_code[after_begin[after_begin < len(code)]] = listed.codes(np.array([BEGIN]))[0]
+                earlier_code[earlier == 0] = _NONE
                 shard = shards(context, word, earlier)
-                by_shard = np.argsort(shard, kind="stable")
-                bounds = np.searchsorted(shard[by_shard], np.arange(shards.total + 1))
-                for s in np.flatnonzero(np.diff(bounds)).tolist():
-                    mine = by_shard[bounds[s] : bounds[s + 1]]
-                    yield s, _pack(context[mine], word[mine], earlier[mine], doc[mine], count[mine], row, trained)
-
-        yield from batched(payloads(), _SENT, most=64, weight=lambda r: len(r[1]), most_weight=8 << 20)
+                count = np.ones(len(word), np.uint32)
+                by_shard = np.argsort(context)
+                once = _once(word, context, earlier, doc)
+                if once is not None:
+                    by_shard, count[once[0]] = once
+                by_shard = by_shard[np.argsort(shard[by_shard].astype(np.uint16 if shards.total <= 1 << 16 else np.int64), kind="stable")]
+                in_order = [x[by_shard] for x in (context, word, code, earlier, earlier_code, doc, count)]
+                shard = shard[by_shard]
+                begins = _starts(shard)
+                ends = np.append(begins[1:], len(shard))
+                tasks = shard[begins] // per_task
+                firsts = _starts(tasks)
+                for one, end in zip(firsts.tolist(), np.append(firsts[1:], len(tasks)).tolist(), strict=True):
+                    # the documents of a task, once for all of its shards
+                    of_task = slice(begins[one], ends[end - 1])
+                    present = np.zeros(len(row), dtype=bool)
+                    present[in_order[5][of_task]] = True
+                    in_order[5][of_task] = (np.cumsum(present) - 1)[in_order[5][of_task]]
+                    yield int(tasks[one]), -1, lot, row[present].tobytes() + trained[present].tobytes()
+                    for k in range(one, end):
+                        mine = slice(begins[k], ends[k])
+                        yield int(tasks[one]), int(shard[begins[k]]), lot, _pack(*(x[mine] for x in in_order))
+
+        yield from batched(payloads(), _SENT, most=64, weight=lambda r: len(r[3]), most_weight=8 << 20)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def results():
-            held, spool, learned, pending = None, None, [], 0
-            for shard, payload in columns(batches, "shard", "payload"):
-                if shard != held:
-                    if held is not None:
-                        yield from answered(held, spool, learned)
-                    held, spool, learned, pending = shard, tempfile.SpooledTemporaryFile(SPOOLED), [], 0
-                spool.write(len(payload).to_bytes(8, "little") + payload)
-                _, trained, contexts, words_of, word, before_of, before, docs_of, doc, count = _unpack(payload)
-                taught = np.add.reduceat(count * trained[doc], np.cumsum(docs_of, dtype=np.int64) - docs_of)
-                mine = taught > 0
-                learned.append((
-                    np.repeat(np.repeat(contexts, words_of), before_of)[mine], np.repeat(word & _RELATIVE, before_of)[mine], before[mine], taught[mine]))
-                pending += int(mine.sum())
-                if pending > SHARD_TOKENS // 2:
-                    learned, pending = _merged(learned), 0
-            if held is not None:
-                yield from answered(held, spool, learned)
-
-        def answered(shard, spool, learned):
-            context, word, earlier, count = _merged(learned)[0]
-            learned.clear()
+            for _, of_task in groupby(columns(batches, "task", "shard", "lot", "payload"), key=lambda r: r[0]):
+                lots, n_rows, rows_, trained_, sums = {}, 0, [], [], None
+                for shard, of_shard in groupby(of_task, key=lambda r: r[1]):
+                    if shard < 0:
+                        for _, _, lot, payload in of_shard:
+                            n = len(payload) // 9
+                            lots[lot], n_rows = n_rows, n_rows + n
+                            rows_.append(np.frombuffer(payload, "<i8", n))
+                            trained_.append(np.frombuffer(payload, np.uint8, n, 8 * n))
+                        row, trained = np.concatenate(rows_), np.concatenate(trained_).astype(bool)
+                        sums = [np.zeros(n_rows, t) for t in (np.int64, np.int64, np.float64, np.float64)]
+                    else:
+                        yield from answered(shard, ((lots[lot], payload) for _, _, lot, payload in of_shard), row, trained, sums)
+                if sums is not None:
+                    yield from table(row, None, None, *sums)
+
+        def answered(shard, payloads, row, trained, sums):
+            parts, pending, learned, block, spool = [], 0, [], None, None
+            for offset, payload in payloads:
+                context, word, earlier, doc, count = _unpack(payload, listed)
+                parts.append((context, word, earlier, doc.astype(np.int32) + np.int32(offset), count))
+                pending += len(doc)
+                if pending >= BLOCK:
+                    block, parts, pending = Block(parts, trained), [], 0
+                    spool = spool or tempfile.TemporaryFile()
+                    pickle.dump(block, spool, protocol=5)
+                    learned.append(block.learned())
+                    if len(learned) > 1:
+                        learned = _merged(learned)
+            if spool is None:  # one block: what it has taught is in the trie in its own order
+                block, parts = Block(parts, trained), []
+                context, word, earlier, count = block.learned()
+            else:
+                if parts:
+                    block, parts = Block(parts, trained), []
+                    pickle.dump(block, spool, protocol=5)
+                    learned.append(block.learned())
+                context, word, earlier, count = _merged(learned)[0]
+                learned.clear()
             split, by_pair = shards.split(shard)
             # the pairs' level; then the words', unless it's in other shards too
-            has_pair = np.flatnonzero(earlier > 0)
-            pair = pairs_of(context[has_pair], earlier[has_pair])
-            by = np.lexsort((word[has_pair], pair))
-            upper = built(pair[by], word[has_pair][by], count[has_pair][by], split is None or not by_pair, counted=False)
-            del pair, by, has_pair, earlier
+            if spool is None:
+                by = block.paired[block.taught[block.paired] > 0]
+                pair, of_pair, by_count = block.pair[block.taught[block.paired] > 0], block.relative[by], block.taught[by]
+            else:
+                has_pair = np.flatnonzero(earlier > 0)
+                pair = pairs_of(context[has_pair], earlier[has_pair])
+                by = np.lexsort((word[has_pair], pair))
+                pair, of_pair, by_count = pair[by], word[has_pair][by], count[has_pair][by]
+            upper = built(pair, of_pair, by_count, split is None or not by_pair, counted=False)
+            del pair, of_pair, by_count, by, earlier
             first = _starts(context, word)
             context, word, count = context[first], word[first], np.add.reduceat(count, first) if len(first) else count
             if split is not None:  # T and C of this part
@@ -415,10 +515,15 @@ def scores(docs: DataFrame, training: Column, order: int = 2) -> DataFrame:
             lower = built(context, word, count, split is None)
             del context, word, count
             tries = [Trie(np.memmap(x, dtype=np.uint8, mode="r")) for x in (upper, lower)]
-            spool.seek(0)
-            while size := spool.read(8):
-                yield from asked(split, by_pair, *tries, *_unpack(spool.read(int.from_bytes(size, "little"))))
-            for x in (spool, upper, lower):
+            if spool is None:
+                yield from asked(split, by_pair, *tries, block, row, sums, keeps_places=True)
+            else:
+                size, _ = spool.tell(), spool.seek(0)
+                del block
+                while spool.tell() < size:
+                    yield from asked(split, by_pair, *tries, pickle.load(spool), row, sums, keeps_places=False)  # noqa: S301
+                spool.close()
+            for x in (upper, lower):
                 x.close()
 
         def built(context, word, count, whole, counted=True):
@@ -427,41 +532,42 @@ def scores(docs: DataFrame, training: Column, order: int = 2) -> DataFrame:
             levels.flush()
             return levels
 
-        def asked(split, by_pair, upper, lower, row, _, contexts, words_of, word, before_of, before, docs_of, doc, count):
-            of_context = np.repeat(np.arange(len(contexts)), words_of)
-            of_word = np.repeat(np.arange(len(word)), before_of)
-            c, log, seen = lower.find(contexts, words_of, word & _RELATIVE)
+        def asked(split, by_pair, upper, lower, block, row, sums, keeps_places):
+            ones, twos = _starts(block.context), _starts(block.context, block.relative)
+            of_context = np.repeat(np.arange(len(ones)), np.diff(np.append(ones, len(block.context))))
+            of_word = np.repeat(np.arange(len(twos)), np.diff(np.append(twos, len(block.context))))
+            contexts, runs = block.context[ones], np.diff(np.append(np.searchsorted(twos, ones), len(twos)))
+            learned = np.add.reduceat(block.taught, twos) > 0
+            place = np.where(learned, np.cumsum(learned) - 1, -1) if keeps_places and not by_pair else None
+            c, log, seen = lower.find(contexts, runs, block.relative[twos], place)
             if split is not None or by_pair:
                 c, log = np.array([frequent[x] for x in contexts.tolist()], dtype=np.int64), np.where(seen, log, 0.0)
             log, seen = log[of_word], seen[of_word]
             # pairs first; what they haven't seen is left to the words
-            has_pair = np.flatnonzero(before > 0)
-            if len(has_pair):
-                pair, mine = pairs_of(contexts[of_context[of_word[has_pair]]], before[has_pair]), word[of_word[has_pair]] & _RELATIVE
-                by = np.lexsort((mine, pair))
-                first = _starts(pair[by])
-                _, upper_log, upper_seen = upper.find(pair[by][first], np.diff(np.append(first, len(by))), mine[by])
-                has_pair = has_pair[by]
+            if len(block.paired):
+                first = _starts(block.pair)
+                learned = block.taught[block.paired] > 0
+                place = np.where(learned, np.cumsum(learned) - 1, -1) if keeps_places else None
+                _, upper_log, upper_seen = upper.find(block.pair[first], np.diff(np.append(first, len(block.pair))), block.relative[block.paired], place)
                 if split is not None and by_pair:
                     upper_log = np.where(upper_seen, upper_log, 0.0)
-                log[has_pair] = np.where(upper_seen, upper_log, upper_log + log[has_pair])
-                seen[has_pair] |= upper_seen
-            of_entry = np.repeat(np.arange(len(before)), docs_of)
-            log, seen = log[of_entry], seen[of_entry]
-            owner = of_context[of_word[of_entry]]
-            is_word = contexts[owner] != BEGIN
-            n = np.bincount(doc, count, len(row)).astype(np.int64)
-            known = np.bincount(doc, count * (is_word & (c[owner] > 0)), len(row)).astype(np.int64)
-            base = np.bincount(doc, count * is_word * np.log10(c + 1.0)[owner], len(row))
-            score = np.bincount(doc, count * log, len(row))
-            yield from table(row, None, None, n, known, base, score)
+                log[block.paired] = np.where(upper_seen, upper_log, upper_log + log[block.paired])
+                seen[block.paired] |= upper_seen
+            is_word = contexts != BEGIN
+            counts_of = lambda weights: np.bincount(block.doc, weights, len(row))
+            n = counts_of(block.count).astype(np.int64)
+            sums[0] += n
+            sums[1] += counts_of(block.count * (is_word & (c > 0))[of_context][block.place]).astype(np.int64)
+            sums[2] += counts_of(block.count * (is_word * np.log10(c + 1.0))[of_context][block.place])
+            sums[3] += counts_of(block.count * log[block.place])
             if split is not None:
-                met = np.bincount(doc, count * seen, len(row)).astype(np.int64)
-                yield from table(row, split, None, n - met, met, None, None)
-            new = np.flatnonzero(~seen)
+                met = counts_of(block.count * seen[block.place]).astype(np.int64)
+                here = np.flatnonzero(n)
+                yield from table(row[here], split, None, (n - met)[here], met[here], None, None)
+            new = np.flatnonzero(~seen[block.place])
             if len(new):  # the unigrams of unseen n-grams, still to be looked up, after the successors that other shards hold too
-                after = contexts[owner[new]] if by_pair else None
-                yield from table(row[doc[new]], after, word[of_word[of_entry[new]]], count[new], None, None, None)
+                place = block.place[new]
+                yield from table(row[block.doc[new]], block.context[place] if by_pair else None, block.word[place], block.count[new], None, None, None)
 
         def table(row, context, word, n, known, base, score, of_rows=True):
             for at in range(0, len(row), 1 << 15):
@@ -475,8 +581,9 @@ def scores(docs: DataFrame, training: Column, order: int = 2) -> DataFrame:
         yield from results()
 
     ddl = "row bigint, context bigint, word bigint, n bigint, known bigint, base double, score double"
-    payloads = rows.select("row", "text", "training").mapInArrow(sent, "shard int, payload binary")
-    found = materialize(payloads.repartition(shards.total, "shard").sortWithinPartitions("shard").mapInArrow(scored, ddl), "ngrams")
+    payloads = rows.select("row", "text", "training").mapInArrow(sent, "task int, shard int, lot bigint, payload binary")
+    dealt = payloads.repartitionById(-(-shards.total // per_task), "task").sortWithinPartitions("task", "shard")
+    found = materialize(dealt.mapInArrow(scored, ddl), "ngrams")
     # as few as split contexts
     whole = found.filter("row is null and word is null").groupBy("context").agg(F.log10(F.sum("known")).alias("c"), F.log10(DISCOUNT * F.sum("n")).alias("t"))
     after = found.filter("row is not null and context is not null and word is null").join(F.broadcast(whole), "context")

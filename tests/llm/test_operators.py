@@ -17,6 +17,7 @@ from haulback.llm import (
     components, fingerprints, jaccard_join, language_id, licences, line_dedup, mixing, ngram_scores, packing, quality, queries, simple8b,
 )
 from haulback.llm.token_ids import text_encoder, tokenizer_path
+from haulback.session import watch_written
 
 UPPER_TO_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -546,6 +547,34 @@ def test_third_order_scores_against_a_plain_model(spark, monkeypatch, shard_toke
         assert score == pytest.approx(want[i], rel=0.01, abs=0.02), i
 
 
+@pytest.mark.parametrize("block", [40, 1_000_000])
+def test_blocks_of_a_shard_score_alike(spark, monkeypatch, block):
+    # a block's file, and words listed with two bytes or sent whole
+    monkeypatch.setattr(ngram_scores, "SHARD_TOKENS", 300)
+    monkeypatch.setattr(ngram_scores, "BLOCK", block)
+    monkeypatch.setattr(ngram_scores, "SENT_TOKENS", 60)
+    monkeypatch.setattr(ngram_scores, "LISTED", 5)
+    made = [(k, text_of(k, 50)) for k in range(20)] + [(100, "one one one one one"), (101, text_of(3, 20) + " unseen words " + text_of(8, 20)), (102, None)]
+    want = brute_trigrams(made, lambda i: i < 100 and i % 5)
+    docs = spark.createDataFrame(made, "doc_id bigint, text string").repartition(2)
+    out = ngram_scores.scores(docs, (F.col("doc_id") < 100) & (F.col("doc_id") % 5 != 0), order=3)
+    for r in out.collect():
+        assert r["score"] == pytest.approx(want[r["doc_id"]], rel=0.01, abs=0.02), r["doc_id"]
+
+
+def test_sums_leave_a_task_once_for_all_its_shards(spark, monkeypatch):
+    monkeypatch.setattr(ngram_scores, "SHARD_TOKENS", 200)
+    docs = spark.createDataFrame([(k, text_of(k, 300)) for k in range(12)], "doc_id bigint, text string")
+    sums = []
+    for together in (1, 4):
+        monkeypatch.setattr(ngram_scores, "TASK_SHARDS", together)
+        with watch_written() as written:
+            ngram_scores.scores(docs, F.lit(True), order=3)
+        found = spark.read.parquet(next(path for _, path in written if "ngrams" in path))
+        sums.append(found.filter("base is not null").count())
+    assert sums[1] < sums[0] / 2
+
+
 def test_the_query_scores_pairs(spark, monkeypatch):
     given = []
     monkeypatch.setattr(queries.ngram_scores, "scores", lambda docs, training, order=2: given.append(order) or docs.select("doc_id"))
