@@ -407,8 +407,8 @@ def scores(docs: DataFrame, training: Column, order: int = 2) -> DataFrame:
     shards = Shards(tokens, list(frequent.items()), pairs, frozenset(frequent) - {int(BEGIN)} if order > 2 else frozenset())
     log_all = float(np.log10(tokens + vocabulary + 1))
 
-    # bounded by what two bytes can tell
-    listed = Listed([int(np.int64(r["word"]).astype(np.uint64)) for r in counts.orderBy(F.desc("c"), "word").limit(LISTED).collect()] + [int(BEGIN)])
+    # bounded by what two bytes can tell; so rare a word isn't worth a place, and what is sorted is bounded too
+    listed = Listed([int(np.int64(r["word"]).astype(np.uint64)) for r in counts.filter(F.col("c") * (16 * LISTED) > tokens).orderBy(F.desc("c"), "word").limit(LISTED).collect()] + [int(BEGIN)])
     per_task = max(1, min(TASK_SHARDS, shards.total // (2 * docs.sparkSession.sparkContext.defaultParallelism)))
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
